@@ -1 +1,84 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: SCD type 2 backfill and increment."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dimweave.operators.cumulative import actors_history, cumulate_history
+from dimweave.operators.scd import scd2_history, scd2_step
+from dimweave.plans.oracle_views import with_views
+from dimweave.plans.q_cumulative import ACTORS_CTES, PLAYERS_CTES
+from dimweave.plans.registry import register
+from dimweave.sources import adapters as A
+
+
+def scd_sql(src: str, key: str, period: str, attrs: list[str]) -> str:
+    lag_cmp = " OR ".join(
+        f"(LAG({a}) OVER w IS DISTINCT FROM {a})" for a in attrs
+    )
+    attr_list = ", ".join(attrs)
+    return f"""SELECT {key}, {attr_list}, MIN({period}) AS start_period, MAX({period}) AS end_period,
+                      CAST((SELECT MAX({period}) FROM {src}) AS INTEGER) AS as_of
+               FROM (SELECT *, SUM(chg) OVER (PARTITION BY {key} ORDER BY {period}
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak
+                     FROM (SELECT {key}, {period}, {attr_list},
+                                  CASE WHEN LAG({period}) OVER w IS NULL OR {lag_cmp} THEN 1 ELSE 0 END AS chg
+                           FROM {src} WINDOW w AS (PARTITION BY {key} ORDER BY {period})))
+               GROUP BY {key}, streak, {attr_list}"""
+
+
+SCD_SINGLE_SQL = with_views(
+    ["player_seasons"], scd_sql("players_hist", "player_name", "current_season", ["scoring_class"]), PLAYERS_CTES
+)
+SCD_MULTI_SQL = with_views(
+    ["player_seasons"],
+    scd_sql("players_hist", "player_name", "current_season", ["scoring_class", "is_active"]),
+    PLAYERS_CTES,
+)
+ACTORS_SCD_SQL = with_views(
+    ["actor_films"], scd_sql("actors_hist", "actor", "current_year", ["quality_class", "is_active"]), ACTORS_CTES
+)
+
+
+@register("scd_single", SCD_SINGLE_SQL)
+def q_scd_single(t):
+    """Runs of unchanged scoring class per player."""
+    players = cumulate_history(A.player_seasons(t))
+    return scd2_history(players, "player_name", "current_season", ["scoring_class"])
+
+
+@register("scd_multi", SCD_MULTI_SQL)
+def q_scd_multi(t):
+    """Runs of unchanged (scoring class, activity) per player."""
+    players = cumulate_history(A.player_seasons(t))
+    return scd2_history(players, "player_name", "current_season", ["scoring_class", "is_active"])
+
+
+@register("scd_step", SCD_MULTI_SQL)
+def q_scd_step(t):
+    """Backfill up to the season before the last, then one incremental
+    step; equals the full backfill."""
+    ps = A.player_seasons(t)
+    players = cumulate_history(ps)
+    last = ps.agg(F.max("season")).first()[0]
+    attrs = ["scoring_class", "is_active"]
+    scd = scd2_history(players, "player_name", "current_season", attrs, upto=last - 1)
+    return scd2_step(scd, players, "player_name", "current_season", attrs, last)
+
+
+@register("actors_scd", ACTORS_SCD_SQL)
+def q_actors_scd(t):
+    """C11: SCD of (quality class, activity) over the actors table."""
+    actors = actors_history(A.actor_films(t))
+    return scd2_history(actors, "actor", "current_year", ["quality_class", "is_active"])
+
+
+@register("actors_scd_step", ACTORS_SCD_SQL)
+def q_actors_scd_step(t):
+    """C11 incremental: backfill to the year before the last, one step."""
+    films = A.actor_films(t)
+    actors = actors_history(films)
+    last = films.agg(F.max("year")).first()[0]
+    attrs = ["quality_class", "is_active"]
+    scd = scd2_history(actors, "actor", "current_year", attrs, upto=last - 1)
+    return scd2_step(scd, actors, "actor", "current_year", attrs, last)
