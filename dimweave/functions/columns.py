@@ -108,8 +108,9 @@ def string_map(*names_and_cols: tuple[str, Column]) -> Column:
 def day_bit(days_back: Column, width: int = 32) -> Column:
     """Bit for a day ``days_back`` before the anchor: the anchor itself is the
     highest of ``width`` bits."""
+    exponent = F.lit(width - 1) - days_back
     return F.when(
-        (days_back >= 0) & (days_back < width), F.shiftleft(F.lit(1).cast("long"), F.lit(width - 1) - days_back)
+        (days_back >= 0) & (days_back < width), F.pow(F.lit(2.0), exponent).cast("long")
     ).otherwise(F.lit(0).cast("long"))
 
 
