@@ -129,3 +129,19 @@ def array_text(arr: str | Column, field_fmt=None, sep: str = ",") -> Column:
     if field_fmt is not None:
         a = F.transform(a, field_fmt)
     return F.array_join(a, sep, "null")
+
+
+def on_day(df, day, date_col: str = "event_date", time_col: str = "event_time"):
+    """Rows of one calendar day.  Besides ``date_col = day`` the bound is
+    restated as a range on the raw timestamp, which (unlike a cast) reaches
+    the Parquet scan as a pushed filter and skips row groups."""
+    d = F.to_date(F.lit(str(day)))
+    out = df.filter(F.col(date_col) == d)
+    if time_col in df.columns:
+        lo = d.cast("timestamp_ntz")
+        hi = F.date_add(d, 1).cast("timestamp_ntz")
+        ts = F.col(time_col)
+        if dict(df.dtypes).get(time_col) == "timestamp":
+            lo, hi = d.cast("timestamp"), F.date_add(d, 1).cast("timestamp")
+        out = out.filter((ts >= lo) & (ts < hi))
+    return out

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.columns import safe_get
+from dimweave.functions.columns import on_day, safe_get
 
 
 def _d(day: str | dt.date) -> Column:
@@ -44,7 +44,7 @@ def month_array_step(
     d = _d(day)
     month = F.trunc(d, "month")
     today = (
-        events.filter((F.col("event_date") == d) & F.col(key).isNotNull())
+        on_day(events, day).filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .alias("t")
@@ -68,7 +68,7 @@ def monthly_hits_step(prev: DataFrame, events: DataFrame, day: str | dt.date, ke
     d = _d(day)
     month = F.trunc(d, "month")
     today = (
-        events.filter((F.col("event_date") == d) & F.col(key).isNotNull())
+        on_day(events, day).filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("num_hits"))
         .alias("t")
@@ -93,7 +93,7 @@ def host_activity_reduced_step(prev: DataFrame, events: DataFrame, day: str | dt
     d = _d(day)
     month = F.trunc(d, "month")
     today = (
-        events.filter(F.col("event_date") == d)
+        on_day(events, day)
         .groupBy("host")
         .agg(F.count(F.lit(1)).alias("hits"), F.countDistinct("user_id").alias("visitors"))
         .alias("t")

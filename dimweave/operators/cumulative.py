@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import (
+    on_day,
     ACTOR_CLASSES,
     ACTOR_FALLBACK,
     PLAYER_CLASSES,
@@ -226,7 +227,7 @@ def _distinct_active(events: DataFrame, keys: Sequence[str], require_user: bool
 def dates_active_step(prev: DataFrame, events: DataFrame, day: str | dt.date) -> DataFrame:
     d = _lit_date(day)
     t = (
-        _distinct_active(events.filter(F.col("event_date") == d), ["user_id"])
+        _distinct_active(on_day(events, day), ["user_id"])
         .select("user_id", F.col("d").alias("today_date"))
         .alias("t")
     )
@@ -279,7 +280,7 @@ def device_datelist_step(
     prev: DataFrame, events: DataFrame, devices: DataFrame, day: str | dt.date, as_map: bool = False
 ) -> DataFrame:
     d = _lit_date(day)
-    ev = _events_with_browser(events.filter(F.col("event_date") == d), devices)
+    ev = _events_with_browser(on_day(events, day), devices)
     t = _distinct_active(ev, ["user_id", "browser_type"]).withColumnRenamed("d", "record_date").alias("t")
     y = prev.alias("y")
     j = t.join(
@@ -331,7 +332,7 @@ def _host_days(events: DataFrame) -> DataFrame:
 def host_datelist_init(events: DataFrame, day: str | dt.date) -> DataFrame:
     d = _lit_date(day)
     return (
-        _host_days(events.filter(F.col("event_date") == d))
+        _host_days(on_day(events, day))
         .select("host", F.array("d").alias("host_activity_datelist"), F.col("d").alias("record_date"))
     )
 
@@ -341,7 +342,7 @@ def host_datelist_step(prev: DataFrame, events: DataFrame, day: str | dt.date) -
     yesterday-only hosts carry their list, new hosts start one.  History rows
     stay in their own partitions (no rewrite of the past)."""
     d = _lit_date(day)
-    t = _host_days(events.filter(F.col("event_date") == d)).alias("t")
+    t = _host_days(on_day(events, day)).alias("t")
     y = prev.alias("y")
     j = t.join(y, F.col("t.host") == F.col("y.host"), "full")
     lst = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import hash_bucket, safe_ratio
@@ -59,10 +59,18 @@ def experiment_readout(assignments: DataFrame, exposures: DataFrame, outcomes: D
         F.count(F.when(F.col("_exp").isNotNull(), F.col("_conv"))).alias("converted"),
     )
     per_cell = per_cell.withColumn("rate", safe_ratio("converted", "exposed"))
-    ctrl = per_cell.filter(F.col("cell") == control).select(
-        "experiment", F.col("exposed").alias("_n0"), F.col("converted").alias("_c0"), F.col("rate").alias("_r0")
+    # Control figures beside every cell of the same experiment.  The table
+    # has one row per (experiment, cell), so this window is tiny; a join on
+    # the experiment name would be folded into a nested loop when the name
+    # is a literal.
+    w = Window.partitionBy("experiment")
+    is_ctrl = F.col("cell") == control
+    k = per_cell.select(
+        "*",
+        F.max(F.when(is_ctrl, F.col("exposed"))).over(w).alias("_n0"),
+        F.max(F.when(is_ctrl, F.col("converted"))).over(w).alias("_c0"),
+        F.max(F.when(is_ctrl, F.col("rate"))).over(w).alias("_r0"),
     )
-    k = per_cell.join(ctrl, "experiment", "left")
     pooled = safe_ratio(F.col("converted") + F.col("_c0"), F.col("exposed") + F.col("_n0"))
     inv_n = safe_ratio(F.lit(1.0), "exposed") + safe_ratio(F.lit(1.0), "_n0")
     se = F.sqrt(pooled * (F.lit(1.0) - pooled) * inv_n)

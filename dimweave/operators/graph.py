@@ -35,8 +35,9 @@ def team_vertices(teams: DataFrame) -> DataFrame:
 
 
 def player_vertices(details: DataFrame) -> DataFrame:
-    """One vertex per player: name, games played, total points, teams."""
-    g = details.groupBy("player_id").agg(
+    """One vertex per player: name, games played, total points, teams (from
+    one box-score row per player and game)."""
+    g = _one_row_per_player_game(details).groupBy("player_id").agg(
         F.max("player_name").alias("player_name"),
         F.countDistinct("game_id").alias("number_of_games"),
         F.sum("pts").alias("total_points"),

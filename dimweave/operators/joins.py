@@ -34,14 +34,26 @@ def ordered_index(
     """1-based position of each row within ``keys`` ordered by (``bucket``,
     ``order``), plus running sums, without a window over a whole key.
 
-    Level 1: rows per (key, bucket) -> running totals over the buckets of a
-    key (one row per bucket, so a hot key costs #buckets, not #rows).
-    Level 2: position within (key, bucket).  The sum of both is the row's
-    global position; ``sums`` are prefix sums built the same way."""
+    The rows are shuffled once, on (key, bucket), and numbered inside each
+    bucket.  Per-bucket totals are aggregated on that same partitioning (no
+    exchange), ordered per key -- one row per bucket, so a hot key costs its
+    number of buckets, not its number of rows -- into offsets, which are
+    joined back.  Only the small per-bucket table moves twice; ``sums``
+    become prefix sums the same way."""
     sums = sums or {}
-    per_bucket = df.groupBy(*keys, bucket).agg(
-        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{n}") for n, c in sums.items()]
+    wb = Window.partitionBy(*keys, bucket).orderBy(*order)
+    running = wb.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys, bucket)
+    within = df.select(
+        "*",
+        F.row_number().over(wb).alias("_rn"),
+        F.count(F.lit(1)).over(whole).alias("_bn"),
+        *[F.sum(c).over(running).alias(f"_run_{n}") for n, c in sums.items()],
+        *[F.sum(c).over(whole).alias(f"_bs_{n}") for n, c in sums.items()],
     )
+    # One row per bucket, taken from the numbered rows themselves: both
+    # branches sit on the same (key, bucket) exchange, which is reused.
+    per_bucket = within.filter(F.col("_rn") == 1).select(*keys, bucket, "_bn", *[f"_bs_{n}" for n in sums])
     wk = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         *keys,
@@ -49,15 +61,9 @@ def ordered_index(
         F.coalesce(F.sum("_bn").over(wk), F.lit(0)).alias("_off"),
         *[F.coalesce(F.sum(f"_bs_{n}").over(wk), F.lit(0)).alias(f"_soff_{n}") for n in sums],
     )
-    wb = Window.partitionBy(*keys, bucket).orderBy(*order)
-    within = df.select(
-        "*",
-        F.row_number().over(wb).alias("_rn"),
-        *[F.sum(c).over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run_{n}") for n, c in sums.items()],
-    )
-    j = within.join(offsets, [*keys, bucket])
-    out = j.withColumn(name, F.col("_off") + F.col("_rn"))
+    out = within.join(offsets, [*keys, bucket]).withColumn(name, F.col("_off") + F.col("_rn"))
     for n in sums:
         out = out.withColumn(n, F.col(f"_soff_{n}") + F.col(f"_run_{n}"))
-    drop = ["_off", "_rn"] + [f"_soff_{n}" for n in sums] + [f"_run_{n}" for n in sums]
+    drop = ["_off", "_rn", "_bn"] + [f"_soff_{n}" for n in sums] + [f"_run_{n}" for n in sums]
+    drop += [f"_bs_{n}" for n in sums]
     return out.drop(*drop)

@@ -30,11 +30,9 @@ def enforce_schema(df: DataFrame, schema: T.StructType, mode: str = "fail"):
     if bad is None:
         return cast if mode == "fail" else (cast, cast.limit(0))
     if mode == "fail":
-        checked = cast.withColumn(
-            "_contract",
-            F.when(bad, F.raise_error(F.lit("non-nullable field is NULL"))).otherwise(F.lit(True)),
-        )
-        return checked.drop("_contract")
+        # In a filter (not a projected column, which would be pruned) the
+        # check runs for every row that is read.
+        return cast.filter(F.when(bad, F.raise_error(F.lit("non-nullable field is NULL"))).otherwise(F.lit(True)))
     if mode == "quarantine":
         return cast.filter(~bad), cast.filter(bad)
     raise ValueError(mode)

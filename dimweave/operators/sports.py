@@ -59,16 +59,14 @@ def game_rollups(details: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def team_games(games: DataFrame) -> DataFrame:
-    """One row per (team, game): home rows and visitor rows with ``won``."""
-    home = games.select(
-        F.col("home_team_id").alias("team_id"), "game_id", "game_date_est",
-        (F.col("home_team_wins") == 1).cast("int").alias("won"),
+    """One row per (team, game): the home and the visitor side of each game,
+    with ``won``, from a single pass over the games."""
+    home_won = (F.col("home_team_wins") == 1).cast("int")
+    sides = F.array(
+        F.struct(F.col("home_team_id").alias("team_id"), home_won.alias("won")),
+        F.struct(F.col("visitor_team_id").alias("team_id"), (F.lit(1) - home_won).alias("won")),
     )
-    away = games.select(
-        F.col("visitor_team_id").alias("team_id"), "game_id", "game_date_est",
-        (F.col("home_team_wins") == 0).cast("int").alias("won"),
-    )
-    return home.unionByName(away)
+    return games.select("game_id", "game_date_est", F.inline(sides))
 
 
 def best_stretch(games: DataFrame, n: int = 90) -> DataFrame:
@@ -76,37 +74,47 @@ def best_stretch(games: DataFrame, n: int = 90) -> DataFrame:
     then game id; a window shorter than ``n`` at the start counts what it has).
 
     Wins in the stretch ending at row r = W(r) - W(r - n) with W the prefix
-    sum of wins; both come from ``ordered_index`` (per-date offsets), and the
-    lag of n rows is an equi-join on (team, r - n) -- no task holds a whole
-    team's history."""
+    sum of wins (from ``ordered_index``: per-date offsets, no task holds a
+    whole team's history).  Each row contributes +W(r) at position r and
+    -W(r) at position r + n; one aggregation on (team, position) then gives
+    every stretch without a self join."""
     tg = team_games(games)
     idx = ordered_index(tg, ["team_id"], "game_date_est", ["game_id"], sums={"_w": F.col("won")})
-    cur = idx.select("team_id", "_idx", "_w")
-    back = idx.select("team_id", (F.col("_idx") + n).alias("_idx"), F.col("_w").alias("_w_back"))
-    j = cur.join(back, ["team_id", "_idx"], "left")
-    wins = F.col("_w") - F.coalesce(F.col("_w_back"), F.lit(0))
-    return j.groupBy("team_id").agg(F.max(wins).cast("long").alias("best_wins"))
+    parts = F.array(
+        F.struct(F.col("_idx").alias("pos"), F.col("_w").alias("v"), F.lit(1).alias("is_end")),
+        F.struct((F.col("_idx") + n).alias("pos"), F.negative(F.col("_w")).alias("v"), F.lit(0).alias("is_end")),
+    )
+    per_pos = idx.select("team_id", F.inline(parts)).groupBy("team_id", "pos").agg(
+        F.sum("v").alias("wins"), F.max("is_end").alias("is_end")
+    )
+    return per_pos.filter(F.col("is_end") == 1).groupBy("team_id").agg(F.max("wins").cast("long").alias("best_wins"))
 
 
 def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0) -> DataFrame:
     """Longest run of consecutive games (by date, game id) with pts > min_pts
     per player.  Games without a score (NULL pts) are skipped, neither
-    breaking nor extending a run.
+    breaking nor extending a run.  Ties: the earliest run.
 
-    Gaps and islands with distributed positions: r = position among scored
-    games, q = position among qualifying games; r - q is constant along a
-    run.  Returns players with at least one qualifying game."""
+    Gaps and islands with distributed positions (one ``ordered_index`` pass):
+    r = position among scored games, q = running count of qualifying games;
+    r - q is constant along a run.  Returns players with at least one
+    qualifying game."""
     g = games.select("game_id", "game_date_est")
     scored = details.filter(F.col("pts").isNotNull()).join(g, "game_id")
-    r = ordered_index(scored, ["player_id"], "game_date_est", ["game_id"], name="_r")
-    good = r.filter(F.col("pts") > min_pts)
-    q = ordered_index(good, ["player_id"], "game_date_est", ["game_id"], name="_q")
-    runs = q.groupBy("player_id", (F.col("_r") - F.col("_q")).alias("_island")).agg(
-        F.count(F.lit(1)).alias("streak_len"),
-        F.min("game_date_est").alias("start_date"),
-        F.max("game_date_est").alias("end_date"),
+    good = (F.col("pts") > min_pts).cast("long")
+    r = ordered_index(scored, ["player_id"], "game_date_est", ["game_id"], name="_r", sums={"_q": good})
+    runs = (
+        r.filter(F.col("pts") > min_pts)
+        .groupBy("player_id", (F.col("_r") - F.col("_q")).alias("_island"))
+        .agg(
+            F.count(F.lit(1)).alias("streak_len"),
+            F.min("game_date_est").alias("start_date"),
+            F.max("game_date_est").alias("end_date"),
+        )
     )
-    best = runs.groupBy("player_id").agg(
-        F.max_by(F.struct("streak_len", "start_date", "end_date"), F.struct("streak_len", F.negative(F.datediff("start_date", F.lit("1970-01-01"))))).alias("_b")
+    epoch = F.lit("1970-01-01")
+    rank = F.struct(
+        "streak_len", F.negative(F.datediff("start_date", epoch)), F.negative(F.datediff("end_date", epoch))
     )
+    best = runs.groupBy("player_id").agg(F.max_by(F.struct("streak_len", "start_date", "end_date"), rank).alias("_b"))
     return best.select("player_id", "_b.streak_len", "_b.start_date", "_b.end_date")

@@ -36,17 +36,17 @@ def web_events(t: Tables, sparse: bool = False) -> DataFrame:
     """events -> (event_id, user_id, device_id, url, host, referrer, ip,
     ip_num, event_time, event_date).  ``sparse`` keeps k < 5 only, which
     leaves long gaps per user so every activity state occurs."""
-    k = props_int("props", "k")
-    referrer = None
-    for i, r in enumerate(REFERRERS):
-        lit = F.lit(r).cast("string")
-        referrer = F.when(k % 8 == i, lit) if referrer is None else referrer.when(k % 8 == i, lit)
+    # k is parsed once in its own projection (Catalyst keeps an expensive
+    # expression that is used several times in a separate Project).
+    base = t.events.select("event_id", "user_id", "event_type", "ts", props_int("props", "k").alias("k"))
+    k = F.col("k")
+    referrer = F.element_at(F.array(*[F.lit(r).cast("string") for r in REFERRERS]), (k % 8) + 1)
     ip_num = F.lit(IP_BASE).cast("long") + F.col("user_id")
     ip = F.concat_ws(
         ".",
         *[(F.shiftright(ip_num, s) % 256).cast("string") for s in (24, 16, 8, 0)],
     )
-    ev = t.events.select(
+    ev = base.select(
         "event_id",
         "user_id",
         k.cast("long").alias("device_id"),
