@@ -102,21 +102,28 @@ def cumulate_history(
     class_col: str = "pts",
     classes=PLAYER_CLASSES,
     fallback: str = PLAYER_FALLBACK,
+    periods: Sequence[int] | None = None,
 ) -> DataFrame:
     """Backfill of every season from each entity's first season to ``upto``
-    (default: the last season in the facts).  Statics are MAX per entity,
-    class from the newest season so far, ``years_since_last_active`` =
-    season - newest season, ``is_active`` = played this season."""
+    (default: the last season in the facts), or only the ``periods``
+    snapshots.  Statics are MAX per entity, class from the newest season so
+    far, ``years_since_last_active`` = season - newest season, ``is_active``
+    = played this season."""
     upto_col = facts.agg(F.max(period_col)).scalar() if upto is None else F.lit(upto)
     per_entity = facts.groupBy(key).agg(
         *[F.max(c).alias(c) for c in statics],
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in stats]))).alias("_all"),
     )
     s = F.col("current_season")
-    spine = per_entity.select(
-        "*",
-        F.explode(F.sequence(first_element("_all")[period_col], upto_col.cast("int"))).alias("current_season"),
-    )
+    first_period = first_element("_all")[period_col]
+    if periods is None:
+        seasons = F.sequence(first_period, upto_col.cast("int"))
+    else:
+        per_entity = per_entity.withColumn("_upto", upto_col.cast("int"))
+        wanted = F.array(*[F.lit(int(p)) for p in periods])
+        seasons = F.filter(wanted, lambda p: (p >= first_period) & (p <= F.col("_upto")))
+    spine = per_entity.select(*[c for c in per_entity.columns if c != "_upto"],
+                              F.explode(seasons).alias("current_season"))
     hist = F.filter("_all", lambda x: x[period_col] <= s)
     spine = spine.withColumn("seasons", hist).withColumn("_last", last_element("seasons"))
     return spine.select(
@@ -245,26 +252,32 @@ def dates_active_step(prev: DataFrame, events: DataFrame, day: str | dt.date) ->
 
 def _keyed_history(
     events: DataFrame, keys: Sequence[str], upto, newest_first: bool, list_name: str, date_name: str,
-    require_user: bool = True,
+    require_user: bool = True, periods=None,
 ):
     if require_user:
         events = events.filter(F.col("user_id").isNotNull())
     upto_col = events.agg(F.max("event_date")).scalar() if upto is None else _lit_date(upto)
     per_key = events.groupBy(*keys).agg(F.array_sort(F.collect_set("event_date")).alias("_days"))
     s = F.col(date_name)
-    spine = per_key.select(
-        *keys, "_days",
-        F.explode(F.sequence(first_element("_days"), upto_col, F.expr("INTERVAL 1 DAY"))).alias(date_name),
-    )
+    if periods is None:
+        dates = F.sequence(first_element("_days"), upto_col, F.expr("INTERVAL 1 DAY"))
+    else:
+        # only the requested snapshot days (scalar subqueries may not sit
+        # inside a higher-order function, so the bound is a column first)
+        per_key = per_key.withColumn("_upto", upto_col)
+        wanted = F.array(*[_lit_date(p) for p in periods])
+        dates = F.filter(wanted, lambda p: (p >= first_element("_days")) & (p <= F.col("_upto")))
+    spine = per_key.select(*keys, "_days", F.explode(dates).alias(date_name))
     lst = F.filter("_days", lambda x: x <= s)
     if newest_first:
         lst = F.reverse(lst)
     return spine.select(*keys, lst.alias(list_name), s)
 
 
-def dates_active_history(events: DataFrame, upto: str | dt.date | None = None) -> DataFrame:
-    """users_cumulated for every day from each user's first activity."""
-    return _keyed_history(events, ["user_id"], upto, False, "dates_active", "date")
+def dates_active_history(events: DataFrame, upto: str | dt.date | None = None, periods=None) -> DataFrame:
+    """users_cumulated for every day from each user's first activity (or
+    only the ``periods`` snapshot days)."""
+    return _keyed_history(events, ["user_id"], upto, False, "dates_active", "date", periods=periods)
 
 
 # ---------------------------------------------------------------------------

@@ -17,9 +17,7 @@ EDGE_TYPES = ["plays_against", "shares_team", "plays_in", "plays_on"]
 def team_vertices(teams: DataFrame) -> DataFrame:
     """One vertex per team id.  Duplicate team rows are resolved by a total
     order (nickname descending, then the other attributes)."""
-    order = [F.col("nickname").desc()] + [
-        F.col(c).asc() for c in ("abbreviation", "city", "arena", "yearfounded")
-    ]
+    order = [("nickname", False)] + [(c, True) for c in ("abbreviation", "city", "arena", "yearfounded")]
     d = dedupe(teams, ["team_id"], order)
     return d.select(
         F.col("team_id").alias("identifier"),
@@ -71,9 +69,9 @@ def game_vertices(games: DataFrame) -> DataFrame:
 
 
 def _one_row_per_player_game(details: DataFrame) -> DataFrame:
-    order = [F.col("pts").desc_nulls_last()] + [
-        F.col(c).asc_nulls_first() for c in details.columns if c not in ("player_id", "game_id", "pts")
-    ]
+    """The reference keeps an arbitrary row per (player, game); we keep the
+    highest-scoring one, ties broken by the remaining columns."""
+    order = [("pts", False)] + [(c, True) for c in details.columns if c not in ("player_id", "game_id", "pts")]
     return dedupe(details, ["player_id", "game_id"], order)
 
 

@@ -28,8 +28,9 @@ DATELIST_SQL = with_views(["web_events"], "SELECT * FROM bits", _USER_BITS)
 
 FLAGS_SQL = with_views(
     ["web_events"],
-    f"""SELECT user_id, bit_count(datelist_int) AS l32, bit_count(datelist_int) > 0 AS monthly_active,
-               bit_count(datelist_int & {MASK_LAST_7}) AS l7,
+    f"""SELECT user_id, CAST(bit_count(datelist_int) AS INTEGER) AS l32,
+               bit_count(datelist_int) > 0 AS monthly_active,
+               CAST(bit_count(datelist_int & {MASK_LAST_7}) AS INTEGER) AS l7,
                bit_count(datelist_int & {MASK_LAST_7}) > 0 AS weekly_active,
                bit_count(datelist_int & {MASK_PREVIOUS_7}) > 0 AS weekly_active_previous_week,
                bit_count(datelist_int & {MASK_ANCHOR_DAY}) > 0 AS daily_active

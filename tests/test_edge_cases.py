@@ -173,3 +173,20 @@ def test_threshold_class_and_channels(spark):
     )
     got = [r[0] for r in refs.select(channel_of("r", CHANNEL_RULES)).collect()]
     assert got == ["Linkedin", "Twitter", "https://other.org", None]
+
+
+def test_requested_periods_equal_full_history(spark, tables):
+    from dimweave.operators.cumulative import cumulate_history, dates_active_history
+
+    ev = A.web_events(tables)
+    days = [D(2024, 1, 7), D(2024, 1, 30)]
+    full = growth_accounting_history(ev).filter(F.col("date").isin(days))
+    assertDataFrameEqual(growth_accounting_history(ev, periods=days), full)
+    assertDataFrameEqual(
+        dates_active_history(ev, periods=days), dates_active_history(ev).filter(F.col("date").isin(days))
+    )
+    ps = A.player_seasons(tables)
+    assertDataFrameEqual(
+        cumulate_history(ps, periods=[1997, 2001]),
+        cumulate_history(ps).filter(F.col("current_season").isin(1997, 2001)),
+    )
