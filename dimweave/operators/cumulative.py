@@ -197,27 +197,45 @@ def actors_step(prev: DataFrame, films: DataFrame, year: int) -> DataFrame:
     )
 
 
-def actors_history(films: DataFrame, upto: int | None = None) -> DataFrame:
-    """Every year of the actors table at once."""
+def actors_history(
+    films: DataFrame, upto: int | None = None, periods: Sequence[int] | None = None, with_films: bool = True
+) -> DataFrame:
+    """Every year of the actors table at once (or only ``periods``).
+
+    Snapshots are driven by a cheap per-(actor, year) average rating (a
+    partially aggregated hash aggregate), collected per actor -- one entry per
+    year.  The film lists, the heavy part, are collected once per actor
+    (sorted by year, then film) and joined on the same actor partitioning
+    only when ``with_films``; an SCD over quality and activity skips them."""
     upto_col = films.agg(F.max("year")).scalar() if upto is None else F.lit(upto)
-    per_year = _films_of_year(films)
-    per_actor = per_year.groupBy("actor").agg(
-        F.array_sort(F.collect_list(F.struct("year", "avg_rating", "films"))).alias("_years")
-    )
+    per_year = films.groupBy("actor", "year").agg(F.avg("rating").alias("avg_rating"))
+    per_actor = per_year.groupBy("actor").agg(F.array_sort(F.collect_list(F.struct("year", "avg_rating"))).alias("_years"))
     y = F.col("current_year")
-    spine = per_actor.select(
-        "actor", "_years",
-        F.explode(F.sequence(first_element("_years")["year"], upto_col.cast("int"))).alias("current_year"),
-    )
-    upto_now = F.filter("_years", lambda e: e["year"] <= y)
-    spine = spine.withColumn("_sofar", upto_now).withColumn("_last", last_element("_sofar"))
-    return spine.select(
+    first_year = first_element("_years")["year"]
+    if periods is None:
+        years = F.sequence(first_year, upto_col.cast("int"))
+    else:
+        per_actor = per_actor.withColumn("_upto", upto_col.cast("int"))
+        wanted = F.array(*[F.lit(int(p)) for p in periods])
+        years = F.filter(wanted, lambda p: (p >= first_year) & (p <= F.col("_upto")))
+    spine = per_actor.select("actor", "_years", F.explode(years).alias("current_year"))
+    spine = spine.withColumn("_last", last_element(F.filter("_years", lambda e: e["year"] <= y)))
+    cols = [
         "actor",
-        F.flatten(F.transform("_sofar", lambda e: e["films"])).alias("films"),
         threshold_class(F.col("_last")["avg_rating"], ACTOR_CLASSES, ACTOR_FALLBACK).alias("quality_class"),
         (F.col("_last")["year"] == y).alias("is_active"),
         y.cast("int").alias("current_year"),
+    ]
+    if not with_films:
+        return spine.select(*cols)
+    lists = films.groupBy("actor").agg(
+        F.array_sort(F.collect_list(F.struct("year", *[F.col(c) for c in FILM_FIELDS]))).alias("_all")
+    )
+    j = spine.join(lists, "actor")
+    film_list = F.transform(
+        F.filter("_all", lambda e: e["year"] <= y), lambda e: F.struct(*[e[c].alias(c) for c in FILM_FIELDS])
     )
+    return j.select(cols[0], film_list.alias("films"), *cols[1:])
 
 
 # ---------------------------------------------------------------------------

@@ -69,7 +69,7 @@ def q_scd_step(t):
 @register("actors_scd", ACTORS_SCD_SQL)
 def q_actors_scd(t):
     """C11: SCD of (quality class, activity) over the actors table."""
-    actors = actors_history(A.actor_films(t))
+    actors = actors_history(A.actor_films(t), with_films=False)
     return scd2_history(actors, "actor", "current_year", ["quality_class", "is_active"])
 
 
@@ -77,7 +77,7 @@ def q_actors_scd(t):
 def q_actors_scd_step(t):
     """C11 incremental: backfill to the year before the last, one step."""
     films = A.actor_films(t)
-    actors = actors_history(films)
+    actors = actors_history(films, with_films=False)
     last = films.agg(F.max("year")).first()[0]
     attrs = ["quality_class", "is_active"]
     scd = scd2_history(actors, "actor", "current_year", attrs, upto=last - 1)
