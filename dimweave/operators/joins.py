@@ -23,6 +23,31 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df
 
 
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    buckets: int = 16,
+    salt_of: Sequence[str] | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
+
+    ``big`` rows get a deterministic salt in [0, buckets) from a hash of
+    ``salt_of`` (default: all its columns); each ``small`` row -- typically
+    one aggregate row per key -- is replicated once per salt.  A key holding a
+    third of ``big`` is then processed by ``buckets`` tasks instead of one, at
+    the price of ``buckets`` copies of the small side.  Use it where AQE's
+    skew split cannot apply (e.g. when one side is an aggregate that already
+    sits on the join key's partitioning)."""
+    if buckets <= 1:
+        return big.join(small, list(keys), how)
+    cols = list(salt_of) if salt_of else big.columns
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def ordered_index(
     df: DataFrame,
     keys: Sequence[str],

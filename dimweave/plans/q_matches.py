@@ -71,6 +71,15 @@ ENRICH_SQL = with_views(
 )
 
 
+ENRICH_LEFT_SQL = with_views(
+    ["web_events", "devices"],
+    """SELECT e.user_id, e.device_id, upper(d.browser_type) AS browser_family, d.os_type AS os_family,
+              d.device_type, COALESCE(e.referrer, 'unknow') AS referrer, e.host, e.url, e.event_time
+       FROM web_events e LEFT JOIN devices d ON e.device_id = d.device_id
+       WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL""",
+)
+
+
 @register("match_tops", MATCH_TOPS_SQL)
 def q_match_tops(t):
     """Top player by average kills, top playlist, top map, top map for a
@@ -102,3 +111,10 @@ def q_devices_on_events(t):
 def q_enrich_events(t):
     """Events with device attributes, inner join."""
     return enrich_events(A.web_events(t), A.devices(t))
+
+
+@register("enrich_events_left", ENRICH_LEFT_SQL)
+def q_enrich_events_left(t):
+    """C45 left variant: events kept without a known device, browser and os
+    renamed to *_family."""
+    return enrich_events(A.web_events(t), A.devices(t), how="left")

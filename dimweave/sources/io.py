@@ -51,6 +51,19 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
     )
 
 
+def overwrite_table(df: DataFrame, table: str) -> None:
+    """INSERT OVERWRITE into an existing catalog table by column position,
+    replacing only the partitions present in ``df`` (re-runs are
+    idempotent)."""
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
 def save_as(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> None:
     """CREATE TABLE AS SELECT."""
     w = df.write.mode("overwrite")

@@ -190,3 +190,15 @@ def test_requested_periods_equal_full_history(spark, tables):
         cumulate_history(ps, periods=[1997, 2001]),
         cumulate_history(ps).filter(F.col("current_season").isin(1997, 2001)),
     )
+
+
+def test_device_datelist_as_map(spark, tables):
+    from dimweave.operators.cumulative import device_datelist_history
+
+    ev, dev = A.web_events(tables), A.devices(tables)
+    long_form = device_datelist_history(ev, dev)
+    as_map = device_datelist_history(ev, dev, as_map=True)
+    day = long_form.agg(F.max("record_date")).first()[0]
+    m = {r.user_id: r.device_activity_datelist for r in as_map.filter(F.col("record_date") == day).collect()}
+    for r in long_form.filter(F.col("record_date") == day).collect():
+        assert m[r.user_id][r.browser_type] == r.device_activity_datelist

@@ -89,3 +89,13 @@ def test_quality_report_counts(spark):
                                "k int, v string, ds string")
     rep = {r.check: r.n_bad for r in quality_report(df, ["k"], ["v"], "ds", "2024-01-03").collect()}
     assert rep == {"duplicate_key:k": 1, "null:v": 1, "stale_partition:ds": 1}
+
+
+def test_overwrite_table_dynamic_partitions(spark):
+    io.drop_table(spark, "t_io_ow")
+    io.ensure_table(spark, "t_io_ow", "v INT, ds STRING", partitioned_by=["ds"])
+    io.overwrite_table(spark.createDataFrame([(1, "a"), (2, "b")], "v int, ds string"), "t_io_ow")
+    io.overwrite_table(spark.createDataFrame([(9, "b")], "v int, ds string"), "t_io_ow")
+    io.overwrite_table(spark.createDataFrame([(9, "b")], "v int, ds string"), "t_io_ow")
+    assert sorted((r.v, r.ds) for r in spark.table("t_io_ow").collect()) == [(1, "a"), (9, "b")]
+    io.drop_table(spark, "t_io_ow")
