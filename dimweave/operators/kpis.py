@@ -6,24 +6,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed assumption: supply cost of a line = quantity x retail price x ratio.
-COST_RATIO = "0.75"
+# Fixed assumption: supply cost of a line = quantity x retail price x 75%.
+COST_PCT = 75
 MONEY = "decimal(18,2)"
 
 
+def _cents(c: str):
+    """A 2-decimal money or quantity column as exact integer hundredths."""
+    return F.round(F.col(c) * 100).cast("long")
+
+
+def _money(units, scale_digits: int):
+    """Exact integer units of 10^-scale_digits -> decimal(18,2), half up."""
+    return (units.cast("decimal(38,0)") / F.lit(10 ** scale_digits).cast("decimal(38,0)")).cast(MONEY)
+
+
 def profit_unit(lines: DataFrame) -> DataFrame:
-    """Per order: revenue (discounted extended price), cost and profit, in
-    exact decimals.  ``lines`` = lineitem x part x orders."""
-    rev = F.col("l_extendedprice").cast(MONEY) * (F.lit(1).cast(MONEY) - F.col("l_discount").cast(MONEY))
-    cost = F.col("l_quantity").cast(MONEY) * F.col("p_retailprice").cast(MONEY) * F.lit(COST_RATIO).cast(MONEY)
+    """Per order: revenue (discounted extended price), cost and profit.
+
+    Arithmetic is exact fixed point on 64-bit integers -- revenue in 10^-4
+    units (cents x basis points), cost in 10^-6 units -- summed as longs and
+    converted to decimal(18,2) once per order, instead of 38-digit decimal
+    products that fall back to arbitrary-precision arithmetic per row.
+    ``lines`` = lineitem x part x orders."""
+    rev = _cents("l_extendedprice") * (F.lit(100) - _cents("l_discount"))
+    cost = _cents("l_quantity") * _cents("p_retailprice") * F.lit(COST_PCT)
     g = lines.groupBy(F.col("l_orderkey").alias("order_key"), F.to_date("o_orderdate").alias("order_date")).agg(
         F.sum(rev).alias("_rev"), F.sum(cost).alias("_cost")
     )
     return g.select(
         "order_key", "order_date",
-        F.col("_rev").cast(MONEY).alias("revenue"),
-        F.col("_cost").cast(MONEY).alias("cost"),
-        (F.col("_rev") - F.col("_cost")).cast(MONEY).alias("profit"),
+        _money(F.col("_rev"), 4).alias("revenue"),
+        _money(F.col("_cost"), 6).alias("cost"),
+        _money(F.col("_rev") * 100 - F.col("_cost"), 6).alias("profit"),
     )
 
 
