@@ -72,6 +72,16 @@ def save_as(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> Non
     w.saveAsTable(name)
 
 
+def write_snapshot(df: DataFrame, table: str, key: str, period_col: str, buckets: int, mode: str = "append") -> None:
+    """Store a cumulative snapshot table partitioned by period and bucketed
+    (and sorted) by the entity key.  The next period's step reads one period
+    partition whose rows are already hash-placed by key: its full join with
+    the new facts shuffles only the new facts."""
+    (
+        df.write.mode(mode).partitionBy(period_col).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    )
+
+
 def ensure_table(spark: SparkSession, name: str, ddl_columns: str, using: str = "parquet",
                  partitioned_by: Sequence[str] = ()) -> None:
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""

@@ -86,3 +86,21 @@ def test_windowed_traffic_frames_share_partitioning(spark, tables, no_auto_broad
     # partitions by a superset and adds none (join exchanges excluded)
     window_exchanges = tree.count("Exchange") - 2 * count_operator(df, "SortMergeJoin")
     assert window_exchanges <= 2
+
+
+def test_step_over_bucketed_snapshot_shuffles_only_new_facts(spark, tables, no_auto_broadcast):
+    from dimweave.operators.cumulative import cumulate_history, cumulate_step
+    from dimweave.sources.io import drop_table, write_snapshot
+
+    ps = A.player_seasons(tables)
+    hist = cumulate_history(ps, upto=2000)
+    drop_table(spark, "t_players_snap")
+    write_snapshot(hist, "t_players_snap", "player_name", "current_season", 8, mode="overwrite")
+    prev = spark.table("t_players_snap").filter(F.col("current_season") == 2000)
+    step = cumulate_step(prev, ps, 2001)
+    tree = physical_tree(step)
+    snapshot_branch = tree.split("SortMergeJoin FullOuter")[1].split("+- Sort")[0]
+    assert "Exchange" not in snapshot_branch and "players_snap" in snapshot_branch
+    plain = cumulate_step(hist.filter(F.col("current_season") == 2000), ps, 2001)
+    assert exchanges(step) < exchanges(plain)
+    assert step.count() == plain.count()
