@@ -109,11 +109,13 @@ def cumulate_history(
     snapshots.  Statics are MAX per entity, class from the newest season so
     far, ``years_since_last_active`` = season - newest season, ``is_active``
     = played this season."""
-    upto_col = facts.agg(F.max(period_col)).scalar() if upto is None else F.lit(upto)
     per_entity = facts.groupBy(key).agg(
         *[F.max(c).alias(c) for c in statics],
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in stats]))).alias("_all"),
     )
+    # the default bound comes from the aggregate itself, so the scalar
+    # subquery reuses its exchange instead of recomputing the facts
+    upto_col = per_entity.agg(F.max(last_element("_all")[period_col])).scalar() if upto is None else F.lit(upto)
     s = F.col("current_season")
     first_period = first_element("_all")[period_col]
     if periods is None:
@@ -207,8 +209,8 @@ def actors_history(
     year.  The film lists, the heavy part, are collected once per actor
     (sorted by year, then film) and joined on the same actor partitioning
     only when ``with_films``; an SCD over quality and activity skips them."""
-    upto_col = films.agg(F.max("year")).scalar() if upto is None else F.lit(upto)
     per_year = films.groupBy("actor", "year").agg(F.avg("rating").alias("avg_rating"))
+    upto_col = per_year.agg(F.max("year")).scalar() if upto is None else F.lit(upto)
     per_actor = per_year.groupBy("actor").agg(F.array_sort(F.collect_list(F.struct("year", "avg_rating"))).alias("_years"))
     y = F.col("current_year")
     first_year = first_element("_years")["year"]
@@ -274,8 +276,8 @@ def _keyed_history(
 ):
     if require_user:
         events = events.filter(F.col("user_id").isNotNull())
-    upto_col = events.agg(F.max("event_date")).scalar() if upto is None else _lit_date(upto)
     per_key = events.groupBy(*keys).agg(F.array_sort(F.collect_set("event_date")).alias("_days"))
+    upto_col = per_key.agg(F.max(last_element("_days"))).scalar() if upto is None else _lit_date(upto)
     s = F.col(date_name)
     if periods is None:
         dates = F.sequence(first_element("_days"), upto_col, F.expr("INTERVAL 1 DAY"))

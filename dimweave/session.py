@@ -8,11 +8,16 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: adaptive execution (coalesce small shuffle
-# partitions, split skewed join partitions, demote joins to broadcast at run
-# time only when the materialised side is measured small), UTC session time
-# and no web UI.
+# partitions, split skewed join partitions), UTC session time and no web UI.
+# Broadcasts: the static planner's threshold trusts a compressed-file-size
+# estimate, which can understate a table's in-memory size many times, so it
+# is off; joins are demoted to broadcast at run time only when AQE has
+# *measured* the materialised side under 32 MB, and operators broadcast
+# explicitly only behind a row-count proof (operators/joins.py).
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
