@@ -28,7 +28,15 @@ def read_kafka_json(spark: SparkSession, schema: T.StructType, options: dict[str
     kafka.bootstrap.servers, subscribe, startingOffsets=latest, SASL
     settings, all from the deployment's configuration."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    return parse_json_records(raw, schema, "value", time_field, time_format)
+
+
+def parse_json_records(raw: DataFrame, schema: T.StructType, value_col: str = "value",
+                       time_field: str = "event_time", time_format: str = EVENT_TIME_FORMAT) -> DataFrame:
+    """JSON text records (a Kafka ``value``, a line of a text file) -> typed
+    columns plus ``event_timestamp``; a malformed record yields NULL fields
+    and a NULL timestamp instead of failing the stream."""
+    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), schema).alias("r")).select("r.*")
     return with_event_timestamp(parsed, time_field, time_format)
 
 

@@ -141,3 +141,32 @@ def test_stream_static_geo_enrichment_and_two_sinks(spark, stream_dir, tables, t
     located = spark.read.parquet(str(tmp_path / "located")).count()
     assert 0 < located < got.count()
     assert seen
+
+
+def test_json_records_stream(spark, tables, tmp_path):
+    """The Kafka path minus the connector: JSON text records -> typed rows
+    with the ISO event time parsed; a malformed record gets a NULL time."""
+    from dimweave.streaming.io import WEB_EVENT_JSON, parse_json_records
+
+    ev = A.web_events(tables)
+    lines = ev.select(
+        F.to_json(
+            F.struct(
+                "url", "referrer", F.lit("ua").alias("user_agent"), "host", "ip", F.lit("{}").alias("headers"),
+                F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"),
+            )
+        ).alias("value")
+    )
+    src = str(tmp_path / "json")
+    lines.coalesce(1).write.text(src)
+    with open(f"{src}/zz-bad.txt", "w") as f:
+        f.write('{"url": "x", "event_time": "not a time"}\n')
+    stream = parse_json_records(spark.readStream.text(src), WEB_EVENT_JSON)
+    q = stream.writeStream.format("memory").queryName("json_out").start()
+    q.processAllAvailable()
+    q.stop()
+    out = spark.table("json_out")
+    assert out.count() == ev.count() + 1
+    assert out.filter(F.col("event_timestamp").isNull()).count() == 1
+    batch = parse_json_records(spark.read.text(src), WEB_EVENT_JSON)
+    assertDataFrameEqual(out, batch)
