@@ -62,12 +62,16 @@ def cumulate_step(
     class_col: str = "pts",
     classes=PLAYER_CLASSES,
     fallback: str = PLAYER_FALLBACK,
+    statics_rule: str = "first",
 ) -> DataFrame:
     """One season: previous snapshot (``current_season = period - 1``) full
-    joined with this season's rows.  Statics keep the earliest known value;
+    joined with this season's rows.  Statics keep the earliest known value
+    (``statics_rule='first'``) or take today's when present ('latest');
     today's stats struct is appended when the entity played; the class comes
     from today's value, else is carried; ``years_since_last_active`` resets
     to 0 or grows by one."""
+    if statics_rule not in ("first", "latest"):
+        raise ValueError(statics_rule)
     t = today.filter(F.col(period_col) == period).alias("t")
     y = prev.alias("y")
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
@@ -81,7 +85,11 @@ def cumulate_step(
     )
     return j.select(
         F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
-        *[F.coalesce(F.col(f"y.{c}"), F.col(f"t.{c}")).alias(c) for c in statics],
+        *[
+            (F.coalesce(F.col(f"y.{c}"), F.col(f"t.{c}")) if statics_rule == "first"
+             else F.coalesce(F.col(f"t.{c}"), F.col(f"y.{c}"))).alias(c)
+            for c in statics
+        ],
         history.alias("seasons"),
         F.when(played, threshold_class(F.col(f"t.{class_col}"), classes, fallback))
         .otherwise(F.col("y.scoring_class"))

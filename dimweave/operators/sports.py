@@ -120,7 +120,7 @@ def best_stretch(games: DataFrame, n: int = 90) -> DataFrame:
     return per_pos.filter(F.col("is_end") == 1).groupBy("team_id").agg(F.max("wins").cast("long").alias("best_wins"))
 
 
-def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0) -> DataFrame:
+def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0, player=None) -> DataFrame:
     """Longest run of consecutive games (by date, game id) with pts > min_pts
     per player.  Games without a score (NULL pts) are skipped, neither
     breaking nor extending a run.  Ties: the earliest run.
@@ -130,6 +130,8 @@ def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0)
     r - q is constant along a run.  Returns players with at least one
     qualifying game."""
     g = games.select("game_id", "game_date_est")
+    if player is not None:
+        details = details.filter(F.col("player_id") == F.lit(player))
     scored = details.filter(F.col("pts").isNotNull()).join(g, "game_id")
     good = (F.col("pts") > min_pts).cast("long")
     r = ordered_index(scored, ["player_id"], "game_date_est", ["game_id"], name="_r", sums={"_q": good})

@@ -202,3 +202,29 @@ def test_device_datelist_as_map(spark, tables):
     m = {r.user_id: r.device_activity_datelist for r in as_map.filter(F.col("record_date") == day).collect()}
     for r in long_form.filter(F.col("record_date") == day).collect():
         assert m[r.user_id][r.browser_type] == r.device_activity_datelist
+
+
+def test_step_statics_rule_and_streak_player_filter(spark):
+    from dimweave.operators.cumulative import cumulate_step
+
+    prev = spark.createDataFrame(
+        [("p", "old", "c", "x", "1", "1", "1", [(2000, 1, 12.0, 1.0, 1.0)], "average", 0, True, 2000)],
+        "player_name string, height string, college string, country string, draft_year string, draft_round string,"
+        " draft_number string, seasons array<struct<season:int,gp:bigint,pts:double,reb:double,ast:double>>,"
+        " scoring_class string, years_since_last_active int, is_active boolean, current_season int",
+    )
+    today = spark.createDataFrame(
+        [("p", "new", "c", "x", "1", "1", "1", 2001, 1, 21.0, 1.0, 1.0)],
+        "player_name string, height string, college string, country string, draft_year string, draft_round string,"
+        " draft_number string, season int, gp bigint, pts double, reb double, ast double",
+    )
+    first = cumulate_step(prev, today, 2001).first()
+    latest = cumulate_step(prev, today, 2001, statics_rule="latest").first()
+    assert (first.height, latest.height) == ("old", "new")
+    assert first.scoring_class == "star" and len(first.seasons) == 2
+    details = spark.createDataFrame(
+        [(1, 1, 12.0), (2, 1, 15.0), (1, 2, 30.0)], "game_id bigint, player_id bigint, pts double"
+    )
+    games = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2))], "game_id bigint, game_date_est date")
+    rows = longest_streak(details, games, 10.0, player=1).collect()
+    assert [(r.player_id, r.streak_len) for r in rows] == [(1, 2)]
