@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimweave.operators.growth import ACTIVE_STATES, CHURNED, NEW, RESURRECTED, RETAINED, STALE
+
 # Fixed assumption: supply cost of a line = quantity x retail price x 75%.
 COST_PCT = 75
 MONEY = "decimal(18,2)"
@@ -55,16 +57,16 @@ def growth_daily(ga: DataFrame) -> DataFrame:
     """Per day: users in each daily lifecycle state and active users."""
     s = F.col("daily_active_state")
     return ga.groupBy("date").agg(
-        *[F.count(F.when(s == st, 1)).alias(st.lower()) for st in ("New", "Retained", "Resurrected", "Churned", "Stale")],
-        F.count(F.when(s.isin("New", "Retained", "Resurrected"), 1)).alias("active_users"),
+        *[F.count(F.when(s == st, 1)).alias(st.lower()) for st in (NEW, RETAINED, RESURRECTED, CHURNED, STALE)],
+        F.count(F.when(s.isin(*ACTIVE_STATES), 1)).alias("active_users"),
     )
 
 
 def growth_total(ga: DataFrame) -> DataFrame:
     """Per month: new users and users active at least once."""
-    active = F.col("daily_active_state").isin("New", "Retained", "Resurrected")
+    active = F.col("daily_active_state").isin(*ACTIVE_STATES)
     return ga.groupBy(F.trunc("date", "month").alias("month")).agg(
-        F.count(F.when(F.col("daily_active_state") == "New", 1)).alias("new_users"),
+        F.count(F.when(F.col("daily_active_state") == NEW, 1)).alias("new_users"),
         F.countDistinct(F.when(active, F.col("user_id"))).alias("active_users"),
     )
 
