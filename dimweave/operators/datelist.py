@@ -82,11 +82,19 @@ def activity_flags(bits: DataFrame, keys: Sequence[str], col: str = "datelist_in
     )
 
 
-def dates_as_of(events: DataFrame, keys: Sequence[str], anchor: str | dt.date, require_user: bool = True) -> DataFrame:
+def dates_as_of(events: DataFrame, keys: Sequence[str], anchor: str | dt.date, require_user: bool = True,
+                window_days: int | None = None) -> DataFrame:
     """The cumulated snapshot on ``anchor`` without building earlier days:
-    per key, the set of active dates up to the anchor."""
+    per key, the set of active dates up to the anchor.  With ``window_days``
+    only dates inside the last ``window_days`` days are collected -- all a
+    bitmap needs -- so the set shipped per key stays bounded; every key ever
+    active is still present (with an empty set when idle in the window), as
+    in the cumulative table."""
     a = F.to_date(F.lit(str(anchor)))
     ev = events.filter(F.col("event_date") <= a)
     if require_user:
         ev = ev.filter(F.col("user_id").isNotNull())
-    return ev.groupBy(*keys).agg(F.array_sort(F.collect_set("event_date")).alias("dates_active"))
+    d = F.col("event_date")
+    if window_days is not None:
+        d = F.when(d >= F.date_sub(a, window_days - 1), d)
+    return ev.groupBy(*keys).agg(F.array_sort(F.collect_set(d)).alias("dates_active"))

@@ -74,7 +74,7 @@ def _anchor(ev):
 def _user_bits(t):
     ev = A.web_events(t)
     anchor = _anchor(ev.filter(F.col("user_id").isNotNull()))
-    snap = dates_as_of(ev, ["user_id"], anchor)
+    snap = dates_as_of(ev, ["user_id"], anchor, window_days=32)
     return datelist_int(snap, ["user_id"], "dates_active", anchor)
 
 
@@ -93,7 +93,7 @@ def q_activity_flags(t):
 def _device_bits(t, compat: bool):
     ev = A.web_events(t).join(A.devices(t).select("device_id", "browser_type"), "device_id")
     anchor = _anchor(ev.filter(F.col("user_id").isNotNull()))
-    snap = dates_as_of(ev, ["user_id", "browser_type"], anchor)
+    snap = dates_as_of(ev, ["user_id", "browser_type"], anchor, window_days=32)
     return datelist_int(
         snap, ["user_id", "browser_type"], "dates_active", anchor, compat=compat, group_by=["user_id"]
     )

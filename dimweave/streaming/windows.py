@@ -34,7 +34,8 @@ def sessions_stream(events: DataFrame, by: Sequence[str] = ("ip", "host"), gap:
 
 
 def sessionize(events: DataFrame, by: Sequence[str] = ("ip", "host"), gap_seconds: int = 300,
-               time_col: str = "event_time", tiebreak: str = "event_id", bucket_unit: str = "hour") -> DataFrame:
+               time_col: str = "event_time", tiebreak: str | None = "event_id",
+               bucket_unit: str = "hour") -> DataFrame:
     """Batch sessions with the semantics of ``session_window``: an event more
     than ``gap_seconds`` after the previous event of its key starts a new
     session; a session ends ``gap`` after its last event.
@@ -46,8 +47,10 @@ def sessionize(events: DataFrame, by: Sequence[str] = ("ip", "host"), gap_second
     partially aggregated group by (key, session) builds the output."""
     gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
     t = F.col(time_col)
-    ev = events.select(*by, time_col, tiebreak).withColumn("_b", F.date_trunc(bucket_unit, t))
-    wb = Window.partitionBy(*by, "_b").orderBy(time_col, tiebreak)
+    order = [time_col] + ([tiebreak] if tiebreak else [])
+    # rows without an event time belong to no session (as in session_window)
+    ev = events.filter(t.isNotNull()).select(*by, *order).withColumn("_b", F.date_trunc(bucket_unit, t))
+    wb = Window.partitionBy(*by, "_b").orderBy(*order)
     local_prev = F.lag(t).over(wb)
     ev = ev.withColumn("_internal", (local_prev.isNotNull() & (t > local_prev + gap)).cast("int"))
     ev = ev.withColumn("_run", F.sum("_internal").over(wb.rowsBetween(Window.unboundedPreceding, 0)))

@@ -228,3 +228,30 @@ def test_step_statics_rule_and_streak_player_filter(spark):
     games = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2))], "game_id bigint, game_date_est date")
     rows = longest_streak(details, games, 10.0, player=1).collect()
     assert [(r.player_id, r.streak_len) for r in rows] == [(1, 2)]
+
+
+def test_sessionize_matches_session_window_semantics(spark):
+    from dimweave.streaming.windows import sessionize
+
+    t = dt.datetime
+    ev = spark.createDataFrame(
+        [("a", t(2024, 1, 1, 0, 0)), ("a", t(2024, 1, 1, 0, 5)), ("a", t(2024, 1, 1, 0, 10, 1)),
+         ("a", t(2024, 1, 1, 0, 58)), ("a", t(2024, 1, 1, 1, 2)), ("a", None), ("b", t(2024, 1, 1, 0, 1))],
+        "k string, event_time timestamp_ntz",
+    )
+    got = sessionize(ev, ["k"], 300, tiebreak=None)
+    expected = ev.filter("event_time is not null").groupBy("k", F.session_window("event_time", "5 minutes").alias("s")).agg(
+        F.count(F.lit(1)).alias("n")
+    ).select("k", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n")
+    # exactly-gap events merge; sessions cross the hour buckets
+    assertDataFrameEqual(got, expected)
+    assert got.count() == 4
+
+
+def test_datelist_keeps_users_idle_in_window(spark):
+    from dimweave.operators.datelist import dates_as_of
+
+    ev = _ev(spark, [(1, dt.datetime(2024, 1, 1, 9)), (2, dt.datetime(2024, 3, 1, 9))])
+    snap = dates_as_of(ev, ["user_id"], "2024-03-01", window_days=32)
+    got = {r.user_id: r.datelist_int for r in datelist_int(snap, ["user_id"], "dates_active", "2024-03-01").collect()}
+    assert got == {1: 0, 2: 1 << 31}
