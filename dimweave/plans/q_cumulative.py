@@ -168,7 +168,9 @@ DEVICE_EVENTS = (
 
 
 def _last_season(ps) -> int:
-    """The newest season in the facts (one scalar brought to the driver)."""
+    """The newest season in the facts (one scalar brought to the driver).  A
+    literal period lets the planner fold and push it; measured, the same
+    bound as a scalar subquery made these queries up to 2x slower."""
     return ps.agg(F.max("season")).first()[0]
 
 
