@@ -260,7 +260,6 @@ def _distinct_active(events: DataFrame, keys: Sequence[str], require_user: bool
 
 
 def dates_active_step(prev: DataFrame, events: DataFrame, day: str | dt.date) -> DataFrame:
-    d = _lit_date(day)
     t = (
         _distinct_active(on_day(events, day), ["user_id"])
         .select("user_id", F.col("d").alias("today_date"))
@@ -320,7 +319,6 @@ def _events_with_browser(events: DataFrame, devices: DataFrame) -> DataFrame:
 def device_datelist_step(
     prev: DataFrame, events: DataFrame, devices: DataFrame, day: str | dt.date, as_map: bool = False
 ) -> DataFrame:
-    d = _lit_date(day)
     ev = _events_with_browser(on_day(events, day), devices)
     t = _distinct_active(ev, ["user_id", "browser_type"]).withColumnRenamed("d", "record_date").alias("t")
     y = prev.alias("y")
@@ -371,7 +369,6 @@ def _host_days(events: DataFrame) -> DataFrame:
 
 
 def host_datelist_init(events: DataFrame, day: str | dt.date) -> DataFrame:
-    d = _lit_date(day)
     return (
         _host_days(on_day(events, day))
         .select("host", F.array("d").alias("host_activity_datelist"), F.col("d").alias("record_date"))

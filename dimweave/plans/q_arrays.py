@@ -16,7 +16,7 @@ from dimweave.operators.arrays import (
     monthly_hits_step,
 )
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_value, register
 from dimweave.sources import adapters as A
 
 
@@ -109,7 +109,8 @@ def _metric_rows(hist):
 @register("month_array", MONTH_ARRAY_SQL)
 def q_month_array(t):
     """Zero-filled per-user monthly hit arrays, all months at once."""
-    out = _metric_rows(_user_months(A.web_events(t)))
+    ev = A.web_events(t)
+    out = _metric_rows(_user_months(ev, upto=_last_day(ev)))
     return out.withColumn("metric_array", array_text("metric_array"))
 
 
@@ -133,7 +134,8 @@ def _hits_rows(hist):
 @register("monthly_hits", MONTHLY_HITS_SQL)
 def q_monthly_hits(t):
     """C24 closed form: NULL-filled monthly hit arrays with first_found_date."""
-    out = _hits_rows(_user_months(A.web_events(t), fill=None))
+    ev = A.web_events(t)
+    out = _hits_rows(_user_months(ev, upto=_last_day(ev), fill=None))
     return out.withColumn("hit_array", array_text("hit_array"))
 
 
@@ -165,7 +167,8 @@ def _host_flat(df):
 @register("host_reduced", HOST_REDUCED_SQL)
 def q_host_reduced(t):
     """C25 closed form: per host and month, daily hits and distinct visitors."""
-    return _host_flat(_host_months(A.web_events(t)))
+    ev = A.web_events(t)
+    return _host_flat(_host_months(ev, upto=last_value(ev, "event_date")))
 
 
 @register("host_reduced_step", HOST_REDUCED_SQL)
@@ -180,12 +183,14 @@ def q_host_reduced_step(t):
 @register("array_day_sums", DAY_SUMS_SQL)
 def q_array_day_sums(t):
     """Sums of the first three days over the latest partition."""
-    hits = _hits_rows(_user_months(A.web_events(t), fill=None))
-    ds = hits.agg(F.max("date_partition")).scalar()
-    return array_day_sums(hits, ds, 3)
+    ev = A.web_events(t)
+    day = _last_day(ev)
+    hits = _hits_rows(_user_months(ev, upto=day, fill=None))
+    return array_day_sums(hits, day, 3)
 
 
 @register("array_to_daily", TO_DAILY_SQL)
 def q_array_to_daily(t):
     """Arrays summed by position and unpivoted to (metric, date, value)."""
-    return array_to_daily(_metric_rows(_user_months(A.web_events(t))))
+    ev = A.web_events(t)
+    return array_to_daily(_metric_rows(_user_months(ev, upto=_last_day(ev))))

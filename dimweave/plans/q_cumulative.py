@@ -18,7 +18,7 @@ from dimweave.operators.cumulative import (
     unnest_history,
 )
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_value, register
 from dimweave.sources import adapters as A
 
 # -- canonical text of nested values ------------------------------------------
@@ -181,7 +181,8 @@ def _players_flat(df):
 @register("players_history", with_views(["player_seasons"], f"SELECT {PLAYER_COLS} FROM players_hist", PLAYERS_CTES))
 def q_players_history(t):
     """Cumulative players table backfilled for every season."""
-    return _players_flat(cumulate_history(A.player_seasons(t)))
+    ps = A.player_seasons(t)
+    return _players_flat(cumulate_history(ps, _last_season(ps)))
 
 
 @register(
@@ -215,7 +216,8 @@ def q_players_step(t):
 def q_improvement(t):
     """C4: newest-season points over first-season points, latest snapshot."""
     ps = A.player_seasons(t)
-    return improvement_ratio(cumulate_history(ps), _last_season(ps))
+    last = _last_season(ps)
+    return improvement_ratio(cumulate_history(ps, last), last)
 
 
 @register(
@@ -225,7 +227,8 @@ def q_improvement(t):
 def q_unnest_history(t):
     """The latest snapshot exploded back to one row per season."""
     ps = A.player_seasons(t)
-    return unnest_history(cumulate_history(ps), _last_season(ps))
+    last = _last_season(ps)
+    return unnest_history(cumulate_history(ps, last, periods=[last]), last)
 
 
 def _actors_flat(df):
@@ -238,7 +241,8 @@ ACTOR_COLS = "actor, films, quality_class, is_active, current_year"
 @register("actors_history", with_views(["actor_films"], f"SELECT {ACTOR_COLS} FROM actors_hist", ACTORS_CTES))
 def q_actors_history(t):
     """Cumulative actors table for every year."""
-    return _actors_flat(actors_history(A.actor_films(t)))
+    films = A.actor_films(t)
+    return _actors_flat(actors_history(films, last_value(films, "year")))
 
 
 @register(
@@ -267,7 +271,8 @@ def q_actors_step(t):
 )
 def q_dates_active(t):
     """users_cumulated (active dates, oldest first) for every day."""
-    out = dates_active_history(A.web_events(t))
+    ev = A.web_events(t)
+    out = dates_active_history(ev, last_value(ev, "event_date", "user_id"))
     return out.withColumn("dates_active", array_text("dates_active"))
 
 
@@ -281,7 +286,8 @@ def q_dates_active(t):
 )
 def q_device_datelist(t):
     """Per (user, browser) active dates, newest first, every day."""
-    out = device_datelist_history(A.web_events(t), A.devices(t))
+    ev = A.web_events(t)
+    out = device_datelist_history(ev, A.devices(t), last_value(ev, "event_date", "user_id"))
     return out.withColumn("device_activity_datelist", array_text("device_activity_datelist"))
 
 
@@ -295,5 +301,6 @@ def q_device_datelist(t):
 )
 def q_host_datelist(t):
     """Per host active dates, newest first, every day."""
-    out = host_datelist_history(A.web_events(t))
+    ev = A.web_events(t)
+    out = host_datelist_history(ev, last_value(ev, "event_date"))
     return out.withColumn("host_activity_datelist", array_text("host_activity_datelist"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dimweave.functions.columns import array_text
 from dimweave.operators.cumulative import cumulate_history
 from dimweave.operators.growth import growth_accounting_history, retention, state_changes
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_value, register
 from dimweave.sources import adapters as A
 
 # -- oracle SQL --------------------------------------------------------------
@@ -104,23 +102,27 @@ def _ga_flat(ga):
 @register("growth_accounting", GA_SQL)
 def q_growth_accounting(t):
     """Daily/weekly lifecycle states for every user-day (closed form)."""
-    return _ga_flat(growth_accounting_history(A.web_events(t)))
+    ev = A.web_events(t)
+    return _ga_flat(growth_accounting_history(ev, last_value(ev, "event_date", "user_id")))
 
 
 @register("growth_accounting_sparse", GA_SPARSE_SQL)
 def q_growth_accounting_sparse(t):
     """Same on the sparse event subset, which reaches every state."""
-    return _ga_flat(growth_accounting_history(A.web_events(t, sparse=True)))
+    ev = A.web_events(t, sparse=True)
+    return _ga_flat(growth_accounting_history(ev, last_value(ev, "event_date", "user_id")))
 
 
 @register("retention", RETENTION_SQL)
 def q_retention(t):
     """J-curve over the growth-accounting table."""
-    return retention(growth_accounting_history(A.web_events(t), with_dates=False))
+    ev = A.web_events(t)
+    return retention(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
 
 
 @register("state_changes", STATE_CHANGES_SQL)
 def q_state_changes(t):
     """Player lifecycle labels from the cumulative players table."""
-    players = cumulate_history(A.player_seasons(t))
+    ps = A.player_seasons(t)
+    players = cumulate_history(ps, last_value(ps, "season"))
     return state_changes(players, "player_name", "current_season", "is_active")

@@ -13,7 +13,7 @@ from dimweave.operators.layout import layout_report
 from dimweave.operators.quality import quality_report
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_growth import _ga_ctes
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_value, register
 from dimweave.sources import adapters as A
 from dimweave.sources.io import upsert
 
@@ -185,13 +185,15 @@ def q_profit_total(t):
 @register("growth_daily", GROWTH_DAILY_SQL)
 def q_growth_daily(t):
     """Daily growth (users per lifecycle state)."""
-    return growth_daily(growth_accounting_history(A.web_events(t), with_dates=False))
+    ev = A.web_events(t)
+    return growth_daily(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
 
 
 @register("growth_total", GROWTH_TOTAL_SQL)
 def q_growth_total(t):
     """Monthly growth aggregate."""
-    return growth_total(growth_accounting_history(A.web_events(t), with_dates=False))
+    ev = A.web_events(t)
+    return growth_total(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
 
 
 @register("engagement_daily", ENGAGEMENT_SQL)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from dimweave.operators.cumulative import actors_history, cumulate_history
 from dimweave.operators.scd import scd2_history, scd2_step
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_cumulative import ACTORS_CTES, PLAYERS_CTES
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_value, register
 from dimweave.sources import adapters as A
 
 
@@ -43,15 +42,18 @@ ACTORS_SCD_SQL = with_views(
 @register("scd_single", SCD_SINGLE_SQL)
 def q_scd_single(t):
     """Runs of unchanged scoring class per player."""
-    players = cumulate_history(A.player_seasons(t))
-    return scd2_history(players, "player_name", "current_season", ["scoring_class"])
+    ps = A.player_seasons(t)
+    last = last_value(ps, "season")
+    return scd2_history(cumulate_history(ps, last), "player_name", "current_season", ["scoring_class"], upto=last)
 
 
 @register("scd_multi", SCD_MULTI_SQL)
 def q_scd_multi(t):
     """Runs of unchanged (scoring class, activity) per player."""
-    players = cumulate_history(A.player_seasons(t))
-    return scd2_history(players, "player_name", "current_season", ["scoring_class", "is_active"])
+    ps = A.player_seasons(t)
+    last = last_value(ps, "season")
+    attrs = ["scoring_class", "is_active"]
+    return scd2_history(cumulate_history(ps, last), "player_name", "current_season", attrs, upto=last)
 
 
 @register("scd_step", SCD_MULTI_SQL)
@@ -59,8 +61,8 @@ def q_scd_step(t):
     """Backfill up to the season before the last, then one incremental
     step; equals the full backfill."""
     ps = A.player_seasons(t)
-    players = cumulate_history(ps)
-    last = ps.agg(F.max("season")).first()[0]
+    last = last_value(ps, "season")
+    players = cumulate_history(ps, last)
     attrs = ["scoring_class", "is_active"]
     scd = scd2_history(players, "player_name", "current_season", attrs, upto=last - 1)
     return scd2_step(scd, players, "player_name", "current_season", attrs, last)
@@ -69,16 +71,18 @@ def q_scd_step(t):
 @register("actors_scd", ACTORS_SCD_SQL)
 def q_actors_scd(t):
     """C11: SCD of (quality class, activity) over the actors table."""
-    actors = actors_history(A.actor_films(t), with_films=False)
-    return scd2_history(actors, "actor", "current_year", ["quality_class", "is_active"])
+    films = A.actor_films(t)
+    last = last_value(films, "year")
+    actors = actors_history(films, last, with_films=False)
+    return scd2_history(actors, "actor", "current_year", ["quality_class", "is_active"], upto=last)
 
 
 @register("actors_scd_step", ACTORS_SCD_SQL)
 def q_actors_scd_step(t):
     """C11 incremental: backfill to the year before the last, one step."""
     films = A.actor_films(t)
-    actors = actors_history(films, with_films=False)
-    last = films.agg(F.max("year")).first()[0]
+    last = last_value(films, "year")
+    actors = actors_history(films, last, with_films=False)
     attrs = ["quality_class", "is_active"]
     scd = scd2_history(actors, "actor", "current_year", attrs, upto=last - 1)
     return scd2_step(scd, actors, "actor", "current_year", attrs, last)
