@@ -52,7 +52,10 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        # local runs and tests get a scratch folder; on a cluster the shared
+        # folder is required only when a job actually cuts lineage
+        checkpoint_dir(spark)
     return spark
 
 
