@@ -91,3 +91,13 @@ def test_dedupe_aggregates_before_the_shuffle(spark, skewed):
     w = Window.partitionBy("user_id", "event_date").orderBy("url", "event_time")
     expected = d.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     assertDataFrameEqual(got, expected)
+
+
+def test_pair_edges_heavy_game_split_is_exact(spark, tables):
+    from dimweave.operators.graph import player_pair_edges
+
+    details = A.game_details(tables)
+    plain = player_pair_edges(details)
+    split = player_pair_edges(details, heavy_rows=2, salt_buckets=4)  # nearly every game takes the salted path
+    assertDataFrameEqual(split, plain)
+    assert plain.count() > 0
