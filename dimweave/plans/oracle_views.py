@@ -83,16 +83,12 @@ VIEWS: dict[str, tuple[list[str], str]] = {
            JOIN games g ON l.l_orderkey = g.game_id""",
     ),
     "teams": (
-        [],
-        """SELECT * FROM (
-             SELECT CAST(n_nationkey AS BIGINT) AS team_id, 'T' || CAST(n_nationkey AS VARCHAR) AS abbreviation,
-                    n_name AS nickname, r_name AS city, r_name || ' Arena' AS arena,
-                    CAST(1900 + n_nationkey AS BIGINT) AS yearfounded
-             FROM nation JOIN region ON n_regionkey = r_regionkey
-             UNION ALL
-             SELECT CAST(n_nationkey AS BIGINT), 'T' || CAST(n_nationkey AS VARCHAR),
-                    'Former ' || n_name, r_name, r_name || ' Arena', CAST(1900 + n_nationkey AS BIGINT)
-             FROM nation JOIN region ON n_regionkey = r_regionkey)""",
+        ["game_details"],
+        """SELECT d.team_id, 'T' || CAST(d.team_id AS VARCHAR) AS abbreviation,
+                  CASE WHEN d.player_id % 2 = 0 THEN n.n_name ELSE 'Former ' || n.n_name END AS nickname,
+                  r.r_name AS city, r.r_name || ' Arena' AS arena, CAST(1900 + d.team_id AS BIGINT) AS yearfounded
+           FROM game_details d JOIN nation n ON d.team_id = n.n_nationkey
+           JOIN region r ON n.n_regionkey = r.r_regionkey""",
     ),
     "matches": (
         [],

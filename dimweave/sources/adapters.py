@@ -168,19 +168,24 @@ def game_details(t: Tables) -> DataFrame:
 
 
 def teams(t: Tables) -> DataFrame:
-    """nation x region, every team twice (second copy with a 'Former '
-    nickname) so that vertex building must de-duplicate."""
-    n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    base = n.select(
-        F.col("n_nationkey").cast("long").alias("team_id"),
-        F.concat(F.lit("T"), F.col("n_nationkey").cast("string")).alias("abbreviation"),
-        F.col("n_name").alias("nickname"),
+    """One team row per box-score appearance: team attributes from nation x
+    region, the nickname written two ways (appearances of odd players carry a
+    'Former ' variant), so building team vertices is a de-duplication over
+    data that grows with the box scores."""
+    d = game_details(t).select("team_id", "player_id")
+    n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("long").alias("team_id"), "n_name", "r_name"
+    )
+    j = d.join(n, "team_id")
+    nickname = F.when(F.col("player_id") % 2 == 0, F.col("n_name")).otherwise(F.concat(F.lit("Former "), "n_name"))
+    return j.select(
+        "team_id",
+        F.concat(F.lit("T"), F.col("team_id").cast("string")).alias("abbreviation"),
+        nickname.alias("nickname"),
         F.col("r_name").alias("city"),
         F.concat(F.col("r_name"), F.lit(" Arena")).alias("arena"),
-        (F.lit(1900) + F.col("n_nationkey")).cast("long").alias("yearfounded"),
+        (F.lit(1900) + F.col("team_id")).cast("long").alias("yearfounded"),
     )
-    former = base.withColumn("nickname", F.concat(F.lit("Former "), F.col("nickname")))
-    return base.unionByName(former)
 
 
 # -- match analytics (bucket / broadcast joins) ------------------------------
