@@ -35,13 +35,13 @@ def sessions_stream(events: DataFrame, by: Sequence[str] = ("ip", "host"), gap:
 
 def sessionize(events: DataFrame, by: Sequence[str] = ("ip", "host"), gap_seconds: int = 300,
                time_col: str = "event_time", tiebreak: str | None = "event_id",
-               bucket_unit: str = "hour") -> DataFrame:
+               bucket_unit: str = "minute") -> DataFrame:
     """Batch sessions with the semantics of ``session_window``: an event more
     than ``gap_seconds`` after the previous event of its key starts a new
     session; a session ends ``gap`` after its last event.
 
     Distributed even for a key holding a third of all events: events are
-    ordered only within (key, time bucket); a per-bucket summary (first,
+    ordered only within (key, minute bucket); a per-bucket summary (first,
     last, internal starts) ordered per key -- one row per bucket -- links
     each bucket to the previous one and numbers the sessions; then a
     partially aggregated group by (key, session) builds the output."""
