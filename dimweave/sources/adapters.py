@@ -14,17 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.columns import props_int
+from dimweave.functions.columns import CHANNEL_RULES, props_int
 from dimweave.sources.tables import Tables
 
-# Fixed adapter values: referrer by (k mod 8); bucket 7 has no referrer.
-REFERRERS = [
-    "https://www.linkedin.com/feed/",
-    "https://t.co/x1",
-    "https://www.google.com/search",
-    "https://lnkd.in/abc",
-    "https://www.eczachly.com/",
-    "https://www.zachwilson.tech/",
+# Referrer by (k mod 8): one URL per channel rule (built from the rule's own
+# pattern, so every rule is exercised), one URL no rule matches, and no
+# referrer at all.
+REFERRERS = [f"https://{pattern.strip('%')}.example/" for pattern, _ in CHANNEL_RULES] + [
     "https://news.example.org/",
     None,
 ]
