@@ -198,7 +198,7 @@ def q_players_step(t):
     seasons before it (equals the backfill's last season)."""
     ps = A.player_seasons(t)
     last = _last_season(ps)
-    prev = cumulate_history(ps, upto=last - 1).filter(F.col("current_season") == last - 1)
+    prev = cumulate_history(ps, upto=last - 1, periods=[last - 1])
     return _players_flat(cumulate_step(prev, ps, last))
 
 
@@ -217,7 +217,7 @@ def q_improvement(t):
     """C4: newest-season points over first-season points, latest snapshot."""
     ps = A.player_seasons(t)
     last = _last_season(ps)
-    return improvement_ratio(cumulate_history(ps, last), last)
+    return improvement_ratio(cumulate_history(ps, last, periods=[last]), last)
 
 
 @register(
@@ -257,7 +257,7 @@ def q_actors_step(t):
     """The last year applied as one increment to the earlier backfill."""
     films = A.actor_films(t)
     last = films.agg(F.max("year")).first()[0]
-    prev = actors_history(films, upto=last - 1).filter(F.col("current_year") == last - 1)
+    prev = actors_history(films, upto=last - 1, periods=[last - 1])
     return _actors_flat(actors_step(prev, films, last))
 
 
