@@ -60,11 +60,11 @@ def ordered_index(
     ``order``), plus running sums, without a window over a whole key.
 
     The rows are shuffled once, on (key, bucket), and numbered inside each
-    bucket.  Per-bucket totals are aggregated on that same partitioning (no
-    exchange), ordered per key -- one row per bucket, so a hot key costs its
-    number of buckets, not its number of rows -- into offsets, which are
-    joined back.  Only the small per-bucket table moves twice; ``sums``
-    become prefix sums the same way."""
+    bucket; bucket totals come from the same windowed rows (the first row of
+    each bucket carries them).  Those one-row-per-bucket totals are ordered
+    per key -- so a hot key costs its number of buckets, not its number of
+    rows -- into offsets, which are joined back.  Only the small per-bucket
+    table moves again; ``sums`` become prefix sums the same way."""
     sums = sums or {}
     wb = Window.partitionBy(*keys, bucket).orderBy(*order)
     running = wb.rowsBetween(Window.unboundedPreceding, 0)
