@@ -117,3 +117,78 @@ def test_datelist_bits_match_model(spark, offsets, compat):
             if o < 32:
                 want |= 1 << (31 - o)
     assert got == want
+
+
+def _sessions_model(events, gap_s):
+    """Brute-force sessions: sort each key's times, split where the next
+    event is more than ``gap_s`` after the previous one."""
+    out = []
+    by_key = {}
+    for k, t in events:
+        by_key.setdefault(k, []).append(t)
+    for k, ts in by_key.items():
+        ts.sort()
+        start = prev = ts[0]
+        n = 1
+        for t in ts[1:]:
+            if (t - prev).total_seconds() > gap_s:
+                out.append((k, start, prev + dt.timedelta(seconds=gap_s), n))
+                start, n = t, 0
+            prev = t
+            n += 1
+        out.append((k, start, prev + dt.timedelta(seconds=gap_s), n))
+    return sorted(out)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 4 * 3600)), min_size=1, max_size=40),
+    st.sampled_from([60, 300, 1800]),
+)
+def test_sessionize_matches_model(spark, raw, gap_s):
+    from dimweave.streaming.windows import sessionize
+
+    t0 = dt.datetime(2024, 1, 1, 23, 0)   # crosses an hour and a day boundary
+    events = [(k, t0 + dt.timedelta(seconds=s)) for k, s in raw]
+    df = spark.createDataFrame(events, "k string, event_time timestamp_ntz")
+    got = sorted(
+        (r.k, r.session_start, r.session_end, r.n) for r in sessionize(df, ["k"], gap_s, tiebreak=None).collect()
+    )
+    assert got == _sessions_model(events, gap_s)
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(st.integers(1, 3), st.integers(0, 15), st.one_of(st.none(), st.integers(0, 20))),
+        min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1]),
+    )
+)
+def test_longest_streak_matches_model(spark, rows):
+    from dimweave.operators.sports import longest_streak
+
+    # game g is played on day g // 3 (several games share a date)
+    details = spark.createDataFrame(
+        [(g, p, None if pts is None else float(pts)) for p, g, pts in rows], "game_id bigint, player_id bigint, pts double"
+    )
+    games = spark.createDataFrame(
+        [(g, BASE + dt.timedelta(days=g // 3)) for g in range(16)], "game_id bigint, game_date_est date"
+    )
+    want = {}
+    for p in {r[0] for r in rows}:
+        seq = sorted((g // 3, g, pts) for q, g, pts in rows if q == p and pts is not None)
+        best = None
+        run = []
+        for day, g, pts in seq + [(None, None, -1)]:
+            if pts is not None and pts > 10:
+                run.append(day)
+                continue
+            if run:
+                cand = (len(run), -run[0], -run[-1])
+                if best is None or cand > best:
+                    best = cand
+            run = []
+        if best:
+            want[p] = (best[0], BASE + dt.timedelta(days=-best[1]), BASE + dt.timedelta(days=-best[2]))
+    got = {r.player_id: (r.streak_len, r.start_date, r.end_date) for r in longest_streak(details, games, 10.0).collect()}
+    assert got == want
