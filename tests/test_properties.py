@@ -192,3 +192,24 @@ def test_longest_streak_matches_model(spark, rows):
             want[p] = (best[0], BASE + dt.timedelta(days=-best[1]), BASE + dt.timedelta(days=-best[2]))
     got = {r.player_id: (r.streak_len, r.start_date, r.end_date) for r in longest_streak(details, games, 10.0).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.booleans()), min_size=1, max_size=40),
+    st.integers(1, 6),
+)
+def test_best_stretch_matches_model(spark, raw, n):
+    from dimweave.operators.sports import best_stretch
+
+    games = [(g, BASE + dt.timedelta(days=g // 2), h, (h + 1 + v) % 5, int(w)) for g, (h, v, w) in enumerate(raw)]
+    df = spark.createDataFrame(
+        games, "game_id bigint, game_date_est date, home_team_id bigint, visitor_team_id bigint, home_team_wins int"
+    )
+    seqs = {}
+    for g, d, h, v, w in sorted(games, key=lambda x: (x[1], x[0])):
+        seqs.setdefault(h, []).append(w)
+        seqs.setdefault(v, []).append(1 - w)
+    want = {t: max(sum(s[max(0, i - n + 1): i + 1]) for i in range(len(s))) for t, s in seqs.items()}
+    got = {r.team_id: r.best_wins for r in best_stretch(df, n).collect()}
+    assert got == want
