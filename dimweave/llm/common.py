@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
-from collections.abc import Callable, Iterator
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+import dimweave
 from dimweave.session import checkpoint_dir
 from dimweave.sources.tables import table_path
 
-# str.split() also splits at these four controls, which the Unicode
+# str.split() also splits at the four controls 1C-1F, which the Unicode
 # White_Space property (what the tokenizer's patterns use) does not hold.
 _CONTROL_SEPARATORS = re.compile("[\x1c-\x1f]")
-_WHITE_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_NOT_WHITE_SPACE = re.compile(
+    "[^\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+)
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def white_space_chunks(text: str) -> list[str]:
     """The maximal runs of ``text`` without Unicode white space."""
     if _CONTROL_SEPARATORS.search(text):
-        return [c for c in _WHITE_SPACE.split(text) if c]
+        return _NOT_WHITE_SPACE.findall(text)
     return text.split()
 
 
@@ -42,10 +50,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors import this package: once per application, unless
+    the job was submitted with it (``--py-files``), the driver serves a zip of
+    its sources."""
+    sc = spark.sparkContext
+    if any("dimweave" in f for f in sc._python_includes):
+        return
+    root = Path(dimweave.__file__).parent
+    archive = os.path.join(SparkFiles.getRootDirectory(), f"dimweave-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent).as_posix())
+    sc.addPyFile(archive)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dimweave.llm.common import table
+from dimweave.llm.common import ship_package, table
+from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
+from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +19,12 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None):
     def wrap(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = name, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -29,3 +36,18 @@ def register(name: str, oracle: str | None = None):
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under word_bpe_49k.json."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@register("op8_id_frames")
+def op8_id_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written as seekable frames in doc_id order and read back."""
+    docs = table(spark, sf_dir, "documents")
+    manifest = write_token_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return id_checksums(read_token_ids(manifest, docs.schema["doc_id"].dataType.simpleString()))
+
+
+@register("op10_sql_bpe")
+def op10_sql_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
