@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dimweave.llm.common import ship_package, table
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
+from dimweave.llm.language_id import identify_languages
 from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
 
@@ -51,3 +52,9 @@ def op10_sql_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe_round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify_languages(table(spark, sf_dir, "documents"))
