@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from dimweave.llm.common import ship_package, table
+from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
 from dimweave.llm.sql_bpe import bpe_round_trip
@@ -58,3 +59,9 @@ def op10_sql_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@register("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
