@@ -12,6 +12,7 @@ from dimweave.llm.common import ship_package, table
 from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
+from dimweave.llm.merkle import edited_fingerprints
 from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
 
@@ -65,3 +66,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op9_merkle")
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
