@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimweave.llm.common import ship_package, table
 from dimweave.llm.decontaminate import contamination
@@ -15,6 +16,7 @@ from dimweave.llm.language_id import identify_languages
 from dimweave.llm.merkle import edited_fingerprints
 from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
+from dimweave.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +74,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of every document and of its edited text."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register("op6_warc")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back; a response's length and
+    digest are those of its decoded payload (the reader has compared it with
+    the header), a revisit's are in its headers."""
+    path = write_archives(table(spark, sf_dir, "pages"))
+    records = read_archives(spark, path)
+    n_bytes = F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes"))
+    return records.select("page_id", n_bytes.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
