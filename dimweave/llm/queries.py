@@ -14,6 +14,7 @@ from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
 from dimweave.llm.merkle import edited_fingerprints
+from dimweave.llm.quality_cnn import quality_scores
 from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
 from dimweave.llm.warc import read_archives, write_archives
@@ -85,3 +86,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_archives(spark, path)
     n_bytes = F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes"))
     return records.select("page_id", n_bytes.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@register("op5_quality_cnn")
+def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the byte-level network."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
