@@ -14,6 +14,7 @@ from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
 from dimweave.llm.merkle import edited_fingerprints
+from dimweave.llm.pseudonyms import KEY_SETTING, TEST_KEY, pseudonym_report
 from dimweave.llm.quality_cnn import quality_scores
 from dimweave.llm.sql_bpe import bpe_round_trip
 from dimweave.llm.token_counts import token_counts
@@ -92,3 +93,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the byte-level network."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
+@register("op4_pseudonyms")
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced by keyed pseudonyms."""
+    return pseudonym_report(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, TEST_KEY))
