@@ -14,6 +14,7 @@ from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
 from dimweave.llm.merkle import edited_fingerprints
+from dimweave.llm.ngram_join import similarity_components
 from dimweave.llm.pseudonyms import KEY_SETTING, TEST_KEY, pseudonym_report
 from dimweave.llm.quality_cnn import quality_scores
 from dimweave.llm.sql_bpe import bpe_round_trip
@@ -99,3 +100,9 @@ def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by keyed pseudonyms."""
     return pseudonym_report(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, TEST_KEY))
+
+
+@register("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of 5-word shingles."""
+    return similarity_components(table(spark, sf_dir, "documents"))
