@@ -15,7 +15,7 @@ the rows in place, so nothing that grows without bound is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -264,22 +264,23 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str | None]]]:
-    """(item_id as text, text) of all items in blocks of about ``block_bytes``
-    bytes of text; a null item_id is the empty text."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Callable[[], list[tuple[str, str | None]]]]:
+    """All items, (item_id as text, text), in blocks of about ``block_bytes``
+    bytes of text, each fetched when it is called; a null item_id is the empty
+    text."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
         block = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        yield [(r.item, r.text) for r in block.collect()]
+        yield lambda block=block: [(r.item, r.text) for r in block.collect()]
 
 
 _SPAN = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
 _FOUND = "n_words long, spans array<struct<begin:bigint,end:bigint>>, items array<string>"
 
 
-def _search(phrases: Phrases, first: bool):
+def _search(phrases: Phrases, first: bool, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", SHARD_BYTES):
             counts, spans, items = phrases.find(batch.column("text").to_pylist())
@@ -287,17 +288,18 @@ def _search(phrases: Phrases, first: bool):
                 for k, (before, own) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True)):
                     spans[k] = merge_spans([*((s["begin"], s["end"]) for s in before), *spans[k]])
                     items[k].update(own)
-            columns = [batch.column("row"), batch.column("text"), pa.array(counts, pa.int64())]
+            columns = [batch.column("row"), *[batch.column("text")] * with_text, pa.array(counts, pa.int64())]
             columns.append(pa.array([[{"begin": b, "end": e} for b, e in s] for s in spans], pa.list_(_SPAN)))
             columns.append(pa.array([sorted(x) for x in items], pa.list_(pa.string())))
-            yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", *["text"] * with_text, "n_words", "spans", "items"])
 
     return run
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
-    """row (a struct of the kept columns of docs), text, n_words, spans (merged,
-    in words, end exclusive) and items (sorted ids) of every document.
+def find_passages(docs: DataFrame, benchmark: DataFrame, keep: list[str], with_text: bool = True) -> DataFrame:
+    """row (a struct of the kept columns of docs), text (unless not wanted),
+    n_words, spans (merged, in words, end exclusive) and items (sorted ids) of
+    every document.
 
     An item's windows are its runs of 13 words, or the whole item if it is
     shorter; words are lower-cased (A-Z) runs of digits, a-z and non-ASCII
@@ -307,8 +309,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> Dat
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "text")
     kind = rows.schema["row"].dataType.simpleString()
-    for k, items in enumerate(benchmark_blocks(benchmark)):
-        rows = rows.mapInArrow(_search(Phrases(items), k == 0), f"row {kind}, text string, {_FOUND}")
+    blocks = list(benchmark_blocks(benchmark))
+    for k, block in enumerate(blocks):
+        text = with_text or k < len(blocks) - 1
+        run = _search(Phrases(block()), k == 0, text)
+        rows = rows.mapInArrow(run, f"row {kind}, {'text string, ' * text}{_FOUND}")
     return rows
 
 
@@ -320,7 +325,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit (words inside an occurrence), n_items,
     items_sha256 (of the sorted item ids joined by commas) and contaminated (at
     least a twentieth of the words is hit) of every document."""
-    found = find_passages(docs, benchmark, ["doc_id"])
+    found = find_passages(docs, benchmark, ["doc_id"], with_text=False)
     out = found.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",
@@ -332,9 +337,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that aren't contaminated, with all their columns."""
-    found = find_passages(docs, benchmark, docs.columns).withColumn("hit", _span_words())
-    return found.filter((F.col("hit") == 0) | (20 * F.col("hit") < F.col("n_words"))).select("row.*")
+    """The documents that aren't contaminated, with all their columns and
+    their texts as they are."""
+    others = [c for c in docs.columns if c.lower() != "text"]
+    found = find_passages(docs, benchmark, others).withColumn("hit", _span_words())
+    clean = found.filter((F.col("hit") == 0) | (20 * F.col("hit") < F.col("n_words")))
+    return clean.select(*["text" if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:

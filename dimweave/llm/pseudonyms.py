@@ -270,11 +270,24 @@ def pseudonymized(text: Column, key: Column) -> Column:
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
-    """The documents with pseudonyms in ``text``; all columns are kept, rows
-    stay in place.  Null and empty texts and texts without values are
-    unchanged; equal rows give equal rows; an empty table gives an empty
-    table.  Runs no Python."""
-    return docs.withColumn("text", pseudonymized(F.col("text"), F.lit(key)))
+    """The documents with pseudonyms in ``text``; all columns are kept (a
+    column n_chars is brought up to date where the text has changed), rows stay
+    in place.  Null and empty texts and texts without values are unchanged;
+    equal rows give equal rows; an empty table gives an empty table.  Runs no
+    Python."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), pseudonymized(F.col("text"), F.lit(key)).alias("fresh"))
+
+    def column(name: str) -> Column:
+        old = F.col(f"row.`{name}`")
+        if name.lower() == "text":
+            return F.col("fresh").alias(name)
+        if name.lower() == "n_chars":
+            kind = docs.schema[name].dataType
+            return F.when(F.col("row.text").eqNullSafe(F.col("fresh")), old).otherwise(F.length("fresh").cast(kind)).alias(name)
+        return old.alias(name)
+
+    return rows.select(*map(column, docs.columns))
 
 
 def pseudonym_report(docs: DataFrame, key: str) -> DataFrame:

@@ -19,8 +19,10 @@ import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dimweave.llm.common import small_batches
 
@@ -126,8 +128,6 @@ class SqlBpe:
 
     def contract(self, words: list[bytes], query: str) -> dict[int, list[int]]:
         """Token ids of each word (by its index) at the fixpoint."""
-        import numpy as np
-
         single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         lengths = np.array([len(w) for w in words])
         w = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
@@ -188,8 +188,6 @@ class SqlBpe:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each row of ids stands for."""
-        import numpy as np
-
         flat = np.frombuffer(b"".join(ids), dtype="<i4")
         d = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) // 4 for i in ids])
         self.load("ids", pa.table({"d": d, "p": np.arange(len(flat), dtype=np.int32), "id": flat}))
@@ -254,3 +252,30 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     run = _round_trip(_rank_file(ranks_path), pattern, _digests)
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """The documents with their columns, ``text`` decoded from its ids, and
+    n_tokens and token_ids (which replace columns of these names).  Null text
+    has no ids and stays null; otherwise as ``bpe_round_trip``."""
+    kept = [c for c in docs.columns if c.lower() not in ("text", "n_tokens", "token_ids")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "text")
+
+    def outputs(batch: pa.RecordBatch, encoded: list[tuple[str, bytes]], decoded: list[bytes]) -> pa.RecordBatch:
+        known = batch.column("text").is_valid().to_pylist()
+        ids = b"".join(raw for _, raw in encoded)
+        offsets = np.concatenate(([0], np.cumsum([len(raw) // 4 for _, raw in encoded]))).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("row"),
+                pa.array([raw.decode("utf-8", "surrogatepass") if k else None for k, raw in zip(known, decoded, strict=True)], pa.string()),
+                pa.array(np.diff(offsets).astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(ids, dtype="<i4"))),
+            ],
+            ["row", "text", "n_tokens", "token_ids"],
+        )
+
+    kind = rows.schema["row"].dataType.simpleString()
+    out = rows.mapInArrow(_round_trip(_rank_file(ranks_path), pattern, outputs), f"row {kind}, text string, n_tokens long, token_ids array<int>")
+    names = [c for c in docs.columns if c.lower() not in ("n_tokens", "token_ids")]
+    return out.select(*["text" if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in names], "n_tokens", "token_ids")
