@@ -45,13 +45,18 @@ _SECRET = r"(?i:token|secret|password|passwd|api[_-]?key) ?[=:] ?[\"'][A-Za-z0-9
 #: One pattern over a text.  A value doesn't touch letters or digits, and a
 #: dotted one not another dotted number.
 PATTERN = (
-    f"{_SECRET}|(?<![A-Za-z0-9._%+-]){_EMAIL}|(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])"
-    rf"|(?<![A-Za-z0-9]|[0-9][.-])(?:{_IPV4}|{_DATE}|{_SSN}|{_CARD}|{_PHONE})(?![A-Za-z0-9]|[.-][0-9])"
-    rf"|(?<![A-Za-z0-9+])(?:{_PHONE})(?![A-Za-z0-9])"
+    f"(?=[tTsSpPaA]){_SECRET}|(?<![A-Za-z0-9._%+-]){_EMAIL}|(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])"
+    rf"|(?=[0-9+(])(?<![A-Za-z0-9]|[0-9][.-])(?:{_IPV4}|{_DATE}|{_SSN}|{_CARD}|{_PHONE})(?![A-Za-z0-9]|[.-][0-9])"
+    rf"|(?=[0-9+(])(?<![A-Za-z0-9+])(?:{_PHONE})(?![A-Za-z0-9])"
 )
 _FIRST_DAY = "1800-01-01"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever body repeats it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _round_key(key: Column, kind: str, number: Column, half: Column) -> Column:
     return F.sha2(F.concat_ws("|", key, F.lit(kind), number.cast("string"), half).cast("binary"), 512)
 
@@ -64,27 +69,31 @@ def _shifted(text: Column, stream: Column) -> Column:
     """``text`` with every digit and every letter moved on within its class by
     the key stream (two hexadecimal digits each)."""
 
-    def at(i: Column) -> Column:
+    def moved(keys: Column, i: Column) -> Column:
         code = F.ascii(F.substring(text, i, F.lit(1)))
-        by = _number(F.substring(stream, F.pmod(i - 1, F.lit(64)) * 2 + 1, F.lit(2))).cast("int")
-        moved = (
+        by = _number(F.substring(keys, F.pmod(i - 1, F.lit(64)) * 2 + 1, F.lit(2))).cast("int")
+        return F.char(
             F.when(code.between(48, 57), F.pmod(code - 48 + by, F.lit(10)) + 48)
             .when(code.between(97, 122), F.pmod(code - 97 + by, F.lit(26)) + 97)
             .when(code.between(65, 90), F.pmod(code - 65 + by, F.lit(26)) + 65)
             .otherwise(code)
         )
-        return F.char(moved)
 
-    # an empty text has no positions
-    positions = F.slice(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), F.lit(1), F.length(text))
-    return F.array_join(F.transform(positions, at), "")
+    return _let(stream, lambda keys: F.array_join(F.transform(_positions(text), lambda i: moved(keys, i)), ""))
+
+
+def _positions(text: Column) -> Column:
+    """1 to the length of a text; an empty text has none."""
+    return F.slice(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), F.lit(1), F.length(text))
 
 
 def permuted_text(text: Column, key: Column, kind: str) -> Column:
     """Feistel network over the halves of a text of ASCII characters: digits
     stay digits, letters letters of their case, other characters what they are."""
-    half = F.floor(F.length(text) / 2).cast("int")
-    start = F.struct(F.substring(text, F.lit(1), half).alias("l"), F.substring(text, half + 1, F.length(text)).alias("r"))
+
+    def halves(t: Column) -> Column:
+        half = F.floor(F.length(t) / 2).cast("int")
+        return F.struct(F.substring(t, F.lit(1), half).alias("l"), F.substring(t, half + 1, F.length(t)).alias("r"))
 
     def step(s: Column, i: Column) -> Column:
         left = F.when(i % 2 == 0, _shifted(s["l"], _round_key(key, kind, i, s["r"]))).otherwise(s["l"])
@@ -92,13 +101,15 @@ def permuted_text(text: Column, key: Column, kind: str) -> Column:
         return F.struct(left.alias("l"), right.alias("r"))
 
     rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
-    return F.aggregate(rounds, start, step, lambda s: F.concat(s["l"], s["r"]))
+    return F.aggregate(rounds, _let(text, halves), step, lambda s: F.concat(s["l"], s["r"]))
 
 
 def permuted_number(n: Column, a: int, b: int, key: Column, kind: str) -> Column:
     """Feistel network on 0 .. a * b - 1, as pairs of a number below a and one
     below b."""
-    start = F.struct(F.floor(n / b).cast("long").alias("l"), F.pmod(n, F.lit(b)).cast("long").alias("r"))
+
+    def halves(m: Column) -> Column:
+        return F.struct(F.floor(m / b).cast("long").alias("l"), F.pmod(m, F.lit(b)).cast("long").alias("r"))
 
     def step(s: Column, i: Column) -> Column:
         def mask(half: Column) -> Column:
@@ -109,7 +120,7 @@ def permuted_number(n: Column, a: int, b: int, key: Column, kind: str) -> Column
         return F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
 
     rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
-    return F.aggregate(rounds, start, step, lambda s: s["l"] * b + s["r"])
+    return F.aggregate(rounds, _let(n, halves), step, lambda s: s["l"] * b + s["r"])
 
 
 def _digits(text: Column) -> Column:
@@ -120,50 +131,62 @@ def _laid_out(text: Column, values: Column, changing: str) -> Column:
     """``text`` with its characters of class ``changing`` replaced, in order,
     by those of ``values``."""
 
-    def at(i: Column) -> Column:
+    def at(fresh: Column, i: Column) -> Column:
         c = F.substring(text, i, F.lit(1))
         seen = F.length(F.regexp_replace(F.substring(text, F.lit(1), i), f"[^{changing}]", ""))
-        return F.when(c.rlike(f"[{changing}]"), F.substring(values, seen, F.lit(1))).otherwise(c)
+        return F.when(c.rlike(f"[{changing}]"), F.substring(fresh, seen, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), at), "")
+    return _let(values, lambda fresh: F.array_join(F.transform(_positions(text), lambda i: at(fresh, i)), ""))
 
 
 def _luhn_sum(digits: Column, doubled_last: int) -> Column:
     """Luhn sum of a digit string; ``doubled_last`` 1: its last digit is doubled."""
-    n = F.length(digits)
 
     def add(total: Column, i: Column) -> Column:
         d = F.substring(digits, i, F.lit(1)).cast("int")
         twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return total + F.when((n - i + doubled_last) % 2 == 1, twice).otherwise(d)
+        return total + F.when((F.length(digits) - i + doubled_last) % 2 == 1, twice).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+    return F.aggregate(_positions(digits), F.lit(0), add)
 
 
 def _card(text: Column, key: Column) -> Column:
-    digits = _digits(text)
-    body = permuted_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    fresh = F.concat(body, F.pmod(10 - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string"))
-    return F.when(F.pmod(_luhn_sum(digits, 0), F.lit(10)) == 0, _laid_out(text, fresh, "0-9")).otherwise(text)
+    def checked(body: Column) -> Column:
+        return F.concat(body, F.pmod(10 - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string"))
+
+    def replaced(digits: Column) -> Column:
+        body = permuted_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
+        right = F.pmod(_luhn_sum(digits, 0), F.lit(10)) == 0
+        return F.when(right, _laid_out(text, _let(body, checked), "0-9")).otherwise(text)
+
+    return _let(_digits(text), replaced)
 
 
 def _mod_97(text: Column) -> Column:
     """An account text read as digits (A is 10, Z is 35) modulo 97."""
 
-    def add(rest: Column, i: Column) -> Column:
-        code = F.ascii(F.substring(text, i, F.lit(1)))
-        return F.when(code >= 65, F.pmod(rest * 100 + code - 55, F.lit(97))).otherwise(F.pmod(rest * 10 + code - 48, F.lit(97)))
+    def rest_of(t: Column) -> Column:
+        def add(rest: Column, i: Column) -> Column:
+            code = F.ascii(F.substring(t, i, F.lit(1)))
+            return F.when(code >= 65, F.pmod(rest * 100 + code - 55, F.lit(97))).otherwise(F.pmod(rest * 10 + code - 48, F.lit(97)))
+
+        return F.aggregate(_positions(t), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
+    return _let(text, rest_of)
 
 
 def _iban(text: Column, key: Column) -> Column:
-    plain = F.replace(text, F.lit(" "), F.lit(""))
-    country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
-    fresh = permuted_text(account, key, "iban")
-    check = F.lpad((98 - _mod_97(F.concat(fresh, country, F.lit("00")))).cast("string"), 2, "0")
-    right = _mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1
-    return F.when(right, _laid_out(text, F.concat(country, check, fresh), "A-Z0-9")).otherwise(text)
+    def replaced(plain: Column) -> Column:
+        country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+
+        def checked(fresh: Column) -> Column:
+            check = F.lpad((98 - _mod_97(F.concat(fresh, country, F.lit("00")))).cast("string"), 2, "0")
+            return F.concat(country, check, fresh)
+
+        right = _mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1
+        return F.when(right, _laid_out(text, _let(permuted_text(account, key, "iban"), checked), "A-Z0-9")).otherwise(text)
+
+    return _let(F.replace(text, F.lit(" "), F.lit("")), replaced)
 
 
 def _ssn(text: Column, key: Column) -> Column:
@@ -179,7 +202,7 @@ def _ssn(text: Column, key: Column) -> Column:
         second, third = F.floor(m / 9999).cast("long") % 99 + 1, m % 9999 + 1
         return F.concat_ws("-", F.lpad(first.cast("string"), 3, "0"), F.lpad(second.cast("string"), 2, "0"), F.lpad(third.cast("string"), 4, "0"))
 
-    return F.when(right, F.element_at(F.transform(F.array(fresh), written), 1)).otherwise(text)
+    return F.when(right, _let(fresh, written)).otherwise(text)
 
 
 def _date(text: Column, key: Column) -> Column:
@@ -203,7 +226,7 @@ def _date(text: Column, key: Column) -> Column:
         return F.when(iso, F.concat_ws("-", y, mm, dd)).when(slashes, F.concat_ws("/", mm, dd, y)).otherwise(F.concat_ws(".", dd, mm, y))
 
     right = found.isNotNull() & n.between(0, 189 * 773 - 1)
-    return F.when(right, F.element_at(F.transform(F.array(fresh), written), 1)).otherwise(text)
+    return F.when(right, _let(fresh, written)).otherwise(text)
 
 
 def _ipv4(text: Column, key: Column) -> Column:
@@ -215,7 +238,7 @@ def _ipv4(text: Column, key: Column) -> Column:
     def written(m: Column) -> Column:
         return F.concat_ws(".", *[F.floor(m / 256**k).cast("long") % 256 for k in (3, 2, 1, 0)])
 
-    return F.when(right, F.element_at(F.transform(F.array(fresh), written), 1)).otherwise(text)
+    return F.when(right, _let(fresh, written)).otherwise(text)
 
 
 def _phone(text: Column, key: Column) -> Column:
