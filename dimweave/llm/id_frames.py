@@ -47,7 +47,8 @@ _ENTRY = struct.Struct("<III")
 
 #: A writing task starts another file beyond this many bytes.
 FILE_BYTES = 256 << 20
-CACHE_ENTRIES = 300_000
+#: Distinct chunks that a worker remembers (about 200 bytes each).
+CACHE_ENTRIES = 800_000
 #: Characters of new chunks that the tokenizer encodes in one call.
 _CALL_CHARS = 200_000
 
@@ -75,9 +76,11 @@ class ChunkEncoder:
     def learn(self, chunks: Iterable[str]) -> None:
         """Encode new chunks: many per call, set apart by a special string
         (which the library cuts out before anything else)."""
+        chunks = list(chunks)
+        odd = self.marker is None or self.special.search("\n".join(chunks))
         plain, size = [], 0
         for c in chunks:
-            if self.marker is None or self.special.search(c):
+            if odd and (self.marker is None or self.special.search(c)):
                 ids = self._ids(c)
                 self.known[c] = struct.pack(f"<{len(ids)}I", *ids)
                 continue
@@ -105,7 +108,7 @@ class ChunkEncoder:
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
         split = [white_space_chunks(t) if t else [] for t in texts]
-        self.learn(dict.fromkeys(c for chunks in split for c in chunks if c not in self.known))
+        self.learn(set().union(*split) - self.known.keys())
         for chunks in split:
             yield b"".join(map(self.known.__getitem__, chunks))
 
