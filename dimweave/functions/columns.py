@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -23,9 +23,8 @@ CHANNEL_RULES = [
     ("%t.co%", "Twitter"),
     ("%google%", "Google"),
     ("%lnkd%", "Linkedin"),
-    ("%eczachly%", "On Site"),
-    ("%zachwilson%", "On Site"),
 ]
+ON_SITE = "On Site"  # referrers of the site's own domains
 # Activity masks over a 32-bit datelist whose bit 31 is the anchor day.
 MASK_LAST_7 = int("11111110000000000000000000000000", 2)
 MASK_PREVIOUS_7 = int("00000001111111000000000000000000", 2)
@@ -51,11 +50,16 @@ def threshold_class(value: str | Column, rules: Sequence[tuple[float, str]], oth
     return F.lit(otherwise) if expr is None else expr.otherwise(F.lit(otherwise))
 
 
-def channel_of(referrer: str | Column, rules: Iterable[tuple[str, str]] = CHANNEL_RULES) -> Column:
-    """Map a referrer URL to a channel by ordered LIKE rules."""
+def channel_of(
+    referrer: str | Column,
+    rules: Iterable[tuple[str, str]] = CHANNEL_RULES,
+    on_site: Iterable[str] = (),
+) -> Column:
+    """Map a referrer URL to a channel by ordered LIKE rules, then by the
+    site's own domains (``on_site``); other referrers stay as they are."""
     r = col_(referrer)
     expr = None
-    for pattern, label in rules:
+    for pattern, label in [*rules, *((f"%{domain}%", ON_SITE) for domain in on_site)]:
         cond = r.like(pattern)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return r if expr is None else expr.otherwise(r)
@@ -80,10 +84,6 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_(num).cast("double"), col_(den).cast("double"))
 
 
-def empty_array_if_null(arr: str | Column, element_type: str) -> Column:
-    return F.coalesce(col_(arr), F.array().cast(f"array<{element_type}>"))
-
-
 def props_int(props: str | Column, key: str) -> Column:
     """Integer field of a JSON ``props`` string."""
     return F.get_json_object(col_(props), f"$.{key}").cast("int")
@@ -105,15 +105,6 @@ def string_map(*names_and_cols: tuple[str, Column]) -> Column:
     return F.create_map(*parts)
 
 
-def day_bit(days_back: Column, width: int = 32) -> Column:
-    """Bit for a day ``days_back`` before the anchor: the anchor itself is the
-    highest of ``width`` bits."""
-    exponent = F.lit(width - 1) - days_back
-    return F.when(
-        (days_back >= 0) & (days_back < width), F.pow(F.lit(2.0), exponent).cast("long")
-    ).otherwise(F.lit(0).cast("long"))
-
-
 def hash_bucket(key: Column, salt: str, buckets: int = 100) -> Column:
     """Deterministic bucket in [0, buckets) from md5(salt || key): stable
     across engines and runs (the same formula is portable to any SQL with
@@ -145,3 +136,12 @@ def on_day(df, day, date_col: str = "event_date", time_col: str = "event_time"):
             lo, hi = d.cast("timestamp"), F.date_add(d, 1).cast("timestamp")
         out = out.filter((ts >= lo) & (ts < hi))
     return out
+
+
+def no_later(facts: DataFrame, period_col: str, upto) -> DataFrame:
+    """The facts up to a history's bound (a period number, a day, or None for
+    all): nothing that came later may show in an earlier snapshot."""
+    if upto is None:
+        return facts
+    bound = F.lit(upto) if isinstance(upto, int) else F.to_date(F.lit(str(upto)))
+    return facts.filter(F.col(period_col) <= bound)

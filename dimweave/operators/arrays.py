@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.columns import on_day, safe_get
+from dimweave.functions.columns import no_later, on_day, safe_get
 
 
 def _d(day: str | dt.date) -> Column:
@@ -130,7 +130,7 @@ def month_array_history(
     Two aggregations, both keyed by (key, month): per-day measures, then the
     per-month assembly from a map of at most 31 entries -- bounded however
     hot the key."""
-    ev = events if require is None else events.filter(require)
+    ev = no_later(events if require is None else events.filter(require), "event_date", upto)
     upto_col = ev.agg(F.max("event_date")).scalar() if upto is None else _d(upto)
     daily = ev.groupBy(*by, F.col("event_date").alias("d")).agg(
         *[m.alias(name) for name, m in measures.items()]

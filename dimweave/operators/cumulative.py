@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import (
+    no_later,
     on_day,
     ACTOR_CLASSES,
     ACTOR_FALLBACK,
@@ -46,6 +47,18 @@ def _empty(typ: str) -> Column:
     return F.array().cast(f"array<{typ}>")
 
 
+def merge_period(
+    prev: DataFrame, today: DataFrame, keys: Sequence[str], list_col: str, newest_first: bool = False
+) -> DataFrame:
+    """keys and ``list_col``: the previous snapshot's lists, with the entry
+    that ``today`` (keys, _entry) has for a key added at its newest end."""
+    empty = F.array().cast(prev.schema[list_col].dataType)
+    old = F.coalesce(F.col("_old"), empty)
+    new = F.when(F.col("_entry").isNotNull(), F.array("_entry")).otherwise(empty)
+    both = prev.select(*keys, F.col(list_col).alias("_old")).join(today.select(*keys, "_entry"), list(keys), "full")
+    return both.select(*keys, (F.concat(new, old) if newest_first else F.concat(old, new)).alias(list_col))
+
+
 # ---------------------------------------------------------------------------
 # players
 # ---------------------------------------------------------------------------
@@ -77,12 +90,8 @@ def cumulate_step(
     j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
     played = F.col(f"t.{period_col}").isNotNull()
     stat_struct = F.struct(*[F.col(f"t.{c}").alias(c) for c in stats])
-    y_hist = F.col("y.seasons")
-    history = (
-        F.when(y_hist.isNull(), F.array(stat_struct))
-        .when(played, F.concat(y_hist, F.array(stat_struct)))
-        .otherwise(y_hist)
-    )
+    empty = F.array().cast(prev.schema["seasons"].dataType)
+    history = F.concat(F.coalesce(F.col("y.seasons"), empty), F.when(played, F.array(stat_struct)).otherwise(empty))
     return j.select(
         F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
         *[
@@ -117,7 +126,7 @@ def cumulate_history(
     snapshots.  Statics are MAX per entity, class from the newest season so
     far, ``years_since_last_active`` = season - newest season, ``is_active``
     = played this season."""
-    per_entity = facts.groupBy(key).agg(
+    per_entity = no_later(facts, period_col, upto).groupBy(key).agg(
         *[F.max(c).alias(c) for c in statics],
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in stats]))).alias("_all"),
     )
@@ -177,75 +186,68 @@ def unnest_history(snap: DataFrame, period: int, key: str = "player_name", key_f
 FILM_FIELDS = ["film", "votes", "rating", "filmid"]
 
 
-def _films_of_year(films: DataFrame) -> DataFrame:
+def _years_of_films(films: DataFrame, with_films: bool) -> DataFrame:
+    """(actor, year, avg_rating[, films]): one aggregation; a year's films are
+    sorted by their fields."""
+    entries = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in FILM_FIELDS])))
     return films.groupBy("actor", "year").agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in FILM_FIELDS]))).alias("films"),
-        F.avg("rating").alias("avg_rating"),
+        F.avg("rating").alias("avg_rating"), *([entries.alias("films")] if with_films else [])
     )
 
 
 def actors_step(prev: DataFrame, films: DataFrame, year: int) -> DataFrame:
-    """One year of the actors table: this year's films appended, quality from
-    this year's average rating (else carried), active flag, year."""
-    cy = _films_of_year(films.filter(F.col("year") == year)).alias("cy")
-    ly = prev.alias("ly")
-    j = cy.join(ly, F.col("cy.actor") == F.col("ly.actor"), "full")
-    active = F.col("cy.year").isNotNull()
-    films_col = (
-        F.when(F.col("ly.films").isNull(), F.col("cy.films"))
-        .when(F.col("cy.films").isNotNull(), F.concat(F.col("ly.films"), F.col("cy.films")))
-        .otherwise(F.col("ly.films"))
-    )
-    return j.select(
-        F.coalesce(F.col("cy.actor"), F.col("ly.actor")).alias("actor"),
-        films_col.alias("films"),
-        F.when(active, threshold_class(F.col("cy.avg_rating"), ACTOR_CLASSES, ACTOR_FALLBACK))
-        .otherwise(F.col("ly.quality_class"))
-        .alias("quality_class"),
+    """One year of the actors table: an actor with films in ``year`` is
+    active, gets them appended and the class of their average rating; the
+    others keep list and class."""
+    today = _years_of_films(films.filter(F.col("year") == year), True)
+    today = today.select("actor", F.col("films").alias("_new"), "avg_rating")
+    both = prev.select("actor", F.col("films").alias("_old"), "quality_class").join(today, "actor", "full")
+    empty = F.array().cast(prev.schema["films"].dataType)
+    active = F.col("_new").isNotNull()
+    fresh = threshold_class("avg_rating", ACTOR_CLASSES, ACTOR_FALLBACK)
+    return both.select(
+        "actor",
+        F.concat(F.coalesce("_old", empty), F.coalesce("_new", empty)).alias("films"),
+        F.when(active, fresh).otherwise(F.col("quality_class")).alias("quality_class"),
         active.alias("is_active"),
-        F.coalesce(F.col("cy.year"), F.col("ly.current_year") + 1).cast("int").alias("current_year"),
+        F.lit(year).cast("int").alias("current_year"),
     )
 
 
 def actors_history(
     films: DataFrame, upto: int | None = None, periods: Sequence[int] | None = None, with_films: bool = True
 ) -> DataFrame:
-    """Every year of the actors table at once (or only ``periods``).
-
-    Snapshots are driven by a cheap per-(actor, year) average rating (a
-    partially aggregated hash aggregate), collected per actor -- one entry per
-    year.  The film lists, the heavy part, are collected once per actor
-    (sorted by year, then film) and joined on the same actor partitioning
-    only when ``with_films``; an SCD over quality and activity skips them."""
-    per_year = films.groupBy("actor", "year").agg(F.avg("rating").alias("avg_rating"))
-    upto_col = per_year.agg(F.max("year")).scalar() if upto is None else F.lit(upto)
-    per_actor = per_year.groupBy("actor").agg(F.array_sort(F.collect_list(F.struct("year", "avg_rating"))).alias("_years"))
-    y = F.col("current_year")
+    """Every year of the actors table up to ``upto`` at once (or only
+    ``periods``).
+
+    The films are read once: one aggregation by (actor, year) gives each
+    year's average rating and, unless an SCD over quality and activity skips
+    them, its films; one by actor puts the years in order.  A snapshot takes
+    the years up to its own, so what is filtered per row is a list of years,
+    not of films."""
+    per_year = _years_of_films(no_later(films, "year", upto), with_films)
+    entry = F.struct("year", "avg_rating", *(["films"] if with_films else []))
+    per_actor = per_year.groupBy("actor").agg(F.array_sort(F.collect_list(entry)).alias("_years"))
+    last_year = per_actor.agg(F.max(last_element("_years")["year"])).scalar() if upto is None else F.lit(upto)
     first_year = first_element("_years")["year"]
     if periods is None:
-        years = F.sequence(first_year, upto_col.cast("int"))
+        years = F.sequence(first_year, last_year.cast("int"))
     else:
-        per_actor = per_actor.withColumn("_upto", upto_col.cast("int"))
+        per_actor = per_actor.withColumn("_upto", last_year.cast("int"))
         wanted = F.array(*[F.lit(int(p)) for p in periods])
         years = F.filter(wanted, lambda p: (p >= first_year) & (p <= F.col("_upto")))
+    y = F.col("current_year")
     spine = per_actor.select("actor", "_years", F.explode(years).alias("current_year"))
-    spine = spine.withColumn("_last", last_element(F.filter("_years", lambda e: e["year"] <= y)))
+    spine = spine.select("actor", y, F.filter("_years", lambda e: e["year"] <= y).alias("_past"))
+    newest = last_element("_past")
     cols = [
-        "actor",
-        threshold_class(F.col("_last")["avg_rating"], ACTOR_CLASSES, ACTOR_FALLBACK).alias("quality_class"),
-        (F.col("_last")["year"] == y).alias("is_active"),
+        threshold_class(newest["avg_rating"], ACTOR_CLASSES, ACTOR_FALLBACK).alias("quality_class"),
+        (newest["year"] == y).alias("is_active"),
         y.cast("int").alias("current_year"),
     ]
-    if not with_films:
-        return spine.select(*cols)
-    lists = films.groupBy("actor").agg(
-        F.array_sort(F.collect_list(F.struct("year", *[F.col(c) for c in FILM_FIELDS]))).alias("_all")
-    )
-    j = spine.join(lists, "actor")
-    film_list = F.transform(
-        F.filter("_all", lambda e: e["year"] <= y), lambda e: F.struct(*[e[c].alias(c) for c in FILM_FIELDS])
-    )
-    return j.select(cols[0], film_list.alias("films"), *cols[1:])
+    if with_films:
+        cols.insert(0, F.flatten(F.transform("_past", lambda e: e["films"])).alias("films"))
+    return spine.select("actor", *cols)
 
 
 # ---------------------------------------------------------------------------
@@ -259,22 +261,18 @@ def _distinct_active(events: DataFrame, keys: Sequence[str], require_user: bool
     return events.select(*keys, F.col("event_date").alias("d")).distinct()
 
 
+def _active_on(events: DataFrame, keys: Sequence[str], day: str | dt.date, require_user: bool = True) -> DataFrame:
+    """keys active on ``day``, each with the day as the list's new entry."""
+    today = _distinct_active(on_day(events, day), keys, require_user)
+    return today.select(*keys, F.col("d").alias("_entry"))
+
+
 def dates_active_step(prev: DataFrame, events: DataFrame, day: str | dt.date) -> DataFrame:
-    t = (
-        _distinct_active(on_day(events, day), ["user_id"])
-        .select("user_id", F.col("d").alias("today_date"))
-        .alias("t")
-    )
-    y = prev.alias("y")
-    j = y.join(t, F.col("t.user_id") == F.col("y.user_id"), "full")
-    return j.select(
-        F.coalesce(F.col("t.user_id"), F.col("y.user_id")).alias("user_id"),
-        F.concat(
-            F.coalesce(F.col("y.dates_active"), _empty("date")),
-            F.when(F.col("t.user_id").isNotNull(), F.array(F.col("t.today_date"))).otherwise(_empty("date")),
-        ).alias("dates_active"),
-        F.coalesce(F.col("t.today_date"), F.date_add(F.col("y.date"), 1)).alias("date"),
-    )
+    """The snapshot of ``day`` from the newest one before it: active users get
+    the day appended, the others carry their list; all rows bear ``day``, also
+    where days have been skipped."""
+    merged = merge_period(prev, _active_on(events, ["user_id"], day), ["user_id"], "dates_active")
+    return merged.select("user_id", "dates_active", _lit_date(day).alias("date"))
 
 
 def _keyed_history(
@@ -283,6 +281,7 @@ def _keyed_history(
 ):
     if require_user:
         events = events.filter(F.col("user_id").isNotNull())
+    events = no_later(events, "event_date", upto)
     per_key = events.groupBy(*keys).agg(F.array_sort(F.collect_set("event_date")).alias("_days"))
     upto_col = per_key.agg(F.max(last_element("_days"))).scalar() if upto is None else _lit_date(upto)
     s = F.col(date_name)
@@ -319,33 +318,22 @@ def _events_with_browser(events: DataFrame, devices: DataFrame) -> DataFrame:
 def device_datelist_step(
     prev: DataFrame, events: DataFrame, devices: DataFrame, day: str | dt.date, as_map: bool = False
 ) -> DataFrame:
-    ev = _events_with_browser(on_day(events, day), devices)
-    t = _distinct_active(ev, ["user_id", "browser_type"]).withColumnRenamed("d", "record_date").alias("t")
-    y = prev.alias("y")
-    j = t.join(
-        y,
-        (F.col("t.user_id") == F.col("y.user_id")) & (F.col("t.browser_type") == F.col("y.browser_type")),
-        "full",
-    )
-    lst = (
-        F.when(F.col("y.record_date").isNull(), F.array(F.col("t.record_date")))
-        .when(F.col("t.record_date").isNull(), F.col("y.device_activity_datelist"))
-        .otherwise(F.concat(F.array(F.col("t.record_date")), F.col("y.device_activity_datelist")))
-    )
-    out = j.select(
-        F.coalesce(F.col("t.user_id"), F.col("y.user_id")).alias("user_id"),
-        F.coalesce(F.col("t.browser_type"), F.col("y.browser_type")).alias("browser_type"),
-        lst.alias("device_activity_datelist"),
-        F.coalesce(F.col("t.record_date"), F.date_add(F.col("y.record_date"), 1)).alias("record_date"),
-    )
+    """The snapshot of ``day``: (user, browser) pairs active on it get the day
+    prepended, the others carry their list."""
+    keys = ["user_id", "browser_type"]
+    today = _active_on(_events_with_browser(on_day(events, day), devices), keys, day)
+    out = merge_period(prev, today, keys, "device_activity_datelist", newest_first=True)
+    out = out.withColumn("record_date", _lit_date(day))
     return device_datelist_as_map(out) if as_map else out
 
 
 def device_datelist_history(
-    events: DataFrame, devices: DataFrame, upto: str | dt.date | None = None, as_map: bool = False
+    events: DataFrame, devices: DataFrame, upto: str | dt.date | None = None, as_map: bool = False, periods=None
 ) -> DataFrame:
     ev = _events_with_browser(events, devices)
-    out = _keyed_history(ev, ["user_id", "browser_type"], upto, True, "device_activity_datelist", "record_date")
+    out = _keyed_history(
+        ev, ["user_id", "browser_type"], upto, True, "device_activity_datelist", "record_date", periods=periods
+    )
     return device_datelist_as_map(out) if as_map else out
 
 
@@ -364,38 +352,21 @@ def device_datelist_as_map(long_form: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _host_days(events: DataFrame) -> DataFrame:
-    return events.select("host", F.col("event_date").alias("d")).distinct()
-
-
 def host_datelist_init(events: DataFrame, day: str | dt.date) -> DataFrame:
-    return (
-        _host_days(on_day(events, day))
-        .select("host", F.array("d").alias("host_activity_datelist"), F.col("d").alias("record_date"))
-    )
+    """The first snapshot: hosts active on ``day``."""
+    today = _active_on(events, ["host"], day, require_user=False)
+    return today.select("host", F.array("_entry").alias("host_activity_datelist"), F.col("_entry").alias("record_date"))
 
 
 def host_datelist_step(prev: DataFrame, events: DataFrame, day: str | dt.date) -> DataFrame:
-    """The new day's rows only: hosts active today get today prepended,
-    yesterday-only hosts carry their list, new hosts start one.  History rows
-    stay in their own partitions (no rewrite of the past)."""
-    d = _lit_date(day)
-    t = _host_days(on_day(events, day)).alias("t")
-    y = prev.alias("y")
-    j = t.join(y, F.col("t.host") == F.col("y.host"), "full")
-    lst = (
-        F.when(F.col("y.host").isNull(), F.array(F.col("t.d")))
-        .when(F.col("t.host").isNull(), F.col("y.host_activity_datelist"))
-        .otherwise(F.concat(F.array(F.col("t.d")), F.col("y.host_activity_datelist")))
-    )
-    return j.select(
-        F.coalesce(F.col("t.host"), F.col("y.host")).alias("host"),
-        lst.alias("host_activity_datelist"),
-        d.alias("record_date"),
-    )
+    """The rows of ``day`` only: hosts active on it get it prepended, the
+    others carry their list.  Earlier rows stay in their own partitions."""
+    today = _active_on(events, ["host"], day, require_user=False)
+    merged = merge_period(prev, today, ["host"], "host_activity_datelist", newest_first=True)
+    return merged.withColumn("record_date", _lit_date(day))
 
 
-def host_datelist_history(events: DataFrame, upto: str | dt.date | None = None) -> DataFrame:
+def host_datelist_history(events: DataFrame, upto: str | dt.date | None = None, periods=None) -> DataFrame:
     return _keyed_history(
-        events, ["host"], upto, True, "host_activity_datelist", "record_date", require_user=False
+        events, ["host"], upto, True, "host_activity_datelist", "record_date", require_user=False, periods=periods
     )

@@ -27,11 +27,12 @@ def salted_join(
     big: DataFrame,
     small: DataFrame,
     keys: Sequence[str],
-    buckets: int = 16,
+    buckets: int | None = None,
     salt_of: Sequence[str] | None = None,
     how: str = "inner",
 ) -> DataFrame:
-    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
+    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks
+    (default: a third of the session's shuffle partitions).
 
     ``big`` rows get a deterministic salt in [0, buckets) from a hash of
     ``salt_of`` (default: all its columns); each ``small`` row -- typically
@@ -40,6 +41,10 @@ def salted_join(
     the price of ``buckets`` copies of the small side.  Use it where AQE's
     skew split cannot apply (e.g. when one side is an aggregate that already
     sits on the join key's partitioning)."""
+    if buckets is None:
+        # as many tasks for one key as the cluster's size suggests: with a
+        # third of all rows it is then no more than a task's usual share
+        buckets = max(1, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
     if buckets <= 1:
         return big.join(small, list(keys), how)
     cols = list(salt_of) if salt_of else big.columns

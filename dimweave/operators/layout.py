@@ -16,12 +16,14 @@ def layout_report(
     df: DataFrame,
     variants: dict[str, Sequence[str]],
     partition_by: Sequence[str] = (),
-    n_partitions: int = 4,
+    n_partitions: int | None = None,
     base_path: str | None = None,
 ) -> DataFrame:
     """For each variant (name -> sort columns; empty = unsorted) write ``df``
-    clustered by ``partition_by`` into ``n_partitions`` and sorted within
-    partitions, then read back the file count and total bytes.
+    clustered by ``partition_by`` and sorted within partitions, then read back
+    the file count, total bytes and rows.  The number of partitions follows
+    the data (adaptive execution sizes the shuffle) unless ``n_partitions`` is
+    given.
 
     Files go under the shared checkpoint folder (``spark.checkpoint.dir``)
     unless ``base_path`` is given."""
@@ -29,10 +31,13 @@ def layout_report(
     rows = None
     for name, sort_cols in variants.items():
         path = f"{base_path}/{name}" if base_path else scratch_path(spark, f"layout-{name}")
-        out = df.repartition(n_partitions, *partition_by) if partition_by else df.repartition(n_partitions)
+        how = [*([n_partitions] if n_partitions else []), *partition_by]
+        out = df.repartition(*how) if how else df.hint("rebalance")
         if sort_cols:
             out = out.sortWithinPartitions(*sort_cols)
         out.write.mode("overwrite").parquet(path)
-        stats = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("variant"), "bytes", "files")
+        stored = spark.read.parquet(path)
+        n = stored.agg(F.count(F.lit(1)).alias("n_rows"))
+        stats = file_stats(stored).join(n).select(F.lit(name).alias("variant"), "bytes", "files", "n_rows")
         rows = stats if rows is None else rows.unionByName(stats)
     return rows

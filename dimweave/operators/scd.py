@@ -64,7 +64,7 @@ def scd2_step(
     period_col: str,
     attrs: Sequence[str],
     period: int,
-    carry_absent: bool = False,
+    drop_absent: bool = False,
     start_name: str = "start_period",
     end_name: str = "end_period",
     as_of_name: str = "as_of",
@@ -75,9 +75,14 @@ def scd2_step(
     rows are full-joined with today's snapshot once and emit:
     unchanged -> the run extended to ``period``; changed -> the old run as is
     plus a new run; new entity -> a new run.  Entities missing from today's
-    snapshot are dropped (the reference's behaviour, safe because the
-    cumulative input keeps every entity) unless ``carry_absent``."""
+    snapshot keep their runs as they are; ``drop_absent=True`` drops their
+    open run, as an input that holds every entity allows.
+
+    Running a period again changes nothing: what an earlier run of ``period``
+    has added is taken back first (runs that start in it go, runs that reach
+    into it end before it)."""
     prev = period - 1
+    scd = scd.filter(F.col(start_name) <= prev).withColumn(end_name, F.least(F.col(end_name), F.lit(prev).cast("int")))
     historical = scd.filter(F.col(end_name) < prev).select(key, *attrs, start_name, end_name)
     last = scd.filter(F.col(end_name) == prev).alias("ls")
     cur = snap.filter(F.col(period_col) == period).select(key, *attrs).alias("ts")
@@ -100,7 +105,7 @@ def scd2_step(
         .otherwise(F.array(old_run))
     )
     emitted = j.select(F.coalesce(F.col(f"ts.{key}"), F.col(f"ls.{key}")).alias(key), has_ts.alias("_ts"), F.inline(runs))
-    if not carry_absent:
+    if drop_absent:
         emitted = emitted.filter(F.col("_ts"))
     out = emitted.select(key, *attrs, start_name, end_name).unionByName(historical)
     return out.withColumn(as_of_name, F.lit(period).cast("int"))

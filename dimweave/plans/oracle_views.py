@@ -5,7 +5,19 @@ their dependencies, in order)."""
 
 from __future__ import annotations
 
-from dimweave.sources.adapters import IP_BASE, N_TEAMS, REFERRERS
+# The adapters' values, stated again so that a wrong one shows.
+IP_BASE = 10 * 256**3
+N_TEAMS = 25
+REFERRERS = (
+    "https://www.linkedin.com/feed/",
+    "https://t.co/a1b2",
+    "https://www.google.com/search?q=x",
+    "https://lnkd.in/c3d4",
+    "https://shop.example.com/cart",
+    "https://blog.example.com/post/1",
+    "https://news.example.org/",
+    None,
+)
 
 
 def _referrer_case() -> str:

@@ -16,7 +16,7 @@ from dimweave.operators.arrays import (
     monthly_hits_step,
 )
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import last_value, register
+from dimweave.plans.registry import last_day, register
 from dimweave.sources import adapters as A
 
 
@@ -98,10 +98,6 @@ def _user_months(ev, upto=None, fill=0):
     )
 
 
-def _last_day(ev) -> dt.date:
-    return ev.filter(F.col("user_id").isNotNull()).agg(F.max("event_date")).first()[0]
-
-
 def _metric_rows(hist):
     return hist.select("user_id", "month_start", F.lit("site_hits").alias("metric_name"), "metric_array")
 
@@ -110,7 +106,7 @@ def _metric_rows(hist):
 def q_month_array(t):
     """Zero-filled per-user monthly hit arrays, all months at once."""
     ev = A.web_events(t)
-    out = _metric_rows(_user_months(ev, upto=_last_day(ev)))
+    out = _metric_rows(_user_months(ev, upto=last_day(t, "user_id")))
     return out.withColumn("metric_array", array_text("metric_array"))
 
 
@@ -119,7 +115,7 @@ def q_month_array_step(t):
     """The last day loaded incrementally onto the state of the day
     before (equals the closed form)."""
     ev = A.web_events(t)
-    day = _last_day(ev)
+    day = last_day(t, "user_id")
     prev = _metric_rows(_user_months(ev, upto=day - dt.timedelta(days=1)))
     out = month_array_step(prev, ev, day)
     return out.withColumn("metric_array", array_text("metric_array"))
@@ -135,7 +131,7 @@ def _hits_rows(hist):
 def q_monthly_hits(t):
     """C24 closed form: NULL-filled monthly hit arrays with first_found_date."""
     ev = A.web_events(t)
-    out = _hits_rows(_user_months(ev, upto=_last_day(ev), fill=None))
+    out = _hits_rows(_user_months(ev, upto=last_day(t, "user_id"), fill=None))
     return out.withColumn("hit_array", array_text("hit_array"))
 
 
@@ -143,7 +139,7 @@ def q_monthly_hits(t):
 def q_monthly_hits_step(t):
     """One daily load onto the previous day's partition."""
     ev = A.web_events(t)
-    day = _last_day(ev)
+    day = last_day(t, "user_id")
     prev = _hits_rows(_user_months(ev, upto=day - dt.timedelta(days=1), fill=None))
     out = monthly_hits_step(prev, ev, day)
     return out.withColumn("hit_array", array_text("hit_array"))
@@ -168,14 +164,14 @@ def _host_flat(df):
 def q_host_reduced(t):
     """C25 closed form: per host and month, daily hits and distinct visitors."""
     ev = A.web_events(t)
-    return _host_flat(_host_months(ev, upto=last_value(ev, "event_date")))
+    return _host_flat(_host_months(ev, upto=last_day(t)))
 
 
 @register("host_reduced_step", HOST_REDUCED_SQL)
 def q_host_reduced_step(t):
     """The last day loaded onto the previous state."""
     ev = A.web_events(t)
-    day = ev.agg(F.max("event_date")).first()[0]
+    day = last_day(t)
     prev = _host_months(ev, upto=day - dt.timedelta(days=1))
     return _host_flat(host_activity_reduced_step(prev, ev, day))
 
@@ -184,7 +180,7 @@ def q_host_reduced_step(t):
 def q_array_day_sums(t):
     """Sums of the first three days over the latest partition."""
     ev = A.web_events(t)
-    day = _last_day(ev)
+    day = last_day(t, "user_id")
     hits = _hits_rows(_user_months(ev, upto=day, fill=None))
     return array_day_sums(hits, day, 3)
 
@@ -193,4 +189,4 @@ def q_array_day_sums(t):
 def q_array_to_daily(t):
     """Arrays summed by position and unpivoted to (metric, date, value)."""
     ev = A.web_events(t)
-    return array_to_daily(_metric_rows(_user_months(ev, upto=_last_day(ev))))
+    return array_to_daily(_metric_rows(_user_months(ev, upto=last_day(t, "user_id"))))

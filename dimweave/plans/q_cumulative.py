@@ -18,7 +18,7 @@ from dimweave.operators.cumulative import (
     unnest_history,
 )
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import last_value, register
+from dimweave.plans.registry import last_day, last_film_year, last_season, register
 from dimweave.sources import adapters as A
 
 # -- canonical text of nested values ------------------------------------------
@@ -167,13 +167,6 @@ DEVICE_EVENTS = (
 # -- queries -------------------------------------------------------------------
 
 
-def _last_season(ps) -> int:
-    """The newest season in the facts (one scalar brought to the driver).  A
-    literal period lets the planner fold and push it; measured, the same
-    bound as a scalar subquery made these queries up to 2x slower."""
-    return ps.agg(F.max("season")).first()[0]
-
-
 def _players_flat(df):
     return df.withColumn("seasons", array_text("seasons", season_text, "|"))
 
@@ -182,7 +175,7 @@ def _players_flat(df):
 def q_players_history(t):
     """Cumulative players table backfilled for every season."""
     ps = A.player_seasons(t)
-    return _players_flat(cumulate_history(ps, _last_season(ps)))
+    return _players_flat(cumulate_history(ps, last_season(t)))
 
 
 @register(
@@ -197,7 +190,7 @@ def q_players_step(t):
     """The last season applied as one increment to the backfill of the
     seasons before it (equals the backfill's last season)."""
     ps = A.player_seasons(t)
-    last = _last_season(ps)
+    last = last_season(t)
     prev = cumulate_history(ps, upto=last - 1, periods=[last - 1])
     return _players_flat(cumulate_step(prev, ps, last))
 
@@ -216,7 +209,7 @@ def q_players_step(t):
 def q_improvement(t):
     """C4: newest-season points over first-season points, latest snapshot."""
     ps = A.player_seasons(t)
-    last = _last_season(ps)
+    last = last_season(t)
     return improvement_ratio(cumulate_history(ps, last, periods=[last]), last)
 
 
@@ -227,7 +220,7 @@ def q_improvement(t):
 def q_unnest_history(t):
     """The latest snapshot exploded back to one row per season."""
     ps = A.player_seasons(t)
-    last = _last_season(ps)
+    last = last_season(t)
     return unnest_history(cumulate_history(ps, last, periods=[last]), last)
 
 
@@ -242,7 +235,7 @@ ACTOR_COLS = "actor, films, quality_class, is_active, current_year"
 def q_actors_history(t):
     """Cumulative actors table for every year."""
     films = A.actor_films(t)
-    return _actors_flat(actors_history(films, last_value(films, "year")))
+    return _actors_flat(actors_history(films, last_film_year(t)))
 
 
 @register(
@@ -256,7 +249,7 @@ def q_actors_history(t):
 def q_actors_step(t):
     """The last year applied as one increment to the earlier backfill."""
     films = A.actor_films(t)
-    last = films.agg(F.max("year")).first()[0]
+    last = last_film_year(t)
     prev = actors_history(films, upto=last - 1, periods=[last - 1])
     return _actors_flat(actors_step(prev, films, last))
 
@@ -272,7 +265,7 @@ def q_actors_step(t):
 def q_dates_active(t):
     """users_cumulated (active dates, oldest first) for every day."""
     ev = A.web_events(t)
-    out = dates_active_history(ev, last_value(ev, "event_date", "user_id"))
+    out = dates_active_history(ev, last_day(t, "user_id"))
     return out.withColumn("dates_active", array_text("dates_active"))
 
 
@@ -287,7 +280,7 @@ def q_dates_active(t):
 def q_device_datelist(t):
     """Per (user, browser) active dates, newest first, every day."""
     ev = A.web_events(t)
-    out = device_datelist_history(ev, A.devices(t), last_value(ev, "event_date", "user_id"))
+    out = device_datelist_history(ev, A.devices(t), last_day(t, "user_id"))
     return out.withColumn("device_activity_datelist", array_text("device_activity_datelist"))
 
 
@@ -302,5 +295,5 @@ def q_device_datelist(t):
 def q_host_datelist(t):
     """Per host active dates, newest first, every day."""
     ev = A.web_events(t)
-    out = host_datelist_history(ev, last_value(ev, "event_date"))
+    out = host_datelist_history(ev, last_day(t))
     return out.withColumn("host_activity_datelist", array_text("host_activity_datelist"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from dimweave.functions.columns import MASK_ANCHOR_DAY, MASK_LAST_7, MASK_PREVIOUS_7
 from dimweave.operators.datelist import activity_flags, datelist_int, dates_as_of
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_cumulative import DEVICE_EVENTS
-from dimweave.plans.registry import register
+from dimweave.plans.registry import last_day, register
 from dimweave.sources import adapters as A
 
 _USER_BITS = [
@@ -67,13 +65,9 @@ COMPAT_SQL = with_views(
 )
 
 
-def _anchor(ev):
-    return ev.agg(F.max("event_date")).first()[0]
-
-
 def _user_bits(t):
     ev = A.web_events(t)
-    anchor = _anchor(ev.filter(F.col("user_id").isNotNull()))
+    anchor = last_day(t, "user_id")
     snap = dates_as_of(ev, ["user_id"], anchor, window_days=32)
     return datelist_int(snap, ["user_id"], "dates_active", anchor)
 
@@ -92,7 +86,7 @@ def q_activity_flags(t):
 
 def _device_bits(t, compat: bool):
     ev = A.web_events(t).join(A.devices(t).select("device_id", "browser_type"), "device_id")
-    anchor = _anchor(ev.filter(F.col("user_id").isNotNull()))
+    anchor = last_day(t, "user_id")
     snap = dates_as_of(ev, ["user_id", "browser_type"], anchor, window_days=32)
     return datelist_int(
         snap, ["user_id", "browser_type"], "dates_active", anchor, compat=compat, group_by=["user_id"]

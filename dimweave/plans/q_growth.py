@@ -6,7 +6,7 @@ from dimweave.functions.columns import array_text
 from dimweave.operators.cumulative import cumulate_history
 from dimweave.operators.growth import growth_accounting_history, retention, state_changes
 from dimweave.plans.oracle_views import with_views
-from dimweave.plans.registry import last_value, register
+from dimweave.plans.registry import last_day, last_season, register
 from dimweave.sources import adapters as A
 
 # -- oracle SQL --------------------------------------------------------------
@@ -59,10 +59,12 @@ def _ga_ctes(src: str):
 GA_SQL = with_views(["web_events"], "SELECT * FROM ga", _ga_ctes("web_events"))
 GA_SPARSE_SQL = with_views(["sparse_events"], "SELECT * FROM ga", _ga_ctes("sparse_events"))
 
+# A user is in an active state on exactly the days of activity, which are the
+# rows whose last active day is the row's own.
 RETENTION_SQL = with_views(
     ["web_events"],
     """SELECT CAST(date - first_active_date AS INTEGER) AS days_since_first_active,
-              AVG(IF(daily_active_state IN ('New', 'Retained', 'Resurrected'), 1.0, 0.0)) AS pct_active,
+              CAST(COUNT(*) FILTER (WHERE last_active_date = date) AS DOUBLE) / COUNT(*) AS pct_active,
               COUNT(*) AS n
        FROM ga GROUP BY 1""",
     _ga_ctes("web_events"),
@@ -103,26 +105,26 @@ def _ga_flat(ga):
 def q_growth_accounting(t):
     """Daily/weekly lifecycle states for every user-day (closed form)."""
     ev = A.web_events(t)
-    return _ga_flat(growth_accounting_history(ev, last_value(ev, "event_date", "user_id")))
+    return _ga_flat(growth_accounting_history(ev, last_day(t, "user_id")))
 
 
 @register("growth_accounting_sparse", GA_SPARSE_SQL)
 def q_growth_accounting_sparse(t):
     """Same on the sparse event subset, which reaches every state."""
     ev = A.web_events(t, sparse=True)
-    return _ga_flat(growth_accounting_history(ev, last_value(ev, "event_date", "user_id")))
+    return _ga_flat(growth_accounting_history(ev, last_day(t, "user_id")))
 
 
 @register("retention", RETENTION_SQL)
 def q_retention(t):
     """J-curve over the growth-accounting table."""
     ev = A.web_events(t)
-    return retention(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
+    return retention(growth_accounting_history(ev, last_day(t, "user_id"), with_dates=False))
 
 
 @register("state_changes", STATE_CHANGES_SQL)
 def q_state_changes(t):
     """Player lifecycle labels from the cumulative players table."""
     ps = A.player_seasons(t)
-    players = cumulate_history(ps, last_value(ps, "season"))
+    players = cumulate_history(ps, last_season(t))
     return state_changes(players, "player_name", "current_season", "is_active")

@@ -13,7 +13,7 @@ from dimweave.operators.layout import layout_report
 from dimweave.operators.quality import quality_report
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_growth import _ga_ctes
-from dimweave.plans.registry import last_value, register
+from dimweave.plans.registry import last_day, register
 from dimweave.sources import adapters as A
 from dimweave.sources.io import upsert
 
@@ -137,12 +137,11 @@ UPSERT_SQL = with_views(
     [
         (
             "target",
-            """SELECT user_id, event_date, COUNT(*) AS hits FROM web_events WHERE device_id < 5
-               GROUP BY user_id, event_date""",
+            "SELECT user_id, event_date, COUNT(*) AS hits FROM web_events GROUP BY user_id, event_date",
         ),
         (
             "delta",
-            """SELECT user_id, event_date, COUNT(*) AS hits FROM web_events
+            """SELECT user_id, event_date, COUNT(DISTINCT url) AS hits FROM web_events
                WHERE event_date > (SELECT MAX(event_date) FROM web_events) - 7
                GROUP BY user_id, event_date""",
         ),
@@ -186,14 +185,14 @@ def q_profit_total(t):
 def q_growth_daily(t):
     """Daily growth (users per lifecycle state)."""
     ev = A.web_events(t)
-    return growth_daily(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
+    return growth_daily(growth_accounting_history(ev, last_day(t, "user_id"), with_dates=False))
 
 
 @register("growth_total", GROWTH_TOTAL_SQL)
 def q_growth_total(t):
     """Monthly growth aggregate."""
     ev = A.web_events(t)
-    return growth_total(growth_accounting_history(ev, last_value(ev, "event_date", "user_id"), with_dates=False))
+    return growth_total(growth_accounting_history(ev, last_day(t, "user_id"), with_dates=False))
 
 
 @register("engagement_daily", ENGAGEMENT_SQL)
@@ -216,22 +215,31 @@ def q_quality_events(t):
 
 @register("events_upsert", UPSERT_SQL)
 def q_events_upsert(t):
-    """User-day hit counts, last write wins on (user, day)."""
+    """Hit counts of all user-days; the last week's are counted anew as
+    distinct pages and win on (user, day)."""
     ev = A.web_events(t)
-    target = ev.filter(F.col("device_id") < 5).groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("hits"))
+    target = ev.groupBy("user_id", "event_date").agg(F.count(F.lit(1)).alias("hits"))
     last = ev.agg(F.max("event_date")).scalar()
     delta = (
         ev.filter(F.col("event_date") > F.date_sub(last, 7))
         .groupBy("user_id", "event_date")
-        .agg(F.count(F.lit(1)).alias("hits"))
+        .agg(F.countDistinct("url").alias("hits"))
     )
     return upsert(target, delta, ["user_id", "event_date"])
 
 
-@register("layout_report")
+LAYOUT_SQL = with_views(
+    ["web_events", "devices"],
+    """SELECT variant, COUNT(*) AS n_rows FROM web_events e JOIN devices d ON e.device_id = d.device_id,
+              (VALUES ('unsorted'), ('date_host'), ('date_browser_host')) v(variant) GROUP BY variant""",
+)
+
+
+@register("layout_report", LAYOUT_SQL)
 def q_layout_report(t):
-    """Bytes and files of the enriched events written unsorted and with
-    two sort-within-partition orders (rows only: sizes have no oracle)."""
+    """The enriched events written unsorted and with two
+    sort-within-partition orders; the variants and their stored rows (sizes
+    have no oracle, a test compares them)."""
     df = events_with_devices(A.web_events(t), A.devices(t))
     variants = {"unsorted": [], "date_host": ["event_date", "host"], "date_browser_host": ["event_date", "browser_type", "host"]}
-    return layout_report(df, variants, partition_by=["event_date"], n_partitions=4)
+    return layout_report(df, variants, partition_by=["event_date"]).select("variant", "n_rows")

@@ -7,7 +7,7 @@ from dimweave.operators.cumulative import actors_history, cumulate_history
 from dimweave.operators.scd import scd2_history, scd2_step
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_cumulative import ACTORS_CTES, PLAYERS_CTES
-from dimweave.plans.registry import last_value, register
+from dimweave.plans.registry import last_film_year, last_season, register
 from dimweave.sources import adapters as A
 
 
@@ -43,7 +43,7 @@ ACTORS_SCD_SQL = with_views(
 def q_scd_single(t):
     """Runs of unchanged scoring class per player."""
     ps = A.player_seasons(t)
-    last = last_value(ps, "season")
+    last = last_season(t)
     return scd2_history(cumulate_history(ps, last), "player_name", "current_season", ["scoring_class"], upto=last)
 
 
@@ -51,7 +51,7 @@ def q_scd_single(t):
 def q_scd_multi(t):
     """Runs of unchanged (scoring class, activity) per player."""
     ps = A.player_seasons(t)
-    last = last_value(ps, "season")
+    last = last_season(t)
     attrs = ["scoring_class", "is_active"]
     return scd2_history(cumulate_history(ps, last), "player_name", "current_season", attrs, upto=last)
 
@@ -61,7 +61,7 @@ def q_scd_step(t):
     """Backfill up to the season before the last, then one incremental
     step; equals the full backfill."""
     ps = A.player_seasons(t)
-    last = last_value(ps, "season")
+    last = last_season(t)
     players = cumulate_history(ps, last)
     attrs = ["scoring_class", "is_active"]
     scd = scd2_history(players, "player_name", "current_season", attrs, upto=last - 1)
@@ -72,7 +72,7 @@ def q_scd_step(t):
 def q_actors_scd(t):
     """C11: SCD of (quality class, activity) over the actors table."""
     films = A.actor_films(t)
-    last = last_value(films, "year")
+    last = last_film_year(t)
     actors = actors_history(films, last, with_films=False)
     return scd2_history(actors, "actor", "current_year", ["quality_class", "is_active"], upto=last)
 
@@ -81,7 +81,7 @@ def q_actors_scd(t):
 def q_actors_scd_step(t):
     """C11 incremental: backfill to the year before the last, one step."""
     films = A.actor_films(t)
-    last = last_value(films, "year")
+    last = last_film_year(t)
     actors = actors_history(films, last, with_films=False)
     attrs = ["quality_class", "is_active"]
     scd = scd2_history(actors, "actor", "current_year", attrs, upto=last - 1)

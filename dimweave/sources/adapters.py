@@ -14,13 +14,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.columns import CHANNEL_RULES, props_int
+from dimweave.functions.columns import props_int
 from dimweave.sources.tables import Tables
 
-# Referrer by (k mod 8): one URL per channel rule (built from the rule's own
-# pattern, so every rule is exercised), one URL no rule matches, and no
-# referrer at all.
-REFERRERS = [f"https://{pattern.strip('%')}.example/" for pattern, _ in CHANNEL_RULES] + [
+# Domains that count as the site's own in the test data.
+OWN_DOMAINS = ("shop.example.com", "blog.example.com")
+# Referrer by (k mod 8): search and social sites, the site's own domains, a
+# site of no channel, and no referrer at all.
+REFERRERS = [
+    "https://www.linkedin.com/feed/",
+    "https://t.co/a1b2",
+    "https://www.google.com/search?q=x",
+    "https://lnkd.in/c3d4",
+    "https://shop.example.com/cart",
+    "https://blog.example.com/post/1",
     "https://news.example.org/",
     None,
 ]

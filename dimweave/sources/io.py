@@ -52,10 +52,12 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """INSERT OVERWRITE into an existing catalog table by column position,
-    replacing only the partitions present in ``df`` (re-runs are
-    idempotent)."""
+    """INSERT OVERWRITE into an existing catalog table, replacing only the
+    partitions present in ``df`` (re-runs are idempotent).  Columns are matched
+    by name: the insert itself goes by position, so the target's columns are
+    selected first, and one that ``df`` lacks raises."""
     spark = df.sparkSession
+    df = df.select(*[F.col(f"`{c}`") for c in spark.table(table).columns])
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -77,9 +79,9 @@ def write_snapshot(df: DataFrame, table: str, key: str, period_col: str, buckets
     (and sorted) by the entity key.  The next period's step reads one period
     partition whose rows are already hash-placed by key: its full join with
     the new facts shuffles only the new facts."""
-    (
-        df.write.mode(mode).partitionBy(period_col).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    )
+    # a task per bucket: one file for each bucket and period
+    placed = df.repartition(buckets, key)
+    placed.write.mode(mode).partitionBy(period_col).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
 def ensure_table(spark: SparkSession, name: str, ddl_columns: str, using: str = "parquet",
