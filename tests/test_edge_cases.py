@@ -173,6 +173,8 @@ def test_threshold_class_and_channels(spark):
     )
     got = [r[0] for r in refs.select(channel_of("r", CHANNEL_RULES)).collect()]
     assert got == ["Linkedin", "Twitter", "https://other.org", None]
+    own = [r[0] for r in refs.select(channel_of("r", on_site=["other.org"])).collect()]
+    assert own == ["Linkedin", "Twitter", "On Site", None]
 
 
 def test_requested_periods_equal_full_history(spark, tables):
@@ -255,3 +257,66 @@ def test_datelist_keeps_users_idle_in_window(spark):
     snap = dates_as_of(ev, ["user_id"], "2024-03-01", window_days=32)
     got = {r.user_id: r.datelist_int for r in datelist_int(snap, ["user_id"], "dates_active", "2024-03-01").collect()}
     assert got == {1: 0, 2: 1 << 31}
+
+
+def test_scd_step_keeps_absent_entities_and_can_be_run_again(spark):
+    from dimweave.operators.scd import scd2_step
+
+    scd = spark.createDataFrame([("a", "x", 1, 1, 1), ("z", "x", 1, 1, 1)], "k string, v string, start_period int, end_period int, as_of int")
+    snap = spark.createDataFrame([("a", "y", 2), ("b", "x", 2)], "k string, v string, p int")
+    once = scd2_step(scd, snap, "k", "p", ["v"], 2)
+    want = {("a", "x", 1, 1, 2), ("a", "y", 2, 2, 2), ("b", "x", 2, 2, 2), ("z", "x", 1, 1, 2)}
+    assert {tuple(r) for r in once.collect()} == want
+    assert {tuple(r) for r in scd2_step(once, snap, "k", "p", ["v"], 2).collect()} == want
+    dropped = scd2_step(scd, snap, "k", "p", ["v"], 2, drop_absent=True)
+    assert {tuple(r) for r in dropped.collect()} == {r for r in want if r[0] != "z"}
+
+
+def test_scd_step_again_after_an_unchanged_run(spark):
+    from dimweave.operators.scd import scd2_step
+
+    scd = spark.createDataFrame([("a", "x", 1, 1, 1)], "k string, v string, start_period int, end_period int, as_of int")
+    snap = spark.createDataFrame([("a", "x", 2)], "k string, v string, p int")
+    once = scd2_step(scd, snap, "k", "p", ["v"], 2)
+    assert [tuple(r) for r in once.collect()] == [("a", "x", 1, 2, 2)]
+    assert [tuple(r) for r in scd2_step(once, snap, "k", "p", ["v"], 2).collect()] == [("a", "x", 1, 2, 2)]
+
+
+def test_histories_end_at_their_bound(spark, tables):
+    from dimweave.operators.arrays import month_array_history
+    from dimweave.operators.cumulative import actors_history, cumulate_history, dates_active_history
+
+    ps = A.player_seasons(tables)
+    early = cumulate_history(ps, upto=1996)
+    assert early.agg(F.max("current_season")).first()[0] == 1996
+    assert early.count() == cumulate_history(ps).filter("current_season <= 1996").count()
+    films = A.actor_films(tables)
+    assert actors_history(films, 1996).count() == actors_history(films).filter("current_year <= 1996").count()
+    ev = A.web_events(tables)
+    assert dates_active_history(ev, D(2024, 1, 3)).count() == dates_active_history(ev).filter("date <= date'2024-01-03'").count()
+    late = spark.createDataFrame([(1, D(2024, 1, 5)), (1, D(2024, 2, 3))], "user_id long, event_date date")
+    rows = month_array_history(late, ["user_id"], {"n": F.count(F.lit(1))}, upto=D(2024, 1, 31)).collect()
+    assert [(r.month_start, len(r.n), sum(r.n)) for r in rows] == [(D(2024, 1, 1), 31, 1)]
+
+
+def test_a_previous_row_without_history_stays_empty(spark):
+    from dimweave.operators.cumulative import cumulate_step
+
+    prev = spark.createDataFrame(
+        [("p", None, None, "bad", 1, False, 2000)],
+        "player_name string, height string, seasons array<struct<season:int,gp:bigint,pts:double,reb:double,ast:double>>, "
+        "scoring_class string, years_since_last_active int, is_active boolean, current_season int",
+    )
+    today = spark.createDataFrame([], "player_name string, height string, season int, gp bigint, pts double, reb double, ast double")
+    row = cumulate_step(prev, today, 2001, statics=["height"]).first()
+    assert row.seasons == [] and row.years_since_last_active == 2
+
+
+def test_overwrite_goes_by_name(spark):
+    from dimweave.sources.io import drop_table, ensure_table, overwrite_table
+
+    drop_table(spark, "t_by_name")
+    ensure_table(spark, "t_by_name", "a string, b string, p int", partitioned_by=["p"])
+    overwrite_table(spark.createDataFrame([("bb", 1, "aa")], "b string, p int, a string"), "t_by_name")
+    assert [tuple(r) for r in spark.table("t_by_name").collect()] == [("aa", "bb", 1)]
+    drop_table(spark, "t_by_name")
