@@ -3,7 +3,7 @@ rollups, and event enrichment with device attributes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import MISSING_REFERRER
@@ -38,57 +38,43 @@ def _top1(df: DataFrame, metric: str, name_col: str, value_col: str) -> DataFram
     )
 
 
-def player_avg_kills(details: DataFrame, matches: DataFrame) -> DataFrame:
-    """Player with the highest average kills per game."""
-    j = details.join(matches.select("match_id"), "match_id")
-    per = j.groupBy("player_gamertag").agg(F.avg("player_total_kills").alias("v"))
-    return _top1(per, "player_avg_kills", "player_gamertag", "v")
-
-
-def top_playlist(details: DataFrame, matches: DataFrame) -> DataFrame:
-    """Playlist played in the most (distinct) matches."""
-    j = details.select("match_id").join(matches.select("match_id", "playlist_id"), "match_id")
-    per = j.groupBy("playlist_id").agg(F.countDistinct("match_id").alias("v"))
-    return _top1(per, "top_playlist", "playlist_id", "v")
-
-
-def top_map(details: DataFrame, matches: DataFrame, maps: DataFrame) -> DataFrame:
-    """Map played in the most (distinct) matches; map names are broadcast
-    after a size check."""
-    j = details.select("match_id").join(matches.select("match_id", "mapid"), "match_id")
-    j = j.join(broadcast_if_small(maps.select("mapid", F.col("name").alias("map_name")), SMALL_DIM_ROWS), "mapid")
-    per = j.groupBy("map_name").agg(F.countDistinct("match_id").alias("v"))
-    return _top1(per, "top_map", "map_name", "v")
-
-
-def top_map_for_medal(medals_mp: DataFrame, matches: DataFrame, medals: DataFrame, maps: DataFrame,
-                      medal: str) -> DataFrame:
-    """Map on which players earn the named medal most often."""
-    m = broadcast_if_small(medals.filter(F.col("name") == medal).select("medal_id"), SMALL_DIM_ROWS)
-    j = medals_mp.join(m, "medal_id").join(matches.select("match_id", "mapid"), "match_id")
-    j = j.join(broadcast_if_small(maps.select("mapid", F.col("name").alias("map_name")), SMALL_DIM_ROWS), "mapid")
-    per = j.groupBy("map_name").agg(F.sum("count").alias("v"))
-    return _top1(per, f"top_map_for_medal:{medal}", "map_name", "v")
+def match_frame(details: DataFrame, matches: DataFrame) -> DataFrame:
+    """Per (match, player): kills and appearances, with the match's playlist
+    and map.  Over tables written by ``write_bucketed`` neither the join nor
+    the aggregate moves a row."""
+    per_player = details.groupBy("match_id", "player_gamertag").agg(
+        F.sum("player_total_kills").alias("kills"), F.count("player_total_kills").alias("games")
+    )
+    return per_player.join(matches.select("match_id", "playlist_id", "mapid"), "match_id")
 
 
 def match_tops(details, matches, medals_mp, medals, maps, medal: str) -> DataFrame:
-    """The four homework answers as (metric, winner, value) rows."""
+    """Four top-1 reports as (metric, winner, value) rows: the player with the
+    highest average kills per appearance, the playlist and the map of the most
+    matches, the map on which the named medal is earned most often.  The first
+    three come from one joined frame; a match counts once because its players
+    are merged before it is counted."""
+    frame = match_frame(details, matches)
+    names = broadcast_if_small(maps.select("mapid", F.col("name").alias("map_name")), SMALL_DIM_ROWS)
+    players = frame.groupBy("player_gamertag").agg((F.sum("kills") / F.sum("games")).alias("v"))
+    played = frame.groupBy("match_id", "playlist_id", "mapid").agg(F.count(F.lit(1)).alias("players"))
+    playlists = played.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("v"))
+    map_counts = played.groupBy("mapid").agg(F.count(F.lit(1)).alias("v"))
+    wanted = broadcast_if_small(medals.filter(F.col("name") == medal).select("medal_id"), SMALL_DIM_ROWS)
+    earned = medals_mp.join(wanted, "medal_id", "left_semi").groupBy("match_id").agg(F.sum("count").alias("n"))
+    per_map = earned.join(matches.select("match_id", "mapid"), "match_id").groupBy("mapid").agg(F.sum("n").alias("v"))
+
+    def by_name(counts: DataFrame) -> DataFrame:
+        return counts.join(names, "mapid").groupBy("map_name").agg(F.sum("v").alias("v"))
+
     return (
-        player_avg_kills(details, matches)
-        .unionByName(top_playlist(details, matches))
-        .unionByName(top_map(details, matches, maps))
-        .unionByName(top_map_for_medal(medals_mp, matches, medals, maps, medal))
+        _top1(players, "player_avg_kills", "player_gamertag", "v")
+        .unionByName(_top1(playlists, "top_playlist", "playlist_id", "v"))
+        .unionByName(_top1(by_name(map_counts), "top_map", "map_name", "v"))
+        .unionByName(_top1(by_name(per_map), f"top_map_for_medal:{medal}", "map_name", "v"))
     )
 
 
-def bucketed_match_frame(spark: SparkSession, prefix: str = "dw") -> DataFrame:
-    """details x matches x medals_matches_players from the bucketed tables,
-    joined on match_id only (their common bucketing key)."""
-    d = spark.table(f"{prefix}_match_details_bucketed")
-    m = spark.table(f"{prefix}_matches_bucketed")
-    return d.join(m, "match_id")
-
-
 # -- C44: one cached aggregate, two rollups -----------------------------------
 
 
@@ -124,11 +110,21 @@ def devices_on_events(devices: DataFrame, agg: DataFrame) -> DataFrame:
     )
 
 
-def cached_rollups(events: DataFrame, devices: DataFrame):
-    """Both rollups off one persisted aggregate.  Returns (users, devices,
-    release) -- call ``release()`` once both are consumed."""
+def rollups(events: DataFrame, devices: DataFrame) -> DataFrame:
+    """Both rollups from one aggregate that is computed once: rows (kind, id,
+    label, n, hits) with the users (n devices) and the devices (n users).  The
+    aggregate is cached while it is read twice; blocks of a lost executor are
+    computed again."""
     agg = events_aggregated(events).persist()
-    return users_and_devices(agg), devices_on_events(devices, agg), agg.unpersist
+    users = users_and_devices(agg).select(
+        F.lit("user").alias("kind"), F.col("user_id").alias("id"), F.lit(None).cast("string").alias("label"),
+        F.col("n_devices").alias("n"), F.col("total_hits").alias("hits"),
+    )
+    by_device = devices_on_events(devices, agg).select(
+        F.lit("device").alias("kind"), F.col("device_id").alias("id"), F.col("device_type").alias("label"),
+        F.col("n_users").alias("n"), F.col("n_events").alias("hits"),
+    )
+    return users.unionByName(by_device)
 
 
 # -- C45: enrichment -----------------------------------------------------------

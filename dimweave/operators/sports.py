@@ -7,14 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dimweave.operators.joins import ordered_index
 
 
-_ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-
-
 def dedupe(
     df: DataFrame,
     grain: Sequence[str],
@@ -25,31 +21,14 @@ def dedupe(
     the result never depends on input order.  NULLs sort first when
     ascending, last when descending.
 
-    Taking the first row is ``min`` over a struct whose leading fields encode
-    the order, an aggregate that combines map-side: a key holding a third of
-    all rows is collapsed before the shuffle instead of being sorted in one
-    task.  Orders that a struct cannot encode (a descending string) fall back
-    to a ``row_number`` window."""
+    One shuffle on the grain.  Spark pushes the rank limit below it (a group
+    limit per map task), so a key that holds a third of all rows sends one row
+    per map task to the task that ranks it."""
     if order is None:
         order = [(c, True) for c in df.columns if c not in grain]
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    encodable = all(isinstance(types[c], _ORDERABLE) for c in df.columns) and all(
-        asc or isinstance(types[c], T.NumericType) for c, asc in order
-    )
-    if not encodable:
-        spec = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
-        w = Window.partitionBy(*grain).orderBy(*spec)
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    keys = []
-    for i, (c, asc) in enumerate(order):
-        if asc:
-            keys.append(F.col(c).alias(f"_o{i}"))
-        else:
-            keys.append(F.col(c).isNull().alias(f"_n{i}"))
-            keys.append(F.negative(F.col(c)).alias(f"_o{i}"))
-    others = [c for c in df.columns if c not in grain]
-    first = df.groupBy(*grain).agg(F.min(F.struct(*keys, *[F.col(c) for c in others])).alias("_first"))
-    return first.select(*grain, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*df.columns)
+    spec = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
+    w = Window.partitionBy(*grain).orderBy(*(spec or [F.lit(0)]))
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def grain_check(df: DataFrame, grain: Sequence[str]) -> DataFrame:

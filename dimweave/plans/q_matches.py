@@ -10,6 +10,7 @@ from dimweave.operators.matches import (
     enrich_events,
     events_aggregated,
     match_tops,
+    rollups,
     users_and_devices,
 )
 from dimweave.plans.oracle_views import with_views
@@ -101,6 +102,23 @@ def q_cached_rollups(t):
     return users_and_devices(events_aggregated(A.web_events(t)))
 
 
+@register(
+    "shared_rollups",
+    with_views(
+        ["web_events", "devices"],
+        """SELECT 'user' AS kind, user_id AS id, NULL AS label, COUNT(*) AS n, CAST(SUM(event_counts) AS BIGINT) AS hits
+           FROM agg GROUP BY user_id
+           UNION ALL
+           SELECT 'device', d.device_id, d.device_type, COUNT(*), CAST(SUM(a.event_counts) AS BIGINT)
+           FROM devices d JOIN agg a ON d.device_id = a.device_id GROUP BY d.device_id, d.device_type""",
+        [_AGG],
+    ),
+)
+def q_shared_rollups(t):
+    """Both rollups off one cached aggregate."""
+    return rollups(A.web_events(t), A.devices(t))
+
+
 @register("devices_on_events", DEVICES_ON_EVENTS_SQL)
 def q_devices_on_events(t):
     """Per-device rollup off the aggregate."""

@@ -3,36 +3,78 @@ IP range table (instead of one HTTP call per row)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.operators.joins import broadcast_if_small
 
-GEO_BROADCAST_ROWS = 5_000_000
+#: Most rows (address blocks with their ranges) of the broadcast side.
+GEO_BROADCAST_ROWS = 200_000
+#: Block sizes in bits: a range is listed under the largest blocks that it
+#: fills, so even the whole address space is a few hundred rows.
+LEVELS = (8, 16, 24)
 
 
-def geo_lookup(events: DataFrame, geo: DataFrame, ip_col: str = "ip_num", block_bits: int = 8,
+def _entry(bits: int):
+    return lambda block: F.struct(F.lit(bits).alias("level"), block.alias("block"))
+
+
+def _blocks(lo: Column, hi: Column) -> Column:
+    """(level, block) entries of a range: blocks of the finest level that it
+    touches, but for those inside a coarser block that it fills."""
+    entries = []
+    for k, bits in enumerate(LEVELS):
+        size = 1 << bits
+        if k == 0:
+            first, last = F.floor(lo / size), F.floor(hi / size)
+        else:
+            first, last = F.ceil(lo / size), F.floor((hi + 1) / size) - 1
+        pieces = [(first, last)]
+        if k + 1 < len(LEVELS):  # without what a coarser level holds
+            ratio = 1 << (LEVELS[k + 1] - bits)
+            above, below = F.ceil(lo / (size * ratio)), F.floor((hi + 1) / (size * ratio)) - 1
+            filled = below >= above
+            pieces = [
+                (first, F.when(filled, F.least(last, above * ratio - 1)).otherwise(last)),
+                (F.when(filled, F.greatest(first, (below + 1) * ratio)).otherwise(last + 1), last),
+            ]
+        for a, b in pieces:
+            blocks = F.when(b >= a, F.sequence(a.cast("long"), F.greatest(a, b).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+            entries.append(F.transform(blocks, _entry(bits)))
+    return F.concat(*entries)
+
+
+def geo_lookup(events: DataFrame, geo: DataFrame, ip_col: str = "ip_num",
                max_broadcast_rows: int = GEO_BROADCAST_ROWS) -> DataFrame:
     """Left range join of ``ip_col`` into [ip_lo, ip_hi] ranges, adding
-    ``geodata`` JSON {country, state, city}, or '{}' without a match.
-
-    Each range is listed under the address blocks (ip >> block_bits) it
-    covers, so the join is an equi-join on the block plus a range check --
-    never a nested loop.  The range table is broadcast only under a checked
-    row bound; a stream-static join keeps the stream on the left."""
-    g = geo.select(
-        "ip_lo", "ip_hi", "country", "state", "city",
-        F.explode(F.sequence(F.shiftright("ip_lo", block_bits), F.shiftright("ip_hi", block_bits))).alias("_blk"),
+    ``geodata`` JSON {country, state, city}, or '{}' without a match.  Where
+    ranges overlap, the narrowest (then the lowest) one counts, so an event
+    stays one row.
+
+    Ranges are listed under address blocks of three sizes; an event looks up
+    its block of each size (one row per block, holding its ranges) and takes
+    the best range around its address: equi-joins, never a nested loop.  A
+    size's blocks are broadcast only under a checked row bound; a
+    stream-static join keeps the stream on the left."""
+    span = F.struct(
+        (F.col("ip_hi") - F.col("ip_lo")).alias("width"), "ip_lo", "ip_hi", "country", "state", "city"
     )
-    g = broadcast_if_small(g, max_broadcast_rows)
-    ev = events.withColumn("_blk", F.shiftright(F.col(ip_col), block_bits))
-    cond = (ev["_blk"] == g["_blk"]) & (ev[ip_col] >= g["ip_lo"]) & (ev[ip_col] <= g["ip_hi"])
-    j = ev.join(g, cond, "left")
-    geodata = F.when(F.col("ip_lo").isNull(), F.lit("{}")).otherwise(
-        F.to_json(F.struct("country", "state", "city"))
+    listed = geo.filter("ip_lo <= ip_hi").select(span.alias("span"), F.explode(_blocks(F.col("ip_lo"), F.col("ip_hi"))).alias("at"))
+    ip, found, out = F.col(ip_col), [], events
+    for bits in LEVELS:
+        name = f"_spans_{bits}"
+        level = listed.filter(F.col("at.level") == bits).groupBy(F.col("at.block").alias(f"_block_{bits}")).agg(
+            F.collect_list("span").alias(name)
+        )
+        level = broadcast_if_small(level, max_broadcast_rows)
+        out = out.join(level, F.shiftright(ip, bits) == F.col(f"_block_{bits}"), "left")
+        found.append(F.coalesce(name, F.array().cast(level.schema[name].dataType)))
+    around = F.filter(F.concat(*found), lambda s: (s["ip_lo"] <= ip) & (ip <= s["ip_hi"]))
+    best = F.array_min(around)
+    geodata = F.when(best.isNull(), F.lit("{}")).otherwise(
+        F.to_json(F.struct(best["country"].alias("country"), best["state"].alias("state"), best["city"].alias("city")))
     )
-    keep = [ev[c] for c in events.columns]
-    return j.select(*keep, geodata.alias("geodata"))
+    return out.select(*events.columns, geodata.alias("geodata"))
 
 
 def ingest_enriched(events: DataFrame, geo: DataFrame, **kw) -> DataFrame:

@@ -320,3 +320,26 @@ def test_overwrite_goes_by_name(spark):
     overwrite_table(spark.createDataFrame([("bb", 1, "aa")], "b string, p int, a string"), "t_by_name")
     assert [tuple(r) for r in spark.table("t_by_name").collect()] == [("aa", "bb", 1)]
     drop_table(spark, "t_by_name")
+
+
+def test_geo_ranges_wide_and_overlapping(spark):
+    from dimweave.streaming.ingest import geo_lookup
+
+    ranges = [(0, 2**32 - 1, "world"), (10 * 2**24, 11 * 2**24 - 1, "net10"), (10 * 2**24 + 5, 10 * 2**24 + 900, "office"),
+              (10 * 2**24 + 7, 10 * 2**24 + 7, "desk"), (300, 299, "none"), (2**16 - 3, 3 * 2**16 + 2, "odd")]
+    geo = spark.createDataFrame([(a, b, n, n, n) for a, b, n in ranges], "ip_lo long, ip_hi long, country string, state string, city string")
+    ips = [0, 1, 2**16 - 4, 2**16 - 3, 2**16, 2 * 2**16 + 77, 3 * 2**16 + 2, 3 * 2**16 + 3, 10 * 2**24, 10 * 2**24 + 5,
+           10 * 2**24 + 7, 10 * 2**24 + 900, 10 * 2**24 + 901, 11 * 2**24 - 1, 11 * 2**24, 2**32 - 1]
+
+    def expected(ip, among):
+        hits = [(b - a, a, n) for a, b, n in among if a <= ip <= b]
+        return min(hits)[2] if hits else None
+
+    for among in (ranges, ranges[1:]):
+        some = geo.filter(F.col("country").isin([n for _, _, n in among]))
+        got = geo_lookup(spark.createDataFrame([(i,) for i in ips], "ip_num long"), some)
+        found = {r.ip_num: r.geodata for r in got.collect()}
+        assert len(found) == len(ips) == got.count()
+        for ip in ips:
+            name = expected(ip, among)
+            assert found[ip] == ("{}" if name is None else f'{{"country":"{name}","state":"{name}","city":"{name}"}}')

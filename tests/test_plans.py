@@ -127,3 +127,18 @@ def test_step_over_bucketed_snapshot_shuffles_only_new_facts(spark, tables, no_a
     plain = cumulate_step(hist.filter(F.col("current_season") == 2000), ps, 2001)
     assert exchanges(step) < exchanges(plain)
     assert step.count() == plain.count()
+
+
+def test_match_frame_over_bucketed_tables_moves_no_row(spark, tables, no_auto_broadcast):
+    from dimweave.operators.matches import match_frame, match_tops, write_bucketed
+
+    parts = {"b_details": A.match_details(tables), "b_matches": A.matches(tables), "b_medals": A.medals_matches_players(tables)}
+    for name, df in parts.items():
+        write_bucketed(df, name)
+    details, matches, medals_mp = (spark.table(n) for n in parts)
+    assert exchanges(match_frame(details, matches)) == 0
+    # medals are counted per match on the same buckets
+    assert exchanges(medals_mp.groupBy("match_id").count().join(matches, "match_id")) == 0
+    rest = A.medals(tables), A.maps(tables), "Brand#1"
+    stored = sorted(map(tuple, match_tops(details, matches, medals_mp, *rest).collect()))
+    assert stored == sorted(map(tuple, match_tops(*parts.values(), *rest).collect()))

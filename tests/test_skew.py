@@ -77,14 +77,14 @@ def test_growth_history_with_hot_user(spark, skewed):
     assert len(hot) == len(days)
 
 
-def test_dedupe_aggregates_before_the_shuffle(spark, skewed):
+def test_dedupe_limits_groups_before_the_shuffle(spark, skewed):
     ev, _ = skewed
     d = ev.select("user_id", "event_date", "url", "event_time")
     got = dedupe(d, ["user_id", "event_date"])
     tree = physical_tree(got)
-    # partial aggregate below the exchange: a hot key is collapsed map-side
-    agg_below = tree.split("Exchange")[-1]
-    assert "Aggregate" in agg_below
+    # a group limit below the exchange: a hot key sends one row per map task
+    assert "WindowGroupLimit" in tree.split("Exchange")[-1]
+    assert "SortAggregate" not in tree
     # same answer as the window form (first row by url, then event_time)
     from pyspark.sql import Window
 
