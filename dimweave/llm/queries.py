@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.llm import oracles
 from dimweave.llm.common import ship_package, table
 from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
@@ -67,7 +68,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-@register("op7_decontaminate")
+@register("op7_decontaminate", oracles.DECONTAMINATE)
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -79,7 +80,7 @@ def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-@register("op6_warc")
+@register("op6_warc", oracles.WARC)
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records and read back; a response's length and
     digest are those of its decoded payload (the reader has compared it with
@@ -102,7 +103,7 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonym_report(table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, TEST_KEY))
 
 
-@register("op1_ngram_join")
+@register("op1_ngram_join", oracles.NGRAM_JOIN)
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of 5-word shingles."""
     return similarity_components(table(spark, sf_dir, "documents"))
