@@ -6,19 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side we broadcast without asking: rows, checked before planning.
+# Largest side we broadcast without asking: rows and bytes, checked before
+# planning.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
+_TEXT_BYTES = 64  # what a text column counts as
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
+def row_bytes(schema: T.StructType) -> int:
+    """About how many bytes a row of the schema takes in memory."""
+    fixed = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.IntegerType: 8, T.DateType: 8, T.BooleanType: 8}
+    return 16 + sum(fixed.get(type(f.dataType), _TEXT_BYTES) for f in schema.fields)
 
-    The proof is ``df.limit(max_rows + 1).count()``: it stops scanning as soon
-    as the bound is exceeded, so checking a large table is cheap.  Beyond the
-    bound the side is returned unhinted and the planner shuffles it (and AQE
-    may still demote the join to a broadcast after measuring it)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows
+    and, at its schema's row width, ``max_bytes`` bytes.
+
+    The proof is ``df.limit(n + 1).count()`` for the smaller of both bounds: it
+    stops scanning as soon as the bound is exceeded, so checking a large table
+    is cheap.  Beyond the bound the side is returned unhinted and the planner
+    shuffles it (and AQE may still demote the join to a broadcast after
+    measuring it)."""
+    bound = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
+    if df.limit(bound + 1).count() <= bound:
         return F.broadcast(df)
     return df
 

@@ -68,15 +68,49 @@ def write_kafka(df: DataFrame, topic: str, options: dict[str, str], checkpoint:
     )
 
 
-def write_jdbc_stream(df: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str,
-                      trigger_seconds: int = 10):
-    """Append each micro-batch through JDBC; the batch id is written with the
-    rows so a replayed batch can be recognised by the target."""
+BatchSink = Callable[[DataFrame, int], None]
+
+
+def jdbc_sink(url: str, table: str, properties: dict[str, str]) -> BatchSink:
+    """Append a micro-batch to a JDBC table, columns as they are.  JDBC has no
+    overwrite of one batch, so a batch that is replayed after a failure between
+    its write and the checkpoint is appended again; give the table a unique key
+    where that matters, or load it from a ``file_sink``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.jdbc(url, table, mode="append", properties=properties)
+
+    return write
+
+
+def file_sink(path: str, fmt: str = "parquet") -> BatchSink:
+    """Write each micro-batch to a partition of its own (``batch_id=N``),
+    replacing it: a replayed batch is there once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=properties)
+        batch.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
-    return foreach_batch(df, write, checkpoint, trigger_seconds)
+    return write
+
+
+def to_sinks(*sinks: BatchSink) -> BatchSink:
+    """One sink that hands every micro-batch, computed once, to all of them."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for sink in sinks:
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def write_jdbc_stream(df: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str,
+                      trigger_seconds: int = 10):
+    """Append each micro-batch through JDBC (see ``jdbc_sink``)."""
+    return foreach_batch(df, jdbc_sink(url, table, properties), checkpoint, trigger_seconds)
 
 
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,

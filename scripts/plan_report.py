@@ -12,12 +12,13 @@ sys.path.insert(0, ROOT)
 
 
 def main() -> None:
-    from __spark_entry__ import queries
+    from dimweave.plans.registry import QUERIES, load_all
     from dimweave.plans.inspect import count_operator, exchanges, plan_text
     from dimweave.session import build_session
 
     spark = build_session("local[4]", shuffle_partitions=8)
-    qs = queries()
+    load_all()
+    qs = QUERIES
     print("| query | shuffles | sort-merge joins | broadcast joins | windows | generate | partial aggs | pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
     for name in sorted(qs):
