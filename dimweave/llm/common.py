@@ -44,9 +44,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written to the shared folder and read back: cuts the
-    lineage with files that every executor can read again."""
+    lineage with files that every executor can read again.  Much of what is
+    written are digests, which Parquet's default codec doesn't shorten."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
