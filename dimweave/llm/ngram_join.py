@@ -88,10 +88,19 @@ def _home(nodes: np.ndarray, n: int) -> np.ndarray:
 
 
 # Rows of packed arrays.  node, size: documents whose home is this bucket;
-# owner, count: documents with shingles here; low, high: the shingles' lower 48
-# bits; df: number of documents.
+# owner, count: documents and how many of the following shingles are theirs;
+# low, high: the shingles' lower 48 bits (the bucket they come from stands for
+# the upper ones); df: in how many documents each is.
 _PACKED = "bucket int, node binary, size binary, owner binary, count binary, low binary, high binary"
-_SHARED = "bucket int, node binary, size binary, owner binary, token binary, df binary"
+_SHARED = "bucket int, source int, node binary, size binary, owner binary, count binary, low binary, high binary, df binary"
+
+
+def _by_owner(owner: np.ndarray, tokens: np.ndarray) -> list[bytes]:
+    """owner, count, low and high of shingles that are sorted by owner."""
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, dtype=np.int64)
+    count = np.diff(first, append=len(owner))
+    columns = (owner[first], count.astype("<u4"), tokens.astype("<u4"), (tokens >> np.uint64(32)).astype("<u2"))
+    return [c.tobytes() for c in columns]
 
 
 def _pack(parts: int):
@@ -113,11 +122,7 @@ def _pack(parts: int):
             here, own = slice(cuts[b], cuts[b + 1]), home_order[home_cuts[b] : home_cuts[b + 1]]
             if here.start == here.stop and not len(own):
                 continue
-            t, d = tokens[here], doc[here]
-            first = np.flatnonzero(np.diff(d, prepend=-1))
-            count = np.diff(first, append=len(d))
-            columns = (ids[own], sizes[own].astype("<u4"), ids[d[first]], count.astype("<u4"), t.astype("<u4"), (t >> np.uint64(32)).astype("<u2"))
-            rows.append((b, *(c.tobytes() for c in columns)))
+            rows.append((b, ids[own].tobytes(), sizes[own].astype("<u4").tobytes(), *_by_owner(ids[doc[here]], tokens[here])))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +148,8 @@ def _joined(table: pa.Table, column: str, dtype: str) -> np.ndarray:
 def _count(parts: int):
     """Of one bucket's shingles those of several documents, packed by the
     documents' homes."""
-    schema = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("node", "size", "owner", "token", "df"))])
+    binary = ("node", "size", "owner", "count", "low", "high", "df")
+    schema = pa.schema([("bucket", pa.int32()), ("source", pa.int32()), *((c, pa.binary()) for c in binary)])
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -155,16 +161,17 @@ def _count(parts: int):
         df = np.diff(first, append=len(token))
         df = np.repeat(df, df)
         shared = df > 1
-        token, owner, df = token[shared] | np.uint64(bucket) << np.uint64(48), owner[shared], df[shared].astype("<i4")
+        token, owner, df = token[shared], owner[shared], df[shared].astype("<i4")
         home = _home(owner, parts)
-        order = np.argsort(home, kind="stable")
+        order = np.lexsort((owner, home))
         token, owner, df = token[order], owner[order], df[order]
         cuts = np.searchsorted(home[order], np.arange(parts + 1))
-        rows = [(bucket, b"".join(table.column("node").to_pylist()), b"".join(table.column("size").to_pylist()), b"", b"", b"")]
+        nodes, sizes = (b"".join(table.column(c).to_pylist()) for c in ("node", "size"))
+        rows = [(bucket, bucket, nodes, sizes, b"", b"", b"", b"", b"")]
         for b in range(parts):
             here = slice(cuts[b], cuts[b + 1])
             if here.start < here.stop:
-                rows.append((b, b"", b"", owner[here].tobytes(), token[here].tobytes(), df[here].tobytes()))
+                rows.append((b, bucket, b"", b"", *_by_owner(owner[here], token[here]), df[here].tobytes()))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
@@ -180,7 +187,9 @@ def _per_document(table: pa.Table) -> pa.Table:
     node, size = _joined(table, "node", "<i8"), _joined(table, "size", "<u4").astype(np.int64)
     order = np.argsort(node)
     node, size = node[order], size[order]
-    owner, token, df = _joined(table, "owner", "<i8"), _joined(table, "token", "<u8"), _joined(table, "df", "<i4")
+    owner, df = np.repeat(_joined(table, "owner", "<i8"), _joined(table, "count", "<u4")), _joined(table, "df", "<i4")
+    source = np.repeat(table.column("source").to_numpy().astype(np.uint64), [len(x) // 4 for x in table.column("df").to_pylist()])
+    token = source << np.uint64(48) | _joined(table, "high", "<u2").astype(np.uint64) << np.uint64(32) | _joined(table, "low", "<u4")
     order = np.lexsort((token, df, owner))
     owner, token, df = owner[order], token[order], df[order]
     begin, end = np.searchsorted(owner, node), np.searchsorted(owner, node, side="right")
