@@ -338,7 +338,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, with all their columns and
-    their texts as they are."""
+    their texts as they are.  Null and empty texts have no words and stay, so
+    does everything when the benchmark is empty; repeated rows are judged each;
+    an empty table gives an empty table."""
     others = [c for c in docs.columns if c.lower() != "text"]
     found = find_passages(docs, benchmark, others).withColumn("hit", _span_words())
     clean = found.filter((F.col("hit") == 0) | (20 * F.col("hit") < F.col("n_words")))

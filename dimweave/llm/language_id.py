@@ -204,7 +204,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
 
     Profiles are learned from the documents' own ``lang`` where it is given;
     when no document has one, nothing can be recognised and only documents
-    without a letter go."""
+    without a letter (null and empty texts among them) go.  Repeated rows are
+    judged each; an empty table gives an empty table."""
     profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

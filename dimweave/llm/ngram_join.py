@@ -219,6 +219,14 @@ def _per_document(table: pa.Table) -> pa.Table:
     )
 
 
+def _pairs_within(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (left < right) of all pairs of equal entries of a sorted array."""
+    place = np.arange(len(groups))
+    later = np.searchsorted(groups, groups, side="right") - place - 1
+    left = np.repeat(place, later)
+    return left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
+
+
 def prefix_signatures(n: int, tokens: np.ndarray, dfs: np.ndarray) -> np.ndarray:
     """Signatures of a set of n shingles whose shared ones are ``tokens`` (from
     rare to frequent): any two sets that link have one in common."""
@@ -240,10 +248,8 @@ def prefix_signatures(n: int, tokens: np.ndarray, dfs: np.ndarray) -> np.ndarray
         out.append(mixed(single * _ODD[2] + salt))
         frequent, g = prefix[n_rare:], g[n_rare:]
         order = np.lexsort((frequent, g))
-        frequent, g = frequent[order], g[order]
-        ends = np.searchsorted(g, g, side="right")
-        left = np.repeat(np.arange(len(g)), ends - np.arange(len(g)) - 1)
-        right = np.arange(len(left)) - np.repeat(np.cumsum(ends - np.arange(len(g)) - 1) - (ends - np.arange(len(g)) - 1), ends - np.arange(len(g)) - 1) + left + 1
+        frequent = frequent[order]
+        left, right = _pairs_within(g[order])
         out.append(mixed(mixed(frequent[left] * _ODD[3] + salt) + frequent[right] * _ODD[4]))
     return np.concatenate(out)
 
@@ -397,7 +403,8 @@ def _numbered(rows: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents without those that reach a smaller doc_id by links (of
     rows with the same id: a smaller row): one of each group stays, with all
-    its columns."""
+    its columns.  Documents without words (null and empty texts) link with
+    nothing and stay; an empty table gives an empty table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     if _plain_ids(docs.select("doc_id"), kind):
         _, roots = _components_of(docs.select(F.col("doc_id").cast("long").alias("node"), "text"))
