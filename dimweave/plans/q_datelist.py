@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from dimweave.functions.columns import MASK_ANCHOR_DAY, MASK_LAST_7, MASK_PREVIOUS_7
 from dimweave.operators.datelist import activity_flags, datelist_int, dates_as_of
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_cumulative import DEVICE_EVENTS
 from dimweave.plans.registry import last_day, register
 from dimweave.sources import adapters as A
 
+
+
+def _days(first: int, n: int) -> int:
+    """Bits of n days from the first-th before the anchor day (bit 31) on."""
+    return sum(1 << (31 - first - k) for k in range(n))
+
+
 _USER_BITS = [
     ("daily", "SELECT DISTINCT user_id, event_date AS d FROM web_events WHERE user_id IS NOT NULL"),
     ("anchor", "SELECT MAX(d) AS a FROM daily"),
@@ -28,10 +34,10 @@ FLAGS_SQL = with_views(
     ["web_events"],
     f"""SELECT user_id, CAST(bit_count(datelist_int) AS INTEGER) AS l32,
                bit_count(datelist_int) > 0 AS monthly_active,
-               CAST(bit_count(datelist_int & {MASK_LAST_7}) AS INTEGER) AS l7,
-               bit_count(datelist_int & {MASK_LAST_7}) > 0 AS weekly_active,
-               bit_count(datelist_int & {MASK_PREVIOUS_7}) > 0 AS weekly_active_previous_week,
-               bit_count(datelist_int & {MASK_ANCHOR_DAY}) > 0 AS daily_active
+               CAST(bit_count(datelist_int & {_days(0, 7)}) AS INTEGER) AS l7,
+               bit_count(datelist_int & {_days(0, 7)}) > 0 AS weekly_active,
+               bit_count(datelist_int & {_days(7, 7)}) > 0 AS weekly_active_previous_week,
+               bit_count(datelist_int & {_days(0, 1)}) > 0 AS daily_active
         FROM bits""",
     _USER_BITS,
 )
