@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
+import sys
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -66,6 +69,29 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(archive)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system.  Workers are kept between tasks;
+    what their allocators hold on to after one stage would be missing in the
+    next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+_model: dict = {}
+
+
+def worker_model(key, make: Callable):
+    """What a worker keeps between tasks: the model of the operator that ran
+    last.  Workers outlive stages, so another operator's model makes room."""
+    if key not in _model:
+        _model.clear()
+        release_memory()
+        _model[key] = make()
+    return _model[key]
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``column`` holds about ``max_bytes`` bytes
     (one row at least), so that a task's working set doesn't depend on how
@@ -75,3 +101,4 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int
         step = max(1, int(n * max_bytes / max(1, batch.column(column).nbytes)))
         for at in range(0, n, step):
             yield batch.slice(at, step)
+    release_memory()

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import shared_path, small_batches, white_space_chunks, written
+from dimweave.llm.common import shared_path, small_batches, white_space_chunks, worker_model, written
 
 # Fixed values of the seekable format.
 DIRECTORY_MAGIC = 0x184D2A50
@@ -183,21 +183,11 @@ def open_for_reading(path: str):
     return system.open_input_file(where)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
-def _encoder(spec: str) -> ChunkEncoder:
-    if spec not in _encoders:
-        _encoders.clear()
-        _encoders[spec] = ChunkEncoder(spec)
-    return _encoders[spec]
-
-
 def _writer(spec: str, end_id: int, folder: str):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(spec)
+        encoder = worker_model(("ids", spec), lambda: ChunkEncoder(spec))
         task = TaskContext.get().partitionId()
         system, where = fs.FileSystem.from_uri(folder)
         system.create_dir(where, recursive=True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches
+from dimweave.llm.common import small_batches, worker_model
 
 UNDETERMINED = "und"
 #: Symbols: 0 is everything but letters, 1 to 26 are a to z, the other letters
@@ -100,14 +100,8 @@ class GramVectors:
         return counts.astype(np.float32) @ self.of(grams)
 
 
-_vectors: GramVectors | None = None
-
-
 def _task_vectors() -> GramVectors:
-    global _vectors
-    if _vectors is None:
-        _vectors = GramVectors()
-    return _vectors
+    return worker_model("grams", GramVectors)
 
 
 @dataclass(frozen=True)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches, written
+from dimweave.llm.common import release_memory, small_batches, written
 
 SHINGLE = 5
 #: Documents a shingle must be in to count as frequent.
@@ -45,7 +45,7 @@ GROUP_SHINGLES = 32
 #: Members of a leader that are compared with each other at once.
 BLOCK = 512
 #: Shingles that a task gathers before it sends them off.
-FLUSH_SHINGLES = 2_000_000
+FLUSH_SHINGLES = 1_000_000
 
 # Odd multipliers for the words of a shingle.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -152,6 +152,7 @@ def _count(parts: int):
     schema = pa.schema([("bucket", pa.int32()), ("source", pa.int32()), *((c, pa.binary()) for c in binary)])
 
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         bucket = table.column("bucket")[0].as_py()
         owner = np.repeat(_joined(table, "owner", "<i8"), _joined(table, "count", "<u4"))
         token = _joined(table, "high", "<u2").astype(np.uint64) << np.uint64(32) | _joined(table, "low", "<u4")
@@ -184,6 +185,7 @@ def _per_document(table: pa.Table) -> pa.Table:
     """Of every document its size and how many of its shingles others have;
     of those that can have a partner also the shared shingles from rare to
     frequent, and a digest of the set where it has no shingle of its own."""
+    release_memory()
     node, size = _joined(table, "node", "<i8"), _joined(table, "size", "<u4").astype(np.int64)
     order = np.argsort(node)
     node, size = node[order], size[order]
@@ -262,6 +264,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, dtype=np.int64)
         node, score = batch.column("node").to_numpy(), batch.column("score").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(node[at]), pa.array(score[at])], ["signature", "node", "score"])
+    release_memory()
 
 
 def _can_link(a: str, b: str):

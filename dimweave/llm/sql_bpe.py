@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches
+from dimweave.llm.common import small_batches, worker_model
 
 CACHE_ENTRIES = 250_000
 #: Symbols that one recursive query starts from, and rows it may pile up.
@@ -198,16 +198,10 @@ class SqlBpe:
         return out
 
 
-_models: dict[tuple[str, str], SqlBpe] = {}
-
-
 def task_model(ranks_file: bytes, pattern: str) -> SqlBpe:
     """The worker's model for a rank file's content."""
-    key = (hashlib.sha256(ranks_file).hexdigest(), pattern)
-    if key not in _models:
-        _models.clear()
-        _models[key] = SqlBpe(parse_ranks(ranks_file), pattern)
-    return _models[key]
+    key = ("bpe", hashlib.sha256(ranks_file).hexdigest(), pattern)
+    return worker_model(key, lambda: SqlBpe(parse_ranks(ranks_file), pattern))
 
 
 def _round_trip(ranks_file: bytes, pattern: str, outputs):

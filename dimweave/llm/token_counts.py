@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches, white_space_chunks
+from dimweave.llm.common import small_batches, white_space_chunks, worker_model
 
 WORD_END = "</w>"
 #: Distinct chunks whose counts a worker remembers (about 150 bytes each);
@@ -229,17 +229,17 @@ class CountModel:
         return [sum(map(self.known.__getitem__, chunks)) for chunks in split]
 
 
-_models: dict[str, CountModel] = {}
+def _proved(spec: str, whole: frozenset[str]) -> CountModel:
+    model = CountModel(spec)
+    model.whole = whole  # proved on the driver
+    return model
 
 
 def _counter(spec: str, whole: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if spec not in _models:
-            _models.clear()
-            _models[spec] = CountModel(spec)
-            _models[spec].whole = whole  # proved on the driver
+        model = worker_model(("counts", spec), lambda: _proved(spec, whole))
         for batch in small_batches(batches, "text", 4 << 20):
-            counts = _models[spec].count(batch.column("text").to_pylist())
+            counts = model.count(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
