@@ -7,6 +7,12 @@ n-grams; a language's prototype bundles those of all its training texts.
 Documents are compared with the prototypes by cosine, after the mean prototype
 has been taken from both (what all languages share says nothing).
 
+Centred prototypes sum to zero, so the best of their cosines is above zero for
+any text: it tells languages apart, not whether a text is in one of them.  That
+is decided before centring, by a text's likeness: the mean of its n-grams'
+products with the prototype, as a share of what the language's own texts get on
+average (1), near 0 for other scripts, code or random letters.
+
 Bundling is linear, so training needs only each language's n-gram counts,
 summed over all training documents by Spark; the n-gram vectors are applied to
 the sums.  What reaches the driver is bounded by languages x n-grams.
@@ -14,6 +20,7 @@ the sums.  What reaches the driver is bounded by languages x n-grams.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +38,16 @@ N_SYMBOLS = 40
 N_GRAM = 3
 DIMENSIONS = 512
 SEED = 20240501
+#: A text is recognised down to this share of the likeness that all but
+#: LOW_QUANTILE of its language's learned texts of its length reach, and where
+#: it is within so many standard errors of 1 (what short texts always are).
+LEAST_SHARE = 0.3
+LOW_QUANTILE = 0.05
+STANDARD_ERRORS = 3.0
+#: Histograms of likeness: bins of a hundredth from -2 to 4; lengths with fewer
+#: texts use another length's.
+BINS = 600
+FEW_TEXTS = 20
 
 _symbols: np.ndarray | None = None
 
@@ -106,11 +123,26 @@ def _task_vectors() -> GramVectors:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Language names and their prototypes (per n-gram, mean taken off)."""
+    """Language names and their prototypes (per n-gram, mean taken off); and,
+    for the likeness, the prototypes before that, the n-grams learned, the
+    likeness's unit and the standard error of one n-gram."""
 
     languages: list[str]
     mean: np.ndarray
     prototypes: np.ndarray
+    plain: np.ndarray
+    sizes: np.ndarray
+    units: np.ndarray
+    errors: np.ndarray
+
+    def _best(self, bundle: np.ndarray, n: float) -> tuple[int, float]:
+        v = bundle - n * self.mean
+        norm = float(np.linalg.norm(v))
+        if norm == 0.0:
+            return 0, 0.0
+        cosines = self.prototypes @ v / norm
+        best = int(np.argmax(cosines))
+        return best, float(np.clip(cosines[best], 0.0, 1.0))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, cosine clipped to 0..1); UNDETERMINED and 0 for a text
@@ -119,13 +151,55 @@ class Profiles:
         found = gram_counts(text) if self.languages else None
         if found is None:
             return UNDETERMINED, 0.0
-        v = _task_vectors().bundle(*found) - float(found[1].sum()) * self.mean
-        norm = float(np.linalg.norm(v))
-        if norm == 0.0:
-            return self.languages[0], 0.0
-        cosines = self.prototypes @ v / norm
-        best = int(np.argmax(cosines))
-        return self.languages[best], float(np.clip(cosines[best], 0.0, 1.0))
+        best, score = self._best(_task_vectors().bundle(*found), float(found[1].sum()))
+        return self.languages[best], score
+
+    def learned_likeness(self, text: str, lang: str) -> tuple[int, float] | None:
+        """Length class and likeness of a learned text, with its own part taken
+        out of its language's prototype.  None without any other text."""
+        found = gram_counts(text)
+        if found is None:
+            return None
+        i, n = self.languages.index(lang), float(found[1].sum())
+        if self.sizes[i] <= n:
+            return None
+        v = _task_vectors().bundle(*found).astype(np.float64)
+        others = (v @ self.plain[i] * self.sizes[i] - v @ v) / (self.sizes[i] - n)
+        return length_class(n), float(others / n / self.units[i])
+
+    def recognised(self, text: str | None, bounds: Bounds, min_score: float = 0.0) -> bool:
+        """Whether a text is like the language it is predicted as."""
+        found = gram_counts(text)
+        if found is None:
+            return False
+        bundle, n = _task_vectors().bundle(*found), float(found[1].sum())
+        best, score = self._best(bundle, n)
+        likeness = float(self.plain[best] @ bundle) / n / self.units[best]
+        size = _effective(found[1])
+        usual = bounds.get((self.languages[best], length_class(n)))
+        if usual is None:
+            usual = bounds.get((self.languages[best], None), bounds.get((None, None), -np.inf))
+        # the widest error: of a short text the predicted language is uncertain too
+        bound = min(usual * LEAST_SHARE, 1.0 - STANDARD_ERRORS * self.errors.max() / size**0.5)
+        return score >= min_score and likeness >= bound
+
+
+#: Longest length class (numbers of n-grams, by powers of two).
+LONGEST = 31
+#: Likeness that all but LOW_QUANTILE of the learned texts reach, by language
+#: and length class; class None: of all lengths, language None: of all texts.
+Bounds = dict[tuple[str | None, int | None], float]
+
+
+def _effective(counts: np.ndarray) -> float:
+    """As how many different n-grams a text's n-grams count: (sum of counts)
+    squared / sum of squared counts."""
+    c = counts.astype(np.float64)
+    return float(c.sum() ** 2 / (c * c).sum())
+
+
+def length_class(n: float) -> int:
+    return min(LONGEST, int(np.log2(n)))
 
 
 def held_out(doc_id: Column, modulus: int = 3, remainder: int = 1) -> Column:
@@ -156,14 +230,53 @@ def learn_profiles(labelled: DataFrame) -> Profiles:
     languages = sorted(sums["lang"].unique())
     vectors = GramVectors()
     prototypes = np.zeros((len(languages), DIMENSIONS), dtype=np.float32)
+    sizes, units, errors = (np.ones(len(languages)) for _ in range(3))
     for i, lang in enumerate(languages):
         own = sums[sums["lang"] == lang].sort_values("gram")
         n = own["n"].to_numpy(dtype=np.float64)
         prototypes[i] = vectors.bundle(own["gram"].to_numpy(), n / n.sum())
+        q, sizes[i] = n / n.sum(), n.sum()
+        # sum of squared shares, without what a small sample adds to it
+        same = float((n * (n - 1)).sum() / max(1.0, n.sum() * (n.sum() - 1))) or float(q @ q)
+        units[i] = same * DIMENSIONS
+        errors[i] = max(0.0, float((q**3).sum()) / float(q @ q) ** 2 - 1 + 1 / units[i]) ** 0.5
+    plain = prototypes.copy()
     mean = prototypes.mean(axis=0) if len(languages) > 1 else np.zeros(DIMENSIONS, dtype=np.float32)
     prototypes -= mean
     norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    return Profiles(languages, mean, prototypes / np.where(norms > 0, norms, 1))
+    return Profiles(languages, mean, prototypes / np.where(norms > 0, norms, 1), plain, sizes, units, errors)
+
+
+def learn_bounds(labelled: DataFrame, profiles: Profiles) -> Bounds:
+    """Bounds from all rows that the profiles were learned from.  Histograms of
+    their likeness are made in each task and summed; the sums (at most
+    languages x length classes x bins) come to the driver."""
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[tuple[str, int, int]] = Counter()
+        for batch in small_batches(batches, "text", 16 << 20):
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+                found = profiles.learned_likeness(text, lang)
+                if found is not None:
+                    seen[lang, found[0], int(np.clip((found[1] + 2) * 100, 0, BINS - 1))] += 1
+        if seen:
+            langs, sizes, bins = (list(x) for x in zip(*seen, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(sizes, pa.int32()), pa.array(bins, pa.int32()), pa.array(list(seen.values()), pa.int64())], ["lang", "size", "bin", "n"])
+
+    sums = rows.mapInArrow(count, "lang string, size int, bin int, n long").groupBy("lang", "size", "bin").agg(F.sum("n").alias("n")).collect()
+    histograms: dict[tuple[str | None, int | None], np.ndarray] = {}
+    for r in sums:
+        for key in ((r["lang"], r["size"]), (r["lang"], None), (None, None)):
+            histograms.setdefault(key, np.zeros(BINS, dtype=np.int64))[r["bin"]] += r["n"]
+    enough = {k: h for k, h in histograms.items() if k == (None, None) or h.sum() >= FEW_TEXTS}
+    low = {k: float(np.searchsorted(h.cumsum(), LOW_QUANTILE * h.sum(), side="right")) / 100 - 2 for k, h in enough.items()}
+    # a length without enough texts: the nearest one with enough, the shorter of two
+    for lang in {k[0] for k in low if k[1] is not None}:
+        known = [k[1] for k in low if k[0] == lang and k[1] is not None]
+        for size in range(LONGEST + 1):
+            low[lang, size] = low[lang, min(known, key=lambda s: (abs(s - size), s))]
+    return low
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:
@@ -193,20 +306,25 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """The documents whose language is recognised: without those that have no
-    letter or whose text is like no learned language (score not above
-    ``min_score``).  All columns are kept as they are.
-
-    Profiles are learned from the documents' own ``lang`` where it is given;
-    when no document has one, nothing can be recognised and only documents
-    without a letter (null and empty texts among them) go.  Repeated rows are
-    judged each; an empty table gives an empty table."""
-    profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
+    letter, whose likeness to their predicted language is below LEAST_SHARE of
+    what nearly all learned texts of that language and length reach, or whose
+    score is below ``min_score``.  Texts too short to tell (with fewer than
+    some 25 different n-grams) stay.  All columns are kept as they are.
+
+    Profiles and bounds are learned from all documents' own ``lang`` where it
+    is given (held-out ones aside); when no document has one, nothing can be
+    recognised and only documents without a letter (null and empty texts among
+    them) go.  Repeated rows are judged each; an empty table gives an empty
+    table."""
+    labelled = docs.filter(~held_out(F.col("doc_id"))).select("text", "lang")
+    profiles = learn_profiles(labelled)
+    bounds = learn_bounds(labelled, profiles) if profiles.languages else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 16 << 20):
             texts = batch.column("text").to_pylist()
             if profiles.languages:
-                keep = [lang != UNDETERMINED and score > min_score for lang, score in map(profiles.predict, texts)]
+                keep = [profiles.recognised(t, bounds, min_score) for t in texts]
             else:
                 keep = [gram_counts(t) is not None for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))

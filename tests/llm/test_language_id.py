@@ -72,3 +72,31 @@ def test_filter_keeps_recognised_documents_whole(spark, documents, odd):
     assert sorted(kept.collect()) == sorted(documents.collect())
     # nothing to learn from: only documents without a letter go
     assert {r.doc_id for r in L.keep_identified(odd).collect()} == {4, 5, 6, 7, 8, 9, 12, 13, 14, 15}
+
+
+def test_filter_rejects_unlearned_languages_and_random_letters(spark, documents):
+    import random
+
+    rnd = random.Random(5)
+
+    def letters(n, alphabet):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+
+    clean = documents.collect()
+    foreign = [
+        "今天天气很好，我们一起去公园散步，然后在湖边喝茶聊天，晚上回家做饭吃。" * 5,
+        letters(3000, [chr(c) for c in range(0x4E00, 0x5A00)]),
+        "Сегодня хорошая погода, и мы пошли гулять в парк, а потом пили чай у озера и говорили о книгах.",
+        letters(100, "abcdefghijklmnopqrstuvwxyz"),
+        letters(400, "abcdefghijklmnopqrstuvwxyz    "),
+        letters(5000, "abcdefghijklmnopqrstuvwxyz    "),
+        "def f(x):\n    for k, v in self.items():\n        if not isinstance(v, dict): raise ValueError(k)\n        yield from zip(x, range(len(v)))\n    return np.zeros((n, m), dtype=np.float32)",
+    ]
+    by_lang = {r.lang: r.text for r in clean}
+    short = [" ".join(t.split()[:n]) for t in by_lang.values() for n in (1, 2, 4, 8, 16, 40)]
+    short += ["Yes.", "Hello", "Thank you very much.", f"{by_lang['en'][:800]} {by_lang['de'][:800]}"]
+    rows = [(f"f{i}-{k}", t, None) for k in range(3) for i, t in enumerate(foreign)] + [(f"c{i}", t, None) for i, t in enumerate(short)]
+    both = documents.select(documents.doc_id.cast("string").alias("doc_id"), "text", "lang")
+    both = both.unionByName(spark.createDataFrame(rows, "doc_id string, text string, lang string"))
+    kept = {r.doc_id for r in L.keep_identified(both).collect()}
+    assert kept == {str(r.doc_id) for r in clean} | {f"c{i}" for i in range(len(short))}
