@@ -6,19 +6,22 @@ with a right check digit, a date another date, an address another address.
 Under one key equal values get equal pseudonyms in all documents, and
 different values of one format different ones.
 
-* card: 13 to 19 digits (plain, or groups of four) with a right Luhn digit;
-  all but the check digit are permuted, the check digit is computed anew;
-* iban: right modulo 97; letters and digits of the account are permuted within
+* card: 13 to 19 digits (plain, in groups of four, or 4-6-5 and 4-6-4) with a
+  right Luhn digit; all but the check digit are permuted, the check digit is computed anew;
+* iban: right modulo 97, of its country's length where a text of that length
+  is right (an upper-case word behind it isn't taken for a group); letters and digits of the account are permuted within
   their class, the check digits computed anew;
 * ssn: ddd-dd-dddd within the assigned ranges, permuted within them;
 * date: an existing day of 1800 to 2199 written y-m-d, m/d/y or d.m.y,
-  permuted among these 146,097 days;
+  permuted among these 146,097 days; a time may follow behind a T;
 * ipv4: four numbers up to 255 without leading zeros, permuted as 32 bits;
-* phone: the digits behind the country code;
+* phone: the digits behind the country code, as many as the country's numbers
+  have where that is fixed, or up to a last group behind a dash or dot;
 * email: letters and digits of the local part, within their class;
 * secret: the value assigned to a token, key, secret or password.
 
-Candidates that fail their validation stay as they are.
+Candidates that fail their validation stay as they are; what looks like an IBAN
+and isn't one is searched for the other values.
 """
 
 from __future__ import annotations
@@ -34,19 +37,45 @@ ROUNDS = 8
 KEY_SETTING = "spark.dimweave.pseudonyms.key"
 TEST_KEY = "not a secret: set spark.dimweave.pseudonyms.key"
 
-_CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7})"
+_CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}-[0-9]{6}-[0-9]{4,5}|[0-9]{4} [0-9]{6} [0-9]{4,5})"
 _IBAN = r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)"
+#: Countries by the length of their IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(n: int, countries: str) -> str:
+    groups, rest = divmod(n - 4, 4)
+    spaced = f"(?: [A-Z0-9]{{4}}){{{groups}}}" + (f" [A-Z0-9]{{{rest}}}" if rest else "")
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|{spaced})(?![A-Za-z0-9])"
+
+
+_COUNTRY_IBAN = f"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())})"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
 _IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
-_PHONE = r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
+#: Digits behind the country code, where all numbers of the plan have as many.
+PHONE_DIGITS = {"1": 10, "7": 10, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "52": 10, "61": 9, "90": 10, "91": 10, "351": 9, "420": 9}
+_PLANNED = "|".join(rf"{c}[ .-]?\(?[0-9](?:(?:\)[ .-]?|[ .-]\(?(?=[0-9]{{2}}))?[0-9]){{{n - 1}}}" for c, n in PHONE_DIGITS.items())
+_DASHED = r"[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{2,4}(?:[.-][0-9]{2,4})?[.-][0-9]{3,4}"
+_PHONE = (
+    rf"(?:\+(?:{_PLANNED})(?![A-Za-z0-9]|[.-][0-9])|\+(?:{_DASHED})(?![A-Za-z0-9]|[.-][0-9])"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
+)
 _EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}"
 _SECRET = r"(?i:token|secret|password|passwd|api[_-]?key) ?[=:] ?[\"'][A-Za-z0-9_+/.=-]{8,256}[\"']"
-#: One pattern over a text.  A value doesn't touch letters or digits, and a
-#: dotted one not another dotted number.
+_NAMED = f"(?=[tTsSpPaA]){_SECRET}|(?<![A-Za-z0-9._%+-]){_EMAIL}"
+#: Patterns over a text, one after the other over what the ones before leave.  A
+#: value doesn't touch letters or digits, and a dotted one not another dotted
+#: number.
+IBAN_PATTERNS = [f"{_NAMED}|(?<![A-Za-z0-9])(?:{iban})(?![A-Za-z0-9])" for iban in (_COUNTRY_IBAN, _IBAN)]
 PATTERN = (
-    f"(?=[tTsSpPaA]){_SECRET}|(?<![A-Za-z0-9._%+-]){_EMAIL}|(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])"
-    rf"|(?=[0-9+(])(?<![A-Za-z0-9]|[0-9][.-])(?:{_IPV4}|{_DATE}|{_SSN}|{_CARD}|{_PHONE})(?![A-Za-z0-9]|[.-][0-9])"
+    rf"{_NAMED}|(?=[0-9+(])(?<![A-Za-z0-9]|[0-9][.-])(?:{_IPV4}|{_DATE}|{_SSN}|{_CARD}|{_PHONE})(?![A-Za-z0-9]|[.-][0-9])"
+    r"|(?=[0-9])(?<![A-Za-z0-9]|[0-9][.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2}(?::?[0-9]{2}|[Zz]|(?![A-Za-z0-9])))"
     rf"|(?=[0-9+(])(?<![A-Za-z0-9+])(?:{_PHONE})(?![A-Za-z0-9])"
 )
 _FIRST_DAY = "1800-01-01"
@@ -176,6 +205,8 @@ def _mod_97(text: Column) -> Column:
 
 
 def _iban(text: Column, key: Column) -> Column:
+    """Null for what isn't an IBAN."""
+
     def replaced(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
 
@@ -184,7 +215,7 @@ def _iban(text: Column, key: Column) -> Column:
             return F.concat(country, check, fresh)
 
         right = _mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1
-        return F.when(right, _laid_out(text, _let(permuted_text(account, key, "iban"), checked), "A-Z0-9")).otherwise(text)
+        return F.when(right, _laid_out(text, _let(permuted_text(account, key, "iban"), checked), "A-Z0-9"))
 
     return _let(F.replace(text, F.lit(" "), F.lit("")), replaced)
 
@@ -271,25 +302,60 @@ KINDS: list[tuple[str, str, Callable[[Column, Column], Column]]] = [
 ]
 
 
-def pseudonym(match: Column, key: Column) -> Column:
-    """The pseudonym of a match of PATTERN, or the match itself where it
-    doesn't hold what its form promises."""
+def pseudonym(match: Column, key: Column, kinds: list[str]) -> Column:
+    """The pseudonym of a match of a pattern with values of these kinds, or the
+    match itself (of an IBAN null) where it doesn't hold what its form
+    promises."""
     out = None
-    for _, pattern, permute in KINDS:
-        whole = match.rlike(f"^(?:{pattern})$")
-        out = F.when(whole, permute(match, key)) if out is None else out.when(whole, permute(match, key))
+    for kind, pattern, permute in KINDS:
+        if kind in kinds:
+            whole = match.rlike(f"^(?:{pattern})$")
+            out = F.when(whole, permute(match, key)) if out is None else out.when(whole, permute(match, key))
     return out.otherwise(match)
 
 
+def _parts(text: Column, pattern: str, key: Column) -> Column:
+    """``text`` taken apart at its secrets, mail names and right IBANs: structs
+    of the text before each (wrong ones included) and its pseudonym."""
+    between = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), 0)
+    fresh = F.transform(matches, lambda m: F.struct(m.alias("m"), pseudonym(m, key, ["secret", "email", "iban"]).alias("fresh")))
+    pieces = F.zip_with(between, fresh, lambda b, m: F.struct(b.alias("before"), m["m"].alias("m"), m["fresh"].alias("fresh")))
+    none = F.array().cast("array<struct<before:string,fresh:string>>")
+
+    def step(s: Column, p: Column) -> Column:
+        before = F.concat(s["before"], p["before"])
+        done = F.concat(s["done"], F.array(F.struct(before.alias("before"), p["fresh"].alias("fresh"))))
+        right = p["fresh"].isNotNull()
+        return F.struct(
+            F.when(right, done).otherwise(s["done"]).alias("done"),
+            F.when(right, F.lit("")).otherwise(F.concat(before, F.coalesce(p["m"], F.lit("")))).alias("before"),
+        )
+
+    def end(s: Column) -> Column:
+        return F.concat(s["done"], F.array(F.struct(s["before"].alias("before"), F.lit("").alias("fresh"))))
+
+    return F.aggregate(pieces, F.struct(none.alias("done"), F.lit("").alias("before")), step, end)
+
+
 def pseudonymized(text: Column, key: Column) -> Column:
     """``text`` with all values replaced.  The text is taken apart at the
     matches and put together again around their pseudonyms."""
-    between = F.split(text, PATTERN, -1)
-    matches = F.regexp_extract_all(text, F.lit(PATTERN), 0)
-    fresh = F.transform(matches, lambda m: pseudonym(m, key))
-    joined = F.array_join(F.zip_with(between, fresh, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
-    # every value has a digit, an at sign or an assigned string
-    return F.when(text.rlike("[0-9@=:]"), joined).otherwise(text)
+
+    def rest(t: Column) -> Column:
+        between = F.split(t, PATTERN, -1)
+        matches = F.regexp_extract_all(t, F.lit(PATTERN), 0)
+        fresh = F.transform(matches, lambda m: pseudonym(m, key, [kind for kind, _, _ in KINDS if kind != "iban"]))
+        return F.array_join(F.zip_with(between, fresh, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
+
+    def without(pattern: str, then: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda t: F.array_join(F.transform(_parts(t, pattern, key), lambda p: F.concat(then(p["before"]), p["fresh"])), "")
+
+    country, other = IBAN_PATTERNS
+    ibans = without(country, without(other, rest))
+    # every value has a digit, an at sign or an assigned string; an IBAN starts with two letters and two digits
+    some = F.when(text.rlike("(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[ A-Z0-9]"), ibans(text)).otherwise(rest(text))
+    return F.when(text.rlike("[0-9@=:]"), some).otherwise(text)
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:

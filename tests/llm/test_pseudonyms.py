@@ -147,3 +147,26 @@ def test_any_length(spark, n):
     text = "9" * n
     got = spark.range(1).select(P.permuted_text(F.lit(text), F.lit(KEY), "x").alias("t")).first().t
     assert got == feistel_text(text, "x")
+
+
+def test_neighbours_hide_no_value(spark):
+    def mod_97(plain):
+        return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+    alone = ["BE68 5390 0754 7034", "NO93 8601 1117 947", "+1 (017) 555-7713", "+44 20 7946 0958", "+49 30 123-4567", "2024-03-05", "3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "4111 1111 1111 1111"]
+    own = dict(zip(alone, changed(spark, alone), strict=True))
+    assert all(a != b and len(a) == len(b) for a, b in own.items())
+    assert all(mod_97(own[a].replace(" ", "")) == 1 for a in alone[:2])
+    assert all(luhn(re.sub("[ -]", "", own[a])) for a in alone[6:])
+    assert own[alone[6]].replace(" ", "") == own[alone[7]].replace("-", "")
+    around = [
+        "{BE68 5390 0754 7034} PAID", "{BE68 5390 0754 7034} PAID BY CARD 42", "{NO93 8601 1117 947} ABC", "AB12 {BE68 5390 0754 7034} EUR",
+        "call {+1 (017) 555-7713} 42 times", "{+1 (017) 555-7713} 12 34", "{+44 20 7946 0958} 42 times", "{+49 30 123-4567} 42",
+        "at {2024-03-05}T10:00:00Z", "{2024-03-05}T10:00:00.123+02:00, {2024-03-05}t0900 and {2024-03-05}", "2024-03-05Test",
+        "amex {3782 822463 10005}, {3782-822463-10005}", "AB12 {4111 1111 1111 1111}", "AB12 CDEF GHIJ {2024-03-05}",
+    ]
+    got = changed(spark, [re.sub("[{}]", "", t) for t in around])
+    assert got == [re.sub(r"\{(.*?)\}", lambda m: own[m[1]], t) for t in around]
+    # a secret or mail name behind what looks like an IBAN
+    secret, mail = changed(spark, ['API_KEY="abCD1234"', "EFGH@x.com"])
+    assert changed(spark, ['AB12 CDEF GHIJ API_KEY="abCD1234"', "AB12 ABCD EFGH@x.com"]) == [f"AB12 CDEF GHIJ {secret}", f"AB12 ABCD {mail}"]
