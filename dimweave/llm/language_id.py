@@ -93,7 +93,7 @@ class GramVectors:
         # a letter k places before the n-gram's end is rotated k times
         self.placed = [np.roll(letters, k, axis=1) for k in range(N_GRAM - 1, -1, -1)]
         self.row = np.full(N_SYMBOLS**N_GRAM, -1, dtype=np.int32)
-        self.rows = np.zeros((0, dimensions), dtype=np.float32)
+        self.rows = np.zeros((0, dimensions), dtype=np.int8)
         self.used = 0
 
     def bound(self, grams: np.ndarray) -> np.ndarray:
@@ -106,12 +106,12 @@ class GramVectors:
         new = grams[self.row[grams] < 0]
         if len(new):
             if self.used + len(new) > len(self.rows):
-                more = np.zeros((max(4096, len(new), len(self.rows) // 2), self.rows.shape[1]), dtype=np.float32)
+                more = np.zeros((max(4096, len(new), len(self.rows) // 2), self.rows.shape[1]), dtype=np.int8)
                 self.rows = np.concatenate([self.rows, more])
             self.rows[self.used : self.used + len(new)] = self.bound(new)
             self.row[new] = np.arange(self.used, self.used + len(new))
             self.used += len(new)
-        return self.rows[self.row[grams]]
+        return self.rows[self.row[grams]].astype(np.float32)
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return counts.astype(np.float32) @ self.of(grams)
