@@ -71,3 +71,62 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+LEXICAL_SEARCH = rf"""
+WITH d AS (SELECT doc_id, {_words('text', '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')} AS w FROM documents),
+b AS (SELECT DISTINCT item_id, unnest({_words('text', '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')}) AS term FROM benchmark),
+total AS (SELECT COUNT(*) AS n, CAST(SUM(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, COUNT(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(total.n) + 2 AS DOUBLE) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term
+),
+score AS (
+    SELECT item_id, doc_id,
+           CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * tf.n * total.n) // total.l)))) AS BIGINT) AS score
+    FROM b JOIN tf USING (term) JOIN weight USING (term), total
+    GROUP BY item_id, doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS nth FROM score WHERE score > 0)
+SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= 10
+"""
+
+# crc32 of a decimal number: 0xEDB88320 shifted in, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(0, 8)), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+# Every run shares a gram of five words with itself one period on: pairs of
+# equal grams, joined where they follow each other at one distance.
+PERIODIC_RUNS = rf"""
+WITH o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC32} AS h FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM o),
+d AS (
+    SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+        list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w
+    FROM a
+),
+gram AS (SELECT doc_id, i - 1 AS i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, n - 3)) AS i FROM d)),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS p FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+island AS (
+    SELECT doc_id, p, MIN(i) AS s, MAX(i) + 5 + p - MIN(i) AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM pair) GROUP BY doc_id, p, k
+),
+run AS (
+    SELECT doc_id, s, length, MIN(p) AS p FROM island
+    WHERE length >= greatest(6, 4 * p) GROUP BY doc_id, s, length
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, s + length)) AS i FROM run),
+left_ AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+),
+best AS (
+    SELECT doc_id, COUNT(*) AS n_runs, string_agg(s || ',' || length || ',' || p || chr(10), '' ORDER BY s, p) AS runs,
+           arg_min(struct_pack(s := s, l := length, p := p), (-length, s, p)) AS r
+    FROM run GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(r.s AS BIGINT) AS start, CAST(r.l AS BIGINT) AS length, CAST(r.p AS BIGINT) AS period,
+       CAST(1000 * r.l // r.p AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(left_.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN left_ USING (doc_id)
+"""

@@ -14,8 +14,10 @@ from dimweave.llm.common import ship_package, table
 from dimweave.llm.decontaminate import contamination
 from dimweave.llm.id_frames import id_checksums, read_token_ids, write_token_ids
 from dimweave.llm.language_id import identify_languages
+from dimweave.llm.lexical_search import lexical_search
 from dimweave.llm.merkle import edited_fingerprints
 from dimweave.llm.ngram_join import similarity_components
+from dimweave.llm.periodic_runs import periodic_runs, run_report, with_planted_runs
 from dimweave.llm.pseudonyms import KEY_SETTING, TEST_KEY, pseudonym_report
 from dimweave.llm.quality_cnn import quality_scores
 from dimweave.llm.sql_bpe import bpe_round_trip
@@ -107,3 +109,16 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of 5-word shingles."""
     return similarity_components(table(spark, sf_dir, "documents"))
+
+
+@register("op11_best_position", oracles.LEXICAL_SEARCH)
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@register("op13_periodic_runs", oracles.PERIODIC_RUNS)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, with the contract's planted
+    repetitions, and the text without them."""
+    return run_report(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
