@@ -22,7 +22,6 @@ all documents before it) follows.
 from __future__ import annotations
 
 import io
-import re
 import struct
 import uuid
 import zlib
@@ -35,8 +34,11 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from dimweave.llm.common import shared_path, small_batches, white_space_chunks, worker_model, written
+from dimweave.llm.common import shared_path, small_batches, worker_model, written
+from dimweave.llm.word_ids import WordIds
 
 # Fixed values of the seekable format.
 DIRECTORY_MAGIC = 0x184D2A50
@@ -47,70 +49,6 @@ _ENTRY = struct.Struct("<III")
 
 #: A writing task starts another file beyond this many bytes.
 FILE_BYTES = 256 << 20
-#: Distinct chunks that a worker remembers (about 200 bytes each).
-CACHE_ENTRIES = 800_000
-#: Characters of new chunks that the tokenizer encodes in one call.
-_CALL_CHARS = 200_000
-
-
-class ChunkEncoder:
-    """Encodes texts with a tokenizers-library tokenizer, each distinct chunk
-    between white space once (the tokenizer drops white space and no pre-token
-    spans it, so a text's ids are its chunks' ids in order).  Ids are kept as
-    little-endian bytes."""
-
-    def __init__(self, spec: str):
-        import json
-
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        special = json.loads(spec)["added_tokens"]
-        self.marker = next((a for a in special if not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"])), None)
-        self.special = re.compile("|".join(re.escape(a["content"]) for a in special) or r"(?!)")
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Encode new chunks: many per call, set apart by a special string
-        (which the library cuts out before anything else)."""
-        chunks = list(chunks)
-        odd = self.marker is None or self.special.search("\n".join(chunks))
-        plain, size = [], 0
-        for c in chunks:
-            if odd and (self.marker is None or self.special.search(c)):
-                ids = self._ids(c)
-                self.known[c] = struct.pack(f"<{len(ids)}I", *ids)
-                continue
-            plain.append(c)
-            size += len(c)
-            if size >= _CALL_CHARS:
-                self._learn_plain(plain)
-                plain, size = [], 0
-        if plain:
-            self._learn_plain(plain)
-
-    def _learn_plain(self, chunks: list[str]) -> None:
-        import numpy as np
-
-        text = self.marker["content"].join(chunks)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.marker["id"])
-        raw = ids.tobytes()
-        begin = 0
-        for chunk, cut in zip(chunks, [*cuts.tolist(), len(ids)], strict=True):
-            self.known[chunk] = raw[4 * begin : 4 * cut]
-            begin = cut + 1
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        split = [white_space_chunks(t) if t else [] for t in texts]
-        self.learn(set().union(*split) - self.known.keys())
-        for chunks in split:
-            yield b"".join(map(self.known.__getitem__, chunks))
 
 
 class FrameFile:
@@ -187,7 +125,7 @@ def _writer(spec: str, end_id: int, folder: str):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_model(("ids", spec), lambda: ChunkEncoder(spec))
+        encoder = worker_model(("ids", spec), lambda: WordIds(spec))
         task = TaskContext.get().partitionId()
         system, where = fs.FileSystem.from_uri(folder)
         system.create_dir(where, recursive=True)
@@ -199,14 +137,14 @@ def _writer(spec: str, end_id: int, folder: str):
 
         for batch in small_batches(batches, "text", 4 << 20):
             id_type = batch.column("doc_id").type
-            texts = batch.column("text").to_pylist()
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            ids, begins = encoder.encode(batch.column("text").to_pylist())
+            for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 if file is None:
                     # a name of its own for every attempt: the manifest names
                     # the files of the attempts that were committed
                     name = f"ids-{task:06d}-{len(rows):04d}-{uuid.uuid4().hex}.zst"
                     file = FrameFile(system.open_output_stream(f"{where}/{name}", compression=None))
-                file.add(doc_id, ids + end)
+                file.add(doc_id, ids[begins[i] : begins[i + 1]].tobytes() + end)
                 if file.bytes >= FILE_BYTES:
                     finish()
                     file = None
@@ -225,17 +163,19 @@ def write_token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, folder: s
     of all files before it), one row per file.
 
     Null text is empty (only the end id).  Null ids come first; rows with the
-    same id follow each other in the order of their texts.  An empty table
-    gives an empty manifest.  A lost task is run again under new file names,
-    and the manifest holds only committed files.  The rows are shuffled once,
-    by ranges of doc_id; each task holds one small batch of texts.
+    same id follow each other in an order that their texts fix (a hash, then
+    the text), also over several tasks.  An empty table gives an empty
+    manifest.  A lost task is run again under new file names, and the manifest
+    holds only committed files.  The rows are shuffled once, by ranges of
+    doc_id and that hash; each task holds one small batch of texts.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     folder = folder or shared_path(spark, "token-ids")
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(_writer(spec, end_id, folder), "task long, roll long, path string, n_docs long, n_ids long")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    ordered = hashed.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    files = ordered.select("doc_id", "text").mapInArrow(_writer(spec, end_id, folder), "task long, roll long, path string, n_docs long, n_ids long")
     files = written(files, "token-id-files")  # runs the writing once; one row per file
     before = Window.orderBy("task", "roll").rowsBetween(Window.unboundedPreceding, -1)
     return files.select("path", "n_docs", "n_ids", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
@@ -261,7 +201,7 @@ def read_token_ids(manifest: DataFrame, id_type: str = "bigint", wanted: Iterabl
                     if out:
                         yield _batch(out)
 
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    id_arrow = to_arrow_type(DataType.fromDDL(id_type))
 
     def _batch(rows: list) -> pa.RecordBatch:
         kinds = (id_arrow, pa.int64(), pa.int64(), pa.binary())

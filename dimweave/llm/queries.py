@@ -17,6 +17,7 @@ from dimweave.llm.language_id import identify_languages
 from dimweave.llm.lexical_search import lexical_search
 from dimweave.llm.merkle import edited_fingerprints
 from dimweave.llm.ngram_join import similarity_components
+from dimweave.llm.packing import pack_documents, piece_checksums
 from dimweave.llm.periodic_runs import periodic_runs, run_report, with_planted_runs
 from dimweave.llm.pseudonyms import KEY_SETTING, TEST_KEY, pseudonym_report
 from dimweave.llm.quality_cnn import quality_scores
@@ -117,6 +118,13 @@ def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+@register("op12_concat_cut")
+def op12_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of 2048."""
+    docs = table(spark, sf_dir, "documents")
+    return piece_checksums(pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=2048))
+
+
 @register("op13_periodic_runs", oracles.PERIODIC_RUNS)
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document, with the contract's planted
