@@ -15,7 +15,8 @@ different values of one format different ones.
 * date: an existing day of 1800 to 2199 written y-m-d, m/d/y or d.m.y,
   permuted among these 146,097 days; a time may follow behind a T;
 * ipv4: four numbers up to 255 without leading zeros, permuted as 32 bits;
-* phone: the digits behind the country code, as many as the country's numbers
+* phone: the digits behind the country code (known by its own digits, so that
+  a number has one pseudonym with and without separators), as many as the country's numbers
   have where that is fixed, or up to a last group behind a dash or dot;
 * email: letters and digits of the local part, within their class;
 * secret: the value assigned to a token, key, secret or password.
@@ -66,6 +67,8 @@ _PHONE = (
     rf"(?:\+(?:{_PLANNED})(?![A-Za-z0-9]|[.-][0-9])|\+(?:{_DASHED})(?![A-Za-z0-9]|[.-][0-9])"
     r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
 )
+#: Country codes of one and two digits; all others have three (E.164).
+_COUNTRY_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2}(?=[ .(-]))"
 _EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}"
 _SECRET = r"(?i:token|secret|password|passwd|api[_-]?key) ?[=:] ?[\"'][A-Za-z0-9_+/.=-]{8,256}[\"']"
 _NAMED = f"(?=[tTsSpPaA]){_SECRET}|(?<![A-Za-z0-9._%+-]){_EMAIL}"
@@ -273,7 +276,7 @@ def _ipv4(text: Column, key: Column) -> Column:
 
 
 def _phone(text: Column, key: Column) -> Column:
-    prefix = F.regexp_extract(text, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    prefix = F.regexp_extract(text, _COUNTRY_CODE, 0)
     rest = F.substring(text, F.length(prefix) + 1, F.length(text))
     return F.concat(prefix, _laid_out(rest, permuted_text(_digits(rest), key, "phone"), "0-9"))
 

@@ -9,29 +9,46 @@ pair of least rank of every word, found by joining neighbouring positions with
 with ``pieces`` and aggregating the pieces in order.
 
 A pre-token that is itself a vocabulary entry is that entry, as in the
-tiktoken library.
+tiktoken library, which also says which characters are letters, numbers and
+white space: Unicode tables differ between libraries and their versions.
+
+Long pre-tokens are cut into segments.  Ids are what a word contracts to if
+and only if every two neighbours are what their joined bytes contract to:
+until a merge crosses a boundary, the steps inside the two neighbours are the
+same in the word and in the two alone, and so is the first step that crosses.
+So segments are contracted on their own, the pairs at their seams are
+contracted, too, and segments whose pair doesn't stay as it is are joined and
+contracted again, until all seams hold.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import struct
-from collections.abc import Iterable, Iterator
+import os
+import tempfile
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import small_batches, worker_model
+from dimweave.llm.word_ids import END, LETTER, NUMBER, OTHER, SPACE, WordCache, contractions, distinct_words, joined_points, text_ids
 
-CACHE_ENTRIES = 250_000
 #: Symbols that one recursive query starts from, and rows it may pile up.
 QUERY_SYMBOLS = 200_000
-QUERY_ROWS = 4_000_000
-#: Words with more symbols go through the query for long words.
+QUERY_ROWS = 2_000_000
+#: Longer words (bytes) are cut into segments of ``SEGMENT`` bytes.
 LONG_WORD = 64
+SEGMENT = 12
+#: Longer joined segments go through the query that contracts many pairs a step.
+LONG_SEGMENT = 1024
+#: Ids that one query decodes.
+DECODE_IDS = 1_000_000
 
 _STEP = """
 WITH RECURSIVE state AS (
@@ -94,16 +111,35 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line.strip())}
 
 
+def character_kinds() -> bytes:
+    """The class of every code point as the tiktoken library's own patterns
+    see it (compressed: one byte a code point)."""
+    import tiktoken
+
+    single = {bytes([b]): b for b in range(256)}
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000], dtype="<u4")
+    text = points.tobytes().decode("utf-32-le")
+    kinds = np.full(0x110000, OTHER, dtype=np.uint8)
+    for kind, pattern in ((SPACE, r"\s"), (LETTER, r"\p{L}"), (NUMBER, r"\p{N}")):
+        library = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        matched = bytes(library.encode_ordinary(text)).decode()  # what doesn't match gives no ids
+        kinds[np.frombuffer(matched.encode("utf-32-le"), dtype="<u4")] = kind
+    return zlib.compress(kinds.tobytes())
+
+
 class SqlBpe:
     """One task's connection, tables and remembered words."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], kinds: bytes):
         import duckdb
-        import regex
 
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.words: dict[str, tuple[str, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "enable_external_access": False})
+        self.ranks = ranks
+        self.kinds = np.frombuffer(zlib.decompress(kinds), dtype=np.uint8)
+        self.cache = WordCache(self.learn)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.names = [str(i) for i in range(max(ranks.values()) + 1)]
+        spill = os.path.join(tempfile.gettempdir(), f"bpe-spill-{os.getpid()}")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": spill})
         least = {}  # of the entries that begin or end with an entry, the least rank
         left, right, whole = [], [], []
         for piece, rank in ranks.items():
@@ -120,20 +156,20 @@ class SqlBpe:
         self.load("merges", pa.table({"l": pa.array(left, i32), "r": pa.array(right, i32), "merged": pa.array(whole, i32), "alone": pa.array([alone[r] for r in whole])}))
         # bytes as characters 0 to 255
         self.load("pieces", pa.table({"id": pa.array(ranks.values(), i32), "piece": [p.decode("latin-1") for p in ranks]}))
+        self.pieces = {rank: piece for piece, rank in ranks.items()}
 
     def load(self, name: str, rows: pa.Table) -> None:
         self.db.register("incoming", rows)
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
-    def contract(self, words: list[bytes], query: str) -> dict[int, list[int]]:
-        """Token ids of each word (by its index) at the fixpoint."""
-        single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+    def contract(self, words: list[bytes], query: str = _STEP) -> list[np.ndarray]:
+        """Token ids of each word at the fixpoint."""
         lengths = np.array([len(w) for w in words])
         w = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         pos = (np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        ids = single[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        done: dict[int, list[int]] = {}
+        ids = self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        done: list[np.ndarray] = [ids[:0]] * len(words)
         while len(w):
             self.load("symbols", pa.table({"w": w, "pos": pos, "id": ids}))
             steps = max(1, QUERY_ROWS // len(w))
@@ -141,9 +177,10 @@ class SqlBpe:
             ow, opos, oids, ostep = (out.column(c).to_numpy() for c in ("w", "pos", "id", "step"))
             open_ = ostep == steps  # more pairs may be left
             starts = np.flatnonzero(np.diff(ow, prepend=-1))
-            for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(ow)], strict=True):
-                if not open_[begin]:
-                    done[int(ow[begin])] = oids[begin:end].tolist()
+            ends = np.append(starts[1:], len(ow))
+            closed = ~open_[starts]
+            for word, begin, end in zip(ow[starts[closed]].tolist(), starts[closed].tolist(), ends[closed].tolist(), strict=True):
+                done[word] = oids[begin:end]
             w, pos, ids = ow[open_], opos[open_], oids[open_]
         return done
 
@@ -151,76 +188,129 @@ class SqlBpe:
         text = query.replace("$steps", str(int(steps)))
         return self.db.sql(f"SELECT w, pos, id, step FROM ({text}) ORDER BY w, pos").to_arrow_table()
 
-    def learn(self, words: Iterable[str]) -> None:
-        short, long, size = [], [], 0
-        for word in words:
-            raw = word.encode()
-            if raw in self.ranks:
-                self._keep(word, [self.ranks[raw]])
-            elif len(raw) > LONG_WORD:
-                long.append((word, raw))
-            else:
-                short.append((word, raw))
-                size += len(raw)
-                if size >= QUERY_SYMBOLS:
-                    self._contract(short, _STEP)
-                    short, size = [], 0
+    def contracted(self, words: list[bytes]) -> list[np.ndarray]:
+        """``contract`` in queries of a bounded number of symbols."""
+        out: list[np.ndarray] = [self.single[:0]] * len(words)
+        short, size = [], 0
+        for i, word in enumerate(words):
+            if len(word) > LONG_SEGMENT:
+                out[i] = self.contract([word], _STEP_LONG)[0]
+                continue
+            short.append(i)
+            size += len(word)
+            if size >= QUERY_SYMBOLS or i + 1 == len(words):
+                for k, ids in zip(short, self.contract([words[k] for k in short]), strict=True):
+                    out[k] = ids
+                short, size = [], 0
         if short:
-            self._contract(short, _STEP)
-        for pair in long:
-            self._contract([pair], _STEP_LONG)
-
-    def _contract(self, words: list[tuple[str, bytes]], query: str) -> None:
-        for i, ids in self.contract([raw for _, raw in words], query).items():
-            self._keep(words[i][0], ids)
-
-    def _keep(self, word: str, ids: list[int]) -> None:
-        self.words[word] = (",".join(map(str, ids)), struct.pack(f"<{len(ids)}i", *ids))
-
-    def encode(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
-        """Of each text its ids in decimal, joined by commas, and as bytes."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        split = [self.pattern.findall(t) if t else [] for t in texts]
-        self.learn(dict.fromkeys(w for words in split for w in words if w not in self.words))
-        known = self.words
-        return [(",".join([known[w][0] for w in words]), b"".join([known[w][1] for w in words])) for words in split]
-
-    def decode(self, ids: list[bytes]) -> list[bytes]:
-        """The bytes that each row of ids stands for."""
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
-        d = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) // 4 for i in ids])
-        self.load("ids", pa.table({"d": d, "p": np.arange(len(flat), dtype=np.int32), "id": flat}))
-        out = [b""] * len(ids)
-        rows = self.db.sql(_DECODE).to_arrow_table()
-        for at, piece in zip(rows.column("d").to_pylist(), rows.column("piece").to_pylist(), strict=True):
-            out[at] = piece.encode("latin-1")
+            for k, ids in zip(short, self.contract([words[k] for k in short]), strict=True):
+                out[k] = ids
+        return out
+
+    def contracted_long(self, word: bytes) -> np.ndarray:
+        """The ids of one long word, by segments."""
+        segments = [word[i : i + SEGMENT] for i in range(0, len(word), SEGMENT)]
+        ids = self.contracted(segments)
+        holds: dict[tuple[int, int], bool] = {}
+        while True:
+            seams = [(int(a[-1]), int(b[0])) for a, b in zip(ids, ids[1:], strict=False)]
+            new = [pair for pair in dict.fromkeys(seams) if pair not in holds]
+            joined = self.contracted([self.pieces[a] + self.pieces[b] for a, b in new])
+            holds.update({pair: own.tolist() == list(pair) for pair, own in zip(new, joined, strict=True)})
+            if all(holds[pair] for pair in seams):
+                return np.concatenate(ids)
+            cuts = [0, *(i + 1 for i, pair in enumerate(seams) if holds[pair]), len(segments)]
+            groups = list(zip(cuts, cuts[1:], strict=False))
+            again = [(a, b) for a, b in groups if b - a > 1]
+            fresh = dict(zip(again, self.contracted([b"".join(segments[a:b]) for a, b in again]), strict=True))
+            ids = [fresh[g] if g in fresh else ids[g[0]] for g in groups]
+            segments = [b"".join(segments[a:b]) for a, b in groups]
+
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit integers."""
+        out: list[bytes] = [b""] * len(words)
+        short = []
+        for i, word in enumerate(words):
+            if (rank := self.ranks.get(word)) is not None:
+                out[i] = rank.to_bytes(4, "little")
+            elif len(word) > LONG_WORD:
+                out[i] = self.contracted_long(word).astype("<i4").tobytes()
+            else:
+                short.append(i)
+        for i, ids in zip(short, self.contracted([words[i] for i in short]), strict=True):
+            out[i] = ids.astype("<i4").tobytes()
         return out
 
+    def split(self, texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Numbers of the texts' pre-tokens, the distinct ones as UTF-8, and
+        where each text's begin (and the last one's end): the matches of
+        public_tokenizers.PATTERN, found by the characters' classes."""
+        points, begins = joined_points(texts)
+        kinds = self.kinds[points]
+        kinds[begins[1:] - 1] = END
+        before = np.concatenate(([END], kinds[:-1])).astype(np.uint8)
+        after = np.append(kinds[1:], np.uint8(END))
+        space, blank = kinds == SPACE, points == 0x20
+        blank[begins[1:] - 1] = False
+        after_blank = np.concatenate(([False], blank[:-1]))
+        # a run of white space keeps all but its last character, unless the
+        # text ends there; a last blank begins the next pre-token
+        starts = np.where(space, (before != SPACE) | ((after != SPACE) & (after != END)), (before != kinds) & ~after_blank)
+        kept = kinds != END
+        starts &= kept
+        contractions(points, kinds, starts)
+        word_begins = np.concatenate(([0], np.cumsum(starts)))[begins]
+        words, distinct = distinct_words(points[kept], starts[kept])
+        return words, distinct, word_begins
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin (and the last end)."""
+        words, distinct, word_begins = self.split(texts)
+        return text_ids(words, self.cache.ids(distinct), word_begins)
+
+    def decimal(self, ids: np.ndarray) -> str:
+        return ",".join(map(self.names.__getitem__, ids.tolist()))
+
+    def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """The bytes that each text's ids stand for."""
+        out = [b""] * (len(begins) - 1)
+        text = np.repeat(np.arange(len(out), dtype=np.int32), np.diff(begins))
+        for at in range(0, len(ids), DECODE_IDS):
+            own = ids[at : at + DECODE_IDS]
+            self.load("ids", pa.table({"d": text[at : at + DECODE_IDS], "p": np.arange(len(own), dtype=np.int32), "id": own}))
+            rows = self.db.sql(_DECODE).to_arrow_table()
+            for d, piece in zip(rows.column("d").to_pylist(), rows.column("piece").to_pylist(), strict=True):
+                out[d] += piece.encode("latin-1")
+        return out
 
-def task_model(ranks_file: bytes, pattern: str) -> SqlBpe:
+
+def task_model(ranks_file: bytes, kinds: bytes) -> SqlBpe:
     """The worker's model for a rank file's content."""
-    key = ("bpe", hashlib.sha256(ranks_file).hexdigest(), pattern)
-    return worker_model(key, lambda: SqlBpe(parse_ranks(ranks_file), pattern))
+    key = ("bpe", hashlib.sha256(ranks_file).hexdigest())
+    return worker_model(key, lambda: SqlBpe(parse_ranks(ranks_file), kinds))
 
 
 def _round_trip(ranks_file: bytes, pattern: str, outputs):
+    if pattern != public_tokenizers.PATTERN:
+        raise ValueError("pre-tokens are split by the classes of public_tokenizers.PATTERN")
+    kinds = character_kinds()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = task_model(ranks_file, pattern)
+        model = task_model(ranks_file, kinds)
         for batch in small_batches(batches, "text", 2 << 20):
-            encoded = model.encode(batch.column("text").to_pylist())
-            decoded = model.decode([ids for _, ids in encoded])
-            yield outputs(batch, encoded, decoded)
+            ids, begins = model.encode(batch.column("text").to_pylist())
+            yield outputs(model, batch, ids, begins, model.decode(ids, begins))
 
     return run
 
 
-def _digests(batch: pa.RecordBatch, encoded: list[tuple[str, bytes]], decoded: list[bytes]) -> pa.RecordBatch:
+def _digests(model: SqlBpe, batch: pa.RecordBatch, ids: np.ndarray, begins: np.ndarray, decoded: list[bytes]) -> pa.RecordBatch:
+    own = [ids[a:b] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
-            pa.array([len(ids) // 4 for _, ids in encoded], pa.int64()),
-            pa.array([hashlib.sha256(text.encode()).hexdigest() for text, _ in encoded]),
+            pa.array(np.diff(begins).astype(np.int64)),
+            pa.array([hashlib.sha256(model.decimal(i).encode()).hexdigest() for i in own]),
             pa.array([hashlib.sha256(raw).hexdigest() for raw in decoded]),
         ],
         ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -240,8 +330,9 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     Null text is empty: no ids, digests of nothing.  Null and repeated ids pass
     through; other columns are ignored; an empty table gives an empty table.
     Memory is bounded by a batch of 2 MB of text (or one longer text), the
-    remembered words and DuckDB's limit; long pre-tokens are contracted in
-    queries of a bounded number of steps.
+    remembered words and DuckDB's limit (beyond it, the task's temp folder).
+    The work grows in proportion to a text's length, also where it is one
+    pre-token: that is cut into segments.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     run = _round_trip(_rank_file(ranks_path), pattern, _digests)
@@ -255,16 +346,14 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     kept = [c for c in docs.columns if c.lower() not in ("text", "n_tokens", "token_ids")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "text")
 
-    def outputs(batch: pa.RecordBatch, encoded: list[tuple[str, bytes]], decoded: list[bytes]) -> pa.RecordBatch:
+    def outputs(model: SqlBpe, batch: pa.RecordBatch, ids: np.ndarray, begins: np.ndarray, decoded: list[bytes]) -> pa.RecordBatch:
         known = batch.column("text").is_valid().to_pylist()
-        ids = b"".join(raw for _, raw in encoded)
-        offsets = np.concatenate(([0], np.cumsum([len(raw) // 4 for _, raw in encoded]))).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
                 pa.array([raw.decode("utf-8", "surrogatepass") if k else None for k, raw in zip(known, decoded, strict=True)], pa.string()),
-                pa.array(np.diff(offsets).astype(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(ids, dtype="<i4"))),
+                pa.array(np.diff(begins).astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids.astype(np.int32))),
             ],
             ["row", "text", "n_tokens", "token_ids"],
         )

@@ -170,3 +170,23 @@ def test_neighbours_hide_no_value(spark):
     # a secret or mail name behind what looks like an IBAN
     secret, mail = changed(spark, ['API_KEY="abCD1234"', "EFGH@x.com"])
     assert changed(spark, ['AB12 CDEF GHIJ API_KEY="abCD1234"', "AB12 ABCD EFGH@x.com"]) == [f"AB12 CDEF GHIJ {secret}", f"AB12 ABCD {mail}"]
+
+
+def test_a_phone_number_has_one_pseudonym_in_all_spellings(spark):
+    """With and without separators; the country code stays."""
+    spellings = [
+        ["+1 415 555 1234", "+14155551234", "+1 (415) 555-1234", "+1-415-555-1234", "(415) 555-1234", "415-555-1234"],
+        ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958"],
+        ["+351 912 345 678", "+351912345678"],
+        ["+86 138 0013 8000", "+8613800138000"],
+        ["+971 50 123 4567", "+971501234567"],
+    ]
+    for numbers in spellings:
+        got = changed(spark, numbers)
+        digits = {re.sub(r"\D", "", re.sub(r"^\+(1|44|351|86|971)", "", g)) for g in got}
+        assert len(digits) == 1 and digits != {re.sub(r"\D", "", re.sub(r"^\+(1|44|351|86|971)", "", numbers[0]))}
+        for before, after in zip(numbers, got, strict=True):
+            assert re.sub(r"\d", "0", before) == re.sub(r"\d", "0", after)
+            if before.startswith("+"):
+                code = re.match(r"\+(1|44|351|86|971)", before).group()
+                assert after.startswith(code)

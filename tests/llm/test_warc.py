@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import io
+import re
 
 import pytest
 
@@ -83,7 +84,9 @@ def test_filters_are_pushed_down(spark, archive):
     found = warc.read_archives(spark, archive).filter("record_type = 'revisit' and page_id in (1, 2, 100)")
     assert sorted(r.page_id for r in found.collect()) == [1, 2, 100]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "record_type" not in "".join(line for line in plan.split("\n") if "Filter" in line and "isnotnull" not in line)
+    filters = [line for line in plan.split("\n") if re.match(r"[\s:+*()\d-]*Filter ", line)]
+    # Spark checks for null itself; what compares values is left to the source
+    assert filters and all("revisit" not in line and " IN " not in line for line in filters)
     assert warc.read_archives(spark, archive, payloads=False).filter("payload is not null").count() == 0
 
 
