@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import small_batches, worker_model
-from dimweave.llm.word_ids import END, LETTER, NUMBER, OTHER, SPACE, WordCache, contractions, distinct_words, joined_points, text_ids
+from dimweave.llm.word_ids import END, LETTER, NUMBER, OTHER, SPACE, Words, WordTable, contractions, joined_points
 
 #: Symbols that one recursive query starts from, and rows it may pile up.
 QUERY_SYMBOLS = 200_000
@@ -135,7 +135,7 @@ class SqlBpe:
 
         self.ranks = ranks
         self.kinds = np.frombuffer(zlib.decompress(kinds), dtype=np.uint8)
-        self.cache = WordCache(self.learn)
+        self.words = WordTable(self.learn)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.names = [str(i) for i in range(max(ranks.values()) + 1)]
         spill = os.path.join(tempfile.gettempdir(), f"bpe-spill-{os.getpid()}")
@@ -241,10 +241,10 @@ class SqlBpe:
             out[i] = ids.astype("<i4").tobytes()
         return out
 
-    def split(self, texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Numbers of the texts' pre-tokens, the distinct ones as UTF-8, and
-        where each text's begin (and the last one's end): the matches of
-        public_tokenizers.PATTERN, found by the characters' classes."""
+    def split(self, texts: list[str | None]) -> tuple[Words, np.ndarray]:
+        """The texts' pre-tokens, and where each text's begin (and the last
+        one's end): the matches of public_tokenizers.PATTERN, found by the
+        characters' classes."""
         points, begins = joined_points(texts)
         kinds = self.kinds[points]
         kinds[begins[1:] - 1] = END
@@ -260,13 +260,11 @@ class SqlBpe:
         starts &= kept
         contractions(points, kinds, starts)
         word_begins = np.concatenate(([0], np.cumsum(starts)))[begins]
-        words, distinct = distinct_words(points[kept], starts[kept])
-        return words, distinct, word_begins
+        return Words(points[kept], starts[kept]), word_begins
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin (and the last end)."""
-        words, distinct, word_begins = self.split(texts)
-        return text_ids(words, self.cache.ids(distinct), word_begins)
+        return self.words.ids(*self.split(texts))
 
     def decimal(self, ids: np.ndarray) -> str:
         return ",".join(map(self.names.__getitem__, ids.tolist()))

@@ -1,9 +1,9 @@
 """Token ids of whole batches of text at once.
 
 A batch of texts becomes one array of code points.  Pre-tokens are found on
-that array by character classes, Arrow gathers the distinct ones, and each
-distinct pre-token is encoded once while the worker remembers it.  The ids of
-the texts are then taken from those of the distinct pre-tokens by one gather.
+that array by character classes and looked up all at once among those that the
+worker remembers; each new one is encoded once.  The ids of the texts are then
+taken from those of the pre-tokens by one gather.
 
 ``WordIds`` does this for a tokenizers file with word ends (``</w>``).  It
 works out by itself the chunks between white space that hold nothing but
@@ -24,8 +24,8 @@ import pyarrow as pa
 
 from dimweave.llm.token_counts import WORD_END, PairTable, merged
 
-#: Pre-tokens in each of a worker's two generations (some 200 bytes each).
-CACHE_ENTRIES = 350_000
+#: Distinct pre-tokens that a worker remembers (some 200 bytes each).
+CACHE_ENTRIES = 600_000
 #: Symbols; longer pre-tokens are merged one by one.
 _TABLE_LIMIT = 64
 #: Characters of new chunks that the library encodes in one call.
@@ -44,6 +44,9 @@ PRE_TOKENIZERS = [
 SPACE, LETTER, NUMBER, OTHER, END, ODD = range(6)
 APOSTROPHE = 0x27
 
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n bytes
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)  # any odd numbers
+
 
 def joined_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the texts, each followed by one line feed, and where
@@ -68,62 +71,107 @@ def contractions(points: np.ndarray, kinds: np.ndarray, starts: np.ndarray) -> N
         starts[after[kinds[after] == LETTER]] = True
 
 
-def distinct_words(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Number of each pre-token among the distinct ones, and those as UTF-8.
-    ``points`` holds nothing but pre-tokens."""
-    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    ends = np.concatenate(([0], np.cumsum(width)))
-    offsets = np.append(ends[np.flatnonzero(starts)], ends[-1])
-    data = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
-    kind, offset = (pa.binary(), np.int32) if len(data) < 1 << 31 else (pa.large_binary(), np.int64)
-    words = pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets.astype(offset)), pa.py_buffer(data)])
-    encoded = words.dictionary_encode()
-    return encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
-
-
-class WordCache:
-    """Ids (little-endian, 32 bits each) of pre-tokens, in two generations:
-    when the younger one is full it becomes the older, whose entries are
-    forgotten unless they have been asked for again."""
-
-    def __init__(self, learn: Callable[[list[bytes]], list[bytes]], entries: int = CACHE_ENTRIES):
-        self.learn, self.entries = learn, entries
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        if len(self.young) > self.entries:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        out = list(map(young.get, words))
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        unknown = []
-        for i in missing:
-            if (ids := old.get(words[i])) is None:
-                unknown.append(i)
-            else:
-                out[i] = young[words[i]] = ids
-        if unknown:
-            new = [words[i] for i in unknown]
-            for i, word, ids in zip(unknown, new, self.learn(new), strict=True):
-                out[i] = young[word] = ids
+class Words:
+    """The pre-tokens of a batch: ``points`` holds nothing else, and ``starts``
+    marks where each begins."""
+
+    def __init__(self, points: np.ndarray, starts: np.ndarray):
+        width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        ends = np.concatenate(([0], np.cumsum(width)))
+        self.offsets = np.append(ends[np.flatnonzero(starts)], ends[-1])
+        self.data = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass") + bytes(16)
+
+    def binary(self) -> pa.Array:
+        kind, offset = (pa.binary(), np.int32) if len(self.data) < 1 << 31 else (pa.large_binary(), np.int64)
+        return pa.Array.from_buffers(kind, len(self.offsets) - 1, [None, pa.py_buffer(self.offsets.astype(offset)), pa.py_buffer(self.data)])
+
+    def halves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Length, first eight and next eight bytes (as numbers) of each."""
+        begin, length = self.offsets[:-1], np.diff(self.offsets)
+        eight = np.ndarray((len(self.data) - 7,), dtype="<u8", buffer=self.data, strides=(1,))
+        low = eight[begin] & _MASKS[np.minimum(length, 8)]
+        high = eight[np.minimum(begin + 8, len(eight) - 1)] & _MASKS[np.clip(length - 8, 0, 8)]
+        return length, low, high
+
+
+class WordTable:
+    """Ids of the pre-tokens that a worker remembers.
+
+    Words of at most 16 bytes are looked up all at once in a table with one
+    place for each hash; what isn't found there is looked up by its distinct
+    words, and those that are new are learned (as little-endian 32-bit ids).
+    When there are too many, those that nobody has asked for again since they
+    were learned are forgotten."""
+
+    def __init__(self, learn: Callable[[list[bytes]], list[bytes]], entries: int = CACHE_ENTRIES, bits: int = 20):
+        self.learn, self.entries, self.bits = learn, entries, np.uint64(64 - bits)
+        self._start({}, np.empty(0, dtype="<i4"), np.empty(0, dtype=np.int64))
+
+    def _start(self, numbers: dict[bytes, int], flat: np.ndarray, sizes: np.ndarray) -> None:
+        places = 1 << (64 - int(self.bits))
+        self.numbers, self.flat, self.sizes = numbers, flat, sizes
+        self.begins = np.cumsum(sizes) - sizes
+        self.asked = np.zeros(len(sizes), dtype=bool)
+        self.low, self.high = np.zeros(places, dtype=np.uint64), np.zeros(places, dtype=np.uint64)
+        self.length, self.number = np.zeros(places, dtype=np.uint8), np.zeros(places, dtype=np.int32)
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.asked)
+        fresh = np.full(len(self.asked), -1, dtype=np.int64)
+        fresh[kept] = np.arange(len(kept))
+        flat, _ = self.gathered(kept)
+        self._start({w: int(fresh[n]) for w, n in self.numbers.items() if fresh[n] >= 0}, flat, self.sizes[kept])
+
+    def lookup(self, words: Words) -> np.ndarray:
+        """The number of each word."""
+        if len(self.numbers) > self.entries:
+            self._forget()
+        length, low, high = words.halves()
+        place = ((low * _ODD[0]) ^ (high * _ODD[1]) ^ (length.astype(np.uint64) * _ODD[2])) >> self.bits
+        hit = (length <= 16) & (self.length[place] == length) & (self.low[place] == low) & (self.high[place] == high)
+        out = self.number[place].astype(np.int64)
+        self.asked[out[hit]] = True
+        missing = np.flatnonzero(~hit)
+        if len(missing):
+            encoded = words.binary().take(pa.array(missing)).dictionary_encode()
+            code, distinct = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
+            numbers = self._numbers(distinct)
+            out[missing] = numbers[code]
+            first = missing[np.flatnonzero(np.diff(np.maximum.accumulate(code), prepend=-1) > 0)]
+            first = first[length[first] <= 16]
+            own, at = np.unique(place[first], return_index=True)
+            first = first[at]
+            self.low[own], self.high[own], self.length[own], self.number[own] = low[first], high[first], length[first], out[first]
         return out
 
-
-def gathered(words: np.ndarray, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a sequence of word numbers, and how many each word has."""
-    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-    flat = np.frombuffer(b"".join(ids), dtype="<i4")
-    counts = sizes[words]
-    shift = (np.cumsum(sizes) - sizes)[words] - (np.cumsum(counts) - counts)
-    return flat[np.arange(int(counts.sum())) + np.repeat(shift, counts)], counts
-
-
-def text_ids(words: np.ndarray, ids: list[bytes], word_begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, and where each text's ids begin (and the last end);
-    ``word_begins`` has the same for its words."""
-    flat, counts = gathered(words, ids)
-    return flat, np.concatenate(([0], np.cumsum(counts)))[word_begins]
+    def _numbers(self, distinct: list[bytes]) -> np.ndarray:
+        known = list(map(self.numbers.get, distinct))
+        new = [w for w, n in zip(distinct, known, strict=True) if n is None]
+        self.asked[[n for n in known if n is not None]] = True
+        if new:
+            ids = self.learn(new)
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+            at = len(self.sizes)
+            self.numbers.update(zip(new, range(at, at + len(new)), strict=True))
+            self.begins = np.concatenate((self.begins, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), dtype="<i4")))
+            self.sizes = np.concatenate((self.sizes, sizes))
+            self.asked = np.concatenate((self.asked, np.zeros(len(new), dtype=bool)))
+            fresh = iter(range(at, at + len(new)))
+            known = [next(fresh) if n is None else n for n in known]
+        return np.array(known, dtype=np.int64)
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a sequence of word numbers, and how many each word has."""
+        counts = self.sizes[numbers]
+        shift = self.begins[numbers] - (np.cumsum(counts) - counts)
+        return self.flat[np.arange(int(counts.sum())) + np.repeat(shift, counts)], counts
+
+    def ids(self, words: Words, word_begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin (and the last end);
+        ``word_begins`` has the same for the texts' words."""
+        flat, counts = self.gathered(self.lookup(words))
+        return flat, np.concatenate(([0], np.cumsum(counts)))[word_begins]
 
 
 def byte_symbols() -> list[str]:
@@ -139,7 +187,7 @@ class WordIds:
     def __init__(self, spec: str, entries: int = CACHE_ENTRIES):
         self.spec = json.loads(spec)
         self._text = spec
-        self.cache = WordCache(self._learn, entries)
+        self.words = WordTable(self._learn, entries)
         model, added = self.spec["model"], self.spec["added_tokens"]
         plain = [a for a in added if not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"])]
         self.marker = plain[0] if plain else None
@@ -181,9 +229,9 @@ class WordIds:
         inner, last = (np.array([vocabulary[s + end] for s in symbols], dtype=np.int64) for end in ("", WORD_END))
         return PairTable(vocabulary, ranks), ranks, vocabulary, inner, last
 
-    def split(self, texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Numbers of the texts' pre-tokens, the distinct ones as UTF-8, and
-        where each text's begin (and the last one's end)."""
+    def split(self, texts: list[str | None]) -> tuple[Words, np.ndarray]:
+        """The texts' pre-tokens, and where each text's begin (and the last
+        one's end)."""
         points, begins = joined_points(texts)
         kinds = self.kinds[points]
         space = kinds == SPACE
@@ -206,13 +254,11 @@ class WordIds:
         kept = ~space
         starts &= kept
         word_begins = np.concatenate(([0], np.cumsum(starts)))[begins]
-        words, distinct = distinct_words(points[kept], starts[kept])
-        return words, distinct, word_begins
+        return Words(points[kept], starts[kept]), word_begins
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin (and the last end)."""
-        words, distinct, word_begins = self.split(texts)
-        return text_ids(words, self.cache.ids(distinct), word_begins)
+        return self.words.ids(*self.split(texts))
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "surrogatepass") for w in words]

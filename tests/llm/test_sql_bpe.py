@@ -7,6 +7,7 @@ import tiktoken
 
 from dimweave.llm import sql_bpe
 from dimweave.llm.queries import QUERIES
+from dimweave.llm.word_ids import WordTable
 
 from .conftest import ODD_TEXTS, SF
 
@@ -84,7 +85,7 @@ def test_long_words(model, library, alphabet, monkeypatch):
     the query for long segments."""
     rng = random.Random(len(alphabet))
     equal(model, library, ["".join(rng.choices(alphabet, k=n)) for n in (65, 200, 999, 20_000)])
-    model.cache.young.clear()
+    model.words = WordTable(model.learn)
     monkeypatch.setattr(sql_bpe, "LONG_SEGMENT", 20)
     monkeypatch.setattr(sql_bpe, "SEGMENT", 5)
     equal(model, library, ["".join(rng.choices(alphabet, k=n)) for n in (65, 300)])

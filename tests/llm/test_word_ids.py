@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from dimweave.llm.word_ids import WordCache, WordIds
+from dimweave.llm.word_ids import WordIds, Words, WordTable
 
 from .conftest import ODD_TEXTS
 
@@ -41,19 +42,38 @@ def test_every_character_between_letters(spec):
     equal(model, library, [f"a{chr(c)}b {chr(c)}{chr(c)}'s1{chr(c)}'ll" for c in [*range(0x300), *range(0x2000, 0x2070), 0x4E00, 0x1F600]])
 
 
-def test_a_full_cache_keeps_what_is_asked_for():
+def looked_up(table, words):
+    points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
+    starts = np.zeros(len(points), dtype=bool)
+    starts[np.cumsum([0, *map(len, words[:-1])])] = True
+    flat, counts = table.gathered(table.lookup(Words(points, starts)))
+    return [own.tobytes() for own in np.split(flat, np.cumsum(counts)[:-1])]
+
+
+@pytest.mark.parametrize("bits", [1, 3, 20])
+def test_a_full_table_keeps_what_is_asked_for(bits):
+    """Also with words that share a place, repeat, differ behind their eighth
+    or sixteenth byte, and hold zero bytes."""
     learned = []
 
     def learn(words):
         learned.extend(words)
         return [w * 4 for w in words]
 
-    cache = WordCache(learn, entries=2)
+    table = WordTable(learn, entries=12, bits=bits)
+    words = ["a", "b", "a", "a\0", "a\0\0", "é漢", "eightbyt", "eightbytes", "sixteenbytes1234", "sixteenbytes12345", "sixteenbytes12346"]
     for _ in range(3):
-        assert cache.ids([b"a", b"b", b"c"]) == [b"aaaa", b"bbbb", b"cccc"]
-        assert cache.ids([b"d"]) == [b"dddd"]
-    assert learned == [b"a", b"b", b"c", b"d"]
-    cache.ids([b"e", b"f", b"g"])
-    cache.ids([b"h", b"i", b"j"])
-    cache.ids([b"a"])
-    assert learned.count(b"a") == 2
+        assert looked_up(table, words) == [w.encode() * 4 for w in words]
+    assert len(learned) == len(set(words))
+    for n in range(20):
+        assert looked_up(table, ["a", f"new{n}", f"another{n}"]) == [w.encode() * 4 for w in ("a", f"new{n}", f"another{n}")]
+    assert learned.count(b"a") == 1 and len(table.numbers) <= 16
+    assert looked_up(table, ["b"]) == [b"bbbb"]
+
+
+def test_random_words_against_a_dictionary():
+    rng = random.Random(9)
+    table = WordTable(lambda words: [w + bytes(-len(w) % 4) for w in words], entries=300, bits=6)
+    for _ in range(60):
+        words = ["".join(rng.choices("abé漢\0z", k=rng.randint(1, 9))) for _ in range(80)]
+        assert looked_up(table, words) == [(w := t.encode()) + bytes(-len(w) % 4) for t in words]
