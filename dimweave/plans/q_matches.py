@@ -3,9 +3,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from dimweave.operators.matches import (
+    bucketed_matches,
+    details_on_day,
     devices_on_events,
     enrich_events,
     events_aggregated,
@@ -18,6 +22,7 @@ from dimweave.plans.registry import register
 from dimweave.sources import adapters as A
 
 MEDAL = "Brand#1"
+MATCH_DAY = "1995-03-05"
 
 MATCH_TOPS_SQL = with_views(
     ["matches", "match_details", "medals_matches_players", "medals", "maps"],
@@ -84,10 +89,23 @@ ENRICH_LEFT_SQL = with_views(
 @register("match_tops", MATCH_TOPS_SQL)
 def q_match_tops(t):
     """Top player by average kills, top playlist, top map, top map for a
-    medal."""
-    return match_tops(
-        A.match_details(t), A.matches(t), A.medals_matches_players(t), A.medals(t), A.maps(t), MEDAL
-    )
+    medal, over the three match tables in 16 buckets by match_id."""
+    tables = bucketed_matches(A.match_details(t), A.matches(t), A.medals_matches_players(t))
+    return match_tops(*tables, A.medals(t), A.maps(t), MEDAL)
+
+
+@register(
+    "match_details_on_day",
+    with_views(
+        ["matches", "match_details"],
+        f"""SELECT d.*, m.playlist_id, m.mapid, m.completion_date
+            FROM match_details d JOIN matches m ON d.match_id = m.match_id AND m.completion_date = TIMESTAMP '{MATCH_DAY} 00:00:00'""",
+    ),
+)
+def q_match_details_on_day(t):
+    """Bucketed join with the date in its ON clause."""
+    details, matches, _ = bucketed_matches(A.match_details(t), A.matches(t), A.medals_matches_players(t))
+    return details_on_day(details, matches, dt.datetime.fromisoformat(MATCH_DAY))
 
 
 @register("events_aggregated", EVENTS_AGG_SQL)

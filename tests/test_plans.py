@@ -1,5 +1,7 @@
 """Assertions on physical plans: the strategy is checked, not assumed."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,15 +132,21 @@ def test_step_over_bucketed_snapshot_shuffles_only_new_facts(spark, tables, no_a
 
 
 def test_match_frame_over_bucketed_tables_moves_no_row(spark, tables, no_auto_broadcast):
-    from dimweave.operators.matches import match_frame, match_tops, write_bucketed
-
-    parts = {"b_details": A.match_details(tables), "b_matches": A.matches(tables), "b_medals": A.medals_matches_players(tables)}
-    for name, df in parts.items():
-        write_bucketed(df, name)
-    details, matches, medals_mp = (spark.table(n) for n in parts)
-    assert exchanges(match_frame(details, matches)) == 0
-    # medals are counted per match on the same buckets
-    assert exchanges(medals_mp.groupBy("match_id").count().join(matches, "match_id")) == 0
-    rest = A.medals(tables), A.maps(tables), "Brand#1"
-    stored = sorted(map(tuple, match_tops(details, matches, medals_mp, *rest).collect()))
-    assert stored == sorted(map(tuple, match_tops(*parts.values(), *rest).collect()))
+    from dimweave.operators.matches import bucketed_matches, details_on_day, match_frame, match_tops
+
+    plain = A.match_details(tables), A.matches(tables), A.medals_matches_players(tables)
+    details, matches, medals_mp = bucketed = bucketed_matches(*plain)
+    # all three joined, aggregated per match and player: no exchange at all
+    frame = match_frame(*bucketed, A.medals(tables).coalesce(1), "Brand#1")
+    assert frame.count() > 0
+    below = physical_tree(match_frame(*bucketed, spark.createDataFrame([(1, "Brand#1")], "medal_id long, name string"), "Brand#1"))
+    assert len([line for line in below.splitlines() if " Exchange (" in line]) <= 1  # the names of the one medal
+    assert below.count("SortMergeJoin") == 2
+    # every answer sits on one aggregate of that frame and one limited ranking
+    tops = match_tops(*bucketed, A.medals(tables), A.maps(tables), "Brand#1")
+    assert physical_tree(tops).count("SortMergeJoin") == 2
+    assert sorted(map(tuple, tops.collect())) == sorted(map(tuple, match_tops(*plain, A.medals(tables), A.maps(tables), "Brand#1").collect()))
+    # a date in the ON clause reaches the scan
+    day = details_on_day(details, matches, dt.datetime(1995, 3, 5))
+    assert exchanges(day) == 0
+    assert any("EqualTo(completion_date" in f for f in pushed_filters(day))
