@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import json_object, string_map
-from dimweave.operators.joins import broadcast_if_small
+from dimweave.operators.joins import salted_join
 from dimweave.operators.sports import dedupe
 
 
@@ -109,44 +109,51 @@ def plays_on_edges(details: DataFrame) -> DataFrame:
     )
 
 
-def player_pair_edges(details: DataFrame, heavy_rows: int | None = None, salt_buckets: int = 16) -> DataFrame:
+#: Players of a block: a game's pairs are computed in tiles of two blocks.
+BLOCK_PLAYERS = 256
+
+
+def player_pair_edges(details: DataFrame, block_players: int = BLOCK_PLAYERS) -> DataFrame:
     """player -shares_team / plays_against-> player per game pair, aggregated
     over games: number of games and each side's points.
 
-    The edge set is by definition the co-occurring pairs, so each game is
-    joined with itself once (one orientation, left id > right id) and pairs
-    are aggregated in the same stage.  A game whose rows outweigh the other
-    partitions is split by AQE's skew join (both sides read the same
-    shuffle).  Skew in the *pair count* of a modest game is invisible to a
-    byte-based split, so with ``heavy_rows`` set, games with more players
-    are split explicitly: the left side salted by player into
-    ``salt_buckets`` parts, the right side replicated per salt.  The
-    heavy-game list is at most rows / heavy_rows long and is broadcast only
-    under a checked bound.  (Off by default: it costs an extra pass over the
-    box scores, measured ~5x on ordinary rosters.)"""
+    The edge set is by definition the co-occurring pairs.  A game's roster is
+    cut into blocks of about ``block_players`` players, as many as its size
+    asks for, and the pairs of blocks (i, j), i <= j, are the join's keys:
+    every pair meets in exactly one tile, and no task holds more of a game than
+    two blocks, however many players it has.  An ordinary game is one block and
+    one tile.  The tiles are shuffled once (both sides of the self-join read
+    the same shuffle) and pairs are partially aggregated in the joining task."""
     d = _one_row_per_player_game(details).select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    if heavy_rows is None:
-        return _aggregate_pairs(_pairs(d, d, ["game_id"]))
-    heavy = (
-        d.groupBy("game_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > heavy_rows)
-        .select("game_id", F.lit(True).alias("_heavy"))
-    )
-    marked = d.join(broadcast_if_small(heavy, 1_000_000), "game_id", "left")
-    light = marked.filter(F.col("_heavy").isNull()).drop("_heavy")
-    hot = marked.filter(F.col("_heavy")).drop("_heavy")
-
-    salted = hot.withColumn("_salt", F.pmod(F.xxhash64("player_id"), F.lit(salt_buckets)))
-    copies = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
-    return _aggregate_pairs(_pairs(light, light, ["game_id"]).unionByName(_pairs(salted, copies, ["game_id", "_salt"])))
-
-
-def _pairs(a: DataFrame, b: DataFrame, keys) -> DataFrame:
-    """Rows of ``a`` and ``b`` sharing ``keys``, one orientation, distinct
-    names, with the edge type."""
-    a, b = a.alias("a"), b.alias("b")
+    return _aggregate_pairs(_pairs(roster_tiles(d, block_players)))
+
+
+def roster_tiles(d: DataFrame, block_players: int = BLOCK_PLAYERS) -> DataFrame:
+    """The rows of each game once per tile of their block: columns _block,
+    _low and _high (the tile's two blocks).
+
+    Only games of more than one block are counted beyond the map side's
+    partial counts; their counts meet the rows in a salted join, so a game that
+    holds a third of all rows is spread over many tasks here, too."""
+    sizes = d.groupBy("game_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > block_players)
+    blocks = sizes.select("game_id", F.ceil(F.col("_k") / block_players).cast("int").alias("_n"))
+    sized = salted_join(d, blocks, ["game_id"], salt_of=["player_id"], how="left")
+    n = F.coalesce("_n", F.lit(1))
+    own = sized.withColumn("_block", F.pmod(F.xxhash64("player_id"), n).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), n - 1))
+    tiles = own.withColumn("_other", others)
+    low, high = F.least("_block", "_other"), F.greatest("_block", "_other")
+    return tiles.select(*d.columns, "_block", low.alias("_low"), high.alias("_high"))
+
+
+def _pairs(tiles: DataFrame) -> DataFrame:
+    """Pairs of rows of one tile, one orientation, distinct names, with the
+    edge type.  Two players of one block meet in its own tile only."""
+    a, b = tiles.alias("a"), tiles.alias("b")
     cond = F.col("a.player_id") > F.col("b.player_id")
-    for k in keys:
+    for k in ("game_id", "_low", "_high"):
         cond = cond & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    cond = cond & ((F.col("a._low") == F.col("a._high")) | (F.col("a._block") != F.col("b._block")))
     cond = cond & (F.col("a.player_name") != F.col("b.player_name"))
     return a.join(b, cond).select(
         F.col("a.player_id").alias("subject"), F.col("a.player_name").alias("subject_name"),

@@ -16,26 +16,38 @@ _TEXT_BYTES = 64  # what a text column counts as
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """About how many bytes a row of the schema takes in memory."""
+    """About how many bytes a row of the schema takes in memory.  Structs count
+    their fields; an array or a map has no bound and raises."""
     fixed = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.IntegerType: 8, T.DateType: 8, T.BooleanType: 8}
-    return 16 + sum(fixed.get(type(f.dataType), _TEXT_BYTES) for f in schema.fields)
 
+    def width(kind: T.DataType) -> int:
+        if isinstance(kind, (T.ArrayType, T.MapType)):
+            raise ValueError(f"rows of {kind.simpleString()} have no bound: check flat rows before they are grouped")
+        if isinstance(kind, T.StructType):
+            return 8 + sum(width(f.dataType) for f in kind.fields)
+        return fixed.get(type(kind), _TEXT_BYTES)
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows
-    and, at its schema's row width, ``max_bytes`` bytes.
+    return 16 + sum(width(f.dataType) for f in schema.fields)
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is proved to hold at most ``max_rows`` rows and, at its
+    schema's row width, ``max_bytes`` bytes.
 
     The proof is ``df.limit(n + 1).count()`` for the smaller of both bounds: it
     stops scanning as soon as the bound is exceeded, so checking a large table
-    is cheap.  Beyond the bound the side is returned unhinted and the planner
-    shuffles it (and AQE may still demote the join to a broadcast after
-    measuring it)."""
+    is cheap."""
     bound = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
-    return df
+    return df.limit(bound + 1).count() <= bound
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast hint only for a side that ``is_small`` proves small.  Beyond
+    the bound the side is returned unhinted and the planner shuffles it (and
+    AQE may still demote the join to a broadcast after measuring it)."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def salted_join(

@@ -5,11 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.operators.joins import ordered_index
-
 
 def dedupe(
     df: DataFrame,
@@ -82,50 +80,121 @@ def best_stretch(games: DataFrame, n: int = 90) -> DataFrame:
     """Most wins of each team in any ``n`` consecutive games (ordered by date,
     then game id; a window shorter than ``n`` at the start counts what it has).
 
-    Wins in the stretch ending at row r = W(r) - W(r - n) with W the prefix
-    sum of wins (from ``ordered_index``: per-date offsets, no task holds a
-    whole team's history).  Each row contributes +W(r) at position r and
-    -W(r) at position r + n; one aggregation on (team, position) then gives
-    every stretch without a self join."""
-    tg = team_games(games)
-    idx = ordered_index(tg, ["team_id"], "game_date_est", ["game_id"], sums={"_w": F.col("won")})
-    parts = F.array(
-        F.struct(F.col("_idx").alias("pos"), F.col("_w").alias("v"), F.lit(1).alias("is_end")),
-        F.struct((F.col("_idx") + n).alias("pos"), F.negative(F.col("_w")).alias("v"), F.lit(0).alias("is_end")),
+    Games are summarised per (team, month): their number and wins, the best
+    ``n`` in a row inside, and the first and last ``n`` - 1 results.  Such
+    summaries combine associatively -- what lies across two of them is in the
+    end of one and the beginning of the next -- so a team's history is folded
+    from one small row per month, whatever the number of its games.  Two
+    shuffles: one by (team, month), one of the summaries."""
+    tg = team_games(games).withColumn("_bucket", F.trunc("game_date_est", "MM"))
+    ordered = Window.partitionBy("team_id", "_bucket").orderBy("game_date_est", "game_id")
+    whole = Window.partitionBy("team_id", "_bucket")
+    rows = tg.select(
+        "team_id", "_bucket", "won",
+        F.row_number().over(ordered).alias("_rn"),
+        F.count(F.lit(1)).over(whole).alias("_n"),
+        F.sum("won").over(ordered.rowsBetween(1 - n, 0)).alias("_last"),
+    )
+    result = F.struct("_rn", "won")
+    buckets = rows.groupBy("team_id", "_bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("won").alias("wins"),
+        F.max(F.when(F.col("_rn") >= n, F.col("_last"))).alias("best"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("_rn") < n, result))), lambda r: r["won"]).alias("first"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("_rn") > F.col("_n") - (n - 1), result))), lambda r: r["won"]).alias("last"),
     )
-    per_pos = idx.select("team_id", F.inline(parts)).groupBy("team_id", "pos").agg(
-        F.sum("v").alias("wins"), F.max("is_end").alias("is_end")
+    months = buckets.groupBy("team_id").agg(F.array_sort(F.collect_list(F.struct("_bucket", "n", "wins", "best", "first", "last"))).alias("months"))
+    start = F.struct(
+        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("wins"), F.lit(0).cast("long").alias("best"),
+        F.array().cast("array<int>").alias("last"),
     )
-    return per_pos.filter(F.col("is_end") == 1).groupBy("team_id").agg(F.max("wins").cast("long").alias("best_wins"))
+
+    def step(s: Column, m: Column) -> Column:
+        across = F.concat(s["last"], m["first"])
+        tail = F.when(m["n"] >= n - 1, m["last"]).otherwise(F.concat(s["last"], m["first"]))
+        size = F.size(tail)
+        return F.struct(
+            (s["n"] + m["n"]).alias("n"),
+            (s["wins"] + m["wins"]).alias("wins"),
+            F.greatest(s["best"], F.coalesce(m["best"], F.lit(0)), _best_window(across, n)).cast("long").alias("best"),
+            F.slice(tail, F.greatest(size - (n - 2), F.lit(1)), F.lit(n - 1)).alias("last"),
+        )
+
+    # fewer games than n: all of them are the best window
+    total = F.aggregate("months", start, step, lambda s: F.when(s["n"] < n, s["wins"]).otherwise(s["best"]))
+    return months.select("team_id", total.cast("long").alias("best_wins"))
+
+
+def _best_window(values: Column, n: int) -> Column:
+    """Largest sum of ``n`` values in a row (0 for fewer): one pass with a
+    running sum."""
+    positions = F.transform(values, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
+    start = F.struct(F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("best"))
+
+    def step(s: Column, p: Column) -> Column:
+        out = F.when(p["i"] >= n, F.get(values, p["i"] - n)).otherwise(F.lit(0))
+        run = (s["run"] + p["v"] - out).cast("long")
+        return F.struct(run.alias("run"), F.when(p["i"] >= n - 1, F.greatest(s["best"], run)).otherwise(s["best"]).alias("best"))
+
+    return F.aggregate(positions, start, step, lambda s: s["best"])
 
 
 def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0, player=None) -> DataFrame:
     """Longest run of consecutive games (by date, game id) with pts > min_pts
     per player.  Games without a score (NULL pts) are skipped, neither
-    breaking nor extending a run.  Ties: the earliest run.
-
-    Gaps and islands with distributed positions (one ``ordered_index`` pass):
-    r = position among scored games, q = running count of qualifying games;
-    r - q is constant along a run.  Returns players with at least one
-    qualifying game."""
+    breaking nor extending a run.  Ties: the earliest run.  Returns players
+    with at least one qualifying game.
+
+    Games are summarised per (player, month): the run they begin with, the run
+    they end with, the best run and whether nothing else happened.  Summaries
+    combine associatively, so a player's history is folded from one row per
+    month.  Two shuffles behind the join: one by (player, month), one of the
+    summaries."""
     g = games.select("game_id", "game_date_est")
     if player is not None:
         details = details.filter(F.col("player_id") == F.lit(player))
     scored = details.filter(F.col("pts").isNotNull()).join(g, "game_id")
-    good = (F.col("pts") > min_pts).cast("long")
-    r = ordered_index(scored, ["player_id"], "game_date_est", ["game_id"], name="_r", sums={"_q": good})
-    runs = (
-        r.filter(F.col("pts") > min_pts)
-        .groupBy("player_id", (F.col("_r") - F.col("_q")).alias("_island"))
-        .agg(
-            F.count(F.lit(1)).alias("streak_len"),
-            F.min("game_date_est").alias("start_date"),
-            F.max("game_date_est").alias("end_date"),
-        )
+    good = F.col("pts") > min_pts
+    marked = scored.select("player_id", F.trunc("game_date_est", "MM").alias("_bucket"), "game_date_est", "game_id", good.alias("_good"))
+    ordered = Window.partitionBy("player_id", "_bucket").orderBy("game_date_est", "game_id").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("player_id", "_bucket")
+    broken = marked.withColumn("_breaks", F.sum((~F.col("_good")).cast("int")).over(ordered)).withColumn(
+        "_all", F.sum((~F.col("_good")).cast("int")).over(whole)
     )
-    epoch = F.lit("1970-01-01")
-    rank = F.struct(
-        "streak_len", F.negative(F.datediff("start_date", epoch)), F.negative(F.datediff("end_date", epoch))
+    # rows that break a run keep their month's summary alive as run -1
+    island = F.when(F.col("_good"), F.col("_breaks")).otherwise(-1)
+    day = F.when(F.col("_good"), F.col("game_date_est"))
+    runs = broken.groupBy("player_id", "_bucket", island.alias("_breaks"), "_all").agg(
+        F.sum(F.col("_good").cast("long")).alias("n"), F.min(day).alias("lo"), F.max(day).alias("hi")
+    )
+    run = F.struct("n", "lo", "hi")
+    buckets = runs.groupBy("player_id", "_bucket").agg(
+        F.max("_all").alias("breaks"),
+        F.max(F.when(F.col("_breaks") == 0, run)).alias("first"),
+        F.max(F.when(F.col("_breaks") == F.col("_all"), run)).alias("last"),
+        F.max_by(F.when(F.col("n") > 0, run), F.when(F.col("n") > 0, _rank(run))).alias("best"),
     )
-    best = runs.groupBy("player_id").agg(F.max_by(F.struct("streak_len", "start_date", "end_date"), rank).alias("_b"))
-    return best.select("player_id", "_b.streak_len", "_b.start_date", "_b.end_date")
+    months = buckets.groupBy("player_id").agg(F.array_sort(F.collect_list(F.struct("_bucket", "breaks", "first", "last", "best"))).alias("months"))
+    empty = F.lit(None).cast("struct<n:bigint,lo:date,hi:date>")
+
+    def joined(a: Column, b: Column) -> Column:
+        both = F.struct((a["n"] + b["n"]).alias("n"), a["lo"].alias("lo"), b["hi"].alias("hi"))
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+    def better(a: Column, b: Column) -> Column:
+        return F.when(a.isNull(), b).when(b.isNull(), a).when(_rank(b) > _rank(a), b).otherwise(a)
+
+    def step(s: Column, m: Column) -> Column:
+        across = joined(s["open"], m["first"])
+        still = F.when(m["breaks"] == 0, across).otherwise(m["last"])
+        return F.struct(still.alias("open"), better(better(s["best"], across), m["best"]).alias("best"))
+
+    best = F.aggregate("months", F.struct(empty.alias("open"), empty.alias("best")), step, lambda s: s["best"])
+    out = months.select("player_id", best.alias("_b")).filter(F.col("_b").isNotNull() & (F.col("_b.n") > 0))
+    return out.select("player_id", F.col("_b.n").alias("streak_len"), F.col("_b.lo").alias("start_date"), F.col("_b.hi").alias("end_date"))
+
+
+def _rank(run: Column) -> Column:
+    """Longest, then earliest start, then earliest end."""
+    epoch = F.lit("1970-01-01")
+    return F.struct(run["n"], F.negative(F.datediff(run["lo"], epoch)), F.negative(F.datediff(run["hi"], epoch)))

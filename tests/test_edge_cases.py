@@ -3,6 +3,7 @@ invariants over the tables."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
@@ -343,3 +344,46 @@ def test_geo_ranges_wide_and_overlapping(spark):
         for ip in ips:
             name = expected(ip, among)
             assert found[ip] == ("{}" if name is None else f'{{"country":"{name}","state":"{name}","city":"{name}"}}')
+
+
+def test_geo_many_ranges_as_disjoint_intervals(spark):
+    """10^5 ranges: single addresses, nested, overlapping and repeated ones
+    against a sweep; the broadcast bound counts flat rows."""
+    import bisect
+    import heapq
+    import random
+
+    from dimweave.operators.joins import row_bytes
+    from dimweave.streaming.ingest import flat_intervals, geo_lookup
+
+    rng = random.Random(4)
+    base = 10 * 2**24
+    ranges = [(a, a) for a in (base + rng.randrange(200_000) for _ in range(60_000))]
+    ranges += [(a, a + rng.choice([1, 7, 300, 5000, 70_000])) for a in (base + rng.randrange(300_000) for _ in range(40_000))]
+    ranges += [(base, base + 400_000), (base, base + 400_000), (5, 4), (2**32 - 9, 2**32 - 1)]
+    geo = spark.createDataFrame([(a, b, f"c{a}", f"s{b}", f"t{b - a}") for a, b in ranges], "ip_lo long, ip_hi long, country string, state string, city string").repartition(4)
+    # brute force: a sweep with a heap over the ends
+    known = sorted({(a, b) for a, b in ranges if a <= b})
+    cuts = sorted({x for a, b in known for x in (a, b + 1)})
+    want, heap, i = [], [], 0
+    for at, following in zip(cuts, [*cuts[1:], None]):
+        while i < len(known) and known[i][0] <= at:
+            heapq.heappush(heap, (known[i][1] - known[i][0], *known[i]))
+            i += 1
+        while heap and heap[0][2] < at:
+            heapq.heappop(heap)
+        if heap:
+            want.append((at, following - 1, f"c{heap[0][1]}", f"s{heap[0][2]}", f"t{heap[0][0]}"))
+    got = flat_intervals(geo).select("ip_lo", "ip_hi", "country", "state", "city")
+    assert sorted(map(tuple, got.collect())) == want
+    ips = [base - 1, base + 400_001, 2**32 - 10, 2**32 - 1, *(base + rng.randrange(410_000) for _ in range(3000))]
+    events = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "i long, ip_num long")
+    for rows in (10_000_000, 10):  # broadcast, and joined by shuffle
+        places = {r.i: r.geodata for r in geo_lookup(events, geo, max_broadcast_rows=rows).collect()}
+        assert len(places) == len(ips)
+        for i, ip in enumerate(ips):
+            w = want[max(0, bisect.bisect_right(want, (ip, 2**40)) - 1)]
+            hit = [w] if w[0] <= ip <= w[1] else []
+            assert places[i] == (f'{{"country":"{hit[0][2]}","state":"{hit[0][3]}","city":"{hit[0][4]}"}}' if hit else "{}")
+    with pytest.raises(ValueError):
+        row_bytes(spark.createDataFrame([], "a array<int>").schema)

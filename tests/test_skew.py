@@ -93,11 +93,82 @@ def test_dedupe_limits_groups_before_the_shuffle(spark, skewed):
     assertDataFrameEqual(got, expected)
 
 
-def test_pair_edges_heavy_game_split_is_exact(spark, tables):
-    from dimweave.operators.graph import player_pair_edges
-
-    details = A.game_details(tables)
-    plain = player_pair_edges(details)
-    split = player_pair_edges(details, heavy_rows=2, salt_buckets=4)  # nearly every game takes the salted path
-    assertDataFrameEqual(split, plain)
-    assert plain.count() > 0
+@pytest.fixture(scope="module")
+def hot_box_scores(spark, tables, tmp_path_factory):
+    """Box scores of which a third lie in one game (of very many players) and
+    a third belong to one player."""
+    d = A.game_details(tables).withColumn("_n", F.monotonically_increasing_id())
+    hot_game = F.col("_n") % 3 == 0
+    hot_player = F.col("_n") % 3 == 1
+    d = d.withColumn("player_id", F.when(hot_game, 1000 + F.col("_n") % 400).when(hot_player, F.lit(7)).otherwise(F.col("player_id")).cast("long"))
+    d = d.withColumn("player_name", F.concat(F.lit("P"), F.col("player_id").cast("string")))
+    d = d.withColumn("game_id", F.when(hot_game, F.lit(1)).otherwise(F.col("game_id")).cast("long")).drop("_n")
+    path = str(tmp_path_factory.mktemp("hot") / "details")
+    d.write.parquet(path)
+    games = str(tmp_path_factory.mktemp("hot") / "games")
+    A.games(tables).write.parquet(games)
+    return spark.read.parquet(path), spark.read.parquet(games)
+
+
+def test_pair_edges_meet_in_tiles_of_bounded_size(spark, hot_box_scores):
+    from dimweave.operators.graph import _one_row_per_player_game, player_pair_edges, roster_tiles
+
+    details, _ = hot_box_scores
+    one_tile = player_pair_edges(details, block_players=1_000_000)
+    assertDataFrameEqual(player_pair_edges(details, block_players=16), one_tile)
+    assert one_tile.count() > 10_000
+    tiles = roster_tiles(_one_row_per_player_game(details), 16)
+    sizes = [r["count"] for r in tiles.groupBy("game_id", "_low", "_high").count().collect()]
+    assert max(sizes) < 4 * 16
+    # every pair of a game meets exactly once
+    a, b = tiles.alias("a"), tiles.alias("b")
+    met = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a._low") == F.col("b._low")) & (F.col("a._high") == F.col("b._high")) & (F.col("a.player_id") > F.col("b.player_id")))
+    met = met.filter("a._low = a._high or a._block <> b._block").filter("a.game_id = 1")
+    k = _one_row_per_player_game(details).filter("game_id = 1").count()
+    assert met.count() == met.select("a.player_id", "b.player_id").distinct().count() == k * (k - 1) // 2
+
+
+def test_runs_are_folded_from_monthly_summaries(spark, hot_box_scores, monkeypatch):
+    """Two shuffles behind the input joins, and a hot player's or team's games
+    are spread over the months."""
+    from dimweave.operators.sports import best_stretch, longest_streak
+    from dimweave.plans.inspect import exchanges
+
+    details, games = hot_box_scores
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(best_stretch(games)) == 2
+        assert exchanges(longest_streak(details, games)) == 2 + 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    scored = details.join(games, "game_id")
+    spread = [r["count"] for r in scored.filter("player_id = 7").groupBy(F.trunc("game_date_est", "MM")).count().collect()]
+    assert max(spread) < sum(spread) / 10
+    got = {r.player_id: (r.streak_len, r.start_date, r.end_date) for r in longest_streak(details, games).collect()}
+    want, open_ = {}, {}
+    for r in sorted(scored.filter("pts is not null").collect(), key=lambda r: (r.game_date_est, r.game_id)):
+        if r.player_id != 7 and r.player_id >= 1000:
+            continue  # several rows of one game: their order is not defined
+        run = open_.get(r.player_id) if r.pts > 10 else None
+        if r.pts > 10:
+            run = (run[0] + 1, run[1], r.game_date_est) if run else (1, r.game_date_est, r.game_date_est)
+            best = want.get(r.player_id)
+            if best is None or run[0] > best[0]:
+                want[r.player_id] = run
+        open_[r.player_id] = run
+    assert {p: got[p][0] for p in want if p != 7} == {p: w[0] for p, w in want.items() if p != 7}
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 90])
+def test_best_stretch_of_a_hot_team(spark, hot_box_scores, n):
+    from dimweave.operators.sports import best_stretch, team_games
+
+    _, games = hot_box_scores
+    games = games.withColumn("home_team_id", F.when(F.col("game_id") % 2 == 0, 3).otherwise(F.col("home_team_id")).cast("long"))
+    games = games.filter("home_team_id <> visitor_team_id")
+    results = {}
+    for r in sorted(team_games(games).collect(), key=lambda r: (r.game_date_est, r.game_id)):
+        results.setdefault(r.team_id, []).append(r.won)
+    want = {t: max(sum(w[max(0, i - n + 1) : i + 1]) for i in range(len(w))) for t, w in results.items()}
+    assert {r.team_id: r.best_wins for r in best_stretch(games, n).collect()} == want
