@@ -48,15 +48,26 @@ def _empty(typ: str) -> Column:
 
 
 def merge_period(
-    prev: DataFrame, today: DataFrame, keys: Sequence[str], list_col: str, newest_first: bool = False
+    prev: DataFrame,
+    today: DataFrame,
+    keys: Sequence[str],
+    list_col: str,
+    newest_first: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """keys and ``list_col``: the previous snapshot's lists, with the entry
-    that ``today`` (keys, _entry) has for a key added at its newest end."""
+    that ``today`` (keys, _entry) has for a key added at its newest end.  With
+    ``carry``, also _was (those columns of the previous row) and _now (a struct
+    of today's); null where the key has no such row."""
     empty = F.array().cast(prev.schema[list_col].dataType)
     old = F.coalesce(F.col("_old"), empty)
     new = F.when(F.col("_entry").isNotNull(), F.array("_entry")).otherwise(empty)
-    both = prev.select(*keys, F.col(list_col).alias("_old")).join(today.select(*keys, "_entry"), list(keys), "full")
-    return both.select(*keys, (F.concat(new, old) if newest_first else F.concat(old, new)).alias(list_col))
+    was = [F.struct(*carry).alias("_was")] if carry else []
+    sides = prev.select(*keys, F.col(list_col).alias("_old"), *was).join(
+        today.select(*keys, "_entry", *(["_now"] if carry else [])), list(keys), "full"
+    )
+    merged = (F.concat(new, old) if newest_first else F.concat(old, new)).alias(list_col)
+    return sides.select(*keys, merged, *(["_was", "_now"] if carry else []))
 
 
 # ---------------------------------------------------------------------------
@@ -77,34 +88,33 @@ def cumulate_step(
     fallback: str = PLAYER_FALLBACK,
     statics_rule: str = "first",
 ) -> DataFrame:
-    """One season: previous snapshot (``current_season = period - 1``) full
-    joined with this season's rows.  Statics keep the earliest known value
-    (``statics_rule='first'``) or take today's when present ('latest');
-    today's stats struct is appended when the entity played; the class comes
-    from today's value, else is carried; ``years_since_last_active`` resets
-    to 0 or grows by one."""
+    """The snapshot of one season from the one before it.
+
+    | known before | plays now | seasons  | class        | years since | active |
+    |--------------|-----------|----------|--------------|-------------|--------|
+    | no           | yes       | one      | from today   | 0           | yes    |
+    | yes          | yes       | appended | from today   | 0           | yes    |
+    | yes          | no        | kept     | carried      | one more    | no     |
+
+    A static keeps its earliest known value (``statics_rule='first'``) or
+    takes the newest known one ('latest')."""
     if statics_rule not in ("first", "latest"):
         raise ValueError(statics_rule)
-    t = today.filter(F.col(period_col) == period).alias("t")
-    y = prev.alias("y")
-    j = y.join(t, F.col(f"y.{key}") == F.col(f"t.{key}"), "full")
-    played = F.col(f"t.{period_col}").isNotNull()
-    stat_struct = F.struct(*[F.col(f"t.{c}").alias(c) for c in stats])
-    empty = F.array().cast(prev.schema["seasons"].dataType)
-    history = F.concat(F.coalesce(F.col("y.seasons"), empty), F.when(played, F.array(stat_struct)).otherwise(empty))
-    return j.select(
-        F.coalesce(F.col(f"y.{key}"), F.col(f"t.{key}")).alias(key),
-        *[
-            (F.coalesce(F.col(f"y.{c}"), F.col(f"t.{c}")) if statics_rule == "first"
-             else F.coalesce(F.col(f"t.{c}"), F.col(f"y.{c}"))).alias(c)
-            for c in statics
-        ],
-        history.alias("seasons"),
-        F.when(played, threshold_class(F.col(f"t.{class_col}"), classes, fallback))
-        .otherwise(F.col("y.scoring_class"))
-        .alias("scoring_class"),
-        F.when(played, F.lit(0)).otherwise(F.col("y.years_since_last_active") + 1).alias("years_since_last_active"),
-        played.alias("is_active"),
+    facts = today.filter(F.col(period_col) == period).select(
+        key, F.struct(*stats).alias("_entry"), F.struct(*statics, threshold_class(F.col(class_col), classes, fallback).alias("_class")).alias("_now")
+    )
+    kept = [*statics, "scoring_class", "years_since_last_active"]
+    merged = merge_period(prev, facts, [key], "seasons", carry=kept)
+    by_rule = ("_was", "_now") if statics_rule == "first" else ("_now", "_was")
+    active = F.col("_now").isNotNull()
+    idle = F.col("_was.years_since_last_active") + 1
+    return merged.select(
+        key,
+        *[F.coalesce(*[F.col(f"{side}.{c}") for side in by_rule]).alias(c) for c in statics],
+        "seasons",
+        F.when(active, F.col("_now._class")).otherwise(F.col("_was.scoring_class")).alias("scoring_class"),
+        F.when(active, 0).otherwise(idle).alias("years_since_last_active"),
+        active.alias("is_active"),
         F.lit(period).cast("int").alias("current_season"),
     )
 

@@ -20,6 +20,7 @@ from dimweave.operators.cumulative import (
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.registry import last_day, last_film_year, last_season, register
 from dimweave.sources import adapters as A
+from dimweave.sources.snapshots import SnapshotTable
 
 # -- canonical text of nested values ------------------------------------------
 
@@ -191,8 +192,9 @@ def q_players_step(t):
     seasons before it (equals the backfill's last season)."""
     ps = A.player_seasons(t)
     last = last_season(t)
-    prev = cumulate_history(ps, upto=last - 1, periods=[last - 1])
-    return _players_flat(cumulate_step(prev, ps, last))
+    table = SnapshotTable.scratch(t.spark, "players", "player_name", "current_season")
+    table.write(cumulate_history(ps, upto=last - 1, periods=[last - 1]), last - 1)
+    return _players_flat(table.advance(lambda prev: cumulate_step(prev, ps, last), last - 1, last))
 
 
 @register(
@@ -250,8 +252,9 @@ def q_actors_step(t):
     """The last year applied as one increment to the earlier backfill."""
     films = A.actor_films(t)
     last = last_film_year(t)
-    prev = actors_history(films, upto=last - 1, periods=[last - 1])
-    return _actors_flat(actors_step(prev, films, last))
+    table = SnapshotTable.scratch(t.spark, "actors", "actor", "current_year")
+    table.write(actors_history(films, upto=last - 1, periods=[last - 1]), last - 1)
+    return _actors_flat(table.advance(lambda prev: actors_step(prev, films, last), last - 1, last))
 
 
 @register(

@@ -38,6 +38,7 @@ from dimweave.plans.q_cumulative import (
 from dimweave.plans.q_growth import _ga_ctes, _ga_flat
 from dimweave.plans.registry import last_day, last_season, register
 from dimweave.sources import adapters as A
+from dimweave.sources.snapshots import SnapshotTable
 
 # Bounds inside the data: entities whose first period is later must not show.
 MID_SEASON = 1997
@@ -134,7 +135,9 @@ def q_month_array_until(t):
     return out.withColumn("metric_array", array_text("metric_array"))
 
 
-# -- one increment on the snapshot of the day before ---------------------------
+# -- one increment on the stored snapshot of the period before ------------------
+# The state that the jobs before would have left is stored first; the step then
+# reads that partition and one period of facts, and stores its own.
 
 
 def _day_before(day: dt.date) -> dt.date:
@@ -152,8 +155,10 @@ def _day_before(day: dt.date) -> dt.date:
 def q_dates_active_step(t):
     """C17: the last day as one increment."""
     ev, day = A.web_events(t), last_day(t, "user_id")
-    prev = dates_active_history(ev, _day_before(day), periods=[_day_before(day)])
-    return dates_active_step(prev, ev, day).withColumn("dates_active", array_text("dates_active"))
+    table = SnapshotTable.scratch(t.spark, "users_cumulated", "user_id", "date")
+    table.write(dates_active_history(ev, _day_before(day), periods=[_day_before(day)]), _day_before(day))
+    out = table.advance(lambda prev: dates_active_step(prev, ev, day), _day_before(day), day)
+    return out.withColumn("dates_active", array_text("dates_active"))
 
 
 _DEVICE_LAST = "FROM lists, upto WHERE sdate = upto.u"
@@ -162,8 +167,9 @@ _DEVICE_LISTS = [DEVICE_EVENTS, *_datelist_ctes("dev_events", "user_id, browser_
 
 def _device_step(t):
     ev, devices, day = A.web_events(t), A.devices(t), last_day(t, "user_id")
-    prev = device_datelist_history(ev, devices, _day_before(day), periods=[_day_before(day)])
-    return device_datelist_step(prev, ev, devices, day)
+    table = SnapshotTable.scratch(t.spark, "user_devices_cumulated", "user_id", "record_date")
+    table.write(device_datelist_history(ev, devices, _day_before(day), periods=[_day_before(day)]), _day_before(day))
+    return table.advance(lambda prev: device_datelist_step(prev, ev, devices, day), _day_before(day), day)
 
 
 @register(
@@ -208,8 +214,9 @@ def _host_lists(day: str):
 def q_host_datelist_step(t):
     """The last day as one increment."""
     ev, day = A.web_events(t), last_day(t)
-    prev = host_datelist_history(ev, _day_before(day), periods=[_day_before(day)])
-    out = host_datelist_step(prev, ev, day)
+    table = SnapshotTable.scratch(t.spark, "hosts_cumulated", "host", "record_date")
+    table.write(host_datelist_history(ev, _day_before(day), periods=[_day_before(day)]), _day_before(day))
+    out = table.advance(lambda prev: host_datelist_step(prev, ev, day), _day_before(day), day)
     return out.withColumn("host_activity_datelist", array_text("host_activity_datelist"))
 
 
@@ -228,8 +235,9 @@ def q_host_datelist_init(t):
 def q_growth_accounting_step(t):
     """The last day as one increment."""
     ev, day = A.web_events(t), last_day(t, "user_id")
-    prev = growth_accounting_history(ev, _day_before(day), periods=[_day_before(day)])
-    return _ga_flat(growth_accounting_step(prev, ev, day))
+    table = SnapshotTable.scratch(t.spark, "users_growth_accounting", "user_id", "date")
+    table.write(growth_accounting_history(ev, _day_before(day), periods=[_day_before(day)]), _day_before(day))
+    return _ga_flat(table.advance(lambda prev: growth_accounting_step(prev, ev, day), _day_before(day), day))
 
 
 @register(
@@ -250,7 +258,8 @@ def q_scd_step_absent(t):
     """A snapshot without the players who don't play in it; their runs
     stay as they were."""
     last = last_season(t)
-    players = cumulate_history(A.player_seasons(t), last)
-    scd = scd2_history(players, "player_name", "current_season", ["scoring_class"], upto=last - 1)
-    present = players.filter(F.col("is_active"))
-    return scd2_step(scd, present, "player_name", "current_season", ["scoring_class"], last)
+    seasons = A.player_seasons(t)
+    table = SnapshotTable.scratch(t.spark, "players_scd", "player_name", "as_of")
+    table.write(scd2_history(cumulate_history(seasons, last - 1), "player_name", "current_season", ["scoring_class"], upto=last - 1), last - 1)
+    present = cumulate_history(seasons, last, periods=[last]).filter(F.col("is_active"))
+    return table.advance(lambda scd: scd2_step(scd, present, "player_name", "current_season", ["scoring_class"], last), last - 1, last)

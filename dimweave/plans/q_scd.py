@@ -9,6 +9,7 @@ from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_cumulative import ACTORS_CTES, PLAYERS_CTES
 from dimweave.plans.registry import last_film_year, last_season, register
 from dimweave.sources import adapters as A
+from dimweave.sources.snapshots import SnapshotTable
 
 
 def scd_sql(src: str, key: str, period: str, attrs: list[str]) -> str:
@@ -62,10 +63,11 @@ def q_scd_step(t):
     step; equals the full backfill."""
     ps = A.player_seasons(t)
     last = last_season(t)
-    players = cumulate_history(ps, last)
     attrs = ["scoring_class", "is_active"]
-    scd = scd2_history(players, "player_name", "current_season", attrs, upto=last - 1)
-    return scd2_step(scd, players, "player_name", "current_season", attrs, last)
+    table = SnapshotTable.scratch(t.spark, "players_scd", "player_name", "as_of")
+    table.write(scd2_history(cumulate_history(ps, last - 1), "player_name", "current_season", attrs, upto=last - 1), last - 1)
+    season = cumulate_history(ps, last, periods=[last])
+    return table.advance(lambda scd: scd2_step(scd, season, "player_name", "current_season", attrs, last), last - 1, last)
 
 
 @register("actors_scd", ACTORS_SCD_SQL)
@@ -82,7 +84,8 @@ def q_actors_scd_step(t):
     """C11 incremental: backfill to the year before the last, one step."""
     films = A.actor_films(t)
     last = last_film_year(t)
-    actors = actors_history(films, last, with_films=False)
     attrs = ["quality_class", "is_active"]
-    scd = scd2_history(actors, "actor", "current_year", attrs, upto=last - 1)
-    return scd2_step(scd, actors, "actor", "current_year", attrs, last)
+    table = SnapshotTable.scratch(t.spark, "actors_scd", "actor", "as_of")
+    table.write(scd2_history(actors_history(films, last - 1, with_films=False), "actor", "current_year", attrs, upto=last - 1), last - 1)
+    year = actors_history(films, last, periods=[last], with_films=False)
+    return table.advance(lambda scd: scd2_step(scd, year, "actor", "current_year", attrs, last), last - 1, last)

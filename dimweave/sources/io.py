@@ -74,14 +74,16 @@ def save_as(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) -> Non
     w.saveAsTable(name)
 
 
-def write_snapshot(df: DataFrame, table: str, key: str, period_col: str, buckets: int, mode: str = "append") -> None:
+def write_snapshot(df: DataFrame, table: str, key: str, period_col: str, buckets: int, mode: str = "append",
+                   path: str | None = None) -> None:
     """Store a cumulative snapshot table partitioned by period and bucketed
     (and sorted) by the entity key.  The next period's step reads one period
     partition whose rows are already hash-placed by key: its full join with
-    the new facts shuffles only the new facts."""
+    the new facts shuffles only the new facts.  With ``path`` the files lie
+    there instead of in the warehouse."""
     # a task per bucket: one file for each bucket and period
-    placed = df.repartition(buckets, key)
-    placed.write.mode(mode).partitionBy(period_col).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    w = df.repartition(buckets, key).write.mode(mode).partitionBy(period_col).bucketBy(buckets, key).sortBy(key)
+    (w if path is None else w.option("path", path)).saveAsTable(table)
 
 
 def ensure_table(spark: SparkSession, name: str, ddl_columns: str, using: str = "parquet",
