@@ -174,9 +174,18 @@ def array_day_sums(
     )
 
 
-def array_to_daily(arrays: DataFrame, array_col: str = "metric_array") -> DataFrame:
+def array_to_daily(arrays: DataFrame, array_col: str = "metric_array", width: int = 31) -> DataFrame:
     """Sum the arrays position by position and unpivot to one row per
-    (metric, date)."""
-    exploded = arrays.select("metric_name", "month_start", F.posexplode(array_col).alias("pos", "v"))
-    summed = exploded.groupBy("metric_name", "month_start", "pos").agg(F.sum("v").alias("value"))
-    return summed.select("metric_name", F.date_add("month_start", F.col("pos")).alias("date"), "value")
+    (metric, date).
+
+    The arrays (at most ``width`` long: days of a month) are summed as vectors:
+    one sum per position, all in one aggregation that combines map-side.  No
+    array is taken apart into rows; only the sums are, one row per metric and
+    month before."""
+    positions = [f"_p{i}" for i in range(width)]
+    sums = arrays.groupBy("metric_name", "month_start").agg(
+        F.max(F.size(array_col)).alias("_n"), *[F.sum(F.get(array_col, F.lit(i))).alias(p) for i, p in enumerate(positions)]
+    )
+    daily = sums.unpivot(["metric_name", "month_start", "_n"], positions, "_at", "value")
+    at = F.substring("_at", 3, 3).cast("int")
+    return daily.filter(at < F.col("_n")).select("metric_name", F.date_add("month_start", at).alias("date"), "value")

@@ -12,6 +12,13 @@ from dimweave.session import scratch_path
 from dimweave.sources.io import file_stats
 
 
+def rebalanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows placed by the columns ``by`` (none: evenly) for writing, in
+    partitions that adaptive execution sizes, splitting those of hot values."""
+    hint = f"REBALANCE({', '.join(f'`{c}`' for c in by)})" if by else "REBALANCE"
+    return df.sparkSession.sql(f"SELECT /*+ {hint} */ * FROM {{rows}}", rows=df)
+
+
 def layout_report(
     df: DataFrame,
     variants: dict[str, Sequence[str]],
@@ -21,9 +28,12 @@ def layout_report(
 ) -> DataFrame:
     """For each variant (name -> sort columns; empty = unsorted) write ``df``
     clustered by ``partition_by`` and sorted within partitions, then read back
-    the file count, total bytes and rows.  The number of partitions follows
-    the data (adaptive execution sizes the shuffle) unless ``n_partitions`` is
-    given.
+    the file count, total bytes and rows.
+
+    The rows are rebalanced by ``partition_by``: adaptive execution merges
+    small partitions and splits large ones at its advisory size, so a day that
+    holds a third of all rows becomes many files written by many tasks.  Only
+    an explicit ``n_partitions`` fixes their number instead.
 
     Files go under the shared checkpoint folder (``spark.checkpoint.dir``)
     unless ``base_path`` is given."""
@@ -31,8 +41,7 @@ def layout_report(
     rows = None
     for name, sort_cols in variants.items():
         path = f"{base_path}/{name}" if base_path else scratch_path(spark, f"layout-{name}")
-        how = [*([n_partitions] if n_partitions else []), *partition_by]
-        out = df.repartition(*how) if how else df.hint("rebalance")
+        out = df.repartition(n_partitions, *partition_by) if n_partitions else rebalanced(df, partition_by)
         if sort_cols:
             out = out.sortWithinPartitions(*sort_cols)
         out.write.mode("overwrite").parquet(path)

@@ -38,6 +38,41 @@ def enforce_schema(df: DataFrame, schema: T.StructType, mode: str = "fail"):
     raise ValueError(mode)
 
 
+def checked_rows(df: DataFrame, schema: T.StructType, rules: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` cast to ``schema``, every row kept, with ``violations``: the
+    names of what it breaks, in the order of the fields, then of the rules.
+
+    ``<field>:type`` -- a value that doesn't cast to the field's type (null in
+    the result); ``<field>:null`` -- no value in a non-nullable field;
+    ``<rule>`` -- a predicate over the cast columns that is false (null, as
+    with missing values, breaks nothing).  One pass, nothing is moved."""
+    source = {c.lower() for c in df.columns}
+    raw = F.struct(*[F.col(f"`{f.name}`") if f.name.lower() in source else F.lit(None).cast("string").alias(f.name) for f in schema.fields])
+    cast = df.select(raw.alias("_raw"))
+    cast = cast.select("_raw", *[F.col("_raw")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    found = []
+    for f in schema.fields:
+        given = F.col("_raw")[f.name].isNotNull()
+        found.append(F.when(given & F.col(f.name).isNull(), F.lit(f"{f.name}:type")))
+        if not f.nullable:
+            found.append(F.when(~given, F.lit(f"{f.name}:null")))
+    found += [F.when(~rule, F.lit(name)) for name, rule in (rules or {}).items()]
+    return cast.select(*[f.name for f in schema.fields], F.array_compact(F.array(*found)).alias("violations"))
+
+
+def quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rows with violations) of ``checked_rows``."""
+    bad = F.size("violations") > 0
+    return checked.filter(~bad).drop("violations"), checked.filter(bad)
+
+
+def violation_counts(checked: DataFrame) -> DataFrame:
+    """(rule, n): rows that break each rule, and ``valid`` ones, in one pass;
+    a row that breaks several counts for each of them."""
+    rules = F.when(F.size("violations") > 0, F.col("violations")).otherwise(F.array(F.lit("valid")))
+    return checked.select(F.explode(rules).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
 def quality_report(
     df: DataFrame,
     keys: Sequence[str],

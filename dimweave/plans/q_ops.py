@@ -4,13 +4,14 @@ layout report (C43, C49-C52, S8)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimweave.operators.behaviour import events_with_devices
 from dimweave.operators.experiment import assign_cells, experiment_readout
 from dimweave.operators.growth import growth_accounting_history
 from dimweave.operators.kpis import engagement_daily, growth_daily, growth_total, profit_total, profit_unit
 from dimweave.operators.layout import layout_report
-from dimweave.operators.quality import quality_report
+from dimweave.operators.quality import checked_rows, quality_report, violation_counts
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.q_growth import _ga_ctes
 from dimweave.plans.registry import last_day, register
@@ -235,11 +236,77 @@ LAYOUT_SQL = with_views(
 )
 
 
+def _layouts(t):
+    df = events_with_devices(A.web_events(t), A.devices(t))
+    variants = {"unsorted": [], "date_host": ["event_date", "host"], "date_browser_host": ["event_date", "browser_type", "host"]}
+    return layout_report(df, variants, partition_by=["event_date"])
+
+
 @register("layout_report", LAYOUT_SQL)
 def q_layout_report(t):
     """The enriched events written unsorted and with two
-    sort-within-partition orders; the variants and their stored rows (sizes
-    have no oracle, a test compares them)."""
-    df = events_with_devices(A.web_events(t), A.devices(t))
-    variants = {"unsorted": [], "date_host": ["event_date", "host"], "date_browser_host": ["event_date", "browser_type", "host"]}
-    return layout_report(df, variants, partition_by=["event_date"]).select("variant", "n_rows")
+    sort-within-partition orders; the variants and their stored rows."""
+    return _layouts(t).select("variant", "n_rows")
+
+
+@register("layout_sizes")
+def q_layout_sizes(t):
+    """The same with files and bytes of each variant (which have no
+    SQL; a test compares them with the file system)."""
+    return _layouts(t)
+
+
+#: What the web events promise.  Devices are numbers below 45 here, so that
+#: every kind of violation occurs.
+EVENT_CONTRACT = T.StructType(
+    [
+        T.StructField("event_id", T.LongType(), False),
+        T.StructField("user_id", T.LongType(), False),
+        T.StructField("referrer", T.StringType(), False),
+        T.StructField("host", T.IntegerType()),
+        T.StructField("device_id", T.IntegerType(), False),
+    ]
+)
+DEVICE_LIMIT = 45
+
+
+def _checked_events(t):
+    # the host is read as the number behind its letter; h2 is stored as text
+    host = F.when(F.col("host") != "h2", F.substring("host", 2, 9)).otherwise(F.col("host"))
+    raw = A.web_events(t).select("event_id", "user_id", "referrer", host.alias("host"), "device_id")
+    return checked_rows(raw, EVENT_CONTRACT, {"device_id:known": F.col("device_id") < DEVICE_LIMIT})
+
+
+_CHECKED = (
+    "checked",
+    f"""SELECT event_id, user_id, referrer, TRY_CAST(CASE WHEN host <> 'h2' THEN substr(host, 2) ELSE host END AS INTEGER) AS host,
+               CAST(device_id AS INTEGER) AS device_id,
+               array_to_string(list_filter([CASE WHEN user_id IS NULL THEN 'user_id:null' END,
+                   CASE WHEN referrer IS NULL THEN 'referrer:null' END,
+                   CASE WHEN host = 'h2' THEN 'host:type' END,
+                   CASE WHEN device_id IS NULL THEN 'device_id:null' END,
+                   CASE WHEN device_id >= {DEVICE_LIMIT} THEN 'device_id:known' END], lambda x: x IS NOT NULL), ',') AS violations
+        FROM web_events""",
+)
+
+
+@register("events_checked", with_views(["web_events"], "SELECT * FROM checked", [_CHECKED]))
+def q_events_checked(t):
+    """The web events under their contract: every row typed, with what it
+    violates (nothing: a valid row; else one for the quarantine)."""
+    return _checked_events(t).withColumn("violations", F.array_join("violations", ","))
+
+
+@register(
+    "events_violations",
+    with_views(
+        ["web_events"],
+        """SELECT rule, COUNT(*) AS n
+           FROM (SELECT unnest(string_split(CASE WHEN violations = '' THEN 'valid' ELSE violations END, ',')) AS rule FROM checked)
+           GROUP BY rule""",
+        [_CHECKED],
+    ),
+)
+def q_events_violations(t):
+    """Rows by violated rule, and the valid ones, in one pass."""
+    return violation_counts(_checked_events(t))

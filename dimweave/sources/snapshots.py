@@ -44,9 +44,9 @@ class SnapshotTable:
         return cls(spark, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name), key, period_col, buckets)
 
     def _log(self, period, state: str, rows: int | None) -> None:
-        entry = [(str(period), state, rows, time.time_ns())]
-        log = self.spark.createDataFrame(entry, "period string, state string, n_rows long, at long")
-        log.coalesce(1).write.mode("append").parquet(self.ledger)
+        entry = [F.lit(str(period)).alias("period"), F.lit(state).alias("state"), F.lit(rows).cast("long").alias("n_rows")]
+        log = self.spark.range(0, 1, 1, 1).select(*entry, F.lit(time.time_ns()).alias("at"))
+        log.write.mode("append").parquet(self.ledger)
 
     def periods(self) -> dict[str, int]:
         """Rows of every committed period (the ledger's newest entry counts)."""
@@ -63,6 +63,9 @@ class SnapshotTable:
         """The rows of a committed period: a scan of its partition only."""
         if str(period) not in self.periods():
             raise NotCommitted(f"{self.name}: {self.period_col} {period} is not committed")
+        return self._partition(period)
+
+    def _partition(self, period) -> DataFrame:
         return self.spark.table(self.name).filter(F.col(self.period_col) == F.lit(period))
 
     def write(self, rows: DataFrame, period) -> int:
@@ -70,10 +73,12 @@ class SnapshotTable:
         earlier run left there, and commit it.  Returns their number; no rows
         at all raise (the partition can't be replaced by nothing) and leave
         the period uncommitted."""
-        self._log(period, STARTED, None)
+        exists = self.spark.catalog.tableExists(self.name)
+        if exists:  # before the first period there is no commit to take back
+            self._log(period, STARTED, None)
         counted = Observation()
         rows = rows.filter(F.col(self.period_col) == F.lit(period)).observe(counted, F.count(F.lit(1)).alias("n"))
-        if self.spark.catalog.tableExists(self.name):
+        if exists:
             overwrite_table(rows.repartition(self.buckets, self.key), self.name)
         else:
             write_snapshot(rows, self.name, self.key, self.period_col, self.buckets, mode="overwrite", path=self.data)
@@ -88,4 +93,4 @@ class SnapshotTable:
         """Run ``step`` on the stored partition of ``previous``, store its
         result as ``period`` and return that partition."""
         self.write(step(self.read(previous)), period)
-        return self.read(period)
+        return self._partition(period)

@@ -112,3 +112,68 @@ def test_job_runner_writes_partitioned_output(spark, tmp_dir):
     main(["engagement_daily", "--sf-dir", "/root/testdata/sf0.001", "--out", out,
           "--partition-by", "event_date", "--shuffle-partitions", "4"])
     assert spark.read.parquet(out).count() == 30
+
+
+def test_checked_rows_name_what_is_broken(spark):
+    from dimweave.operators.quality import checked_rows, quarantine, violation_counts
+
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("n", T.IntegerType()), T.StructField("gone", T.StringType(), False)])
+    rows = [("1", "2", "x"), (None, "3", "x"), ("a", "b", None), ("4", None, "x"), ("5", "99", "x")]
+    df = spark.createDataFrame(rows, "id string, n string, gone string")
+    checked = checked_rows(df, schema, {"n:small": F.col("n") < 50})
+    got = [(r.id, r.n, r.gone, r.violations) for r in checked.collect()]
+    assert got == [
+        (1, 2, "x", []),
+        (None, 3, "x", ["id:null"]),
+        (None, None, None, ["id:type", "n:type", "gone:null"]),
+        (4, None, "x", []),
+        (5, 99, "x", ["n:small"]),
+    ]
+    valid, bad = quarantine(checked)
+    assert [r.id for r in valid.collect()] == [1, 4] and bad.count() == 3
+    counts = {r.rule: r.n for r in violation_counts(checked).collect()}
+    assert counts == {"valid": 2, "id:null": 1, "id:type": 1, "n:type": 1, "gone:null": 1, "n:small": 1}
+    # a column that the data lack, an empty table
+    lacking = checked_rows(df.select("id"), schema).first()
+    assert lacking.violations == ["gone:null"]
+    assert checked_rows(df.limit(0), schema).count() == 0
+
+
+def test_layout_splits_a_hot_day_and_reports_its_files(spark, tables, tmp_dir):
+    """A third of the rows on one day: several files of it, none much larger
+    than the advisory size asks for; sizes as the file system has them."""
+    import os
+
+    from dimweave.operators.layout import rebalanced
+
+    events = tables.events.repartition(8).withColumn("day", F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.date_format("ts", "yyyy-MM-dd")))
+    names = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "2k")
+    try:
+        rep = {r.variant: r for r in layout_report(events, {"plain": [], "sorted": ["day", "event_type"]}, partition_by=["day"], base_path=tmp_dir).collect()}
+    finally:
+        for n, v in zip(names, old):
+            spark.conf.set(n, v)
+    for name, r in rep.items():
+        files = [f"{tmp_dir}/{name}/{f}" for f in os.listdir(f"{tmp_dir}/{name}") if f.endswith(".parquet")]
+        assert (r.files, r.bytes, r.n_rows) == (len(files), sum(map(os.path.getsize, files)), events.count())
+        stored = spark.read.parquet(f"{tmp_dir}/{name}").withColumn("f", F.input_file_name())
+        assert stored.filter("day = 'hot'").select("f").distinct().count() > 1
+    per_file = spark.read.parquet(f"{tmp_dir}/sorted").withColumn("f", F.input_file_name()).withColumn("i", F.monotonically_increasing_id())
+    assert per_file.count() == events.count()
+    assert rebalanced(events).count() == events.count()
+
+
+def test_array_sums_take_no_array_apart(spark):
+    from dimweave.operators.arrays import array_to_daily
+    from dimweave.plans.inspect import physical_tree
+
+    rows = [("m", "2024-01-01", [1, 2, None]), ("m", "2024-01-01", [10]), ("m", "2024-02-01", [5] * 29), ("k", "2024-01-01", []), ("k", "2024-01-01", None)]
+    df = spark.createDataFrame(rows, "metric_name string, month_start string, metric_array array<bigint>").withColumn("month_start", F.to_date("month_start"))
+    out = array_to_daily(df)
+    assert "Generate" not in physical_tree(out)
+    got = {(r.metric_name, str(r.date)): r.value for r in out.collect()}
+    assert len(got) == 3 + 29 and got[("m", "2024-01-01")] == 11 and got[("m", "2024-01-02")] == 2 and got[("m", "2024-01-03")] is None
+    assert got[("m", "2024-02-29")] == 5
