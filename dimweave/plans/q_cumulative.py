@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import array_text
+from dimweave.operators.chunks import chunk_days, chunked_snapshots, closed_chunks, expand
 from dimweave.operators.cumulative import (
     actors_history,
     actors_step,
@@ -19,6 +20,7 @@ from dimweave.operators.cumulative import (
 )
 from dimweave.plans.oracle_views import with_views
 from dimweave.plans.registry import last_day, last_film_year, last_season, register
+from dimweave.session import scratch_path
 from dimweave.sources import adapters as A
 from dimweave.sources.snapshots import SnapshotTable
 
@@ -272,6 +274,26 @@ def q_dates_active(t):
     return out.withColumn("dates_active", array_text("dates_active"))
 
 
+@register(
+    "dates_active_chunked",
+    with_views(
+        ["web_events"],
+        "SELECT user_id, lst AS dates_active, sdate AS date FROM lists",
+        _datelist_ctes("web_events", "user_id", "ASC"),
+    ),
+)
+def q_dates_active_chunked(t):
+    """C18 stored in chunks of seven days (closed chunks once, snapshots with
+    their open tail) and expanded to the whole lists again."""
+    day, keys, size = last_day(t, "user_id"), ["user_id"], 7
+    chunks = chunk_days(A.web_events(t), keys, day, size)
+    paths = scratch_path(t.spark, "closed_chunks"), scratch_path(t.spark, "chunked_snapshots")
+    closed_chunks(chunks, keys, day, size).write.parquet(paths[0])
+    chunked_snapshots(chunks, keys, day, size).write.parquet(paths[1])
+    closed, snapshots = map(t.spark.read.parquet, paths)
+    return expand(snapshots, closed, keys, "dates_active").withColumn("dates_active", array_text("dates_active"))
+
+
 @register(
     "device_datelist",
     with_views(

@@ -71,14 +71,73 @@ def write_kafka(df: DataFrame, topic: str, options: dict[str, str], checkpoint:
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def jdbc_sink(url: str, table: str, properties: dict[str, str]) -> BatchSink:
-    """Append a micro-batch to a JDBC table, columns as they are.  JDBC has no
-    overwrite of one batch, so a batch that is replayed after a failure between
-    its write and the checkpoint is appended again; give the table a unique key
-    where that matters, or load it from a ``file_sink``."""
+class UnknownBatch(RuntimeError):
+    """A batch was started before and nobody knows what of it has arrived."""
+
+
+class BatchLedger:
+    """Batch ids beside a sink that can't replace what it has written: one
+    small file per batch that was started, one per batch that was committed."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def states(self, batch_id: int) -> set[str]:
+        try:
+            log = self.spark.read.schema("batch_id long, state string").json(self.path)
+        except Exception as missing:
+            if "PATH_NOT_FOUND" in str(missing):
+                return set()
+            raise
+        return {r.state for r in log.filter(F.col("batch_id") == batch_id).distinct().collect()}
+
+    def log(self, batch_id: int, state: str) -> None:
+        entry = self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(state).alias("state"))
+        entry.write.mode("append").json(self.path)
+
+
+def once(sink: BatchSink, ledger: BatchLedger, undo: Callable[[int], None] | None = None) -> BatchSink:
+    """``sink`` for appending targets, each batch applied once.
+
+    The ledger is read before anything is written: a batch that was committed
+    is skipped.  One that was started and not committed may have arrived in
+    part; ``undo`` (such as a delete by batch id) clears it before it is
+    written again, and without one the batch is refused instead of doubled."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        states = ledger.states(batch_id)
+        if "committed" in states:
+            return
+        if "started" in states:
+            if undo is None:
+                raise UnknownBatch(f"batch {batch_id} was started before; clear it from the target and the ledger")
+            undo(batch_id)
+        else:
+            ledger.log(batch_id, "started")
+        sink(batch, batch_id)
+        ledger.log(batch_id, "committed")
+
+    return write
+
+
+def append_sink(path: str, fmt: str = "parquet") -> BatchSink:
+    """Append a micro-batch to a folder of files, with its batch id: a replay
+    appends it again unless ``once`` guards it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.format(fmt).mode("append").save(path)
+
+    return write
+
+
+def jdbc_sink(url: str, table: str, properties: dict[str, str], batch_col: str | None = None) -> BatchSink:
+    """Append a micro-batch to a JDBC table, columns as they are and, if
+    ``batch_col`` is given, the batch id under that name (what an ``undo``
+    deletes by).  JDBC has no overwrite of one batch: wrap it in ``once``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.jdbc(url, table, mode="append", properties=properties)
+        rows = batch if batch_col is None else batch.withColumn(batch_col, F.lit(batch_id).cast("long"))
+        rows.write.jdbc(url, table, mode="append", properties=properties)
 
     return write
 
@@ -108,9 +167,13 @@ def to_sinks(*sinks: BatchSink) -> BatchSink:
 
 
 def write_jdbc_stream(df: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str,
-                      trigger_seconds: int = 10):
-    """Append each micro-batch through JDBC (see ``jdbc_sink``)."""
-    return foreach_batch(df, jdbc_sink(url, table, properties), checkpoint, trigger_seconds)
+                      trigger_seconds: int = 10, ledger: str | None = None, undo: Callable[[int], None] | None = None):
+    """Append each micro-batch through JDBC; with a ``ledger`` folder each one
+    once (see ``once``)."""
+    sink = jdbc_sink(url, table, properties, "batch_id" if undo is not None else None)
+    if ledger is not None:
+        sink = once(sink, BatchLedger(df.sparkSession, ledger), undo)
+    return foreach_batch(df, sink, checkpoint, trigger_seconds)
 
 
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,

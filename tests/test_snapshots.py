@@ -94,3 +94,23 @@ def test_other_steps_equal_their_histories(spark, tables):
     players.write(cumulate_history(ps, 1996, periods=[1996]), 1996)
     want = cumulate_history(ps, 1997, periods=[1997])
     assertDataFrameEqual(players.advance(lambda prev: cumulate_step(prev, ps, 1997), 1996, 1997).select(*want.columns), want)
+
+
+@pytest.mark.parametrize("size", [1, 4, 30])
+def test_chunked_histories_expand_to_the_whole_lists(spark, tables, size):
+    from dimweave.operators.chunks import chunk_days, chunked_snapshots, closed_chunks, expand
+
+    ev = A.web_events(tables).filter("user_id % 3 = 0 or event_date < date'2024-01-09'")  # idle ends and whole idle chunks
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")).cast("long"))
+    day = dt.date(2024, 1, 25)
+    chunks = chunk_days(hot, ["user_id"], day, size)
+    closed, rows = closed_chunks(chunks, ["user_id"], day, size), chunked_snapshots(chunks, ["user_id"], day, size)
+    want = dates_active_history(hot, day)
+    assertDataFrameEqual(expand(rows, closed, ["user_id"], "dates_active").select("user_id", "dates_active", "date"), want)
+    assert rows.agg(F.max(F.size("tail"))).first()[0] <= size
+    if size == 4:
+        stored = closed.agg(F.sum(F.size("days"))).first()[0] + rows.agg(F.sum(F.size("tail"))).first()[0]
+        assert 2 * stored < want.agg(F.sum(F.size("dates_active"))).first()[0]
+    # no events, and none up to the day
+    assert chunked_snapshots(chunk_days(hot.limit(0), ["user_id"], day, size), ["user_id"], day, size).count() == 0
+    assert chunk_days(hot, ["user_id"], "2023-12-01", size).count() == 0

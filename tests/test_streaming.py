@@ -171,3 +171,41 @@ def test_json_records_stream(spark, tables, tmp_path):
     assert out.filter(F.col("event_timestamp").isNull()).count() == 1
     batch = parse_json_records(spark.read.text(src), WEB_EVENT_JSON)
     assertDataFrameEqual(out, batch)
+
+
+def test_a_ledger_keeps_an_appending_sink_from_doubling_a_batch(spark, tmp_path):
+    """A replayed batch, a batch that died after its write, and one that died
+    with no way to clear it."""
+    import shutil
+
+    from dimweave.streaming.io import BatchLedger, UnknownBatch, append_sink, once
+
+    target, ledger = str(tmp_path / "target"), BatchLedger(spark, str(tmp_path / "ledger"))
+    batches = [spark.range(10 * i, 10 * i + 10) for i in range(3)]
+    plain = append_sink(target)
+    guarded = once(plain, ledger)
+    for _ in range(2):  # the stream restarts and replays both
+        guarded(batches[0], 0)
+        guarded(batches[1], 1)
+    assert spark.read.parquet(target).count() == 20
+
+    def dies_after(batch, batch_id):
+        plain(batch, batch_id)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        once(dies_after, ledger)(batches[2], 2)
+    with pytest.raises(UnknownBatch):
+        guarded(batches[2], 2)
+    assert spark.read.parquet(target).count() == 30
+
+    def undo(batch_id):
+        kept = spark.read.parquet(target).filter(f"batch_id <> {batch_id}").collect()
+        shutil.rmtree(target)
+        spark.createDataFrame(kept, "id long, batch_id long").write.parquet(target)
+
+    for _ in range(2):
+        once(plain, ledger, undo)(batches[2], 2)
+    rows = spark.read.parquet(target)
+    assert sorted(r.id for r in rows.collect()) == list(range(30))
+    assert ledger.states(2) == {"started", "committed"} and ledger.states(7) == set()
