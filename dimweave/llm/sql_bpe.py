@@ -29,6 +29,7 @@ import os
 import tempfile
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -37,11 +38,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import small_batches, worker_model
-from dimweave.llm.word_ids import END, LETTER, NUMBER, OTHER, SPACE, Words, WordTable, contractions, joined_points
+from dimweave.llm.word_ids import CACHE_ENTRIES, END, LETTER, NUMBER, OTHER, SPACE, Words, WordTable, contractions, joined_points
 
 #: Symbols that one recursive query starts from, and rows it may pile up.
 QUERY_SYMBOLS = 200_000
 QUERY_ROWS = 2_000_000
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What one worker's model may hold: remembered words, symbols and rows of
+    a recursive query, DuckDB's memory."""
+
+    entries: int = CACHE_ENTRIES
+    symbols: int = QUERY_SYMBOLS
+    rows: int = QUERY_ROWS
+    duckdb_mb: int = 256
+
+
+#: For stages of a pipeline, whose executors still hold what the stages before
+#: have left: some 150 MB less a worker, for a third more time.
+FRUGAL = Limits(entries=200_000, symbols=50_000, rows=500_000, duckdb_mb=96)
 #: Longer words (bytes) are cut into segments of ``SEGMENT`` bytes.
 LONG_WORD = 64
 SEGMENT = 12
@@ -130,16 +147,16 @@ def character_kinds() -> bytes:
 class SqlBpe:
     """One task's connection, tables and remembered words."""
 
-    def __init__(self, ranks: dict[bytes, int], kinds: bytes):
+    def __init__(self, ranks: dict[bytes, int], kinds: bytes, limits: Limits = Limits()):
         import duckdb
 
-        self.ranks = ranks
+        self.ranks, self.limits = ranks, limits
         self.kinds = np.frombuffer(zlib.decompress(kinds), dtype=np.uint8)
-        self.words = WordTable(self.learn)
+        self.words = WordTable(self.learn, limits.entries)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.names = [str(i) for i in range(max(ranks.values()) + 1)]
         spill = os.path.join(tempfile.gettempdir(), f"bpe-spill-{os.getpid()}")
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": spill})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{limits.duckdb_mb}MB", "temp_directory": spill})
         least = {}  # of the entries that begin or end with an entry, the least rank
         left, right, whole = [], [], []
         for piece, rank in ranks.items():
@@ -172,7 +189,7 @@ class SqlBpe:
         done: list[np.ndarray] = [ids[:0]] * len(words)
         while len(w):
             self.load("symbols", pa.table({"w": w, "pos": pos, "id": ids}))
-            steps = max(1, QUERY_ROWS // len(w))
+            steps = max(1, min(QUERY_ROWS, self.limits.rows) // len(w))
             out = self._ordered(query, steps)
             ow, opos, oids, ostep = (out.column(c).to_numpy() for c in ("w", "pos", "id", "step"))
             open_ = ostep == steps  # more pairs may be left
@@ -198,7 +215,7 @@ class SqlBpe:
                 continue
             short.append(i)
             size += len(word)
-            if size >= QUERY_SYMBOLS or i + 1 == len(words):
+            if size >= self.limits.symbols or i + 1 == len(words):
                 for k, ids in zip(short, self.contract([words[k] for k in short]), strict=True):
                     out[k] = ids
                 short, size = [], 0
@@ -282,19 +299,19 @@ class SqlBpe:
         return out
 
 
-def task_model(ranks_file: bytes, kinds: bytes) -> SqlBpe:
+def task_model(ranks_file: bytes, kinds: bytes, limits: Limits) -> SqlBpe:
     """The worker's model for a rank file's content."""
-    key = ("bpe", hashlib.sha256(ranks_file).hexdigest())
-    return worker_model(key, lambda: SqlBpe(parse_ranks(ranks_file), kinds))
+    key = ("bpe", hashlib.sha256(ranks_file).hexdigest(), limits)
+    return worker_model(key, lambda: SqlBpe(parse_ranks(ranks_file), kinds, limits))
 
 
-def _round_trip(ranks_file: bytes, pattern: str, outputs):
+def _round_trip(ranks_file: bytes, pattern: str, outputs, limits: Limits = Limits()):
     if pattern != public_tokenizers.PATTERN:
         raise ValueError("pre-tokens are split by the classes of public_tokenizers.PATTERN")
     kinds = character_kinds()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = task_model(ranks_file, kinds)
+        model = task_model(ranks_file, kinds, limits)
         for batch in small_batches(batches, "text", 2 << 20):
             ids, begins = model.encode(batch.column("text").to_pylist())
             yield outputs(model, batch, ids, begins, model.decode(ids, begins))
@@ -337,7 +354,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, limits: Limits = FRUGAL) -> DataFrame:
     """The documents with their columns, ``text`` decoded from its ids, and
     n_tokens and token_ids (which replace columns of these names).  Null text
     has no ids and stays null; otherwise as ``bpe_round_trip``."""
@@ -357,6 +374,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         )
 
     kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(_round_trip(_rank_file(ranks_path), pattern, outputs), f"row {kind}, text string, n_tokens long, token_ids array<int>")
+    out = rows.mapInArrow(_round_trip(_rank_file(ranks_path), pattern, outputs, limits), f"row {kind}, text string, n_tokens long, token_ids array<int>")
     names = [c for c in docs.columns if c.lower() not in ("n_tokens", "token_ids")]
     return out.select(*["text" if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in names], "n_tokens", "token_ids")
