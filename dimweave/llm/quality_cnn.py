@@ -7,9 +7,10 @@ pooled responses are averaged (by their number of windows) and combined into
 one probability.
 
 The network is learned with Adam on the driver from a bounded, documented
-sample of labelled documents: ``SAMPLE_DOCUMENTS`` of them (those with the
-least hash of their id), and of each ``SAMPLE_CHUNKS`` evenly spaced chunks.
-Scoring reads every document whole.
+sample of labelled documents, each whole: at most ``SAMPLE_DOCUMENTS`` of them
+(those with the least hash of their id) and ``SAMPLE_BYTES`` bytes of text (a
+document that doesn't fit any more is passed over).  Scoring reads every
+document whole.
 """
 
 from __future__ import annotations
@@ -22,19 +23,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches
+from dimweave.llm.common import small_batches, written
 
 BLOCK = 4  # bytes of a filter step; a filter spans two
 CHUNK_BLOCKS = 128
 EMBEDDING = 8
 FILTERS = 32
 PAD = 256  # stands for the bytes behind a text's end
-SAMPLE_DOCUMENTS = 6000
-SAMPLE_CHUNKS = 4
+SAMPLE_DOCUMENTS = 3000
+SAMPLE_BYTES = 32 << 20
 EPOCHS = 8
 SEED = 7
 #: Bytes that pass through the network at once.
 TILE_BYTES = 1 << 20
+#: Chunks that pass through the network at once while it is learned.
+TILE_CHUNKS = 1024
 
 
 def padded(raw: bytes) -> np.ndarray:
@@ -111,10 +114,54 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def learn(chunks: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Network learned from documents (some chunks each) and their labels 0 or
-    1, by Adam on the logistic loss.  With one label only, or none, the
-    network's answer is that label's rate."""
+def chunks_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A text's chunks, each a row filled up with padding, and their numbers of
+    windows."""
+    begins = range(0, max(1, -(-len(raw) // BLOCK)) * BLOCK, (CHUNK_BLOCKS - 1) * BLOCK)
+    rows = np.full((len(begins), CHUNK_BLOCKS * BLOCK), PAD, dtype=np.int16)
+    for row, at in zip(rows, begins, strict=True):
+        part = raw[at : at + len(row)]
+        row[: len(part)] = np.frombuffer(part, dtype=np.uint8)
+    left = -(-(len(raw) - np.array(begins)) // BLOCK)
+    return rows, np.clip(left, 1, CHUNK_BLOCKS - 1)
+
+
+def gradients(net: Network, symbols: np.ndarray, windows: np.ndarray, who: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    """Gradients of the mean logistic loss of some documents in the order of
+    the network's parameters; ``who`` owns each chunk.  Chunks pass in tiles,
+    so memory doesn't grow with a document."""
+    tiles = [slice(at, at + TILE_CHUNKS) for at in range(0, len(symbols), TILE_CHUNKS)]
+    top, best = [], []
+    for tile in tiles:
+        blocks = net.embedding[symbols[tile]].reshape(-1, CHUNK_BLOCKS, BLOCK * EMBEDDING)
+        out = blocks[:, :-1] @ net.filters[0] + blocks[:, 1:] @ net.filters[1] + net.shift
+        out[np.arange(CHUNK_BLOCKS - 1) >= windows[tile][:, None]] = -np.inf
+        best.append(out.argmax(axis=1))  # chunks x filters
+        top.append(np.take_along_axis(out, best[-1][:, None, :], 1)[:, 0])
+    top = np.concatenate(top)
+    share = (windows / np.bincount(who, windows)[who]).astype(np.float32)[:, None]
+    feature = np.zeros((len(labels), FILTERS), net.weights.dtype)
+    np.add.at(feature, who, share * np.maximum(top, 0))
+    p = 1 / (1 + np.exp(-np.clip(feature @ net.weights + net.bias[0], -30, 30)))
+    error = ((p - labels) / len(labels)).astype(net.weights.dtype)
+    d_top = error[who][:, None] * share * net.weights * (top > 0)
+    d_filters, d_embedding = np.zeros_like(net.filters), np.zeros_like(net.embedding)
+    for tile, at in zip(tiles, best, strict=True):
+        s, d = symbols[tile], d_top[tile]
+        row = np.arange(len(s))[:, None, None]
+        for k in (0, 1):
+            read = s[row, (at + k)[:, :, None] * BLOCK + np.arange(BLOCK)]  # chunks x filters x bytes
+            block = net.embedding[read].reshape(len(s), FILTERS, BLOCK * EMBEDDING)
+            d_filters[k] += np.einsum("rf,rfb->bf", d, block)
+            d_block = d[:, :, None] * net.filters[k].T[None]
+            np.add.at(d_embedding, read, d_block.reshape(len(s), FILTERS, BLOCK, EMBEDDING))
+    return [d_embedding, d_filters, d_top.sum(axis=0), error @ feature, error.sum(keepdims=True)]
+
+
+def learn(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Network:
+    """Network learned from whole documents and their labels 0 or 1, by Adam on
+    the logistic loss of small groups of documents.  With one label only, or
+    none, the network's answer is that label's rate."""
     net = Network.fresh(seed)
     rate = (labels.sum() + 1) / (len(labels) + 2)
     net.bias[0] = np.log(rate / (1 - rate))
@@ -125,90 +172,50 @@ def learn(chunks: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, s
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     rng, step, size = np.random.default_rng(seed), 0, 32
     total = epochs * -(-len(labels) // size)
-    # every chunk in a row of its own, filled up with padding
-    width = CHUNK_BLOCKS * BLOCK
-    owner = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
-    symbols = np.full((len(owner), width), PAD, dtype=np.int16)
-    for row, raw in enumerate(c for own in chunks for c in own):
-        symbols[row, : len(raw)] = np.frombuffer(raw[:width], dtype=np.uint8)
-    windows = np.clip(-(-np.count_nonzero(symbols != PAD, axis=1) // BLOCK), 1, CHUNK_BLOCKS - 1)
-    rows_of = np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1)
     for _ in range(epochs):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), size):
             docs = order[at : at + size]
-            rows = np.concatenate([rows_of[d] for d in docs])
-            who = np.repeat(np.arange(len(docs)), [len(rows_of[d]) for d in docs])
-            s = symbols[rows]
-            blocks = net.embedding[s].reshape(len(rows), CHUNK_BLOCKS, -1)
-            out = blocks[:, :-1] @ net.filters[0] + blocks[:, 1:] @ net.filters[1] + net.shift
-            valid = np.arange(CHUNK_BLOCKS - 1) < windows[rows][:, None]
-            out = np.where(valid[:, :, None], out, -np.inf)
-            best = out.argmax(axis=1)  # rows x filters
-            top = np.take_along_axis(out, best[:, None, :], 1)[:, 0]
-            pooled = np.maximum(top, 0)
-            share = windows[rows] / np.bincount(who, windows[rows])[who]
-            feature = np.zeros((len(docs), FILTERS), np.float32)
-            np.add.at(feature, who, share[:, None].astype(np.float32) * pooled)
-            p = 1 / (1 + np.exp(-np.clip(feature @ net.weights + net.bias[0], -30, 30)))
-            error = ((p - labels[docs]) / len(docs)).astype(np.float32)
-            d_top = error[who][:, None] * share[:, None].astype(np.float32) * net.weights * (top > 0)
-            r = np.arange(len(rows))[:, None]
-            a, b = blocks[r, best], blocks[r, best + 1]  # rows x filters x block
-            d_filters = np.stack([np.einsum("rf,rfb->bf", d_top, a), np.einsum("rf,rfb->bf", d_top, b)])
-            d_embedding = np.zeros_like(net.embedding)
-            for k in (0, 1):
-                d_block = d_top[:, :, None] * net.filters[k].T[None]  # rows x filters x block
-                where = (best + k)[:, :, None] * BLOCK + np.arange(BLOCK)
-                np.add.at(d_embedding, s[r[:, :, None], where], d_block.reshape(len(rows), FILTERS, BLOCK, EMBEDDING))
-            gradients = [d_embedding, d_filters, d_top.sum(axis=0), error @ feature, error.sum(keepdims=True)]
+            own = [chunks_of(texts[d]) for d in docs]
+            who = np.repeat(np.arange(len(docs)), [len(rows) for rows, _ in own])
+            symbols, windows = (np.concatenate(x) for x in zip(*own, strict=True))
             step += 1
             pace = 0.004 * (1 - step / (total + 1))
-            for q, g, m, v in zip(parameters, gradients, first, second, strict=True):
+            for q, g, m, v in zip(parameters, gradients(net, symbols, windows, who, labels[docs]), first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 q -= pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return net
 
 
-def sample_chunks(raw: bytes, n: int = SAMPLE_CHUNKS) -> list[bytes]:
-    """Up to n chunks, evenly spaced over the whole text."""
-    width = CHUNK_BLOCKS * BLOCK
-    if len(raw) <= width:
-        return [raw]
-    n = min(n, -(-len(raw) // width))
-    return [raw[at : at + width] for at in np.linspace(0, len(raw) - width, n).astype(int)]
-
-
 def held_out(doc_id: Column, modulus: int = 4, remainder: int = 2) -> Column:
     """Whether a document's label is kept from learning: crc32 of its id as
     text (null: as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def _take_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text", 16 << 20):
-        chunks = [sample_chunks((t or "").encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("label"), pa.array(chunks, pa.list_(pa.binary()))], ["doc_id", "label", "chunks"]
-        )
-
-
-def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", documents: int = SAMPLE_DOCUMENTS) -> Network:
+def learn_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", documents: int = SAMPLE_DOCUMENTS, max_bytes: int = SAMPLE_BYTES) -> Network:
     """Network for ``labels.<label>`` from at most ``documents`` labelled
-    documents that aren't held out.  Rows without id or label are ignored; of
-    several labels of a document the largest counts, of several texts of an id
-    one.  Reaches the driver: documents x SAMPLE_CHUNKS x 512 bytes at most."""
+    documents that aren't held out, whole and of ``max_bytes`` bytes together.
+    Rows without id or label are ignored; of several labels of a document the
+    largest counts, of several texts of an id the least, null as empty.  Only
+    the sample reaches the driver."""
     spark = docs.sparkSession
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).collect()  # ids and labels only
-    kind = docs.schema["doc_id"].dataType.simpleString()
     ids = F.broadcast(spark.createDataFrame(ids, f"doc_id {labels.schema['doc_id'].dataType.simpleString()}, label int"))
-    found = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "text", "label")
-    found = found.mapInArrow(_take_chunks, f"doc_id {kind}, label int, chunks array<binary>")
-    rows = found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("chunks").alias("chunks")).orderBy("doc_id").collect()
-    return learn([[bytes(c) for c in r.chunks] for r in rows], np.array([float(r.label > 0) for r in rows]))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    found = docs.select("doc_id", text.alias("text")).join(ids, "doc_id")
+    found = written(found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")), "sample")
+    chosen, left = [], max_bytes
+    for r in found.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if r.n <= left:
+            chosen.append((r.doc_id,))
+            left -= r.n
+    chosen = F.broadcast(spark.createDataFrame(chosen, found.select("doc_id").schema))
+    rows = found.join(chosen, "doc_id").orderBy("doc_id").collect()
+    return learn([bytes(r.text) for r in rows], np.array([float(r.label > 0) for r in rows]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
