@@ -9,8 +9,10 @@ sampled at every eighth word of a run.  All benchmark windows are searched
 backward at once through the wavelet ranks, the rows found are walked to the
 next sampled position, and the located spans are merged per document.
 
-The benchmark is taken in blocks of bounded size; every block is one pass over
-the rows in place, so nothing that grows without bound is broadcast.
+The benchmark is taken in blocks of bounded size, one after the other: a block
+is fetched, sent out, and searched for in one pass over the rows in place,
+whose result is written before the next block.  So one block at a time is in
+memory, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import small_batches
+from dimweave.llm.common import small_batches, written
 
 WINDOW = 13
 #: Bytes of benchmark text that go to the executors at once.
@@ -267,8 +269,8 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Callable[[], list[tuple[str, str | None]]]]:
     """All items, (item_id as text, text), in blocks of about ``block_bytes``
     bytes of text, each fetched when it is called; a null item_id is the empty
-    text."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    text, and repeated items come once."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
@@ -311,6 +313,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, keep: list[str], with_t
     kind = rows.schema["row"].dataType.simpleString()
     blocks = list(benchmark_blocks(benchmark))
     for k, block in enumerate(blocks):
+        rows = written(rows, "searched") if k else rows
         text = with_text or k < len(blocks) - 1
         run = _search(Phrases(block()), k == 0, text)
         rows = rows.mapInArrow(run, f"row {kind}, {'text string, ' * text}{_FOUND}")

@@ -94,6 +94,12 @@ def test_blocks_of_the_benchmark(spark, documents):
     assert got == want
 
 
+def test_repeated_items_are_fetched_once(spark):
+    items = spark.createDataFrame([(1, "one two three")] * 500 + [(2, "four"), (None, None)], "item_id long, text string")
+    blocks = [block() for block in D.benchmark_blocks(items, 10)]
+    assert sorted(str(x) for block in blocks for x in block) == sorted(str(x) for x in [("1", "one two three"), ("2", "four"), ("", None)])
+
+
 def test_odd_tables(spark, odd, nothing, repeated):
     items = spark.createDataFrame([(1, "word word"), (1, "word word"), (None, "twice"), (2, None), (3, ""), (4, "one two")], "item_id long, text string")
     rows = {r.doc_id: r for r in D.contamination(odd, items).collect()}
