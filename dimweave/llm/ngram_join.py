@@ -4,9 +4,13 @@ Documents are sets of 5-word shingles (64-bit hashes); two link when their
 Jaccard similarity is at least 0.8.  A set with n shingles can miss at most
 d = n - ceil(0.8 n) of them in any partner.
 
-1. Every task cuts its documents' shingles into packed buckets by hash; one
-   task per bucket counts in how many documents each shingle is, and sends
-   back, per document, those that others have too.
+1. Every task cuts its documents' shingles into packed buckets by hash (as many
+   as their number asks for); one task per bucket counts in how many documents
+   each shingle is, and sends back, per document, those that others have too.
+   Shingles of very many documents would fill a bucket of their own: they are
+   found before, by counts that each task takes of its documents, and go
+   straight to their documents' buckets.  Their counts are lower bounds, which
+   is enough: any order that all documents agree on will do for the prefixes.
 2. A document with more than d shingles of its own has no partner.  The others
    order their shared shingles from rare to frequent and index a prefix.  Rare
    shingles are indexed singly.  Frequent ones fall into groups by hash, the
@@ -32,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +51,14 @@ GROUP_SHINGLES = 32
 BLOCK = 512
 #: Shingles that a task gathers before it sends them off.
 FLUSH_SHINGLES = 1_000_000
+#: Shingles of all documents per bucket (more buckets are used beyond it).
+BUCKET_SHINGLES = 4_000_000
+#: Documents of one flush that make a task count a shingle for the hot ones.
+HOT_IN_FLUSH = 4
+#: Documents from which a shingle is hot; hot ones are at most so many (the
+#: bound of documents rises where needed), 16 bytes each.
+HOT_DOCUMENTS = 1_000_000
+HOT_SHINGLES = 1_000_000
 
 # Odd multipliers for the words of a shingle.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -80,7 +93,9 @@ def most_missing(n: np.ndarray) -> np.ndarray:
 
 
 def _bucket(x: np.ndarray, n: int) -> np.ndarray:
-    return ((x >> np.uint64(48)) * np.uint64(n) >> np.uint64(16)).astype(np.uint16)
+    if n <= 1 << 16:
+        return ((x >> np.uint64(48)) * np.uint64(n) >> np.uint64(16)).astype(np.uint16)
+    return ((x >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.uint32)
 
 
 def _home(nodes: np.ndarray, n: int) -> np.ndarray:
@@ -90,52 +105,117 @@ def _home(nodes: np.ndarray, n: int) -> np.ndarray:
 # Rows of packed arrays.  node, size: documents whose home is this bucket;
 # owner, count: documents and how many of the following shingles are theirs;
 # low, high: the shingles' lower 48 bits (the bucket they come from stands for
-# the upper ones); df: in how many documents each is.
-_PACKED = "bucket int, node binary, size binary, owner binary, count binary, low binary, high binary"
-_SHARED = "bucket int, source int, node binary, size binary, owner binary, count binary, low binary, high binary, df binary"
+# the upper ones); df: in how many documents each is, source: the bucket they
+# come from (both null until they are counted).  Hot shingles come from a bucket
+# behind the last one, as their places in the list of hot ones.
+_PACKED = "bucket int, source int, node binary, size binary, owner binary, count binary, low binary, high binary, df binary"
+_BINARY = ("node", "size", "owner", "count", "low", "high", "df")
+_SCHEMA = pa.schema([("bucket", pa.int32()), ("source", pa.int32()), *((c, pa.binary()) for c in _BINARY)])
+
+
+def _packed(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)]
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of the runs of equal entries of a sorted array."""
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, dtype=np.int64)
+    return first, np.diff(first, append=len(values))
+
+
+def _slices(values: np.ndarray, wanted: np.ndarray) -> list[slice]:
+    """Where each of the wanted entries is in a sorted array."""
+    begin, end = np.searchsorted(values, wanted), np.searchsorted(values, wanted, side="right")
+    return [slice(a, b) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
 
 
 def _by_owner(owner: np.ndarray, tokens: np.ndarray) -> list[bytes]:
     """owner, count, low and high of shingles that are sorted by owner."""
-    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, dtype=np.int64)
-    count = np.diff(first, append=len(owner))
+    first, count = _runs(owner)
     columns = (owner[first], count.astype("<u4"), tokens.astype("<u4"), (tokens >> np.uint64(32)).astype("<u2"))
     return [c.tobytes() for c in columns]
 
 
-def _pack(parts: int):
-    schema = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("node", "size", "owner", "count", "low", "high"))])
+def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Documents (their nodes and sets) with about FLUSH_SHINGLES shingles."""
+    nodes, sets, held = [], [], 0
+    for batch in small_batches(batches, "text", 4 << 20):
+        for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            nodes.append(node)
+            sets.append(shingles(text))
+            held += len(sets[-1])
+        if held >= FLUSH_SHINGLES:
+            yield nodes, sets
+            nodes, sets, held = [], [], 0
+    if nodes:
+        yield nodes, sets
+
+
+def _often(least: int):
+    """Of every flush the number of its shingles (token null) and the shingles
+    that at least so many of its documents have, with that number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in _flushes(batches):
+            tokens = np.sort(np.concatenate(sets))
+            first, n = _runs(tokens)
+            often = n >= least
+            found = tokens[first[often]].view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *found.tolist()], pa.int64()), pa.array([len(tokens), *n[often].tolist()], pa.int64())], ["token", "n"]
+            )
+
+    return run
+
+
+def hot_shingles(rows: DataFrame, in_flush: int, documents: int, shingles_at_most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of all shingles of rows (node, text), summed over documents; the
+    hot ones, ascending, and in how many documents they are at least.  Found
+    are all that average ``in_flush`` documents a flush or more; as the counts
+    add up to no more than that number, at most ``shingles_at_most`` are hot."""
+    counts = written(rows.mapInArrow(_often(in_flush), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "often")
+    total = counts.filter("token is null").agg(F.sum("n")).first()[0] or 0
+    least = max(documents, -(-total // shingles_at_most))
+    hot = counts.filter(F.col("token").isNotNull() & (F.col("n") >= least)).toArrow()
+    token, n = (hot.column(c).to_numpy() for c in ("token", "n"))
+    token, n = token.astype(np.int64).view(np.uint64), np.minimum(n, 2**31 - 1).astype("<i4")
+    order = np.argsort(token)
+    return total, token[order], n[order]
+
+
+def _pack(parts: int, hot):
+    """Shingles by their bucket; ``hot`` is the broadcast (tokens, counts) of
+    the hot ones, which go to their documents' homes."""
 
     def sent(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        hot_tokens, hot_df = hot.value
         ids, sizes = np.array(nodes, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int64)
         tokens = np.concatenate(sets)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        home = _home(ids, parts)
+        rows = []
+        if len(hot_tokens):
+            place = np.minimum(np.searchsorted(hot_tokens, tokens), len(hot_tokens) - 1)
+            is_hot = hot_tokens[place] == tokens
+            place, owner = place[is_hot], doc[is_hot]
+            order = np.argsort(home[owner], kind="stable")
+            place, owner = place[order], owner[order]
+            there = np.unique(home[owner])
+            for b, here in zip(there.tolist(), _slices(home[owner], there), strict=True):
+                rows.append((b, parts, b"", b"", *_by_owner(ids[owner[here]], place[here].astype(np.uint64)), hot_df[place[here]].tobytes()))
+            tokens, doc = tokens[~is_hot], doc[~is_hot]
         where = _bucket(tokens, parts)
         order = np.argsort(where, kind="stable")
-        tokens, doc = tokens[order] & _LOW_48, doc[order]
-        cuts = np.searchsorted(where[order], np.arange(parts + 1))
-        home = _home(ids, parts)
+        where, tokens, doc = where[order], tokens[order] & _LOW_48, doc[order]
         home_order = np.argsort(home, kind="stable")
-        home_cuts = np.searchsorted(home[home_order], np.arange(parts + 1))
-        rows = []
-        for b in range(parts):
-            here, own = slice(cuts[b], cuts[b + 1]), home_order[home_cuts[b] : home_cuts[b + 1]]
-            if here.start == here.stop and not len(own):
-                continue
-            rows.append((b, ids[own].tobytes(), sizes[own].astype("<u4").tobytes(), *_by_owner(ids[doc[here]], tokens[here])))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        buckets = np.union1d(where, home)
+        for b, here, own in zip(buckets.tolist(), _slices(where, buckets), _slices(home[home_order], buckets), strict=True):
+            own = home_order[own]
+            rows.append((b, None, ids[own].tobytes(), sizes[own].astype("<u4").tobytes(), *_by_owner(ids[doc[here]], tokens[here]), None))
+        return pa.RecordBatch.from_arrays(_packed(rows), schema=_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, sets, held = [], [], 0
-        for batch in small_batches(batches, "text", 4 << 20):
-            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                nodes.append(node)
-                sets.append(shingles(text))
-                held += len(sets[-1])
-            if held >= FLUSH_SHINGLES:
-                yield sent(nodes, sets)
-                nodes, sets, held = [], [], 0
-        if nodes:
+        for nodes, sets in _flushes(batches):
             yield sent(nodes, sets)
 
     return run
@@ -147,33 +227,32 @@ def _joined(table: pa.Table, column: str, dtype: str) -> np.ndarray:
 
 def _count(parts: int):
     """Of one bucket's shingles those of several documents, packed by the
-    documents' homes."""
-    binary = ("node", "size", "owner", "count", "low", "high", "df")
-    schema = pa.schema([("bucket", pa.int32()), ("source", pa.int32()), *((c, pa.binary()) for c in binary)])
+    documents' homes; hot ones, which are counted and at home, go on as they
+    are."""
 
     def run(table: pa.Table) -> pa.Table:
         release_memory()
         bucket = table.column("bucket")[0].as_py()
+        counted = table.column("df").is_valid()
+        hot, table = table.filter(counted), table.filter(pc.invert(counted))
         owner = np.repeat(_joined(table, "owner", "<i8"), _joined(table, "count", "<u4"))
         token = _joined(table, "high", "<u2").astype(np.uint64) << np.uint64(32) | _joined(table, "low", "<u4")
         order = np.argsort(token)
         token, owner = token[order], owner[order]
-        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, dtype=np.int64)
-        df = np.diff(first, append=len(token))
+        _, df = _runs(token)
         df = np.repeat(df, df)
         shared = df > 1
         token, owner, df = token[shared], owner[shared], df[shared].astype("<i4")
         home = _home(owner, parts)
         order = np.lexsort((owner, home))
         token, owner, df = token[order], owner[order], df[order]
-        cuts = np.searchsorted(home[order], np.arange(parts + 1))
+        home = home[order]
         nodes, sizes = (b"".join(table.column(c).to_pylist()) for c in ("node", "size"))
         rows = [(bucket, bucket, nodes, sizes, b"", b"", b"", b"", b"")]
-        for b in range(parts):
-            here = slice(cuts[b], cuts[b + 1])
-            if here.start < here.stop:
-                rows.append((b, bucket, b"", b"", *_by_owner(owner[here], token[here]), df[here].tobytes()))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        there = np.unique(home)
+        for b, here in zip(there.tolist(), _slices(home, there), strict=True):
+            rows.append((b, bucket, b"", b"", *_by_owner(owner[here], token[here]), df[here].tobytes()))
+        return pa.concat_tables([pa.Table.from_arrays(_packed(rows), schema=_SCHEMA), hot.cast(_SCHEMA)])
 
     return run
 
@@ -324,9 +403,10 @@ def _components_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For rows (node, text) with unique nodes: (node, n) of all, and (node,
     root) of those that have a partner or an equal set."""
     spark = rows.sparkSession
-    parts = min(65536, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = rows.mapInArrow(_pack(parts), _PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_count(parts), _SHARED)
+    total, *hot = hot_shingles(rows, HOT_IN_FLUSH, HOT_DOCUMENTS, HOT_SHINGLES)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_SHINGLES))
+    packed = rows.mapInArrow(_pack(parts, spark.sparkContext.broadcast(hot)), _PACKED)
+    shared = packed.groupBy("bucket").applyInArrow(_count(parts), _PACKED)
     sets = written(shared.groupBy("bucket").applyInArrow(_per_document, _SETS), "sets")
     able = sets.filter(F.size("tokens") > 0)
     # equal sets: the smallest node stands for all
@@ -375,8 +455,9 @@ def similarity_components(docs: DataFrame) -> DataFrame:
 
     Documents without words link with nothing.  Rows with the same id are
     documents of their own (each gets its row), and so are rows without one;
-    the component of rows without any id is null.  Other columns are ignored;
-    an empty table gives an empty table.
+    the component of rows without any id is null.  A very long text is one set,
+    which one task holds at a time.  Other columns are ignored; an empty table
+    gives an empty table.
     """
     ids = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -412,7 +493,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     if _plain_ids(docs.select("doc_id"), kind):
         _, roots = _components_of(docs.select(F.col("doc_id").cast("long").alias("node"), "text"))
         dropped = written(roots.filter("node <> root").select(F.col("node").cast(kind).alias("doc_id")), "dropped")
-        return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+        return docs.join(dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
     rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("node")), "numbered")
     ordered = rows.select("node", F.col("row.text").alias("text"))
     _, roots = _components_of(ordered)

@@ -1,7 +1,8 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from dimweave.llm import ngram_join as N
@@ -82,10 +83,51 @@ def test_crowded_groups(spark, crowded, monkeypatch, frequent, block):
     assert found(spark, crowded) == by_definition(crowded)
 
 
+@pytest.mark.parametrize(("documents", "at_most"), [(2, 10**6), (30, 10**6), (2, 500)])
+def test_hot_shingles_and_many_buckets(spark, crowded, monkeypatch, documents, at_most):
+    """Shingles that go past the buckets, and many small buckets: the same links."""
+    monkeypatch.setattr(N, "HOT_IN_FLUSH", 2)
+    monkeypatch.setattr(N, "HOT_DOCUMENTS", documents)
+    monkeypatch.setattr(N, "HOT_SHINGLES", at_most)
+    monkeypatch.setattr(N, "BUCKET_SHINGLES", 400)
+    rows = spark.createDataFrame(crowded, "node long, text string").repartition(3)
+    total, tokens, counts = N.hot_shingles(rows, 2, documents, at_most)
+    sets = [shingle_set(text) for _, text in crowded]
+    df = Counter(s for own in sets for s in own)
+    assert total == sum(map(len, sets)) and 0 < len(tokens) <= at_most
+    assert (np.diff(tokens.astype(float)) > 0).all() and counts.min() >= max(documents, total / at_most)
+    assert sorted(counts.tolist(), reverse=True)[0] <= max(df.values())
+    assert found(spark, crowded) == by_definition(crowded)
+
+
+def test_one_shingle_in_a_third_of_the_documents(spark, monkeypatch):
+    """No group of the counting takes the hot shingle's documents."""
+    monkeypatch.setattr(N, "HOT_DOCUMENTS", 50)
+    rng = random.Random(5)
+    rows = []
+    for i in range(900):
+        own = " ".join(f"w{rng.randrange(10**7)}" for _ in range(rng.randrange(3, 40)))
+        rows.append((i, "the one hot line here " + own if i % 3 == 0 else own))
+    rows += [(900 + i, rows[i][1]) for i in range(0, 60, 7)]
+    df = spark.createDataFrame(rows, "node long, text string").repartition(4)
+    total, *hot = N.hot_shingles(df, N.HOT_IN_FLUSH, N.HOT_DOCUMENTS, N.HOT_SHINGLES)
+    assert N.shingles("the one hot line here")[0] in hot[0]
+    packed = df.mapInArrow(N._pack(8, spark.sparkContext.broadcast(hot)), N._PACKED).toPandas()
+    per_bucket = packed[packed.df.isna()].groupby("bucket")["low"].apply(lambda x: sum(len(b) for b in x) // 4)
+    assert per_bucket.max() < 2 * per_bucket.median()
+    assert found(spark, rows) == by_definition(rows)
+
+
+def test_buckets_of_any_number():
+    x = np.sort(np.random.default_rng(1).integers(0, 2**64, 20000, dtype=np.uint64))
+    for n in (1, 7, 1 << 16, (1 << 16) + 1, 5_000_000):
+        bucket = N._bucket(x, n).astype(np.int64)
+        assert 0 <= bucket.min() and bucket.max() < n and (np.diff(bucket) >= 0).all()
+        assert bucket.max() >= n * 0.99 - 1
+
+
 def test_linking_sets_share_a_signature():
     """The prefix argument itself, over random sets and frequencies."""
-    import numpy as np
-
     rng = np.random.default_rng(4)
     universe = np.unique(rng.integers(1, 2**63, 600, dtype=np.uint64))
     df = rng.choice([1, 2, 5, 20, 400], len(universe))
