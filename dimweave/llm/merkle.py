@@ -185,16 +185,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     with the next smaller doc_id, after the last the first.
 
     Null text is empty.  Null ids come last, rows with the same id follow each
-    other by text; a single document is its own next; an empty table gives an
-    empty table.  Other columns are ignored.  The texts are shuffled once, by
-    ranges of doc_id; a task holds a text, the one behind it and a small batch
-    of results.  What borders on another task's rows (one text at each end of
+    other by a hash of their texts, then by text, also over several tasks; a
+    single document is its own next; an empty table gives an empty table.  Other
+    columns are ignored.  The texts are shuffled once, by ranges of doc_id and
+    that hash; a task holds a text, however long, the one behind it and a small
+    batch of results.  What borders on another task's rows (one text at each end of
     a task) is joined afterwards from the table that the tasks have written.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     down = F.col("doc_id").desc_nulls_last()
-    ordered = docs.select("doc_id", "text").repartitionByRange(down).sortWithinPartitions(down, "text")
-    found = ordered.mapInArrow(_neighbours, f"kind int, task long, doc_id {kind}, {_RESULT_DDL}, text string")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    ordered = hashed.repartitionByRange(down, "hash").sortWithinPartitions(down, "hash", "text")
+    found = ordered.select("doc_id", "text").mapInArrow(_neighbours, f"kind int, task long, doc_id {kind}, {_RESULT_DDL}, text string")
     found = written(found, "merkle")
     first = found.filter(F.col("kind") == _FIRST).select(F.col("task").alias("next_task"), F.col("text").alias("following"))
     last = found.filter(F.col("kind") == _LAST).select("task", "doc_id", "text")
