@@ -125,17 +125,21 @@ def player_pair_edges(details: DataFrame, block_players: int = BLOCK_PLAYERS) ->
     one tile.  The tiles are shuffled once (both sides of the self-join read
     the same shuffle) and pairs are partially aggregated in the joining task."""
     d = _one_row_per_player_game(details).select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    return _aggregate_pairs(_pairs(roster_tiles(d, block_players)))
+    return _aggregate_pairs(_pairs(roster_tiles(d, block_players, rows=details)))
 
 
-def roster_tiles(d: DataFrame, block_players: int = BLOCK_PLAYERS) -> DataFrame:
+def roster_tiles(d: DataFrame, block_players: int = BLOCK_PLAYERS, rows: DataFrame | None = None) -> DataFrame:
     """The rows of each game once per tile of their block: columns _block,
     _low and _high (the tile's two blocks).
 
-    Only games of more than one block are counted beyond the map side's
-    partial counts; their counts meet the rows in a salted join, so a game that
+    Games are sized by the number of their ``rows`` (default: ``d``), box
+    scores that may repeat, so nothing has to be deduplicated a second time to
+    be counted.  P players with R rows make at most R * max(1, P / block) tile
+    rows, and the pairs don't depend on the number of blocks.  The sizes of
+    games of more than one block meet the rows in a salted join, so a game that
     holds a third of all rows is spread over many tasks here, too."""
-    sizes = d.groupBy("game_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > block_players)
+    counted = d if rows is None else rows
+    sizes = counted.groupBy("game_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > block_players)
     blocks = sizes.select("game_id", F.ceil(F.col("_k") / block_players).cast("int").alias("_n"))
     sized = salted_join(d, blocks, ["game_id"], salt_of=["player_id"], how="left")
     n = F.coalesce("_n", F.lit(1))

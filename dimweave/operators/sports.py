@@ -142,7 +142,8 @@ def _best_window(values: Column, n: int) -> Column:
 def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0, player=None) -> DataFrame:
     """Longest run of consecutive games (by date, game id) with pts > min_pts
     per player.  Games without a score (NULL pts) are skipped, neither
-    breaking nor extending a run.  Ties: the earliest run.  Returns players
+    breaking nor extending a run.  Of several rows of one player's game those
+    that break a run come first.  Ties: the earliest run.  Returns players
     with at least one qualifying game.
 
     Games are summarised per (player, month): the run they begin with, the run
@@ -156,7 +157,7 @@ def longest_streak(details: DataFrame, games: DataFrame, min_pts: float = 10.0,
     scored = details.filter(F.col("pts").isNotNull()).join(g, "game_id")
     good = F.col("pts") > min_pts
     marked = scored.select("player_id", F.trunc("game_date_est", "MM").alias("_bucket"), "game_date_est", "game_id", good.alias("_good"))
-    ordered = Window.partitionBy("player_id", "_bucket").orderBy("game_date_est", "game_id").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = Window.partitionBy("player_id", "_bucket").orderBy("game_date_est", "game_id", "_good").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("player_id", "_bucket")
     broken = marked.withColumn("_breaks", F.sum((~F.col("_good")).cast("int")).over(ordered)).withColumn(
         "_all", F.sum((~F.col("_good")).cast("int")).over(whole)
