@@ -1,10 +1,11 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
 A text's lines are its paragraphs; a paragraph's pieces (sentences, or 96
-bytes of a longer one) are the leaves.  A paragraph whose digest ends in three
-zero bits closes a section, so that an edit moves section borders only
-nearby.  Every node's digest covers its children's; the root's covers the
-whole text, so equal roots mean equal texts.
+characters of a longer one) are the leaves.  A paragraph whose digest ends in
+three zero bits closes a section, so that an edit moves section borders only
+nearby.  A leaf's digest is the SHA-256 of its UTF-8 bytes, every other node's
+that of its children's digests (in hex, joined); the root's covers the whole
+text, so equal roots mean equal texts.
 
 A fingerprint is written as ``root/section/section/...``; a section is its
 paragraphs joined by ``;`` and a paragraph the first six hex digits of each of
@@ -27,34 +28,40 @@ from pyspark.sql import functions as F
 
 from dimweave.llm.common import small_batches, written
 
-_PIECE = re.compile(rb"[^.!?]{1,96}[.!?]*|[.!?]+")
+_PIECE = re.compile(r"[^.!?]{1,96}[.!?]*|[.!?]+")
 _LEAF_HEX = 6
 
 
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 class Tree:
     """The tree of one text."""
 
     __slots__ = ("leaves", "root", "sections")
 
     def __init__(self, text: str):
-        blake = hashlib.blake2b
-        top, section = blake(digest_size=32), blake(digest_size=16)
         sections, paragraphs, leaves = [], [], []
-        for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
-            digests = [blake(p, digest_size=16).digest() for p in _PIECE.findall(line)]
-            paragraph = blake(b"".join(digests), digest_size=16).digest()
-            short = [d[: _LEAF_HEX // 2].hex() for d in digests]
+        section, section_digests = [], []
+
+        def close() -> None:
+            sections.append(";".join(paragraphs))
+            section_digests.append(_digest("".join(section)))
+            paragraphs.clear()
+            section.clear()
+
+        for line in text.split("\n"):
+            digests = list(map(_digest, _PIECE.findall(line)))
+            section.append(_digest("".join(digests)))
+            short = [d[:_LEAF_HEX] for d in digests]
             leaves += short
             paragraphs.append("".join(short))
-            section.update(paragraph)
-            if not paragraph[-1] & 7:
-                sections.append(";".join(paragraphs))
-                top.update(section.digest())
-                section, paragraphs = blake(digest_size=16), []
+            if section[-1][-1] in "08":  # the last three bits
+                close()
         if paragraphs:
-            sections.append(";".join(paragraphs))
-            top.update(section.digest())
-        self.root, self.sections, self.leaves = top.hexdigest(), sections, leaves
+            close()
+        self.root, self.sections, self.leaves = _digest("".join(section_digests)), sections, leaves
 
     def __str__(self) -> str:
         return "/".join([self.root, *self.sections])
@@ -121,7 +128,7 @@ def _compared(text: str, tree: Tree, following: str, following_tree: Tree) -> tu
     edited_tree = Tree(edited)
     return (
         len(text),
-        hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+        _digest(edited),
         str(tree),
         str(edited_tree),
         _likeness(tree.root, tree.leaves, edited_tree.root, edited_tree.leaves),

@@ -130,3 +130,51 @@ SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(r.s AS BIGINT
        CAST(1000 * r.l // r.p AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(left_.text, '')) AS collapsed_sha256
 FROM d LEFT JOIN best USING (doc_id) LEFT JOIN left_ USING (doc_id)
 """
+
+MERKLE = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents),
+neighbours AS (
+    SELECT doc_id, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS following
+    FROM docs WINDOW o AS (ORDER BY doc_id DESC NULLS LAST)),
+edits AS (
+    SELECT *, left(text, length(text) - length(text) // 2) || left(following, length(text) // 2) AS edited FROM neighbours),
+texts AS (
+    SELECT DISTINCT sha256(text) AS k, text FROM (SELECT text FROM edits UNION ALL SELECT edited FROM edits)),
+lines AS (
+    SELECT k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM texts),
+pieces AS (
+    SELECT k, p, list_transform(regexp_extract_all(line, '[^.!?]{1,96}[.!?]*|[.!?]+'), lambda x: sha256(x)) AS digests FROM lines),
+paragraphs AS (
+    SELECT k, p, sha256(coalesce(array_to_string(digests, ''), '')) AS digest,
+           coalesce(array_to_string(list_transform(digests, lambda d: left(d, 6)), ''), '') AS short
+    FROM pieces),
+numbered AS (
+    SELECT *, coalesce(count(*) FILTER (right(digest, 1) IN ('0', '8'))
+                       OVER (PARTITION BY k ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+    FROM paragraphs),
+sections AS (
+    SELECT k, s, sha256(string_agg(digest, '' ORDER BY p)) AS digest, string_agg(short, ';' ORDER BY p) AS short
+    FROM numbered GROUP BY k, s),
+trees AS (
+    SELECT k, sha256(string_agg(digest, '' ORDER BY s)) AS root, string_agg(short, '/' ORDER BY s) AS short
+    FROM sections GROUP BY k),
+leaves AS (
+    SELECT k, leaf, count(*) AS n
+    FROM (SELECT k, unnest(list_transform(digests, lambda d: left(d, 6))) AS leaf FROM pieces) GROUP BY k, leaf),
+sizes AS (SELECT k, sum(n) AS n FROM leaves GROUP BY k),
+keyed AS (
+    SELECT doc_id, length(text) AS n_chars, sha256(text) AS own, sha256(edited) AS edited, sha256(following) AS following FROM edits),
+pairs AS (SELECT own AS a, edited AS b FROM keyed UNION SELECT own, following FROM keyed),
+shared AS (
+    SELECT a, b, sum(least(x.n, y.n)) AS n
+    FROM pairs JOIN leaves x ON x.k = a JOIN leaves y ON y.k = b AND y.leaf = x.leaf GROUP BY a, b),
+alike AS (
+    SELECT a, b, CASE WHEN a = b THEN 1.0::DOUBLE WHEN shared.n IS NULL THEN 0.0::DOUBLE
+                      ELSE (2 * shared.n)::DOUBLE / (x.n + y.n)::DOUBLE END AS near
+    FROM pairs LEFT JOIN shared USING (a, b) LEFT JOIN sizes x ON x.k = a LEFT JOIN sizes y ON y.k = b)
+SELECT doc_id, n_chars, d.edited AS edited_sha256, t.root || '/' || t.short AS fingerprint,
+       e.root || '/' || e.short AS edited_fingerprint, ne.near AS near_edited, nn.near AS near_next
+FROM keyed d JOIN trees t ON t.k = d.own JOIN trees e ON e.k = d.edited
+JOIN alike ne ON ne.a = d.own AND ne.b = d.edited JOIN alike nn ON nn.a = d.own AND nn.b = d.following
+"""

@@ -77,7 +77,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@register("op9_merkle")
+@register("op9_merkle", oracles.MERKLE)
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of every document and of its edited text."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))

@@ -11,39 +11,39 @@ from .conftest import SF
 def tree_by_definition(text):
     """Root, sections of paragraphs of leaf digests; piece by piece."""
 
-    def digest(parts, size=16):
-        return hashlib.blake2b(b"".join(parts), digest_size=size).digest()
+    def digest(parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
 
     sections, section_digests, paragraphs, open_ = [], [], [], []
-    lines = text.encode("utf-8").split(b"\n")
+    lines = text.split("\n")
     for number, line in enumerate(lines):
         pieces, i = [], 0
         while i < len(line):
             j = i
-            while j < len(line) and j - i < 96 and line[j] not in b".!?":
+            while j < len(line) and j - i < 96 and line[j] not in ".!?":
                 j += 1
-            while j < len(line) and line[j] in b".!?":
+            while j < len(line) and line[j] in ".!?":
                 j += 1
             pieces.append(digest([line[i:j]]))
             i = j
         paragraphs.append(pieces)
         open_.append(digest(pieces))
-        if open_[-1][-1] % 8 == 0 or number == len(lines) - 1:
+        if int(open_[-1], 16) % 8 == 0 or number == len(lines) - 1:
             section_digests.append(digest(open_))
             sections.append(paragraphs)
             paragraphs, open_ = [], []
-    return digest(section_digests, 32).hex(), sections
+    return digest(section_digests), sections
 
 
 def written_by_definition(tree):
     root, sections = tree
-    return "/".join([root, *(";".join("".join(leaf.hex()[:6] for leaf in p) for p in s) for s in sections)])
+    return "/".join([root, *(";".join("".join(leaf[:6] for leaf in p) for p in s) for s in sections)])
 
 
 def likeness_by_definition(a, b):
     if a[0] == b[0]:
         return 1.0
-    ours, theirs = ([leaf.hex()[:6] for s in tree[1] for p in s for leaf in p] for tree in (a, b))
+    ours, theirs = ([leaf[:6] for s in tree[1] for p in s for leaf in p] for tree in (a, b))
     total, shared = len(ours) + len(theirs), 0
     for leaf in ours:
         if leaf in theirs:
