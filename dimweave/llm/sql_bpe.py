@@ -48,17 +48,18 @@ QUERY_ROWS = 2_000_000
 @dataclass(frozen=True)
 class Limits:
     """What one worker's model may hold: remembered words, symbols and rows of
-    a recursive query, DuckDB's memory."""
+    a recursive query, DuckDB's memory, bytes of text in a batch."""
 
     entries: int = CACHE_ENTRIES
     symbols: int = QUERY_SYMBOLS
     rows: int = QUERY_ROWS
     duckdb_mb: int = 256
+    batch_bytes: int = 2 << 20
 
 
 #: For stages of a pipeline, whose executors still hold what the stages before
-#: have left: some 150 MB less a worker, for a third more time.
-FRUGAL = Limits(entries=200_000, symbols=50_000, rows=500_000, duckdb_mb=96)
+#: have left: some 240 MB less a worker, for a third more time.
+FRUGAL = Limits(entries=200_000, symbols=50_000, rows=500_000, duckdb_mb=96, batch_bytes=512 << 10)
 #: Longer words (bytes) are cut into segments of ``SEGMENT`` bytes.
 LONG_WORD = 64
 SEGMENT = 12
@@ -312,7 +313,7 @@ def _round_trip(ranks_file: bytes, pattern: str, outputs, limits: Limits = Limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = task_model(ranks_file, kinds, limits)
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", limits.batch_bytes):
             ids, begins = model.encode(batch.column("text").to_pylist())
             yield outputs(model, batch, ids, begins, model.decode(ids, begins))
 
@@ -344,7 +345,7 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     Null text is empty: no ids, digests of nothing.  Null and repeated ids pass
     through; other columns are ignored; an empty table gives an empty table.
-    Memory is bounded by a batch of 2 MB of text (or one longer text), the
+    Memory is bounded by a batch of text (``Limits.batch_bytes``, or one longer text), the
     remembered words and DuckDB's limit (beyond it, the task's temp folder).
     The work grows in proportion to a text's length, also where it is one
     pre-token: that is cut into segments.
