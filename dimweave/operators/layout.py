@@ -47,6 +47,8 @@ def layout_report(
         out.write.mode("overwrite").parquet(path)
         stored = spark.read.parquet(path)
         n = stored.agg(F.count(F.lit(1)).alias("n_rows"))
-        stats = file_stats(stored).join(n).select(F.lit(name).alias("variant"), "bytes", "files", "n_rows")
-        rows = stats if rows is None else rows.unionByName(stats)
+        stats = file_stats(stored).unionByName(n, allowMissingColumns=True)
+        whole = stats.agg(F.max("bytes").alias("bytes"), F.max("files").alias("files"), F.max("n_rows").alias("n_rows"))
+        variant = whole.select(F.lit(name).alias("variant"), "bytes", "files", "n_rows")
+        rows = variant if rows is None else rows.unionByName(variant)
     return rows

@@ -51,8 +51,6 @@ def test_no_nested_loop_or_cartesian_in_registered_queries(spark):
     from __spark_entry__ import queries
 
     for name, q in queries().items():
-        if name == "layout_report":
-            continue
         tree = physical_tree(q(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in tree, name
         assert "BroadcastNestedLoopJoin" not in tree, name
