@@ -50,6 +50,17 @@ def broadcast_if_small(
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
+def salt_buckets_of(df: DataFrame) -> int:
+    """As many tasks for one key as the cluster's size suggests: with a third
+    of all rows it is then no more than a task's usual share."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
+
+
+def salt(cols: Sequence[str], buckets: int) -> Column:
+    """A deterministic number in [0, buckets) from a hash of ``cols``."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets))
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -57,27 +68,30 @@ def salted_join(
     buckets: int | None = None,
     salt_of: Sequence[str] | None = None,
     how: str = "inner",
+    salts: str | None = None,
 ) -> DataFrame:
     """Equi-join that spreads every key of ``big`` over ``buckets`` tasks
     (default: a third of the session's shuffle partitions).
 
-    ``big`` rows get a deterministic salt in [0, buckets) from a hash of
-    ``salt_of`` (default: all its columns); each ``small`` row -- typically
-    one aggregate row per key -- is replicated once per salt.  A key holding a
-    third of ``big`` is then processed by ``buckets`` tasks instead of one, at
-    the price of ``buckets`` copies of the small side.  Use it where AQE's
-    skew split cannot apply (e.g. when one side is an aggregate that already
-    sits on the join key's partitioning)."""
+    ``big`` rows get a deterministic ``salt`` of ``salt_of`` (default: all its
+    columns); each ``small`` row -- typically one aggregate row per key -- is
+    replicated once per salt, or, with ``salts``, once per element of that
+    array column of ``small``: the salts that ``big`` has under the key, so
+    that there are no more copies than ``big`` has rows.  A key holding a
+    third of ``big`` is then processed by ``buckets`` tasks instead of one.
+    The planner can't see that the copies are many times ``small`` and would
+    broadcast them by the size of ``small``: the join is always a sort-merge
+    join.  Use it where AQE's skew split cannot apply (e.g. when one side is
+    an aggregate that already sits on the join key's partitioning)."""
     if buckets is None:
-        # as many tasks for one key as the cluster's size suggests: with a
-        # third of all rows it is then no more than a task's usual share
-        buckets = max(1, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
-    if buckets <= 1:
+        buckets = salt_buckets_of(big)
+    if buckets <= 1 and salts is None:
         return big.join(small, list(keys), how)
     cols = list(salt_of) if salt_of else big.columns
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    salted = big.withColumn("_salt", salt(cols, buckets))
+    used = F.col(salts) if salts else F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))
+    copies = small.select(*[c for c in small.columns if c != salts], F.explode(used).alias("_salt"))
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def ordered_index(

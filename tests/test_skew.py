@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from dimweave.operators.behaviour import funnel
+from dimweave.operators.behaviour import day_ends, funnel
 from dimweave.operators.growth import growth_accounting_history
 from dimweave.operators.joins import salted_join
 from dimweave.operators.sports import dedupe
@@ -68,6 +68,40 @@ def test_salt_spreads_the_hot_key(spark, skewed):
     assert max(per_salt) < 2 * (sum(per_salt) / 8)
 
 
+def test_funnel_never_broadcasts_copies_of_days(spark):
+    # 3000 user-days of one or two events; one user-day of 500
+    n = F.col("id")
+    user = F.when(n < 500, F.lit(-1)).otherwise(n % 3000)
+    at = F.timestamp_seconds(F.lit(1704067200) + F.when(n < 500, n * 60).otherwise(n)).cast("timestamp_ntz")
+    url = F.when(n % 7 == 0, F.lit("buy")).otherwise(F.lit("view"))
+    ev = spark.range(5000).select(user.alias("user_id"), url.alias("url"), at.alias("event_time"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "10m", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.shuffle.partitions": "200"}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = funnel(ev, "buy", min_n=0)
+        got = sorted((r.url, r.n, round(r.conversion_rate, 9)) for r in out.collect())
+        ran = physical_tree(out)
+        days = day_ends(ev.withColumn("event_date", F.to_date("event_time")), "buy", 66)
+        copies = days.agg(F.sum(F.size("_salts"))).first()[0]
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = [(r.user_id, r.event_time, r.url) for r in ev.collect()]
+    days_of = {}
+    for u, t, to in rows:
+        days_of.setdefault((u, t.date()), []).append((t, to))
+    later = {}
+    for u, t, to in rows:
+        after = [x for at_, x in days_of[u, t.date()] if at_ > t]
+        if after:
+            later.setdefault(to, []).append("buy" in after)
+    assert got == sorted((to, len(v), round(sum(v) / len(v), 9)) for to, v in later.items())
+    assert "Broadcast" not in ran
+    assert copies <= len(rows)  # 66 for each day before
+
+
 def test_growth_history_with_hot_user(spark, skewed):
     ev, _ = skewed
     ga = growth_accounting_history(ev, with_dates=False)
