@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import MISSING_REFERRER
-from dimweave.operators.joins import broadcast_if_small
+from dimweave.operators.joins import broadcast_if_small, tasks_for
 from dimweave.session import scratch_path
 
 MATCH_BUCKETS = 16
@@ -32,12 +32,15 @@ def write_bucketed(df: DataFrame, table: str, key: str = "match_id", buckets: in
 
 
 def bucketed_matches(details: DataFrame, matches: DataFrame, medals_mp: DataFrame,
-                     buckets: int = MATCH_BUCKETS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                     buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three match tables in ``buckets`` buckets by match_id, as catalog
     tables with fresh names and files in the shared folder.  ``buckets`` is the
-    parallelism of every join over them: size it to the largest table's bytes
-    / 128 MB."""
+    parallelism of every join over them: by default 16, and the multiple of 16
+    that the largest table's rows ask for (``tasks_for``), so that a bucket
+    doesn't grow with the tables."""
     spark = details.sparkSession
+    if buckets is None:
+        buckets = MATCH_BUCKETS * -(-tasks_for(details, matches, medals_mp) // MATCH_BUCKETS)
     run = uuid.uuid4().hex[:12]
     parts = {"match_details": details, "matches": matches, "medals_matches_players": medals_mp}
     return tuple(

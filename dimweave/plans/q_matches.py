@@ -89,7 +89,8 @@ ENRICH_LEFT_SQL = with_views(
 @register("match_tops", MATCH_TOPS_SQL)
 def q_match_tops(t):
     """Top player by average kills, top playlist, top map, top map for a
-    medal, over the three match tables in 16 buckets by match_id."""
+    medal, over the three match tables in buckets by match_id (16, or as many
+    times 16 as their rows ask for)."""
     tables = bucketed_matches(A.match_details(t), A.matches(t), A.medals_matches_players(t))
     return match_tops(*tables, A.medals(t), A.maps(t), MEDAL)
 

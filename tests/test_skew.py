@@ -204,3 +204,31 @@ def test_best_stretch_of_a_hot_team(spark, hot_box_scores, n):
         results.setdefault(r.team_id, []).append(r.won)
     want = {t: max(sum(w[max(0, i - n + 1) : i + 1]) for i in range(len(w))) for t, w in results.items()}
     assert {r.team_id: r.best_wins for r in best_stretch(games, n).collect()} == want
+
+
+def test_match_buckets_grow_with_the_rows(spark, monkeypatch):
+    from dimweave.operators import joins
+    from dimweave.operators.matches import bucketed_matches, match_frame
+
+    monkeypatch.setattr(joins.tasks_for, "__kwdefaults__", {"rows_per_task": 100})
+    medals = spark.createDataFrame([(1, "gold")], "medal_id long, name string")
+
+    def tables(n):
+        rows, player = spark.range(n), F.concat(F.lit("p"), (F.col("id") % 5).cast("string"))
+        match = (F.col("id") / 5).cast("long").alias("match_id")
+        details = rows.select(match, player.alias("player_gamertag"), F.lit(2).alias("player_total_kills"))
+        earned = rows.select(match, player.alias("player_gamertag"), (F.col("id") % 2).alias("medal_id"), F.lit(1).alias("count"))
+        matches = rows.filter("id % 5 = 0").select(
+            match, F.lit("a").alias("playlist_id"), F.lit(1).alias("mapid"), F.lit(None).cast("timestamp_ntz").alias("completion_date")
+        )
+        return details, matches, earned
+
+    for n in (1000, 8000):
+        details, matches, earned = bucketed_matches(*tables(n))
+        buckets = [len(df.select(F.input_file_name()).distinct().collect()) for df in (details, matches, earned)]
+        assert max(buckets) <= (16 if n == 1000 else 80)
+        largest = details.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert largest < 200  # of 8000 rows, 16 buckets have 500
+        got = match_frame(details, matches, earned, medals, "gold")
+        want = match_frame(*tables(n), medals, "gold")
+        assertDataFrameEqual(got, want)
