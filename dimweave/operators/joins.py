@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 DEFAULT_BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 _TEXT_BYTES = 64  # what a text column counts as
-#: Rows that a task should sort or group at a time: some 100 MB.
-ROWS_PER_TASK = 250_000
 
 
 def row_bytes(schema: T.StructType) -> int:
@@ -52,11 +50,11 @@ def broadcast_if_small(
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
-def tasks_for(*frames: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+def tasks_for(rows_per_task: int, *frames: DataFrame) -> int:
     """Into how many tasks the largest of ``frames`` is dealt, so that a task's
     rows don't grow with the table.  Counting the rows of a Parquet scan reads
     the files' footers only."""
-    return max(1, max(-(-df.count() // rows_per_task) for df in frames))
+    return max(1, *(-(-df.count() // rows_per_task) for df in frames))
 
 
 def salt_buckets_of(df: DataFrame) -> int:

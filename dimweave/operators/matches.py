@@ -13,6 +13,7 @@ from dimweave.operators.joins import broadcast_if_small, tasks_for
 from dimweave.session import scratch_path
 
 MATCH_BUCKETS = 16
+BUCKET_ROWS = 250_000
 SMALL_DIM_ROWS = 1_000_000
 
 
@@ -40,7 +41,7 @@ def bucketed_matches(details: DataFrame, matches: DataFrame, medals_mp: DataFram
     doesn't grow with the tables."""
     spark = details.sparkSession
     if buckets is None:
-        buckets = MATCH_BUCKETS * -(-tasks_for(details, matches, medals_mp) // MATCH_BUCKETS)
+        buckets = MATCH_BUCKETS * -(-tasks_for(BUCKET_ROWS, details, matches, medals_mp) // MATCH_BUCKETS)
     run = uuid.uuid4().hex[:12]
     parts = {"match_details": details, "matches": matches, "medals_matches_players": medals_mp}
     return tuple(

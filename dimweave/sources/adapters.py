@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.functions.columns import props_int
+from dimweave.operators.joins import tasks_for
 from dimweave.sources.tables import Tables
 
 # Domains that count as the site's own in the test data.
@@ -33,6 +34,7 @@ REFERRERS = [
 ]
 IP_BASE = 167772160  # 10.0.0.0: web-event ips are IP_BASE + user_id
 N_TEAMS = 25  # teams are nations
+GAME_ROWS_PER_TASK = 500_000  # box scores that one task joins and groups
 
 
 def web_events(t: Tables, sparse: bool = False) -> DataFrame:
@@ -145,17 +147,28 @@ def games(t: Tables) -> DataFrame:
     )
 
 
-def game_details(t: Tables) -> DataFrame:
+def game_details(t: Tables, by_game: bool = True) -> DataFrame:
     """lineitem x supplier x games -> box-score rows.  player = supplier,
     pts = quantity, reb = line number, ast = round(tax * 100); an even-nation
     supplier plays for the home team, odd for the visitor.  Contains repeated
-    (game, player) rows, as the reference's table does."""
+    (game, player) rows, as the reference's table does.
+
+    What groups the rows by game runs in the tasks of the join.  Adaptive
+    execution merges shuffle partitions to about one task per core, so with
+    ``by_game`` both sides of a join that is larger than the cores can hold at
+    ``GAME_ROWS_PER_TASK`` are dealt out by game to as many tasks as it asks
+    for.  Without it the join is left to the planner, which may split a game of
+    very many rows."""
     li = t.lineitem.select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag"
     )
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     g = games(t).select("game_id", "home_team_id", "visitor_team_id")
-    j = li.join(s, li.l_suppkey == s.s_suppkey).join(g, F.col("l_orderkey") == g.game_id)
+    rows = li.join(s, li.l_suppkey == s.s_suppkey)
+    n = tasks_for(GAME_ROWS_PER_TASK, t.lineitem) if by_game else 1
+    if n > t.spark.sparkContext.defaultParallelism:
+        rows, g = rows.repartition(n, "l_orderkey"), g.repartition(n, "game_id")
+    j = rows.join(g, F.col("l_orderkey") == g.game_id)
     team = F.when(F.col("s_nationkey") % 2 == 0, F.col("home_team_id")).otherwise(F.col("visitor_team_id"))
     return j.select(
         "game_id",
@@ -175,7 +188,7 @@ def teams(t: Tables) -> DataFrame:
     region, the nickname written two ways (appearances of odd players carry a
     'Former ' variant), so building team vertices is a de-duplication over
     data that grows with the box scores."""
-    d = game_details(t).select("team_id", "player_id")
+    d = game_details(t, by_game=False).select("team_id", "player_id")
     n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("long").alias("team_id"), "n_name", "r_name"
     )

@@ -9,9 +9,10 @@ from pyspark.testing import assertDataFrameEqual
 from dimweave.operators.behaviour import day_ends, funnel
 from dimweave.operators.growth import growth_accounting_history
 from dimweave.operators.joins import salted_join
-from dimweave.operators.sports import dedupe
+from dimweave.operators.sports import dedupe, grain_check
 from dimweave.plans.inspect import physical_tree
 from dimweave.sources import adapters as A
+from dimweave.sources.tables import Tables
 
 HOT_USER = 999999
 
@@ -207,10 +208,10 @@ def test_best_stretch_of_a_hot_team(spark, hot_box_scores, n):
 
 
 def test_match_buckets_grow_with_the_rows(spark, monkeypatch):
-    from dimweave.operators import joins
+    from dimweave.operators import matches as operator
     from dimweave.operators.matches import bucketed_matches, match_frame
 
-    monkeypatch.setattr(joins.tasks_for, "__kwdefaults__", {"rows_per_task": 100})
+    monkeypatch.setattr(operator, "BUCKET_ROWS", 100)
     medals = spark.createDataFrame([(1, "gold")], "medal_id long, name string")
 
     def tables(n):
@@ -232,3 +233,32 @@ def test_match_buckets_grow_with_the_rows(spark, monkeypatch):
         got = match_frame(details, matches, earned, medals, "gold")
         want = match_frame(*tables(n), medals, "gold")
         assertDataFrameEqual(got, want)
+
+
+def test_box_scores_of_a_task_do_not_grow(spark, tmp_path, monkeypatch):
+    # 4000 line items of 800 orders; every tenth order lists its first supplier twice
+    n = F.col("id")
+    order, line = (n / 5).cast("long"), (n % 5).cast("int")
+    again = (order % 10 == 0) & (line == 4)
+    tables = {
+        "lineitem": spark.range(4000).select(
+            order.alias("l_orderkey"), F.when(again, 0).otherwise(line).cast("long").alias("l_suppkey"), line.alias("l_linenumber"),
+            F.lit(1.0).alias("l_quantity"), F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"),
+        ),
+        "supplier": spark.range(5).select(n.alias("s_suppkey"), F.lit("s").alias("s_name"), F.lit(2).alias("s_nationkey")),
+        "orders": spark.range(800).select(
+            n.alias("o_orderkey"), (n % 3).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+            F.lit("1995-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        ),
+        "customer": spark.range(3).select(n.alias("c_custkey"), n.cast("int").alias("c_nationkey")),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(A, "GAME_ROWS_PER_TASK", 100, raising=False)
+    details = A.game_details(Tables(spark, str(tmp_path)))
+    most = details.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 250  # a thousand and more, in the session's 4 partitions
+    got = sorted(map(tuple, grain_check(details, ["game_id", "team_id", "player_id"]).collect()))
+    assert got == [(g, g % 3, 0, 2) for g in range(0, 800, 10)]
+    # the planner's own join has the same rows
+    assertDataFrameEqual(A.game_details(Tables(spark, str(tmp_path)), by_game=False), details)
